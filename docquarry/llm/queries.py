@@ -6,20 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, quality, token_counts, url_filter, warc
+from . import media, mixing, pii, quality, simhash, token_counts, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "word_bpe_49k.json", limit=2048)
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rule_frame(spark, url_filter.RULES))
 
@@ -33,7 +45,7 @@ def op10_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op7_url_filters, op8_warc, op10_media_gif)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing_sources, op2_token_counts, op3_simhash_near_dedup, op4_quality_rules, op5_pii, op7_url_filters, op8_warc, op10_media_gif)}
 
 ORACLE_SQL: dict[str, str] = {
     "op7_url_filters": f"""
