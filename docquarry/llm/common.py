@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Words everywhere: maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -63,3 +64,13 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding it."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return column.cast(kind).to_pylist()
+
+
+#: Rows of a join's small side that may be broadcast; beyond, Spark joins by shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` (narrow rows), materialised, and marked for broadcast only if it has few rows."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, pii, quality, simhash, token_counts, url_filter, warc
+from . import language, media, mixing, pieces, pii, quality, simhash, token_counts, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents")).drop("th")
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rule_frame(spark, url_filter.RULES))
 
@@ -41,11 +45,15 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
+
+
 def op10_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing_sources, op2_token_counts, op3_simhash_near_dedup, op4_quality_rules, op5_pii, op7_url_filters, op8_warc, op10_media_gif)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing_sources, op2_token_counts, op3_simhash_near_dedup, op4_quality_rules, op5_pii, op6_language_id, op7_url_filters, op8_warc, op9_sentencepiece, op10_media_gif)}
 
 ORACLE_SQL: dict[str, str] = {
     "op7_url_filters": f"""
