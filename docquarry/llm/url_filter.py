@@ -31,8 +31,8 @@ from .common import bound_batches
 #: The rules of the registered query, as (host, path, verdict).
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
-#: Keys sampled for the borders of ranges, and the most ranges.
-SAMPLE, MOST_RANGES = 20_000, 4096
+#: Keys sampled for the borders of ranges, about, and the most ranges.
+SAMPLE, MOST_RANGES = 10_000, 2048
 
 
 def _rest(url: Column) -> Column:
@@ -56,8 +56,10 @@ def key_of(host: Column) -> Column:
 
 
 def borders(keyed: DataFrame, ranges: int) -> list[str]:
-    """At most ``ranges - 1`` borders between ranges of about equal size, from a bounded sample of sort keys."""
-    sample = sorted(r[0] for r in keyed.select("sort_key").orderBy(F.xxhash64("sort_key")).limit(SAMPLE).collect())
+    """At most ``ranges - 1`` borders between ranges of about equal size, from about ``SAMPLE`` sort keys, taken by hash."""
+    share = min(1.0, SAMPLE / max(keyed.count(), 1))
+    drawn = keyed.where(F.shiftrightunsigned(F.xxhash64("sort_key"), 33) < int(share * (1 << 31)))
+    sample = sorted(r[0] for r in drawn.select("sort_key").collect())
     return [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
 
 
