@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, media, mixing, pieces, pii, quality, simhash, token_counts, url_filter, warc
+from . import language, media, mixing, oracles, pieces, pii, quality, simhash, token_counts, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,29 +55,4 @@ def op10_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing_sources, op2_token_counts, op3_simhash_near_dedup, op4_quality_rules, op5_pii, op6_language_id, op7_url_filters, op8_warc, op9_sentencepiece, op10_media_gif)}
 
-ORACLE_SQL: dict[str, str] = {
-    "op7_url_filters": f"""
-        WITH u AS (
-          SELECT page_id,
-            CASE WHEN url LIKE '%://%' THEN translate(regexp_extract(url, '^(?:[^:]|:[^/]|:/[^/])*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
-            CASE WHEN url LIKE '%://%' THEN regexp_extract(url, '^(?:[^:]|:[^/]|:/[^/])*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path
-          FROM pages),
-        r(rhost, rpath, rverdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
-        f AS (
-          SELECT u.page_id, u.host, u.path, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(rverdict, length(rhost || rpath)) AS v
-          FROM u LEFT JOIN r ON (u.host = rhost OR ends_with(u.host, '.' || rhost)) AND starts_with(u.path, rpath)
-          GROUP BY u.page_id, u.host, u.path)
-        SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM f""",
-    "op8_warc": """
-        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-        d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS dg FROM p),
-        q AS (SELECT *, min(page_id) OVER (PARTITION BY dg) AS first FROM d),
-        b AS (SELECT *, array_to_string([lpad(bin(strpos('0123456789abcdef', substr(dg, k + 1, 1)) - 1), 4, '0') for k in range(40)], '') AS bits FROM q)
-        SELECT page_id, payload_bytes,
-          array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-            1 + 16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
-              + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT, 1) for i in range(32)], '') AS payload_digest,
-          CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-          CASE WHEN page_id <> first THEN first END AS refers_to
-        FROM b""",
-}
+ORACLE_SQL: dict[str, str] = {"op1_mixing_sources": oracles.OP1, "op4_quality_rules": oracles.OP4, "op7_url_filters": oracles.OP7, "op8_warc": oracles.OP8}
