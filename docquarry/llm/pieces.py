@@ -8,10 +8,11 @@ A* search backward from the end, so whole paths leave the queue in the order of
 their scores, and the first N are the N best.
 
 No piece goes over a word's start (``▁`` is only ever first in a piece, or in a
-run of its own), so the lattice of a text is a chain of its words' lattices:
-each distinct word is searched once, and the N best of the text are merged from
-the words' differences to their best.  Only the N - 1 smallest differences can
-be in any of the N best.  Words are remembered up to a bound.
+run of its own), so the lattice of a text is a chain of its words' lattices,
+and often of their parts'.  Each distinct part's best path and the difference to its second best come from
+one forward and one backward pass, and are remembered up to a bound.  Only words
+with the N - 1 smallest differences can change in any of the text's N best, so
+only those are searched, and the text's N best are merged from theirs.
 
 Scores are whole numbers (millionths of a logarithm), so ties are ties; they
 come in the order in which the search, which is deterministic, completes them.  A unigram
@@ -30,7 +31,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import product
+from itertools import chain, product
 from math import log
 
 import numpy as np
@@ -42,11 +43,15 @@ from .token_counts import tokenizer_path
 
 SPACE = "▁"
 #: Segmentations of each text; words that a worker remembers, and the longest that it does.
-BEST, KNOWN, LONGEST = 3, 250_000, 64
+BEST, KNOWN, LONGEST = 3, 800_000, 64
+#: Words in one array of ``viterbi_many``.
+CHUNK = 4096
 #: The kinds of pieces in a model, normal and user-defined ones, and bytes.
 NORMAL, USER, BYTE = 1, 4, 6
 ZIPF_SHIFT = 2.7
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
+#: Stands for "no second segmentation" among differences.
+NONE = 1 << 62
 
 
 class Pieces:
@@ -82,27 +87,166 @@ class Pieces:
         self.longest = max(map(len, self.ids), default=1)
         if any(SPACE in p.lstrip(SPACE) for p in self.ids) or any(p.startswith(SPACE * 2) and p.strip(SPACE) for p in self.ids):
             raise ValueError("pieces go over a word's start")
-        #: Line ends belong to no longer piece in most models; a word can then be cut there.
-        self.lines = not any("\n" in p and len(p) > 1 for p in self.ids)
-
-    def edges(self, word: str, end: int) -> Iterator[tuple[int, tuple[int, ...], int]]:
-        """(start, piece ids, score) of the lattice's edges that come to ``end``."""
-        single = False
-        for start in range(max(0, end - self.longest), end):
-            found = self.ids.get(word[start:end])
-            if found:
-                single |= start == end - 1
-                yield start, found[:1], found[1]
-        if not single:
-            spelled = [self.bytes[b] for b in word[end - 1].encode("utf-8", "replace")]
-            yield end - 1, tuple(i for i, _ in spelled), sum(s for _, s in spelled)
+        # More places that no piece goes over: before a mark that follows no letter or digit in
+        # any piece, and around line ends if they are in no longer piece.
+        pairs = {x for p in self.ids for x in zip(p, p[1:])}
+        joined = {b for a, b in pairs if a.isalnum()}
+        marks = "".join(sorted(re.escape(p) for p in self.ids if len(p) == 1 and not p.isalnum() and p not in joined and p not in (SPACE, "\n")))
+        lines = "" if any("\n" in x for x in pairs) else "\n"
+        rest = rf"(?:[^{lines}{marks}]++" + (rf"|(?<![^\W_])[{marks}])*+" if marks else ")*+")
+        self.part_pattern = re.compile("|".join([*([r"\n"] if lines else []), *([rf"[{marks}]{rest}"] if marks else []), rf"[\s\S]{rest}"]))
+        #: Pieces by their characters; 0 for what only starts a piece.
+        self.starts: dict[str, tuple[int, int] | int] = {p[:k]: 0 for p in self.ids for k in range(1, len(p))} | self.ids
+        self.singles = frozenset(p for p in self.ids if len(p) == 1)
+        self._trie()
+
+    def _spelled(self, char: str) -> tuple[tuple[int, ...], int]:
+        """Byte pieces of a character that is no piece, and their score."""
+        found = [self.bytes[b] for b in char.encode("utf-8", "replace")]
+        return tuple(i for i, _ in found), sum(s for _, s in found)
+
+    def edges(self, word: str) -> list[tuple[int, int, int]]:
+        """The lattice's edges (start, end, score), by start."""
+        get, longest, size = self.starts.get, self.longest, len(word)
+        out = []
+        for start in range(size):
+            for end in range(start + 1, min(start + longest, size) + 1):
+                found = get(word[start:end])
+                if found:
+                    out.append((start, end, found[1]))
+                    continue
+                if end == start + 1:
+                    out.append((start, end, self._spelled(word[start])[1]))
+                if found is None:  # nor does any piece start so
+                    break
+        return out
+
+    def ids_of(self, part: str) -> tuple[int, ...]:
+        """The ids of an edge's characters."""
+        found = self.ids.get(part)
+        return found[:1] if found else self._spelled(part)[0]
+
+    def viterbi(self, word: str) -> tuple[int, tuple[int, ...], int]:
+        """Score and piece ids of the best segmentation, and how much worse the second best is.
+
+        Any other segmentation has an edge off the best path, so the second best is
+        the best one through such an edge: forward score, edge, backward score.
+        """
+        size, edges = len(word), self.edges(word)
+        best, back = [0] + [-NONE] * size, [0] * (size + 1)
+        for start, end, score in edges:
+            score += best[start]
+            if score > best[end]:
+                best[end] = score
+                back[end] = start
+        on_path, at, parts = [-1] * (size + 1), size, []
+        while at:
+            on_path[at] = back[at]
+            parts.append(word[back[at] : at])
+            at = back[at]
+        after, second = [-NONE] * size + [0], -NONE
+        for start, end, score in reversed(edges):
+            score += after[end]
+            if score > after[start]:
+                after[start] = score
+            score += best[start]
+            if score > second and on_path[end] != start:
+                second = score
+        ids = tuple(i for part in reversed(parts) for i in self.ids_of(part))
+        return best[size], ids, best[size] - second if second > -(NONE >> 1) else NONE
+
+    def viterbi_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``viterbi`` of many words at once: scores, differences, numbers of ids, and all ids in a row.
+
+        The words' characters are all pieces.
+
+        One array step handles the edges of all words with the same start and
+        length, and the walk along a word's characters is one along a trie.
+        """
+        size = len(words)
+        lengths = np.array([len(w) for w in words])
+        longest = int(lengths.max())
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        chars = np.full((size, longest), -1, np.int64)
+        chars[np.arange(longest) < lengths[:, None]] = self.char_ids[points]
+        best = np.full((size, longest + 1), -NONE, np.int64)
+        best[:, 0] = 0
+        back, piece_at = np.zeros((size, longest + 1), np.int32), np.zeros((size, longest + 1), np.int32)
+        edges = []
+        for start in range(longest):
+            rows = np.flatnonzero(lengths > start)
+            nodes = np.zeros(len(rows), np.int64)
+            for end in range(start + 1, min(start + self.longest, longest) + 1):
+                nodes, alive = self._walk(nodes, chars[rows, end - 1])
+                rows, nodes = rows[alive], nodes[alive]
+                if not len(rows):
+                    break
+                pieces = self.node_piece[nodes]
+                hit = pieces >= 0
+                at, found = rows[hit], pieces[hit]
+                if not len(at):
+                    continue
+                scores = self.piece_score[found]
+                edges.append((start, end, at, scores))
+                total = best[at, start] + scores
+                better = total > best[at, end]
+                at, found = at[better], found[better]
+                best[at, end], back[at, end], piece_at[at, end] = total[better], start, found
+        every = np.arange(size)
+        on_path = np.full((size, longest + 1), -1, np.int32)
+        ids, begin, now = np.zeros((size, longest), np.int32), np.full(size, longest), lengths.copy()
+        left = every
+        while len(left):
+            where = now[left]
+            on_path[left, where] = back[left, where]
+            begin[left] -= 1
+            ids[left, begin[left]] = piece_at[left, where]
+            now[left] = back[left, where]
+            left = left[now[left] > 0]
+        after = np.full((size, longest + 1), -NONE, np.int64)
+        after[every, lengths] = 0
+        second = np.full(size, -NONE, np.int64)
+        for start, end, at, scores in reversed(edges):
+            total = after[at, end] + scores
+            after[at, start] = np.maximum(after[at, start], total)
+            total = np.where(on_path[at, end] == start, -NONE, best[at, start] + total)
+            second[at] = np.maximum(second[at], total)
+        score = best[every, lengths]
+        gap = np.where(second > -(NONE >> 1), score - second, NONE)
+        return score, gap, longest - begin, ids[np.arange(longest) >= begin[:, None]]
+
+    def _walk(self, nodes: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The trie's nodes after one more character each, and which of them there are."""
+        keys = nodes * self.chars + chars
+        at = np.searchsorted(self.step_keys, keys)
+        at[at == len(self.step_keys)] = 0
+        return self.step_nodes[at], (self.step_keys[at] == keys) & (chars >= 0)
+
+    def _trie(self) -> None:
+        """Arrays of the trie of pieces for ``viterbi_many``."""
+        alphabet = {c: i for i, c in enumerate(sorted({c for p in self.ids for c in p}))}
+        self.chars = len(alphabet)
+        self.char_ids = np.full(0x110000, -1, np.int32)
+        self.char_ids[[ord(c) for c in alphabet]] = np.arange(self.chars)
+        nodes = {"": 0} | {p: i for i, p in enumerate(self.starts, 1)}
+        steps = sorted((nodes[p[:-1]] * self.chars + alphabet[p[-1]], n) for p, n in nodes.items() if p)
+        self.step_keys, self.step_nodes = np.array([k for k, _ in steps]), np.array([n for _, n in steps])
+        self.node_piece = np.array([-1, *(f[0] if f else -1 for f in self.starts.values())], np.int32)
+        self.piece_score = np.zeros(len(self.spelled), np.int64)
+        for i, score in self.ids.values():
+            self.piece_score[i] = score
+
+    def spells(self, word: str) -> bool:
+        """Whether each of its characters is a piece."""
+        return self.singles.issuperset(word)
 
     def nbest(self, word: str, n: int) -> list[tuple[int, tuple[int, ...]]]:
         """The ``n`` best segmentations as (score, piece ids), best first."""
-        into = [list(self.edges(word, end)) if end else [] for end in range(len(word) + 1)]
-        best = [0]
-        for end in range(1, len(word) + 1):
-            best.append(max(best[start] + score for start, _, score in into[end]))
+        into: list[list[tuple[int, int]]] = [[] for _ in range(len(word) + 1)]
+        best = [0] + [-NONE] * len(word)
+        for start, end, score in self.edges(word):
+            into[end].append((start, score))
+            best[end] = max(best[end], best[start] + score)
         # Backward A*: a state is a position and the path behind it; its estimate is exact.
         # Of equal estimates the state nearest the start goes first, so ties are no search in breadth.
         queue: list[tuple[int, int, int, int, tuple]] = [(-best[-1], len(word), 0, 0, ())]
@@ -111,25 +255,30 @@ class Pieces:
             _, at, _, done, path = heapq.heappop(queue)
             if at == 0:
                 ids: list[int] = []
+                start = 0
                 while path:
-                    ids += path[0]
-                    path = path[1]
+                    end, path = path
+                    ids += self.ids_of(word[start:end])
+                    start = end
                 out.append((done, tuple(ids)))
                 continue
-            for start, ids, score in into[at]:
+            for start, score in into[at]:
                 serial += 1
-                heapq.heappush(queue, (-(best[start] + done + score), start, serial, done + score, (ids, path)))
+                heapq.heappush(queue, (-(best[start] + done + score), start, serial, done + score, (at, path)))
         return out
 
     def words(self, text: str) -> list[str]:
-        """The words of a text's lattice, in order."""
+        """The words of a text's lattice, in order, each without its first ``▁``."""
         if not text:
             return []
-        normal = SPACE + text.replace(" ", SPACE)
-        parts = _WORDS.findall(normal)
-        if self.lines and "\n" in normal:
-            return [x for p in parts for x in re.split("(\n)", p) if x] if any("\n" in p for p in parts) else parts
-        return parts
+        words = text.split(" ")
+        if SPACE in text or "" in words:  # runs of spaces belong to the word that follows
+            return [w[1:] for w in _WORDS.findall(SPACE + text.replace(" ", SPACE))]
+        return words
+
+    def parts(self, word: str) -> list[str]:
+        """Parts of a word that no piece goes over."""
+        return self.part_pattern.findall(word)
 
     def decode(self, ids: list[int]) -> str:
         """The text of piece ids, without the dummy prefix."""
@@ -143,38 +292,107 @@ def load(name: str) -> Pieces:
 
 
 class Encoder:
-    """N-best segmentations of texts, with a bounded memory of words."""
+    """N-best segmentations of batches of texts, with a bounded memory of words and of their parts.
+
+    Words and parts are numbers into arrays: score, difference to the second
+    best, and where their ids lie in one long row.
+    """
 
     def __init__(self, name: str, n: int = BEST):
         self.pieces, self.n = load(name), n
-        self.known: dict[str, tuple] = {}
-
-    def word(self, word: str) -> tuple:
-        """Bytes of the best ids, its score, the difference to the second, and all segmentations."""
-        found = self.known.get(word)
-        if found is None:
-            ways = self.pieces.nbest(word, self.n)
-            for _, ids in ways:
-                if b"".join(map(self.pieces.spelled.__getitem__, ids)).decode("utf-8", "replace") != word.replace(SPACE, " "):
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.known_parts: dict[str, int] = {}
+        self.known_ways: dict[str, list[tuple[int, int]]] = {}
+        self.size = self.used = 0
+        self.score, self.gap, self.first, self.count = (np.zeros(1 << 16, np.int64) for _ in range(4))
+        self.row = np.zeros(1 << 18, np.int32)
+
+    def _add(self, score: np.ndarray, gap: np.ndarray, count: np.ndarray, ids: np.ndarray) -> range:
+        """Put entries at the arrays' ends; their numbers."""
+        new = range(self.size, self.size + len(score))
+        while new.stop > len(self.score):
+            self.score, self.gap, self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.score, self.gap, self.first, self.count))
+        while self.used + len(ids) > len(self.row):
+            self.row = np.concatenate([self.row, np.zeros_like(self.row)])
+        at = slice(new.start, new.stop)
+        self.score[at], self.gap[at], self.count[at] = score, gap, count
+        self.first[at] = self.used + np.cumsum(count) - count
+        self.row[self.used : self.used + len(ids)] = ids
+        self.size, self.used = new.stop, self.used + len(ids)
+        return new
+
+    def _ids(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of entries, in a row."""
+        count = self.count[numbers]
+        shift = self.first[numbers] - (np.cumsum(count) - count)
+        return self.row[np.repeat(shift, count) + np.arange(int(count.sum()))]
+
+    def learn(self, words: set[str]) -> None:
+        """Put words into memory, which starts anew when it is full."""
+        if max(len(self.known), len(self.known_parts), self.used >> 4) > KNOWN:
+            self.forget()
+        parts = self.known_parts
+        new = list(words.difference(self.known))
+        split = [self.pieces.parts(SPACE + w) for w in new]
+        fresh = sorted(set().union(*split).difference(parts), key=len)
+        many = [p for p in fresh if len(p) <= LONGEST and self.pieces.spells(p)]
+        for k in range(0, len(many), CHUNK):  # sorted by length: little is padding
+            chunk = many[k : k + CHUNK]
+            parts.update(zip(chunk, self._add(*self.pieces.viterbi_many(chunk))))
+        for p in fresh if len(many) < len(fresh) else ():
+            if p not in parts:
+                score, ids, gap = self.pieces.viterbi(p)
+                parts.update(zip([p], self._add(*(np.array([x]) for x in (score, gap, len(ids))), np.array(ids, np.int32))))
+        self.known.update((w, parts[own[0]]) for w, own in zip(new, split) if len(own) == 1)
+        composed = [(w, own) for w, own in zip(new, split) if len(own) > 1]
+        if composed:
+            lengths = np.array([len(own) for _, own in composed])
+            starts = np.cumsum(lengths) - lengths
+            numbers = np.fromiter(map(parts.__getitem__, chain.from_iterable(own for _, own in composed)), np.int64, int(lengths.sum()))
+            sums = [np.add.reduceat(x[numbers], starts) for x in (self.score, self.count)]
+            added = self._add(sums[0], np.minimum.reduceat(self.gap[numbers], starts), sums[1], self._ids(numbers))
+            self.known.update(zip([w for w, _ in composed], added))
+
+    def ways(self, word: str, number: int) -> list[tuple[int, int]]:
+        """(score lost, pieces added) of the word's N best, the best first."""
+        out = self.known_ways.get(word)
+        if out is None:
+            own, score = tuple(self._ids(np.array([number])).tolist()), int(self.score[number])
+            found = [w for w in self.pieces.nbest(SPACE + word, self.n) if w[1] != own]
+            for _, ids in found:
+                if b"".join(map(self.pieces.spelled.__getitem__, ids)).decode("utf-8", "replace") != (SPACE + word).replace(SPACE, " "):
                     raise AssertionError("a segmentation that doesn't spell its word")
-            gap = ways[0][0] - ways[1][0] if len(ways) > 1 else None
-            found = np.array(ways[0][1], np.int32).tobytes(), ways[0][0], gap, ways
+            out = [(0, 0), *((score - s, len(ids) - len(own)) for s, ids in found[: self.n - 1])]
             if len(word) <= LONGEST:
-                if len(self.known) >= KNOWN:
-                    self.known.clear()
-                self.known[word] = found
-        return found
-
-    def __call__(self, text: str | None) -> tuple[bytes, list[int], list[int]]:
-        """The best segmentation's ids (little-endian), and scores and piece counts of the N best."""
-        parts = [self.word(w) for w in self.pieces.words(text or "")]
-        ids = b"".join([p[0] for p in parts])
-        score, count = sum([p[1] for p in parts]), len(ids) // 4
-        gaps = heapq.nsmallest(self.n - 1, [(p[2], k) for k, p in enumerate(parts) if p[2] is not None])
-        options = [[(parts[k][1] - s, len(i) - len(parts[k][3][0][1])) for s, i in parts[k][3]] for _, k in sorted(gaps, key=lambda g: g[1])]
-        ways = [(sum(g for g, _ in x), sum(c for _, c in x)) for x in product(*options)] if options else [(0, 0)]
-        ways = heapq.nsmallest(self.n, ways, key=lambda w: w[0])
-        return ids, [score - g for g, _ in ways], [count + c for _, c in ways]
+                self.known_ways[word] = out
+        return out
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[int]], list[list[int]]]:
+        """The best segmentations' ids in a row and where each text's begin and end; scores and piece counts of each text's N best."""
+        split = [self.pieces.words(t or "") for t in texts]
+        self.learn(set().union(*split))
+        ends = np.cumsum([0, *map(len, split)])
+        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(ends[-1]))
+        sums = [np.concatenate([[0], np.cumsum(x[numbers])])[ends] for x in (self.score, self.count)]
+        gaps = self.gap[numbers]
+        scores, counts = [], []
+        for k, (score, count) in enumerate(zip(np.diff(sums[0]).tolist(), np.diff(sums[1]).tolist())):
+            own, options = gaps[ends[k] : ends[k + 1]], []
+            for _ in range(min(self.n - 1, len(own))):  # the nearest second bests
+                at = int(own.argmin())
+                if own[at] == NONE:
+                    break
+                own[at] = NONE
+                options.append(self.ways(split[k][at], int(numbers[ends[k] + at])))
+            every = heapq.nsmallest(self.n, [(sum(g for g, _ in x), sum(c for _, c in x)) for x in product(*options)], key=lambda w: w[0])
+            scores.append([score - g for g, _ in every])
+            counts.append([count + c for _, c in every])
+        for w in {w for words in split for w in words if len(w) > LONGEST}:
+            del self.known[w]
+        return self._ids(numbers), sums[1].astype(np.int32), scores, counts
 
 
 def encode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str = "doc_id", text_column: str = "text", n: int = BEST) -> DataFrame:
@@ -186,11 +404,10 @@ def encode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str
         encoder = Encoder(model, n)
         for batch in by_bytes(batches, "text", 4 << 20):
             texts = batch.column(1).to_pylist()
-            done = [encoder(x) for x in texts]
-            offsets = np.cumsum([0, *(len(x) // 4 for x, _, _ in done)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join([x for x, _, _ in done]), np.int32)))
+            row, offsets, scores, counts = encoder(texts)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(row))
             normal = [hashlib.sha256((x or "").replace(SPACE, " ").encode("utf-8", "replace")).hexdigest() for x in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array([s for _, s, _ in done], pa.list_(pa.int64())), pa.array([c for _, _, c in done], pa.list_(pa.int32())), pa.array(normal)], ["id", "piece_ids", "scores", "counts", "normal_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(scores, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32())), pa.array(normal)], ["id", "piece_ids", "scores", "counts", "normal_sha256"])
 
     return narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, piece_ids array<int>, scores array<long>, counts array<int>, normal_sha256 string").withColumnRenamed("id", id_column)
 
@@ -246,11 +463,10 @@ def with_pieces(df: DataFrame, model: str = "piece_bpe_32k.model", *, text_colum
         encoder = Encoder(model, n)
         for batch in by_bytes(batches, text_column, 4 << 20):
             texts = batch.column(position).to_pylist()
-            done = [np.frombuffer(encoder(x)[0], np.int32) for x in texts]
-            offsets = np.cumsum([0, *map(len, done)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *done])))
-            same = [encoder.pieces.decode(i.tolist()) == (x or "").replace(SPACE, " ") for i, x in zip(done, texts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(list(map(len, done)), pa.int64()), pa.array(same, pa.bool_())], [*kept, *added])
+            row, offsets, _, _ = encoder(texts)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(row))
+            same = [encoder.pieces.decode(row[a:b].tolist()) == (x or "").replace(SPACE, " ") for a, b, x in zip(offsets, offsets[1:], texts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(np.diff(offsets), pa.int64()), pa.array(same, pa.bool_())], [*kept, *added])
 
     fields = ", ".join(f"`{c}` {t}" for c, t in narrow.dtypes)
     return narrow.mapInArrow(run, f"{fields}, piece_ids array<int>, n_pieces long, round_trip boolean")

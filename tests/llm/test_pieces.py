@@ -1,6 +1,7 @@
 import heapq
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -49,10 +50,16 @@ def test_texts_match_brute_force(model):
     for _ in range(60):
         text = "".join(random.choice("ab  \nthé") for _ in range(random.randint(1, 10)))
         want = heapq.nlargest(4, brute(model, "▁" + text.replace(" ", "▁")))
-        ids, scores, counts = encoder(text)
+        ids, _, (scores,), (counts,) = encoder([text])
         assert scores == [s for s, _ in want], text
-        assert len(ids) // 4 == counts[0]
-    assert encoder(None) == encoder("") == (b"", [0], [0])
+        assert len(ids) == counts[0]
+    assert [len(encoder([None, ""])[0]), *encoder([None, ""])[2:]] == [0, [[0]] * 2, [[0]] * 2]
+    words = ["▁" + w for w in open(__file__).read().split() if model.spells(w)]
+    words = sorted(set(words), key=len)
+    score, gap, count, ids = model.viterbi_many(words)
+    one = [model.viterbi(w) for w in words]
+    assert [(s, g) for s, _, g in one] == list(zip(score.tolist(), gap.tolist()))
+    assert [len(i) for _, i, _ in one] == count.tolist() and [x for _, i, _ in one for x in i] == ids.tolist()
 
 
 def test_round_trip_and_library_decoding(spark):
