@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from .operators import infer, preflight
 from .plans import run as verbs
+from .ship import ship
 from .sources import files
 from .store import CorpusStore
 
@@ -50,6 +51,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     """Exit status: 1 for failed URLs, for bad documents that stay, and for missing inputs."""
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("docquarry").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    ship(spark)
     status = 0
     if a.verb == "fetch":
         out = verbs.fetch(spark, a.input_dir, a.urls)
