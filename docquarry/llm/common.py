@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import ship
+
 #: Words everywhere: maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,7 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Lower the session's Arrow batch size to ``rows``; never raise it."""
+    """Lower the session's Arrow batch size to ``rows`` (never raise it), and see that workers have the code."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
