@@ -17,10 +17,11 @@ CATEGORIES = 10_000
 
 def eligible(result: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Parts, and whole documents of at most ``limit`` characters that have no parts."""
-    parents = result.where("parent_result_id IS NOT NULL").select(F.col("parent_result_id").alias("result_id")).distinct()
-    whole = (F.col("parent_result_id").isNull()) & (F.col("part_number").isNull()) & (F.length("content") <= limit)
-    parts = result.where("part_number IS NOT NULL")
-    return result.where(whole).join(parents, "result_id", "left_anti").unionByName(parts)
+    parents = result.where("parent_result_id IS NOT NULL").select(F.col("parent_result_id").alias("__parent")).distinct()
+    part = F.col("part_number").isNotNull()
+    whole = F.col("parent_result_id").isNull() & F.col("part_number").isNull() & (F.length("content") <= limit)
+    rows = result.where(part | whole)  # one scan; the anti-join asks whole documents alone
+    return rows.join(parents, (rows["result_id"] == parents["__parent"]) & rows["part_number"].isNull(), "left_anti")
 
 
 def pending_pairs(result: DataFrame, category: DataFrame, verdicts: DataFrame, *, limit_chars: int = LIMIT, completed: DataFrame | None = None, limit: int | None = None) -> DataFrame:

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import re
+import tempfile
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,6 +111,29 @@ def reply_records(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+def write_replies(replies: DataFrame, folder: str) -> DataFrame:
+    """Write replies (``custom_id, record``) as files of a folder that all executors share; ``custom_id, saved``.
+
+    ``saved`` is false where a file is there already.  A file appears whole or not at all.
+    """
+    os.makedirs(folder, exist_ok=True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            saved = []
+            for name, record in zip(batch["custom_id"], batch["record"]):
+                final = os.path.join(folder, f"{name}.json")
+                saved.append(not os.path.exists(final))
+                if saved[-1]:
+                    handle, temporary = tempfile.mkstemp(dir=folder, prefix=f".{name}.", suffix=".tmp")
+                    with os.fdopen(handle, "w", encoding="utf-8") as f:
+                        f.write(json.dumps(json.loads(record), indent=2))
+                    os.replace(temporary, final)
+            yield pd.DataFrame({"custom_id": batch["custom_id"], "saved": saved})
+
+    return replies.select("custom_id", "record").mapInPandas(run, "custom_id string, saved boolean")
+
+
 def completed_pairs(records: DataFrame) -> DataFrame:
     """Distinct pairs that have a reply: by a reply file's name, else by a record's ids; bad lines don't count."""
     from ..functions.strict_json import parse_records

@@ -126,6 +126,15 @@ def test_first_record_wins_across_sources(spark, folders, store):
     assert sorted(map(tuple, files.completed_pairs(records).collect())) == [(1, 2), (3, 4), (7, 8)]
 
 
+def test_reply_files_are_written_once(spark, tmp_path):
+    df = spark.createDataFrame([("r1_c2", '{"result_id": 1, "category_id": 2, "match": "yes"}')], "custom_id string, record string")
+    folder = str(tmp_path / "replies")
+    assert [r.saved for r in files.write_replies(df, folder).collect()] == [True]
+    assert [r.saved for r in files.write_replies(df, folder).collect()] == [False]
+    assert [p.name for p in (tmp_path / "replies").iterdir()] == ["r1_c2.json"]
+    assert list(map(tuple, files.completed_pairs(files.reply_records(spark, folder)).collect())) == [(1, 2)]
+
+
 def test_pending_limit_is_exact(spark):
     result = spark.createDataFrame([(i, None, None, "x" * (10 if i < 9 else 99)) for i in range(10)] + [(20, 1, 3, "p" * 200)], "result_id long, part_number int, parent_result_id long, content string")
     category = spark.createDataFrame([(1,), (2,)], "category_id long")
