@@ -46,81 +46,108 @@ def _widths(first: int, count: int, lag: int) -> np.ndarray:
 def lzw_encode(data: bytes, bits: int = 8) -> bytes:
     """The code stream of ``data``, whose values have ``bits`` bits."""
     clear = 1 << bits
-    codes: list[int] = [clear]
+    codes: list[int] = [clear << 8]  # codes stand eight bits higher here: a code and a value make a key by one "or"
     starts = [0]  # of clear codes
     known: dict[int, int] = {}
-    get, put, size = known.get, codes.append, clear + 2
+    get, put, size = known.get, codes.append, clear + 2 << 8
     if data:
-        held = data[0]
+        held = data[0] << 8
         for value in data[1:]:
-            key = held << 8 | value
-            code = get(key)
+            code = get(held | value)
             if code is not None:
                 held = code
                 continue
             put(held)
-            if size < _BITS:
-                known[key] = size
-                size += 1
+            if size < _BITS << 8:
+                known[held | value] = size
+                size += 256
             else:
                 starts.append(len(codes))
-                put(clear)
+                put(clear << 8)
                 known.clear()
-                size = clear + 2
-            held = value
+                size = clear + 2 << 8
+            held = value << 8
         put(held)
-    put(clear + 1)
+    put(clear + 1 << 8)
     widths = np.empty(len(codes), np.int64)
     for start, end in zip(starts, [*starts[1:], len(codes)]):
         # The clear code itself has the width that the table before it has come to.
         widths[start] = 12 if start else bits + 1
         widths[start + 1 : end] = _widths(clear + 2, end - start - 1, 1)
     shifts = np.arange(12)
-    set_bits = (np.array(codes)[:, None] >> shifts & 1).astype(np.uint8)
+    set_bits = (np.array(codes)[:, None] >> shifts + 8 & 1).astype(np.uint8)
     return np.packbits(set_bits[shifts < widths[:, None]], bitorder="little").tobytes()
 
 
+def _expand(codes: np.ndarray, clear: int) -> np.ndarray:
+    """The values of the codes between two clear codes.
+
+    The table's entry ``clear + 2 + i`` is what code i stands for and the first
+    value of code i + 1.  So entries are a forest by their prefixes: first values
+    and lengths come from doubled pointers, and the values are written from the
+    ends of all codes at once, one prefix further in each step.
+    """
+    n, first = len(codes), clear + 2
+    if not n:
+        return np.zeros(0, np.uint8)
+    if codes[0] >= clear or (codes > first - 1 + np.arange(n)).any():
+        raise ValueError("code beyond the table")
+    entries = min(n - 1, _BITS - first)
+    parent = np.concatenate([np.full(first, -1), codes[:entries]])
+    pointer, length = np.where(parent < 0, np.arange(len(parent)), parent), (parent >= 0).astype(np.int64)
+    while True:
+        further = pointer[pointer]
+        length = length + np.where(further != pointer, length[pointer], 0)
+        if (further == pointer).all():
+            break
+        pointer = further
+    length += 1
+    last = np.arange(len(parent))
+    if (codes >= len(parent)).any():
+        raise ValueError("code beyond the table")
+    last[first:] = pointer[codes[1 : entries + 1]]
+    at = np.cumsum(length[codes]) - 1
+    out = np.empty(at[-1] + 1, np.uint8)
+    while len(codes):
+        out[at] = last[codes]
+        codes = parent[codes]
+        left = codes >= 0
+        codes, at = codes[left], at[left] - 1
+    return out
+
+
 def lzw_decode(stream: bytes, bits: int = 8, limit: int | None = None) -> bytes:
     """The values of a code stream, ``limit`` of them at most."""
     clear = 1 << bits
     flat = np.concatenate([np.unpackbits(np.frombuffer(stream, np.uint8), bitorder="little"), np.zeros(12, np.uint8)])
     total, at, out, made = len(flat) - 12, 0, [], 0
-    roots = [bytes([i]) for i in range(clear)] + [b"", b""]
-    powers = 1 << np.arange(12)
-    step = 512
-    table, previous, count = list(roots), b"", 0  # count: codes since the last clear
-    while at < total and (limit is None or made < limit):
+    places = np.arange(12)
+    powers = 1 << places
+    held, count, ended = [], 0, False  # codes since the last clear code, in pieces; their number
+    while not ended and at < total and (limit is None or made < limit):
         # Codes to come have known widths, up to the next clear code.
-        widths = _widths(clear + 2, count + step, 1)[count:]
+        widths = _widths(clear + 2, count + (512 if not count else 4096), 1)[count:]
         ends = at + np.cumsum(widths)
         widths = widths[ends <= total]
         if not len(widths):
             break
         begin = ends[: len(widths)] - widths
-        window = flat[begin[:, None] + np.arange(12)] * (np.arange(12) < widths[:, None])
-        codes = window @ powers
+        window = flat[begin[:, None] + places]
+        codes = (window * (places < widths[:, None])) @ powers
         stops = np.flatnonzero((codes == clear) | (codes == clear + 1))
         n = int(stops[0]) if len(stops) else len(codes)
-        for code in codes[:n].tolist():
-            if code < len(table):
-                entry = table[code]
-            elif code == len(table) and previous:
-                entry = previous + previous[:1]
-            else:
-                raise ValueError("code beyond the table")
-            out.append(entry)
-            made += len(entry)
-            if previous and len(table) < _BITS:
-                table.append(previous + entry[:1])
-            previous = entry
-        if n == len(codes):
-            at, count, step = int(ends[n - 1]), count + n, 4096
+        held.append(codes[:n])
+        count += n
+        if not len(stops):
+            at = int(ends[n - 1])
             continue
-        at = int(begin[n] + widths[n])
-        if codes[n] == clear + 1:
-            break
-        table, previous, count = list(roots), b"", 0
-    data = b"".join(out)
+        at, ended = int(ends[n]), bool(codes[n] == clear + 1)
+        out.append(_expand(np.concatenate(held), clear))
+        made += len(out[-1])
+        held, count = [], 0
+    if held:
+        out.append(_expand(np.concatenate(held), clear))
+    data = b"".join(x.tobytes() for x in out)
     return data if limit is None else data[:limit]
 
 
@@ -210,8 +237,8 @@ def decode_gif(data: bytes) -> tuple[int, int, list[Frame]]:
     return width, height, frames
 
 
-def compose(width: int, height: int, frames: list[Frame]) -> Iterator[np.ndarray]:
-    """The canvas (RGBA) as each frame shows it."""
+def compose(width: int, height: int, frames: list[Frame], copy: bool = True) -> Iterator[np.ndarray]:
+    """The canvas (RGBA) as each frame shows it; without ``copy`` it must be read before the next one."""
     canvas = np.zeros((height, width, 4), np.uint8)
     for f in frames:
         before = canvas.copy() if f.disposal == 3 else None
@@ -220,7 +247,7 @@ def compose(width: int, height: int, frames: list[Frame]) -> Iterator[np.ndarray
         drawn = np.ones(shown.shape, bool) if f.transparent is None else shown != f.transparent
         area[drawn, :3] = f.palette[shown[drawn]]
         area[drawn, 3] = 255
-        yield canvas.copy()
+        yield canvas.copy() if copy else canvas
         if f.disposal == 2:
             area[:] = 0
         elif before is not None:
@@ -243,7 +270,7 @@ def from_gif(media: bytes) -> tuple[bytes, np.ndarray, int]:
     """The payload, read from the composed canvas; its colour histogram; the number of frames."""
     width, height, frames = decode_gif(media)
     parts, histogram = [], np.zeros(256, np.int64)
-    for f, canvas in zip(frames, compose(width, height, frames)):
+    for f, canvas in zip(frames, compose(width, height, frames, copy=False)):
         seen = canvas[f.top : f.top + f.height, f.left : f.left + f.width, 0]
         histogram += np.bincount(seen.ravel(), minlength=256)
         parts.append(seen.tobytes())
