@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Thresholds of valid text; callers may pass their own.
@@ -53,12 +53,11 @@ def url_header(content: Column) -> Column:
     return F.when(at > 0, F.substring(content, F.lit(1), at - 1)).otherwise("")
 
 
-def binary_type(content: Column) -> Column:
-    """The name of the binary format that the body starts like, or null.
+def binary_type(body: Column) -> Column:
+    """The name of the binary format that a body starts like, or null.
 
     A text never starts with bytes that are no UTF-8, so those formats can't match.
     """
-    body = content_body(content)
     out = F.lit(None).cast("string")
     for magic, name in reversed(MAGIC):
         if max(magic) < 128:
@@ -77,31 +76,36 @@ def _percent(ratio: Column, digits: int) -> Column:
     return F.format_string(f"%.{digits}f%%", F.bround(ratio * 100, digits))
 
 
-def sync_reason(content: Column, min_length: int = MIN_LENGTH, min_printable: float = MIN_PRINTABLE) -> Column:
-    """Why the sync of documents rejects a text; null if it takes it."""
-    body, ratio = content_body(content), printable_ratio(content_body(content))
-    kind = binary_type(content)
-    return (
-        F.when(F.coalesce(F.length(content), F.lit(0)) == 0, "empty content")
-        .when(F.length(body) < min_length, F.concat(F.lit("content too short ("), F.length(body).cast("string"), F.lit(" chars)")))
-        .when(kind.isNotNull(), F.concat(F.lit("binary content detected ("), kind, F.lit(")")))
-        .when(F.instr(content, "\0") > 0, "contains null bytes")
-        .when(ratio < min_printable, F.concat(F.lit("low printable ratio ("), _percent(ratio, 1), F.lit(")")))
-    )
-
-
-def preflight_reason(content: Column, min_length: int = MIN_LENGTH, min_printable: float = MIN_PRINTABLE) -> Column:
-    """Why the preflight scan rejects a text; null if it is valid."""
-    body, ratio = content_body(content), printable_ratio(content_body(content))
-    kind = binary_type(content)
-    return (
-        F.when(F.coalesce(F.length(content), F.lit(0)) == 0, "empty content")
-        .when(F.length(body) == 0, "no body after header")
-        .when(F.length(body) < min_length, F.concat(F.lit("body too short ("), F.length(body).cast("string"), F.lit(f" chars, need {min_length})")))
-        .when(kind.isNotNull(), F.concat(F.lit("binary content ("), kind, F.lit(")")))
-        .when(F.instr(content, "\0") > 0, "contains null bytes")
-        .when(ratio < min_printable, F.concat(F.lit("low printable ratio ("), _percent(ratio, 1), F.lit(f", need {min_printable:.0%})")))
-    )
+def reason(content: Column, *, flight: bool = False, min_length: int = MIN_LENGTH, min_printable: float = MIN_PRINTABLE) -> Column:
+    """Why a text is rejected, null if it is valid: by the sync of documents, or by preflight.
+
+    The body is a lambda's variable: each check uses it, and a filter on the
+    reason copies the whole expression, which would outgrow generated code if
+    the body stood in it as often.
+    """
+
+    def checks(body: Column) -> Column:
+        length, kind, ratio = F.length(body).cast("string"), binary_type(body), printable_ratio(body)
+        if flight:
+            short, binary, tail = F.concat(F.lit("body too short ("), length, F.lit(f" chars, need {min_length})")), "binary content (", f", need {min_printable:.0%})"
+        else:
+            short, binary, tail = F.concat(F.lit("content too short ("), length, F.lit(" chars)")), "binary content detected (", ")"
+        out = F.when(F.coalesce(F.length(content), F.lit(0)) == 0, "empty content")
+        if flight:
+            out = out.when(F.length(body) == 0, "no body after header")
+        return (
+            out.when(F.length(body) < min_length, short)
+            .when(kind.isNotNull(), F.concat(F.lit(binary), kind, F.lit(")")))
+            .when(F.instr(content, "\0") > 0, "contains null bytes")
+            .when(ratio < min_printable, F.concat(F.lit("low printable ratio ("), _percent(ratio, 1), F.lit(tail)))
+        )
+
+    return F.transform(F.array(content_body(content)), checks)[0]
+
+
+def with_reason(df: DataFrame, content: str = "content", to: str = "reason", **how) -> DataFrame:
+    """``df`` with the ``reason`` of its contents."""
+    return df.withColumn(to, reason(F.col(content), **how))
 
 
 def archive_time(url: Column) -> Column:
@@ -156,9 +160,8 @@ def universal_newlines(text: Column) -> Column:
     return F.regexp_replace(text, "\r\n?", "\n")
 
 
-def literal_count(text: Column, term: str) -> Column:
-    """How often a lower-case term occurs, without overlaps, ignoring case."""
-    low = F.lower(text)
+def literal_count(low: Column, term: str) -> Column:
+    """How often a term occurs in a lower-case text, without overlaps."""
     return ((F.length(low) - F.length(F.replace(low, F.lit(term), F.lit("")))) / len(term)).cast("int")
 
 

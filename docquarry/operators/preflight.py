@@ -11,7 +11,8 @@ from ..store import CorpusStore, materialise
 
 def scan(result: DataFrame, min_length: int = text.MIN_LENGTH, min_printable: float = text.MIN_PRINTABLE) -> DataFrame:
     """``result_id, filepath, content_sha256, reason``; ``reason`` is null for valid documents."""
-    return result.select("result_id", "filepath", "content_sha256", text.preflight_reason(F.col("content"), min_length, min_printable).alias("reason"))
+    rows = result.select("result_id", "filepath", "content_sha256", "content")
+    return text.with_reason(rows, flight=True, min_length=min_length, min_printable=min_printable).drop("content")
 
 
 def tallies(scanned: DataFrame) -> DataFrame:

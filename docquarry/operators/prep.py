@@ -27,8 +27,7 @@ def sync_categories(store: CorpusStore, files: DataFrame) -> int:
 
 def new_documents(files: DataFrame, known: DataFrame) -> DataFrame:
     """Files (``filepath, content, content_sha256``) whose path and hash are not in the table, with ``reason``."""
-    new = files.join(known.select("filepath", "content_sha256"), ["filepath", "content_sha256"], "left_anti")
-    return new.withColumn("reason", text.sync_reason(F.col("content")))
+    return text.with_reason(files.join(known.select("filepath", "content_sha256"), ["filepath", "content_sha256"], "left_anti"))
 
 
 def document_rows(valid: DataFrame, limit: int = split.LIMIT, size: int = split.TARGET, overlap: int = split.OVERLAP) -> DataFrame:

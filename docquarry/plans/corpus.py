@@ -70,8 +70,9 @@ def _has_verdict() -> Column:
 
 
 def result_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = F.array(*[F.struct(F.lit(i).cast("bigint").alias("category_id"), literal_count(F.col("text"), t).alias("n")) for i, t in TERMS])
-    terms = _texts(spark, sf_dir).select("result_id", F.explode(counts).alias("x")).select("result_id", "x.*")
+    counts = F.array(*[F.struct(F.lit(i).cast("bigint").alias("category_id"), literal_count(F.col("low"), t).alias("n")) for i, t in TERMS])
+    texts = _texts(spark, sf_dir).select("result_id", F.lower("text").alias("low"))
+    terms = texts.select("result_id", F.explode(counts).alias("x")).select("result_id", "x.*")
     match = F.when(F.col("n") > 1, "yes").when(F.col("n") == 1, "maybe").otherwise("no")
     terms = terms.select("result_id", "category_id", match.alias("match"), F.concat(F.col("n").cast("string"), F.lit(" hits")).alias("reasoning_trace"))
     both = F.array(*[F.struct(F.lit(i).cast("bigint").alias("category_id"), F.col(n).cast("string").alias("match")) for i, n in LABELS])
@@ -81,7 +82,8 @@ def result_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blockquotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _texts(spark, sf_dir).select("result_id", F.explode(F.split("text", "\n")).alias("blockquote"))
-    hits = F.filter(F.array(*[F.when(F.contains(F.lower("blockquote"), F.lit(t)), F.lit(i).cast("bigint")) for i, t in TERMS]), lambda x: x.isNotNull())
+    hits = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(i).cast("bigint")) for i, t in TERMS]))
+    lines = lines.withColumn("low", F.lower("blockquote"))
     return lines.select("result_id", F.explode(hits).alias("category_id"), "blockquote").where(_has_verdict()).withColumn("created_at", _stamp())
 
 

@@ -209,8 +209,7 @@ _FLIGHT = """CASE WHEN content = '' THEN 'empty content' WHEN body = '' THEN 'no
 
 @made(f"SELECT result_id, {_SYNC} IS NULL AS valid, {_SYNC} AS reason FROM judged")
 def validate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reason = text.sync_reason(F.col("content"))
-    return _made(spark, sf_dir).select("result_id", reason.isNull().alias("valid"), reason.alias("reason"))
+    return text.with_reason(_made(spark, sf_dir)).select("result_id", F.col("reason").isNull().alias("valid"), "reason")
 
 
 @made(f"SELECT {_FLIGHT} AS reason, count(*) AS documents FROM judged GROUP BY 1 HAVING reason IS NOT NULL")

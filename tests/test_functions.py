@@ -47,10 +47,12 @@ def reason(content, flight):
 
 
 def test_validation(spark):
-    assert column(spark, CONTENTS, text.sync_reason) == [reason(c, False) for c in CONTENTS]
-    assert column(spark, CONTENTS, text.preflight_reason) == [reason(c, True) for c in CONTENTS]
-    assert column(spark, [None], text.sync_reason) == ["empty content"]
-    assert column(spark, ["h\n\nshort"], lambda c: text.preflight_reason(c, min_length=3)) == [None]
+    df = spark.createDataFrame(list(enumerate(CONTENTS)), "i int, content string")
+    for flight in (False, True):
+        rows = sorted(text.with_reason(df, flight=flight).collect())
+        assert [r.reason for r in rows] == [reason(c, flight) for c in CONTENTS] and text.with_reason(df).columns == ["i", "content", "reason"]
+    odd = spark.createDataFrame([(1, None), (2, "h\n\nshort")], df.schema)
+    assert [r.reason for r in sorted(text.with_reason(odd, min_length=3).collect(), key=lambda r: r.i)] == ["empty content", None]
 
 
 def test_urls_and_names(spark):
