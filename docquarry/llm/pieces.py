@@ -31,7 +31,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, product
+from itertools import chain, product, repeat
 from math import log
 
 import numpy as np
@@ -41,9 +41,10 @@ from pyspark.sql import DataFrame
 from .common import bound_batches, by_bytes
 from .token_counts import tokenizer_path
 
-SPACE = "▁"
+#: How a model writes a space, and how it stands here: as itself, so that most words take a byte a character.
+MARK, SPACE = "▁", " "
 #: Segmentations of each text; words that a worker remembers, and the longest that it does.
-BEST, KNOWN, LONGEST = 3, 800_000, 64
+BEST, KNOWN, LONGEST = 3, 500_000, 64
 #: Words in one array of ``viterbi_many``.
 CHUNK = 4096
 #: The kinds of pieces in a model, normal and user-defined ones, and bytes.
@@ -76,8 +77,8 @@ class Pieces:
             if p.type in (NORMAL, USER):
                 rank = min(max(-p.score, 0), size) if ranks else 0
                 score = -log((rank + ZIPF_SHIFT) * weight) if ranks else p.score
-                self.ids[p.piece] = i, round(score * 1_000_000)
-                self.spelled[i] = p.piece.replace(SPACE, " ").encode()
+                self.ids[p.piece.replace(MARK, SPACE)] = i, round(score * 1_000_000)
+                self.spelled[i] = p.piece.replace(MARK, SPACE).encode()
         lowest = min((s for _, s in self.ids.values()), default=0) - 2_000_000
         for i, p in enumerate(model.pieces):
             if p.type == BYTE:
@@ -95,6 +96,7 @@ class Pieces:
         lines = "" if any("\n" in x for x in pairs) else "\n"
         rest = rf"(?:[^{lines}{marks}]++" + (rf"|(?<![^\W_])[{marks}])*+" if marks else ")*+")
         self.part_pattern = re.compile("|".join([*([r"\n"] if lines else []), *([rf"[{marks}]{rest}"] if marks else []), rf"[\s\S]{rest}"]))
+        self.breaks = frozenset(p for p in self.ids if re.fullmatch(f"[{marks}]", p)) | set(lines) if marks else frozenset(lines)
         #: Pieces by their characters; 0 for what only starts a piece.
         self.starts: dict[str, tuple[int, int] | int] = {p[:k]: 0 for p in self.ids for k in range(1, len(p))} | self.ids
         self.singles = frozenset(p for p in self.ids if len(p) == 1)
@@ -174,8 +176,7 @@ class Pieces:
         back, piece_at = np.zeros((size, longest + 1), np.int32), np.zeros((size, longest + 1), np.int32)
         edges = []
         for start in range(longest):
-            rows = np.flatnonzero(lengths > start)
-            nodes = np.zeros(len(rows), np.int64)
+            rows, nodes = np.flatnonzero(lengths > start), None
             for end in range(start + 1, min(start + self.longest, longest) + 1):
                 nodes, alive = self._walk(nodes, chars[rows, end - 1])
                 rows, nodes = rows[alive], nodes[alive]
@@ -215,23 +216,38 @@ class Pieces:
         gap = np.where(second > -(NONE >> 1), score - second, NONE)
         return score, gap, longest - begin, ids[np.arange(longest) >= begin[:, None]]
 
-    def _walk(self, nodes: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The trie's nodes after one more character each, and which of them there are."""
-        keys = nodes * self.chars + chars
-        at = np.searchsorted(self.step_keys, keys)
-        at[at == len(self.step_keys)] = 0
-        return self.step_nodes[at], (self.step_keys[at] == keys) & (chars >= 0)
+    def _walk(self, nodes: np.ndarray | None, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The trie's nodes after one more character each (None: from the root), and which of them there are."""
+        if nodes is None:
+            found = self.root_steps[chars]
+            return found, found > 0
+        there = (nodes < len(self.steps)) & (chars >= 0) & (chars < self.steps.shape[1])
+        found = self.steps[nodes * there, chars * there]
+        return found, there & (found > 0)
 
     def _trie(self) -> None:
-        """Arrays of the trie of pieces for ``viterbi_many``."""
-        alphabet = {c: i for i, c in enumerate(sorted({c for p in self.ids for c in p}))}
-        self.chars = len(alphabet)
+        """Arrays of the trie of pieces for ``viterbi_many``.
+
+        Nodes with children come first, and characters within longer pieces, so
+        the table of steps below the root is small.
+        """
+        inner = {p[:-1] for p in self.starts}
+        later = sorted({c for p in self.ids for c in p[1:]})
+        alphabet = {c: i for i, c in enumerate([*later, *sorted({p[0] for p in self.ids}.difference(later))])}
         self.char_ids = np.full(0x110000, -1, np.int32)
-        self.char_ids[[ord(c) for c in alphabet]] = np.arange(self.chars)
-        nodes = {"": 0} | {p: i for i, p in enumerate(self.starts, 1)}
-        steps = sorted((nodes[p[:-1]] * self.chars + alphabet[p[-1]], n) for p, n in nodes.items() if p)
-        self.step_keys, self.step_nodes = np.array([k for k, _ in steps]), np.array([n for _, n in steps])
-        self.node_piece = np.array([-1, *(f[0] if f else -1 for f in self.starts.values())], np.int32)
+        self.char_ids[[ord(c) for c in alphabet]] = np.arange(len(alphabet))
+        names = ["", *sorted(inner - {""}), *sorted(p for p in self.starts if p not in inner)]
+        nodes = {p: i for i, p in enumerate(names)}
+        number = np.uint16 if len(names) < 1 << 16 else np.int32
+        self.steps = np.zeros((len(inner | {""}), len(later)), number)
+        self.root_steps = np.zeros(len(alphabet), number)
+        for p, n in nodes.items():
+            if len(p) == 1:
+                self.root_steps[alphabet[p]] = n
+            elif p:
+                self.steps[nodes[p[:-1]], alphabet[p[-1]]] = n
+        found = [self.starts.get(p) for p in names]
+        self.node_piece = np.array([f[0] if f else -1 for f in found], np.int32)
         self.piece_score = np.zeros(len(self.spelled), np.int64)
         for i, score in self.ids.values():
             self.piece_score[i] = score
@@ -268,17 +284,18 @@ class Pieces:
         return out
 
     def words(self, text: str) -> list[str]:
-        """The words of a text's lattice, in order, each without its first ``▁``."""
+        """The words of a text's lattice, in order, each without its first space."""
         if not text:
             return []
-        words = text.split(" ")
-        if SPACE in text or "" in words:  # runs of spaces belong to the word that follows
-            return [w[1:] for w in _WORDS.findall(SPACE + text.replace(" ", SPACE))]
+        text = text.replace(MARK, SPACE)
+        words = text.split(SPACE)
+        if "" in words:  # runs of spaces belong to the word that follows
+            return [w[1:] for w in _WORDS.findall(SPACE + text)]
         return words
 
     def parts(self, word: str) -> list[str]:
         """Parts of a word that no piece goes over."""
-        return self.part_pattern.findall(word)
+        return [word] if self.breaks.isdisjoint(word) else self.part_pattern.findall(word)
 
     def decode(self, ids: list[int]) -> str:
         """The text of piece ids, without the dummy prefix."""
@@ -294,7 +311,7 @@ def load(name: str) -> Pieces:
 class Encoder:
     """N-best segmentations of batches of texts, with a bounded memory of words and of their parts.
 
-    Words and parts are numbers into arrays: score, difference to the second
+    A full memory is forgotten between batches.  Words and parts are numbers into arrays: score, difference to the second
     best, and where their ids lie in one long row.
     """
 
@@ -331,13 +348,13 @@ class Encoder:
         return self.row[np.repeat(shift, count) + np.arange(int(count.sum()))]
 
     def learn(self, words: set[str]) -> None:
-        """Put words into memory, which starts anew when it is full."""
-        if max(len(self.known), len(self.known_parts), self.used >> 4) > KNOWN:
-            self.forget()
-        parts = self.known_parts
-        new = list(words.difference(self.known))
-        split = [self.pieces.parts(SPACE + w) for w in new]
-        fresh = sorted(set().union(*split).difference(parts), key=len)
+        """Put new words into memory."""
+        parts, whole = self.known_parts, self.pieces.breaks.isdisjoint
+        plain = [w for w in words if whole(w)]
+        plain_parts = [SPACE + w for w in plain]
+        mixed = [w for w in words if not whole(w)]
+        split = [self.pieces.parts(SPACE + w) for w in mixed]
+        fresh = sorted(set(plain_parts).union(*split).difference(parts), key=len)
         many = [p for p in fresh if len(p) <= LONGEST and self.pieces.spells(p)]
         for k in range(0, len(many), CHUNK):  # sorted by length: little is padding
             chunk = many[k : k + CHUNK]
@@ -346,8 +363,9 @@ class Encoder:
             if p not in parts:
                 score, ids, gap = self.pieces.viterbi(p)
                 parts.update(zip([p], self._add(*(np.array([x]) for x in (score, gap, len(ids))), np.array(ids, np.int32))))
-        self.known.update((w, parts[own[0]]) for w, own in zip(new, split) if len(own) == 1)
-        composed = [(w, own) for w, own in zip(new, split) if len(own) > 1]
+        self.known.update(zip(plain, map(parts.__getitem__, plain_parts)))
+        self.known.update((w, parts[own[0]]) for w, own in zip(mixed, split) if len(own) == 1)
+        composed = [(w, own) for w, own in zip(mixed, split) if len(own) > 1]
         if composed:
             lengths = np.array([len(own) for _, own in composed])
             starts = np.cumsum(lengths) - lengths
@@ -363,7 +381,7 @@ class Encoder:
             own, score = tuple(self._ids(np.array([number])).tolist()), int(self.score[number])
             found = [w for w in self.pieces.nbest(SPACE + word, self.n) if w[1] != own]
             for _, ids in found:
-                if b"".join(map(self.pieces.spelled.__getitem__, ids)).decode("utf-8", "replace") != (SPACE + word).replace(SPACE, " "):
+                if b"".join(map(self.pieces.spelled.__getitem__, ids)).decode("utf-8", "replace") != SPACE + word:
                     raise AssertionError("a segmentation that doesn't spell its word")
             out = [(0, 0), *((score - s, len(ids) - len(own)) for s, ids in found[: self.n - 1])]
             if len(word) <= LONGEST:
@@ -372,10 +390,16 @@ class Encoder:
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[int]], list[list[int]]]:
         """The best segmentations' ids in a row and where each text's begin and end; scores and piece counts of each text's N best."""
+        if max(len(self.known), len(self.known_parts), self.used >> 4) > KNOWN:
+            self.forget()
         split = [self.pieces.words(t or "") for t in texts]
-        self.learn(set().union(*split))
         ends = np.cumsum([0, *map(len, split)])
-        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(ends[-1]))
+        flat = list(chain.from_iterable(split))
+        numbers = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(numbers < 0)
+        words = [flat[k] for k in new.tolist()]
+        self.learn(set(words))
+        numbers[new] = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         sums = [np.concatenate([[0], np.cumsum(x[numbers])])[ends] for x in (self.score, self.count)]
         gaps = self.gap[numbers]
         scores, counts = [], []
@@ -390,7 +414,7 @@ class Encoder:
             every = heapq.nsmallest(self.n, [(sum(g for g, _ in x), sum(c for _, c in x)) for x in product(*options)], key=lambda w: w[0])
             scores.append([score - g for g, _ in every])
             counts.append([count + c for _, c in every])
-        for w in {w for words in split for w in words if len(w) > LONGEST}:
+        for w in {w for w in words if len(w) > LONGEST}:
             del self.known[w]
         return self._ids(numbers), sums[1].astype(np.int32), scores, counts
 
@@ -406,7 +430,7 @@ def encode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str
             texts = batch.column(1).to_pylist()
             row, offsets, scores, counts = encoder(texts)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(row))
-            normal = [hashlib.sha256((x or "").replace(SPACE, " ").encode("utf-8", "replace")).hexdigest() for x in texts]
+            normal = [hashlib.sha256((x or "").replace(MARK, SPACE).encode("utf-8", "replace")).hexdigest() for x in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(scores, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32())), pa.array(normal)], ["id", "piece_ids", "scores", "counts", "normal_sha256"])
 
     return narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, piece_ids array<int>, scores array<long>, counts array<int>, normal_sha256 string").withColumnRenamed("id", id_column)
@@ -465,7 +489,7 @@ def with_pieces(df: DataFrame, model: str = "piece_bpe_32k.model", *, text_colum
             texts = batch.column(position).to_pylist()
             row, offsets, _, _ = encoder(texts)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(row))
-            same = [encoder.pieces.decode(row[a:b].tolist()) == (x or "").replace(SPACE, " ") for a, b, x in zip(offsets, offsets[1:], texts)]
+            same = [encoder.pieces.decode(row[a:b].tolist()) == (x or "").replace(MARK, SPACE) for a, b, x in zip(offsets, offsets[1:], texts)]
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(np.diff(offsets), pa.int64()), pa.array(same, pa.bool_())], [*kept, *added])
 
     fields = ", ".join(f"`{c}` {t}" for c, t in narrow.dtypes)

@@ -37,7 +37,7 @@ def brute(model, text):
 def test_words_match_brute_force(model):
     random.seed(7)
     for _ in range(150):
-        word = "▁" + "".join(random.choice("theinéß漢🙂1") for _ in range(random.randint(0, 7)))
+        word = " " + "".join(random.choice("theinéß漢🙂1") for _ in range(random.randint(0, 7)))
         want = heapq.nlargest(5, brute(model, word))
         got = model.nbest(word, 5)
         assert [s for s, _ in got] == [s for s, _ in want]
@@ -49,12 +49,12 @@ def test_texts_match_brute_force(model):
     encoder = pieces.Encoder(MODEL, 4)
     for _ in range(60):
         text = "".join(random.choice("ab  \nthé") for _ in range(random.randint(1, 10)))
-        want = heapq.nlargest(4, brute(model, "▁" + text.replace(" ", "▁")))
+        want = heapq.nlargest(4, brute(model, " " + text))
         ids, _, (scores,), (counts,) = encoder([text])
         assert scores == [s for s, _ in want], text
         assert len(ids) == counts[0]
     assert [len(encoder([None, ""])[0]), *encoder([None, ""])[2:]] == [0, [[0]] * 2, [[0]] * 2]
-    words = ["▁" + w for w in open(__file__).read().split() if model.spells(w)]
+    words = [" " + w for w in open(__file__).read().split() if model.spells(w)]
     words = sorted(set(words), key=len)
     score, gap, count, ids = model.viterbi_many(words)
     one = [model.viterbi(w) for w in words]
