@@ -37,7 +37,7 @@ MAGIC = [
     (b"PK\x03\x04", "MS Office (new)/EPUB"),
 ]
 
-#: Archive URLs: a 14-digit time and the original URL.
+#: Fixed value: archive URLs, a 14-digit time and the original URL.
 ARCHIVE_URL = r"^https?://web\.archive\.org/web/(\d{14})/(.+)$"
 
 

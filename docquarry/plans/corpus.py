@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import literal_count
+from ..sources.tables import read_table
 
 #: Categories: id and term; the two after them are columns of ``labels``.
 TERMS = [(1, "our"), (2, "license"), (3, "@"), (4, "all rights reserved"), (5, "teacher")]
@@ -24,8 +25,7 @@ LARGE = 4000
 STAMP = "2024-01-01 00:00:00"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+read = read_table
 
 
 def _stamp() -> Column:
