@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ship import ship
+from ..sources.tables import read_table
 
 #: Words everywhere: maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,7 +23,7 @@ ARROW_ROWS = 512
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; the path may be one that only Spark can open."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def bound_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
