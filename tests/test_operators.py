@@ -228,3 +228,13 @@ def test_command_line(spark, folders, capsys):
     assert json.loads(capsys.readouterr().out.strip().rsplit("\n}\n", 1)[-1])["imported"] == 2
     with pytest.raises(SystemExit):
         cli.main(process, spark)
+
+
+def test_small_tables_are_spread_and_large_ones_left_alone(spark, tmp_path):
+    from docquarry.sources.tables import read_table, spread
+
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one.parquet"))
+    df = read_table(spark, str(tmp_path), "one")
+    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and df.count() == 100
+    many = spark.range(100).repartition(50)
+    assert spread(many) is many
