@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_bytes, cut, utf8
+from .common import bound_batches, by_bytes, cut, small, utf8
 from .components import components
 
 BITS, SHINGLE, SEED, RADIUS = 64, 3, 42, 3
@@ -149,9 +149,18 @@ def near_duplicates(df: DataFrame, *, id_column: str = "doc_id", text_column: st
 
 def keep_one(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", radius: int = RADIUS) -> DataFrame:
     """``df`` with one row of each component, that with the smallest id; of equal rows one stays."""
-    _, _, firsts = _grouped(df, id_column, text_column, radius)
+    prints, _, firsts = _grouped(df, id_column, text_column, radius)
     keep = firsts.select(F.col("first.id").alias("__id"), F.col("first.th").alias("__th"))
     rows = df.withColumn("__row_th", F.xxhash64(df[text_column]))
-    same = rows[id_column].eqNullSafe(keep["__id"]) & rows["__row_th"].eqNullSafe(keep["__th"])
-    kept = rows.join(keep, same, "left_semi")
-    return kept.dropDuplicates([id_column, "__row_th"]).drop("__row_th")
+
+    def among(own: DataFrame, kept: DataFrame, how: str) -> DataFrame:
+        return own.join(kept, own[id_column].eqNullSafe(kept["__id"]) & (own["__row_th"] == kept["__th"]), how)
+
+    # Texts are dealt out once, for the semi-join.  Only rows that occur again, found
+    # among ids and hashes, have to meet a second time.
+    again = prints.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1")
+    again = small(keep.join(again, keep["__id"].eqNullSafe(again["id"]) & (keep["__th"] == again["th"]), "left_semi"))
+    out = among(rows, keep, "left_semi")
+    if not again.isEmpty():
+        out = among(out, again, "left_anti").unionByName(among(rows, again, "left_semi").dropDuplicates([id_column, "__row_th"]))
+    return out.drop("__row_th")
