@@ -44,7 +44,7 @@ from .token_counts import tokenizer_path
 #: How a model writes a space, and how it stands here: as itself, so that most words take a byte a character.
 MARK, SPACE = "▁", " "
 #: Segmentations of each text; words that a worker remembers, and the longest that it does.
-BEST, KNOWN, LONGEST = 3, 500_000, 64
+BEST, KNOWN, LONGEST = 3, 400_000, 64
 #: Words in one array of ``viterbi_many``.
 CHUNK = 4096
 #: The kinds of pieces in a model, normal and user-defined ones, and bytes.
@@ -323,6 +323,7 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.known_parts: dict[str, int] = {}
         self.known_ways: dict[str, list[tuple[int, int]]] = {}
+        self.long: list[tuple[dict[str, int], str]] = []
         self.size = self.used = 0
         self.score, self.gap, self.first, self.count = (np.zeros(1 << 16, np.int64) for _ in range(4))
         self.row = np.zeros(1 << 18, np.int32)
@@ -347,32 +348,44 @@ class Encoder:
         shift = self.first[numbers] - (np.cumsum(count) - count)
         return self.row[np.repeat(shift, count) + np.arange(int(count.sum()))]
 
+    def _best(self, parts: list[str], keys: list[str], into: dict[str, int]) -> None:
+        """Best paths of parts, put into memory under their keys."""
+        many = [(p, k) for p, k in zip(parts, keys) if len(p) <= LONGEST and self.pieces.spells(p)]
+        many.sort(key=lambda x: len(x[0]))  # by length: little is padding
+        for start in range(0, len(many), CHUNK):
+            chunk = many[start : start + CHUNK]
+            into.update(zip([k for _, k in chunk], self._add(*self.pieces.viterbi_many([p for p, _ in chunk]))))
+        for p, k in zip(parts, keys) if len(many) < len(parts) else ():
+            if len(p) > LONGEST:
+                self.long.append((into, k))
+            if k not in into:
+                score, ids, gap = self.pieces.viterbi(p)
+                into.update(zip([k], self._add(*(np.array([x]) for x in (score, gap, len(ids))), np.array(ids, np.int32))))
+
     def learn(self, words: set[str]) -> None:
-        """Put new words into memory."""
-        parts, whole = self.known_parts, self.pieces.breaks.isdisjoint
-        plain = [w for w in words if whole(w)]
-        plain_parts = [SPACE + w for w in plain]
+        """Put new words into memory.
+
+        A part with a word's start is remembered as that word; only parts from
+        within words have a memory of their own.
+        """
+        whole = self.pieces.breaks.isdisjoint
         mixed = [w for w in words if not whole(w)]
         split = [self.pieces.parts(SPACE + w) for w in mixed]
-        fresh = sorted(set(plain_parts).union(*split).difference(parts), key=len)
-        many = [p for p in fresh if len(p) <= LONGEST and self.pieces.spells(p)]
-        for k in range(0, len(many), CHUNK):  # sorted by length: little is padding
-            chunk = many[k : k + CHUNK]
-            parts.update(zip(chunk, self._add(*self.pieces.viterbi_many(chunk))))
-        for p in fresh if len(many) < len(fresh) else ():
-            if p not in parts:
-                score, ids, gap = self.pieces.viterbi(p)
-                parts.update(zip([p], self._add(*(np.array([x]) for x in (score, gap, len(ids))), np.array(ids, np.int32))))
-        self.known.update(zip(plain, map(parts.__getitem__, plain_parts)))
-        self.known.update((w, parts[own[0]]) for w, own in zip(mixed, split) if len(own) == 1)
         composed = [(w, own) for w, own in zip(mixed, split) if len(own) > 1]
+        own_parts = set().union(*(own for _, own in composed))
+        base = words.difference(w for w, _ in composed) | {p[1:] for p in own_parts if p[0] == SPACE}.difference(self.known)
+        inner = [p for p in own_parts if p[0] != SPACE and p not in self.known_parts]
+        base = list(base)
+        self._best([SPACE + w for w in base], base, self.known)
+        self._best(inner, inner, self.known_parts)
         if composed:
             lengths = np.array([len(own) for _, own in composed])
             starts = np.cumsum(lengths) - lengths
-            numbers = np.fromiter(map(parts.__getitem__, chain.from_iterable(own for _, own in composed)), np.int64, int(lengths.sum()))
+            numbers = np.fromiter((self.known[p[1:]] if p[0] == SPACE else self.known_parts[p] for _, own in composed for p in own), np.int64, int(lengths.sum()))
             sums = [np.add.reduceat(x[numbers], starts) for x in (self.score, self.count)]
             added = self._add(sums[0], np.minimum.reduceat(self.gap[numbers], starts), sums[1], self._ids(numbers))
             self.known.update(zip([w for w, _ in composed], added))
+            self.long += [(self.known, w) for w, _ in composed if len(w) > LONGEST]
 
     def ways(self, word: str, number: int) -> list[tuple[int, int]]:
         """(score lost, pieces added) of the word's N best, the best first."""
@@ -414,8 +427,9 @@ class Encoder:
             every = heapq.nsmallest(self.n, [(sum(g for g, _ in x), sum(c for _, c in x)) for x in product(*options)], key=lambda w: w[0])
             scores.append([score - g for g, _ in every])
             counts.append([count + c for _, c in every])
-        for w in {w for w in words if len(w) > LONGEST}:
-            del self.known[w]
+        for memory, key in self.long:  # long ones were for this batch alone
+            memory.pop(key, None)
+        self.long.clear()
         return self._ids(numbers), sums[1].astype(np.int32), scores, counts
 
 
