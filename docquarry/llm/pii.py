@@ -5,12 +5,14 @@ address at most 255, Luhn's sum, numbers of digits).  Positions, which Spark's
 regular expressions don't give, are sums over the pieces between the matches.
 
 Bootstrapping.  An occurrence has two lexical patterns: its two words to the
-left, and its neighbours on both sides, each with the occurrence's mask (digits
-as 9, letters as a).  Patterns and instances (surfaces) form a graph whose edges
-are distinct pairs.  In each round a pattern's confidence in a kind is the sum of
-its instances' scores over the number of its instances; patterns above the
-threshold that enough seeds support give scores to their instances that are no
-seeds (noisy or), which count in the next round.  At last, occurrences of
+left, and its neighbours on both sides.  The occurrence itself is no part of
+them, so they reach identifiers of any shape; a pattern without a letter is none.
+Patterns and instances (surfaces) form a graph whose edges are distinct pairs.
+In each round a pattern's confidence in a kind is the sum of its instances'
+scores over the number of its instances; patterns above the threshold that
+enough seeds, or instances found before, support give scores to their instances
+that are no seeds (noisy or), which support patterns in the next round.  Candidates
+are tokens with digits, and groups of digits with spaces or brackets between.  At last, occurrences of
 instances with high scores in accepted patterns are spans too.  All of it is
 grouped aggregation and equi-joins over narrow rows.
 
@@ -40,15 +42,17 @@ PATTERNS = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     "other": r"(?<![A-Za-z0-9._%+@-])(?=[A-Za-z._%+@-]*+[0-9])[A-Za-z0-9._%+@-]{6,64}+(?![A-Za-z0-9._%+@-])",
+    "spaced": r"(?<![A-Za-z0-9._%+@()/-])[+(]*+[A-Za-z]{0,4}+[0-9][0-9.-]*+(?:[ ()/]{1,3}+[0-9][0-9.-]*+)++",
 }
 #: Cheap tests that a text must pass before a pattern is tried on it.
-NEEDS = {"email": "contains(t, '@')", "ip": r"d AND t RLIKE '[0-9]\\.[0-9]'", "card": r"d AND t RLIKE '[0-9](?:[ -]?[0-9]){12}'", "phone": "d AND contains(t, '+')", "other": "d"}
+NEEDS = {"email": "contains(t, '@')", "ip": r"d AND t RLIKE '[0-9]\\.[0-9]'", "card": r"d AND t RLIKE '[0-9](?:[ -]?[0-9]){12}'", "phone": "d AND contains(t, '+')", "other": "d", "spaced": r"d AND t RLIKE '[0-9][.-]*+[ ()/]{1,3}[0-9]'"}
 CHECKS = {
     "email": "true",
     "ip": r"forall(split(m, '\\.'), x -> length(ltrim('0', x)) <= 3 AND cast(right(x, 3) AS int) <= 255)",
     "card": "length(translate(m, ' -', '')) BETWEEN 13 AND 19 AND aggregate(sequence(1, length(translate(m, ' -', ''))), 0, (a, i) -> a + cast(substring('01234567890246813579', cast(substring(translate(m, ' -', ''), -i, 1) AS int) + 1 + 10 * ((i + 1) % 2), 1) AS int)) % 10 = 0",
     "phone": r"length(regexp_replace(m, '[^0-9]', '')) BETWEEN 9 AND 15",
     "other": "length(regexp_replace(m, '[^0-9]', '')) >= 4",
+    "spaced": "length(m) BETWEEN 6 AND 64 AND length(regexp_replace(m, '[^0-9]', '')) >= 4",
 }
 #: Matches in a block of a text's sums.
 BLOCK = 128
@@ -105,30 +109,33 @@ def _rows(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def extract(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id, th, base, seen``: base spans of each row, and all occurrences with their contexts (seeds and candidates)."""
-    rows = _occurrences(_rows(df, id_column, text_column), (*KINDS, "other"))
+    rows = _occurrences(_rows(df, id_column, text_column), (*KINDS, "other", "spaced"))
     base = F.flatten(F.array(*[F.col(k) for k in KINDS]))
     rows = rows.withColumn("base", base)
-    # A candidate is an identifier-like token that no base span touches; sentence marks at its ends don't belong to it.
-    cut_ends = "transform(other, h -> named_struct('k', h.k, 's', h.s + length(h.m) - length(ltrim('._%+@-', h.m)), 'e', h.e - length(h.m) + length(rtrim('._%+@-', h.m)), 'm', trim(BOTH '._%+@-' FROM h.m), 'l', h.l, 'r', h.r))"
+    # A candidate is an identifier-like token, or groups of digits that end where a token ends, that no base span touches;
+    # sentence marks at its ends don't belong to it, but a plus before it does.
+    whole = "filter(spaced, h -> NOT h.r RLIKE '^[A-Za-z0-9_%+@]')"
+    cut_ends = f"transform(concat(other, {whole}), h -> named_struct('k', {len(KINDS)}, 's', h.s + length(h.m) - length(ltrim('._%@-', h.m)), 'e', h.e - length(h.m) + length(rtrim('._%+@-', h.m)), 'm', rtrim('._%+@-', ltrim('._%@-', h.m)), 'l', h.l, 'r', h.r))"
     free = F.expr(f"filter({cut_ends}, h -> NOT exists(base, b -> b.s < h.e AND h.s < b.e))")
-    seen = F.when(F.size("base") + F.size("other") > 0, F.concat("base", free))
+    seen = F.when(F.size("base") + F.size("other") + F.size("spaced") > 0, F.concat("base", free))
     rows = rows.withColumn("seen", seen)
     return rows.select("id", "th", F.expr("transform(base, h -> named_struct('k', h.k, 's', h.s, 'e', h.e))").alias("base"), _context(F.col("seen")).alias("seen"))
 
 
 def discover(extracted: DataFrame, *, rounds: int = 2, confidence: float = 0.9, seeds: int = 3) -> DataFrame:
-    """``id, th, k, s, e``: spans that accepted patterns add.  A pattern needs ``seeds`` distinct seeds of its kind and ``confidence``."""
+    """``id, th, k, s, e``: spans that accepted patterns add.  A pattern needs ``seeds`` distinct seeds of its kind,
+    or instances found in the round before, and ``confidence``."""
     candidate = len(KINDS)
     seen = extracted.where("size(seen) > 0").select("id", "th", F.explode("seen").alias("h")).select("id", "th", "h.*")
-    mask = F.regexp_replace(F.regexp_replace(F.col("m"), "[A-Za-z]", "a"), "[0-9]", "9")
-    seen = seen.withColumn("pattern", F.explode(F.array(F.concat(F.lit("2 "), "left", F.lit("|"), mask), F.concat(F.lit("1 "), "near", F.lit("|"), "right", F.lit("|"), mask))))
+    lexical = F.array(F.concat(F.lit("2 "), "left"), F.concat(F.lit("1 "), "near", F.lit("|"), "right"))
+    seen = seen.withColumn("pattern", F.explode(F.filter(lexical, lambda p: p.rlike(r"\p{L}"))))
     # Documents count once for a pair, and a pair once: neither copies nor repetition make support.
     edges = cut(seen.groupBy("pattern", "m", "k").agg(F.count("*").alias("n")).drop("n"))
     seed = edges.where(F.col("k") < candidate).select("m", "k", F.lit(1.0).alias("score"), "pattern")
     scored = seed
     for _ in range(rounds):
         totals = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-        support = scored.groupBy("pattern", "k").agg(F.sum("score").alias("s"), F.sum((F.col("score") == 1.0).cast("int")).alias("own"))
+        support = scored.groupBy("pattern", "k").agg(F.sum("score").alias("s"), F.count("*").alias("own"))
         patterns = support.where(F.col("own") >= seeds).join(totals, "pattern").where(F.col("s") >= confidence * F.col("n"))
         patterns = cut(patterns.select("pattern", "k", (F.col("s") / (F.col("n") + F.lit(0.1))).alias("c")))
         reached = edges.where(F.col("k") == candidate).drop("k").join(patterns, "pattern")

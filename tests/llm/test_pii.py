@@ -80,3 +80,20 @@ def test_masks_merge_overlaps_and_keep_other_columns(spark):
     assert rows[1, "a"].text == "🙂 <EMAIL> <PHONE>, end"
     assert rows[None, None].text is None and rows[None, "b"].text == "x" and rows[1, "a"].k == 3
     assert pii.masked(df.limit(0)).count() == 0 and pii.report(df.limit(0)).count() == 0
+
+
+def test_contexts_find_identifiers_of_shapes_that_no_seed_has(spark):
+    rows = [(i, f"please call me at +49 30 555 {i:04d} before noon") for i in range(150)]
+    local = ["(030) 555 %04d", "030/555%04d", "555 %04d 17", "x555-%04d"]
+    new = [local[i % 4] % i for i in range(12)]
+    rows += [(1000 + i, f"please call me at {x} before noon") for i, x in enumerate(new)]
+    # Known from those contexts, the instances make a pattern of their own, which finds what no seed's context holds.
+    rows += [(2000 + i, f"my desk line is {x} this year") for i, x in enumerate([*new, "0049(30)5550199"])]
+    rows += [(3000 + i, f"part number {x} is out of stock") for i, x in enumerate(["555 0001 17", "77 1234 5678", "AB12345", "0049(30)5550198"])]
+    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        if 1000 <= i < 3000:
+            start = len("please call me at ") if i < 2000 else len("my desk line is ")
+            end = text.index(" before" if i < 2000 else " this")
+            assert got[i] == f"phone:{start}:{end}", text
+    assert all(got[i] == "" for i in range(3000, 3004))
