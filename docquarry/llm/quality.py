@@ -5,7 +5,8 @@ counts, repeated lines, words in repeated 8-word windows, and its distinct
 normalised lines as 64-bit hashes with the words they hold.  Everything that
 crosses documents then runs in the JVM on those narrow rows: the distinct
 documents of each host that hold a line are counted, lines above the host's
-limit are removed, and a document that loses most of its words is rejected.
+limit are removed (``judge`` counts their words, ``cleaned`` takes them out of the
+texts), and a document that loses most of its words is rejected.
 
 Documents with the same text on the same host are one document to the count,
 so a group of exact copies does not turn its own lines into boilerplate.  A
@@ -21,12 +22,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_bytes, cut, utf8
+from .common import bound_batches, by_bytes, cut, small, utf8
 
 #: The window whose repeats count, in words.
 WINDOW = 8
@@ -62,6 +64,12 @@ def repeat_words(words: list[bytes]) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
+def line_key(parts: list[bytes]) -> int:
+    """Hash of a line's normalised form, as a signed number."""
+    key = xxhash.xxh3_64_intdigest(b" ".join(parts).lower())
+    return key - (key >> 63 << 64)
+
+
 def measure_text(text: bytes | None) -> tuple:
     """Base counts of one text, the text's key, and its distinct normalised lines with their words."""
     text = text or b""
@@ -71,8 +79,7 @@ def measure_text(text: bytes | None) -> tuple:
     for line in text.split(b"\n"):
         if parts := line.split():
             raw.append(line)
-            key = xxhash.xxh3_64_intdigest(b" ".join(parts).lower())
-            key -= (key >> 63) << 64
+            key = line_key(parts)
             lines[key] = lines.get(key, 0) + len(parts)
     return (
         len(words),
@@ -86,11 +93,14 @@ def measure_text(text: bytes | None) -> tuple:
     )
 
 
+def _host(host: Column) -> Column:
+    return F.when(host.isNull(), "null").otherwise(F.concat(F.lit("host "), host.cast("string")))
+
+
 def measure(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source") -> DataFrame:
     """One narrow row of measures for each row of ``df``."""
     bound_batches(df.sparkSession)
-    host = F.when(df[host_column].isNull(), "null").otherwise(F.concat(F.lit("host "), df[host_column].cast("string")))
-    narrow = df.select(df[id_column].alias("id"), host.alias("host"), df[text_column].alias("text"))
+    narrow = df.select(df[id_column].alias("id"), _host(df[host_column]).alias("host"), df[text_column].alias("text"))
     fields = [pa.field(x, pa.int64()) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     fields += [pa.field("text_key", pa.binary()), pa.field("lines", pa.list_(pa.int64())), pa.field("line_words", pa.list_(pa.int64()))]
 
@@ -113,28 +123,68 @@ def common_lines(measured: DataFrame, *, share: float = 0.05, min_documents: int
     return counts.where(F.col("n") > min_documents).join(totals, "host").where(F.col("n") > F.col("documents") * share).select("host", "line")
 
 
-def judge(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", min_words: int = 20, max_repeat_percent: int = 30, share: float = 0.05, min_documents: int = 30, max_removed: float = 0.8) -> DataFrame:
-    """Measures, ``removed_words`` and verdicts for each row of ``df``.
-
-    ``kept`` is false if the base rules fail, or if lines above the limits held
-    more than ``max_removed`` of the document's words.
-    """
-    measured = cut(measure(df, id_column=id_column, text_column=text_column, host_column=host_column))
-    common = common_lines(measured, share=share, min_documents=min_documents)
+def _removals(measured: DataFrame, common: DataFrame) -> DataFrame:
+    """``host, text_key, common, removed_words``: the common lines of each distinct text that has some, and the words they hold."""
     held = (
         measured.where("n_words > 0")
         .dropDuplicates(["host", "text_key"])
         .select("host", "text_key", F.explode(F.arrays_zip("lines", "line_words")).alias("x"))
         .select("host", "text_key", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
     )
-    removed = held.join(common, ["host", "line"]).groupBy("host", "text_key").agg(F.sum("words").alias("removed_words"))
+    return held.join(common, ["host", "line"]).groupBy("host", "text_key").agg(F.collect_list("line").alias("common"), F.sum("words").alias("removed_words"))
+
+
+def _judged(measured: DataFrame, *, min_words: int = 20, max_repeat_percent: int = 30, share: float = 0.05, min_documents: int = 30, max_removed: float = 0.8) -> DataFrame:
+    """``measured`` with the common lines of each text, ``removed_words``, ``base_failed`` and ``kept``."""
+    removed = _removals(measured, common_lines(measured, share=share, min_documents=min_documents))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     return (
         measured.join(removed, ["host", "text_key"], "left")
         .withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
         .withColumn("base_failed", failed)
-        .select(
-            F.col("id").alias(id_column), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-            (~F.col("base_failed") & (F.col("removed_words") <= max_removed * F.col("n_words"))).alias("kept"), "removed_words",
-        )
+        .withColumn("kept", ~F.col("base_failed") & (F.col("removed_words") <= max_removed * F.col("n_words")))
+    )
+
+
+def judge(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", **how) -> DataFrame:
+    """Measures, ``removed_words`` and verdicts for each row of ``df``.
+
+    ``kept`` is false if the base rules fail, or if lines above the limits held
+    more than ``max_removed`` of the document's words.
+    """
+    measured = cut(measure(df, id_column=id_column, text_column=text_column, host_column=host_column))
+    return _judged(measured, **how).select(
+        F.col("id").alias(id_column), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words",
     )
+
+
+def strip_lines(text: bytes | None, common: set[int]) -> bytes | None:
+    """A text without its lines whose normalised form is common; the other lines stay as they are."""
+    if not text or not common:
+        return text
+    return b"\n".join(x for x in text.split(b"\n") if not (parts := x.split()) or line_key(parts) not in common)
+
+
+def cleaned(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", **how) -> DataFrame:
+    """``df`` without the rows that ``judge`` rejects, and the texts of the others without the lines above the limits.
+
+    Only rows that lose lines or are rejected are joined by their ids; other columns stay as they are.
+    """
+    measured = cut(measure(df, id_column=id_column, text_column=text_column, host_column=host_column))
+    changed = _judged(measured, **how).where("NOT kept OR removed_words > 0").withColumn("common", F.when(F.col("kept"), F.col("common")))
+    changed = small(changed.groupBy("id", "host", "text_key").agg(F.first("kept").alias("__kept"), F.first("common").alias("__common")))
+    changed = changed.select(F.col("id").alias("__id"), F.col("host").alias("__host"), F.col("text_key").alias("__key"), "__kept", "__common")
+
+    @F.pandas_udf("binary")
+    def key(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: xxhash.xxh3_128_digest((x or "").encode()))
+
+    @F.pandas_udf("string")
+    def without(texts: pd.Series, common: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None or c is None else strip_lines(t.encode(), set(map(int, c))).decode() for t, c in zip(texts, common)], dtype=object)
+
+    bound_batches(df.sparkSession)
+    rows = df.withColumn("__own", key(df[text_column])).withColumn("__where", _host(df[host_column]))
+    same = rows[id_column].eqNullSafe(changed["__id"]) & (F.col("__where") == F.col("__host")) & (F.col("__own") == F.col("__key"))
+    kept = rows.join(changed, same, "left").where("__kept IS NULL OR __kept")
+    return kept.withColumn(text_column, without(F.col(text_column), F.col("__common"))).select(*df.columns)

@@ -57,3 +57,21 @@ def test_limit_is_by_host_and_share(spark):
         count[r.removed_words] += 1
     assert count == {0: 200}
     assert quality.judge(df, share=0.2, min_documents=10).where("removed_words = 5").count() == 50
+
+
+def test_cleaned_texts_lose_the_common_lines(spark):
+    random.seed(12)
+    fresh = lambda n: " ".join("v%d" % random.randrange(10**6) for _ in range(n))
+    menu = "Home About " + fresh(40)
+    bodies = {i: f"{fresh(30)}\n\n {fresh(20)} é" for i in range(12)}
+    rows = [(i, f"{menu}\n{body}\n  {menu.upper()}", "a", "k") for i, body in bodies.items()]
+    rows += [(100, f"{menu}\n{fresh(4)}", "a", "k"), (200, f"{menu}\n{bodies[0]}", "b", "k"), (201, None, "a", "k"), (202, fresh(40), None, "k"), (0, *rows[0][1:]), (None, rows[1][1], "a", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, common string")
+    how = {"share": 0.05, "min_documents": 10}
+    got = quality.cleaned(df, **how)
+    assert got.columns == df.columns
+    want = [(i, bodies[i], "a", "k") for i in range(12)] + [(200, f"{menu}\n{bodies[0]}", "b", "k"), rows[-3], (0, bodies[0], "a", "k"), (None, bodies[1], "a", "x")]
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+    lost = {r.doc_id: r.removed_words for r in quality.judge(df, **how).collect()}
+    assert all(lost[i] == brute(t)[0] - brute(bodies[i])[0] for i, t, _, _ in rows[:12])
+    assert quality.cleaned(df.limit(0)).count() == 0
