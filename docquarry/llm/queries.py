@@ -33,7 +33,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify(table(spark, sf_dir, "documents")).drop("th")
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language.fit(docs)
+    found = language.identify(docs, model=model).unionByName(language.identify_pages(pages, model), allowMissingColumns=True)
+    return found.select("doc_id", "page_id", "lang", "confidence", "text_lang", "kept")
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

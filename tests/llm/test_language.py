@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from docquarry.llm import language
+from docquarry.llm import language, queries
 
 WORDS = {"aa": "ka ta po mi ru ne so".split(), "bb": "strx gnol wref blum kvist dorf".split(), "cc": "été où ça forêt naïf même".split()}
 
@@ -56,3 +56,17 @@ def test_pages_and_empty_tables(spark, docs):
     assert got == {1: ("aa", True), 2: ("und", False), 3: ("cc", True)}
     assert language.identify(df.limit(0)).count() == 0 and language.keep_identified(df.limit(0)).count() == 0
     assert language.identify_pages(pages.limit(0), model).count() == 0
+
+
+def test_query_covers_documents_and_pages(spark, docs, tmp_path):
+    df, rows = docs
+    df.withColumn("n_chars", df["confidence"]).drop("confidence").write.parquet(str(tmp_path / "documents.parquet"))
+    random.seed(18)
+    # Pages without a word that tells: the suffix, or the domain above a new host, decides.
+    page = lambda lang, n: f"<html lang='{lang}'><p>{sentence(lang)}</p></html>" if n < 100 else "<p>k</p>"
+    pages = [(n * 2 + (lang == "bb"), f"http://h{n}.site.{lang}/x", page(lang, n)) for n in range(104) for lang in ("aa", "bb")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = queries.op6_language_id(spark, str(tmp_path)).collect()
+    assert sum(r.doc_id is not None for r in got) == len(rows)
+    found = {r.page_id: r.lang for r in got if r.page_id is not None}
+    assert found == {i: url.split("/")[2][-2:] for i, url, _ in pages}
