@@ -56,8 +56,6 @@ class Rules:
     Two lines or more are a yes, one is a maybe.
     """
 
-    most_quotes: int = 20
-
     def ask(self, body: str) -> dict:
         from ..functions.text import terms_of_prompt
         from .pairs import PROMPT_DOCUMENT, PROMPT_HEAD, PROMPT_TAIL
@@ -68,7 +66,7 @@ class Rules:
         lines = [x.strip() for x in rest[: len(rest) - len(PROMPT_TAIL)].split("\n")]
         hits = [x for x in lines if any(t in x.lower() for t in terms)]
         verdict = "yes" if len(hits) > 1 else "maybe" if hits else "no"
-        text = f"{len(hits)} lines hold a term. " + json.dumps({"match": verdict, "blockquotes": hits[: self.most_quotes]}, ensure_ascii=False)
+        text = f"{len(hits)} lines hold a term. " + json.dumps({"match": verdict, "blockquotes": hits}, ensure_ascii=False)
         return {"choices": [{"message": {"content": text}}]}
 
 

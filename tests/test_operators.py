@@ -238,3 +238,10 @@ def test_small_tables_are_spread_and_large_ones_left_alone(spark, tmp_path):
     assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and df.count() == 100
     many = spark.range(100).repartition(50)
     assert spread(many) is many
+
+
+def test_rules_quote_all_lines_that_hold_a_term():
+    user = pairs.PROMPT_HEAD + 'Look for "fox".' + pairs.PROMPT_DOCUMENT + "\n".join(f"a fox {k}" for k in range(30)) + pairs.PROMPT_TAIL
+    reply = infer.Rules().ask(json.dumps({"messages": [{}, {"content": user}]}))
+    text = reply["choices"][0]["message"]["content"]
+    assert json.loads(text[text.index("{") :])["blockquotes"] == [f"a fox {k}" for k in range(30)]
