@@ -7,11 +7,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Thresholds of valid text; callers may pass their own.
+#: Thresholds of valid text; callers may pass their own, and so may a session's settings.
 MIN_LENGTH, MIN_PRINTABLE = 100, 0.85
+SETTINGS = {"min_length": ("spark.docquarry.minLength", int), "min_printable": ("spark.docquarry.minPrintable", float)}
 
 #: First bytes of binary files and their names, in order of precedence.
 MAGIC = [
@@ -104,8 +105,14 @@ def reason(content: Column, *, flight: bool = False, min_length: int = MIN_LENGT
 
 
 def with_reason(df: DataFrame, content: str = "content", to: str = "reason", **how) -> DataFrame:
-    """``df`` with the ``reason`` of its contents."""
-    return df.withColumn(to, reason(F.col(content), **how))
+    """``df`` with the ``reason`` of its contents; thresholds that ``how`` doesn't give are the session's."""
+    return df.withColumn(to, reason(F.col(content), **thresholds(df.sparkSession) | how))
+
+
+def thresholds(spark: SparkSession) -> dict:
+    """The thresholds that the session's settings give."""
+    found = {name: (spark.conf.get(key, None), kind) for name, (key, kind) in SETTINGS.items()}
+    return {name: kind(value) for name, (value, kind) in found.items() if value is not None}
 
 
 def archive_time(url: Column) -> Column:
@@ -166,5 +173,5 @@ def literal_count(low: Column, term: str) -> Column:
 
 
 def terms_of_prompt(prompt: str) -> list[str]:
-    """Quoted terms of a category's prompt, lower-case, for the rule backend."""
-    return sorted({t.lower() for t in re.findall(r'"([^"\n]{2,40})"', prompt or "")})
+    """Quoted terms of a category's prompt, of any length, lower-case, for the rule backend."""
+    return sorted({t.lower() for t in re.findall(r'"([^"\n]+)"', prompt or "")})

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.strict_json import parse_records
-from ..store import CorpusStore, dense_ids, materialise
+from ..scratch import materialise
+from ..store import CorpusStore, dense_ids
 
 KEY = ["result_id", "category_id"]
 
@@ -51,12 +52,12 @@ def tallies(classified: DataFrame) -> DataFrame:
 
 
 def run(store: CorpusStore, records: DataFrame) -> dict:
-    """Import records into a store; importing them again changes nothing."""
+    """Import records into a store, verdicts and quotes in one commit; importing them again changes nothing."""
     classified = materialise(classify(records, store.read("result_category")))
     out = tallies(classified).first().asDict()
     if out["imported"]:
         now = F.current_timestamp()
         quotes = dense_ids(new_quotes(classified), ["source_rank", "source", "line", "position"], "blockquote_id", store.next_id("result_category_blockquote", "blockquote_id"))
-        store.append("result_category", new_verdicts(classified).withColumn("created_at", now))
-        store.append("result_category_blockquote", quotes.withColumn("created_at", now))
+        verdicts = new_verdicts(classified).withColumn("created_at", now)
+        store.commit(("result_category", "append", verdicts), ("result_category_blockquote", "append", quotes.withColumn("created_at", now)))
     return out

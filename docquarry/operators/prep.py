@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import split, text
-from ..store import CorpusStore, dense_ids, materialise
+from ..scratch import materialise
+from ..store import CorpusStore, dense_ids
 
 
 def new_categories(files: DataFrame, known: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def sync_documents(store: CorpusStore, files: DataFrame, *, on_change: str = "er
 
     A known path with another hash is an error, as paths are unique; with
     ``on_change="replace"`` the old document, its parts and what hangs on them go.
-    Everything is checked before the one append that publishes it.
+    Everything is checked before the one commit that publishes it, deletes and new rows together.
     """
     if files.isEmpty():
         raise ValueError("no documents found")
@@ -62,13 +63,14 @@ def sync_documents(store: CorpusStore, files: DataFrame, *, on_change: str = "er
     new = materialise(new_documents(files, known))
     valid = new.where("reason IS NULL").drop("reason")
     changed = materialise(valid.select("filepath").join(known.select("filepath", "result_id"), "filepath"))
+    deletes: list[tuple[str, str, DataFrame]] = []
     if not changed.isEmpty():
         if on_change == "error":
             raise ValueError(f"changed documents, for instance {changed.first().filepath}")
         parts = known.join(changed.select(F.col("result_id").alias("parent_result_id")), "parent_result_id").select("result_id")
         gone = materialise(changed.select("result_id").union(parts))
-        for name in ("result_category_blockquote", "result_category", "result"):
-            store.replace(name, store.read(name).join(gone, "result_id", "left_anti"))
+        deletes = [(name, "replace", store.read(name).join(gone, "result_id", "left_anti")) for name in ("result_category_blockquote", "result_category", "result")]
     counts = new.agg(F.count_if(F.col("reason").isNotNull()).alias("skipped"), F.count_if(F.col("reason").isNull() & (F.length("content") > limit)).alias("split")).first()
-    store.append("result", with_ids(document_rows(valid, limit, size, overlap), store.next_id("result", "result_id")).withColumn("created_at", F.current_timestamp()))
+    rows = with_ids(document_rows(valid, limit, size, overlap), store.next_id("result", "result_id")).withColumn("created_at", F.current_timestamp())
+    store.commit(*deletes, ("result", "append", rows))
     return {"synced": files.count() - counts.skipped, "skipped": counts.skipped, "split": counts.split}

@@ -1,29 +1,26 @@
-"""A corpus store: tables as Parquet snapshots in one folder.
-
-A table is a row of committed versions, ``00000001-base``, ``00000002-delta``
-and so on.  Its rows are the last base and the deltas after it, so an append
-writes the new rows alone and only deletes rewrite a table.  A version counts
-once Spark's committer has put ``_SUCCESS`` into it: a run that dies leaves
-nothing that a reader sees.  One writer at a time is assumed.
+"""A corpus store: tables as Parquet folders, published by manifests.
+
+A commit writes the folders of all tables that it touches, and then one manifest
+that names the folders of every table, put into place by a rename.  Readers go
+by the last manifest, so the tables of a commit appear together or not at all: a
+run that dies leaves folders that no manifest names, and the next commit writes
+over them.  An append writes the new rows alone, and only deletes rewrite a
+table.  One writer at a time is assumed; a second one's manifest is refused.
 """
 
 from __future__ import annotations
 
-import tempfile
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import schema
+from .scratch import materialise
 
-
-def materialise(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, its lineage cut."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="docquarry-checkpoint-"))
-    return df.checkpoint()
+#: Folders of a table above which ``compact`` puts them into one.
+FOLDERS = 64
 
 
 def dense_ids(df: DataFrame, order: list[str], name: str, start: int = 1) -> DataFrame:
@@ -43,26 +40,60 @@ class CorpusStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
+        self._jvm = spark._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def versions(self, table: str) -> list[str]:
-        """Committed versions, oldest first."""
-        folder = self._path(f"{self.root}/{table}")
+    def _manifest(self) -> tuple[int, dict[str, list[str]]]:
+        """The last commit's number and the folders of each table, oldest first."""
+        folder = self._path(f"{self.root}/_commits")
         if not self._fs.exists(folder):
-            return []
+            return 0, {}
         names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
-        return sorted(n for n in names if self._fs.exists(self._path(f"{self.root}/{table}/{n}/_SUCCESS")))
+        numbers = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
+        if not numbers:
+            return 0, {}
+        stream = self._fs.open(self._path(f"{self.root}/_commits/{max(numbers):08d}.json"))
+        try:
+            return max(numbers), json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _publish(self, number: int, state: dict[str, list[str]]) -> None:
+        final = self._path(f"{self.root}/_commits/{number:08d}.json")
+        aside = self._path(f"{self.root}/_commits/.{uuid.uuid4().hex}")
+        stream = self._fs.create(aside)
+        stream.write(bytearray(json.dumps(state).encode()))
+        stream.close()
+        if self._fs.exists(final) or not self._fs.rename(aside, final):
+            self._fs.delete(aside, False)
+            raise RuntimeError(f"commit {number} of {self.root} is there already: another writer")
+
+    def commit(self, *changes: tuple[str, str, DataFrame]) -> None:
+        """Publish changes together: each is a table, ``append`` or ``replace``, and rows."""
+        number, state = self._manifest()
+        number += 1
+        for k, (table, how, rows) in enumerate(changes):
+            name = f"{number:08d}-{k}"
+            self._write(table, name, rows)
+            state[table] = [name] if how == "replace" else [*state.get(table, []), name]
+        self._publish(number, state)
+
+    def _write(self, table: str, name: str, rows: DataFrame) -> None:
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.tables()[table]]
+        rows.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{table}/{name}")
+
+    def versions(self, table: str) -> list[str]:
+        """The folders that hold a table's rows, oldest first."""
+        return self._manifest()[1].get(table, [])
 
     def create(self) -> bool:
         """Make all tables, empty; False if they were there."""
-        if all(self.versions(t) for t in schema.tables()):
-            return False
-        for name in schema.tables():
-            if not self.versions(name):
-                self.replace(name, self.empty(name))
-        return True
+        there = self._manifest()[1]
+        missing = [t for t in schema.tables() if t not in there]
+        if missing:
+            self.commit(*((t, "replace", self.empty(t)) for t in missing))
+        return bool(missing)
 
     def empty(self, table: str) -> DataFrame:
         return self.spark.createDataFrame([], schema.tables()[table])
@@ -71,20 +102,36 @@ class CorpusStore:
         names = self.versions(table)
         if not names:
             return self.empty(table)
-        last = max(i for i, n in enumerate(names) if n.endswith("-base"))
-        return self.spark.read.schema(schema.tables()[table]).parquet(*[f"{self.root}/{table}/{n}" for n in names[last:]])
-
-    def _write(self, table: str, df: DataFrame, kind: str) -> None:
-        names = self.versions(table)
-        number = int(names[-1].split("-")[0]) + 1 if names else 1
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.tables()[table]]
-        df.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{table}/{number:08d}-{kind}")
+        return self.spark.read.schema(schema.tables()[table]).parquet(*[f"{self.root}/{table}/{n}" for n in names])
 
     def append(self, table: str, df: DataFrame) -> None:
-        self._write(table, df, "delta")
+        self.commit((table, "append", df))
 
     def replace(self, table: str, df: DataFrame) -> None:
-        self._write(table, df, "base")
+        self.commit((table, "replace", df))
+
+    def compact(self, folders: int = FOLDERS) -> list[str]:
+        """Put tables of more than ``folders`` folders into one each; their names.  The old folders stay for those who read them."""
+        state = self._manifest()[1]
+        large = [t for t, names in state.items() if len(names) > folders]
+        if large:
+            self.commit(*((t, "replace", self.read(t)) for t in large))
+        return large
+
+    def vacuum(self) -> int:
+        """Delete folders that the last manifest doesn't name, and older manifests; nobody may be reading them."""
+        number, state = self._manifest()
+        gone = 0
+        for table in schema.tables():
+            folder = self._path(f"{self.root}/{table}")
+            for entry in self._fs.listStatus(folder) if self._fs.exists(folder) else []:
+                if entry.getPath().getName() not in state.get(table, []):
+                    gone += bool(self._fs.delete(entry.getPath(), True))
+        folder = self._path(f"{self.root}/_commits")
+        for entry in self._fs.listStatus(folder) if number else []:
+            if entry.getPath().getName() != f"{number:08d}.json":
+                self._fs.delete(entry.getPath(), False)
+        return gone
 
     def next_id(self, table: str, column: str) -> int:
         return (self.read(table).agg(F.max(column)).first()[0] or 0) + 1

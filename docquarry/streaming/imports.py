@@ -2,7 +2,8 @@
 
 A file source finds new files and its checkpoint remembers them; each micro-batch
 goes through the batch import, which leaves out pairs that are there already, so
-a batch that is run again changes nothing.
+a batch that is run again changes nothing.  Many small batches are put together
+now and then, so a read opens few folders.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ def stream_import(store: CorpusStore, folder: str, checkpoint: str, *, continuou
 
     def take(batch: DataFrame, _: int) -> None:
         importer.run(store, batch)
+        store.compact()
 
     writer = replies(store, folder, **how).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime="10 seconds") if continuous else writer.trigger(availableNow=True)).start()
