@@ -1,4 +1,10 @@
-"""HTML to Markdown with the standard library's parser, in an Arrow function."""
+"""HTML to Markdown with the standard library's parser, in an Arrow function.
+
+Rules.  Scripts, styles, templates and the page's title are left out; all other
+text stays, wherever it is.  End tags may be missing: the head ends where
+something begins that a head can't hold, and blocks, items, cells and rows end where
+the next one begins.  A table's first row is its header row.
+"""
 
 from __future__ import annotations
 
@@ -9,8 +15,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SKIPPED = {"script", "style", "head", "template", "noscript"}
-_BLOCKS = {"p", "div", "article", "section", "footer", "header", "main", "nav", "table", "form", "ul", "ol", "dl", "pre", "blockquote", "tr", "dt", "dd", "body", "html", "aside", "figure", "address", "center"}
+_SKIPPED = {"script", "style", "template"}
+_BLOCKS = {"p", "div", "article", "section", "footer", "header", "main", "nav", "form", "ul", "ol", "dl", "pre", "blockquote", "dt", "dd", "aside", "figure", "address", "center", "caption"}
 _MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`", "kbd": "`", "samp": "`", "del": "~~", "s": "~~"}
 
 
@@ -19,18 +25,32 @@ class _Writer(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.out: list[str] = []
         self.skip = self.pre = 0
+        self.title = False
         self.lists: list[int] = []  # the next number, or -1 for bullets
         self.links: list[tuple[str | None, int]] = []
+        self.tables: list[_Table] = []
 
     def block(self, lines: int = 2) -> None:
         self.out.append("\n" * lines)
 
+    def end_row(self) -> None:
+        """Write the open row of the innermost table in one line, and the rule under a first row."""
+        table = self.tables[-1]
+        if table.cells:
+            row = re.sub(r"\s+", " ", "".join(self.out[table.begin :])).strip()
+            rule = "\n|" + " --- |" * table.cells if not table.rows else ""
+            self.out[table.begin :] = [f"\n{row} |{rule}"]
+            self.links = [x for x in self.links if x[1] < table.begin]
+            table.rows += 1
+            table.cells = 0
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in _SKIPPED:
             self.skip += 1
-        elif self.skip:
+        if self.skip:
             return
-        elif re.fullmatch("h[1-6]", tag):
+        self.title = tag == "title"
+        if re.fullmatch("h[1-6]", tag):
             self.out.append("\n\n" + "#" * int(tag[1]) + " ")
         elif tag == "br":
             self.out.append("  \n")
@@ -46,8 +66,18 @@ class _Writer(HTMLParser):
         elif tag in ("ul", "ol"):
             self.block(1 if self.lists else 2)
             self.lists.append(1 if tag == "ol" else -1)
-        elif tag in ("td", "th"):
-            self.out.append(" | ")
+        elif tag == "table":
+            self.block()
+            self.tables.append(_Table())
+        elif tag in ("tr", "td", "th") and self.tables:
+            if tag == "tr":
+                self.end_row()
+            else:
+                table = self.tables[-1]
+                if not table.cells:
+                    table.begin = len(self.out)
+                self.out.append(" | " if table.cells else "| ")
+                table.cells += 1
         elif tag == "a":
             self.links.append((dict(attrs).get("href"), len(self.out)))
         elif tag == "img":
@@ -66,13 +96,19 @@ class _Writer(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in _SKIPPED:
             self.skip = max(self.skip - 1, 0)
-        elif self.skip:
+        if self.skip:
             return
-        elif re.fullmatch("h[1-6]", tag):
+        self.title = False
+        if re.fullmatch("h[1-6]", tag):
             self.block()
         elif tag in ("ul", "ol") and self.lists:
             self.lists.pop()
             self.block(1 if self.lists else 2)
+        elif tag in ("tr", "table") and self.tables:
+            self.end_row()
+            if tag == "table":
+                self.tables.pop()
+                self.block()
         elif tag == "a" and self.links:
             href, at = self.links.pop()
             words = "".join(self.out[at:])
@@ -87,16 +123,28 @@ class _Writer(HTMLParser):
             self.block()
 
     def handle_data(self, data: str) -> None:
-        if not self.skip:
+        if not self.skip and not self.title:
             self.out.append(data if self.pre else re.sub(r"\s+", " ", data))
 
+    def finish(self) -> str:
+        self.close()
+        while self.tables:
+            self.end_row()
+            self.tables.pop()
+        return "".join(self.out)
+
+
+class _Table:
+    """An open table: rows written, cells of the open row, and where that row begins."""
+
+    rows = cells = begin = 0
+
 
 def to_markdown(html: str | None) -> str:
-    """Markdown of a page; scripts, styles and the head are left out."""
+    """Markdown of a page."""
     writer = _Writer()
     writer.feed(html or "")
-    writer.close()
-    lines = "".join(writer.out).split("\n")
+    lines = writer.finish().split("\n")
     # Two blanks at a line's end are a line break; other blanks there, and one at its start, are not meant.
     text = "\n".join((x.rstrip() if x.startswith("  ") else x.strip()) + "  " * (x.endswith("  ") and bool(x.strip())) for x in lines)
     return re.sub(r"\n{3,}", "\n\n", text).strip("\n ")
