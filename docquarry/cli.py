@@ -8,6 +8,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from .functions import text
 from .operators import infer, preflight
 from .plans import run as verbs
 from .ship import ship
@@ -31,14 +32,18 @@ def parser() -> argparse.ArgumentParser:
         "--delete": {"action": "store_true"},
         "--on-change": {"choices": ["error", "replace"], "default": "error"},
         "--url": {"action": "append", "dest": "urls"},
+        "--partitions": {"type": int, "help": "deal the pairs out to so many tasks"},
+        "--wave": {"type": int, "default": verbs.InferenceConfig.wave, "help": "pairs whose replies are saved together"},
+        "--min-length": {"type": int, "help": "least characters of a valid body"},
+        "--min-printable": {"type": float, "help": "least share of printable characters of a valid body"},
     }
     takes = {
         "fetch": ["--url", "--input-dir"],
-        "prep-db": ["--store", "--input-dir", "--prompts-dir", "--on-change"],
-        "preflight": ["--store", "--delete"],
-        "process": ["--store", "--prompts-dir", "--system-prompt", "--output-dir", "--server-url", "--concurrency", "--limit", "--model"],
+        "prep-db": ["--store", "--input-dir", "--prompts-dir", "--on-change", "--min-length", "--min-printable"],
+        "preflight": ["--store", "--delete", "--min-length", "--min-printable"],
+        "process": ["--store", "--prompts-dir", "--system-prompt", "--output-dir", "--server-url", "--concurrency", "--limit", "--model", "--partitions", "--wave"],
         "import-results": ["--store", "--output-dir"],
-        "run": ["--store", "--url", "--input-dir", "--prompts-dir", "--system-prompt", "--output-dir", "--server-url", "--concurrency", "--model"],
+        "run": ["--store", "--url", "--input-dir", "--prompts-dir", "--system-prompt", "--output-dir", "--server-url", "--concurrency", "--model", "--partitions", "--wave", "--min-length", "--min-printable"],
     }
     for verb, names in takes.items():
         own = sub.add_parser(verb)
@@ -58,7 +63,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         status = int(out["failed"] > 0)
     else:
         store = CorpusStore(spark, a.store)
-        config = verbs.InferenceConfig(getattr(a, "model", "rules"), getattr(a, "concurrency", 8))
+        for name, (setting, _) in text.SETTINGS.items():
+            if getattr(a, name, None) is not None:
+                spark.conf.set(setting, str(getattr(a, name)))
+        config = verbs.InferenceConfig(**{k: getattr(a, k) for k in ("model", "concurrency", "partitions", "wave") if hasattr(a, k)})
         backend = infer.Http(a.server_url) if getattr(a, "server_url", "") else infer.Rules()
         if a.verb == "prep-db":
             out = verbs.prep_db(store, a.input_dir, a.prompts_dir, on_change=a.on_change)

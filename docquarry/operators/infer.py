@@ -1,9 +1,10 @@
 """Inference: requests to replies, through a backend, in Arrow batches.
 
-Each partition keeps a bounded number of requests in flight and pulls no more
-than it can send, so there is no queue to fill.  Retries happen at once and
-cover failures of any kind, unreadable replies included; a task that Spark runs
-again asks again, so sinks leave out what is there already.
+Each partition keeps a bounded number of requests in flight, over the borders of
+batches, and pulls no more than it can send, so there is no queue to fill.
+Retries happen at once and cover failures of any kind, unreadable replies
+included; a task that Spark runs again asks again, so sinks leave out what is
+there already.  A reply of any shape is a row: what can't be read is a failure.
 """
 
 from __future__ import annotations
@@ -12,9 +13,8 @@ import json
 import time
 import urllib.error
 import urllib.request
-from collections import deque
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, as_completed, wait
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..arrow import bound_batches
 from ..functions.strict_json import first_object, parse_replies
 
 #: Attempts for a pair, seconds for one of them.
@@ -72,18 +73,37 @@ class Rules:
 
 def attempt(backend: Backend, custom_id: str, body: str) -> tuple:
     """One reply as a row of ``REPLIES`` without its attempts."""
-    start, error, reply = time.monotonic(), None, None
+    start = time.monotonic()
     try:
-        reply = backend.ask(body)
-    except urllib.error.HTTPError as e:
-        error = f"HTTPError {e.code}: {e.reason}"
-    except urllib.error.URLError as e:
-        error = f"URLError: {e.reason}"
-    except Exception as e:  # noqa: BLE001  any failure of a backend is a failed attempt
-        error = f"Exception: {e!r}"
-    choices = (reply or {}).get("choices") or []
-    message = (choices[0].get("message") or {}) if choices else {}
-    return custom_id, message.get("content"), message.get("reasoning_content"), error, reply is not None, bool(choices), time.monotonic() - start
+        told = (*read_reply(backend.ask(body)),)
+    except Exception as e:  # noqa: BLE001  any failure of a backend, or of its reply's form, is a failed attempt
+        told = None, None, _failure(e), False, False
+    return custom_id, *told, time.monotonic() - start
+
+
+def _failure(e: Exception) -> str:
+    """How a failure is told, by its kind."""
+    match e:
+        case urllib.error.HTTPError():
+            return f"HTTPError {e.code}: {e.reason}"
+        case urllib.error.URLError():
+            return f"URLError: {e.reason}"
+    return f"Exception: {e!r}"
+
+
+def read_reply(reply: object) -> tuple:
+    """``content, reasoning_content, error, has_response, has_choices`` of a server's reply; raises for forms that no chat server gives."""
+    if reply is None:
+        return None, None, None, False, False
+    choices = reply.get("choices") or [] if isinstance(reply, dict) else None
+    if choices == []:
+        return None, None, None, True, False
+    first = choices[0] if isinstance(choices, list) else None
+    message = first.get("message") or {} if isinstance(first, dict) else None
+    texts = [message.get(k) for k in ("content", "reasoning_content")] if isinstance(message, dict) else [message, first]
+    if message is None or not all(t is None or isinstance(t, str) for t in texts):
+        raise TypeError(f"a reply of another form: {json.dumps(reply)[:200]}")
+    return *texts, None, True, True
 
 
 def _usable(row: tuple) -> bool:
@@ -104,28 +124,28 @@ def ask_all(backend: Backend, attempts: int = ATTEMPTS):
     return one
 
 
-def infer(requests: DataFrame, backend: Backend, *, concurrency: int = 8, partitions: int | None = None, attempts: int = ATTEMPTS) -> DataFrame:
-    """Replies to ``requests`` (custom_id, body), at most ``2 * concurrency`` of each partition in flight.
+def infer(requests: DataFrame, backend: Backend, *, concurrency: int = 8, attempts: int = ATTEMPTS) -> DataFrame:
+    """Replies to ``requests`` (custom_id, body), at most ``2 * concurrency`` of each partition in flight, as they come.
 
-    ``partitions`` deals the requests anew at random, so that no partition has all the long ones.
+    Bodies stay in the partitions that made them (``pairs.requests`` deals out the pairs' ids).
     """
+    bound_batches(requests.sparkSession)
     narrow = requests.select("custom_id", "body")
-    if partitions:
-        narrow = narrow.repartition(partitions)
     names = [x.split(" ")[0] for x in REPLIES.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         one = ask_all(backend, attempts)
         with ThreadPoolExecutor(concurrency) as pool:
+            waiting: set[Future] = set()
             for batch in batches:
-                waiting: deque = deque()
-                rows = []
+                rows: list[tuple] = []
                 for custom_id, body in zip(batch["custom_id"], batch["body"]):
-                    if len(waiting) >= 2 * concurrency:
-                        rows.append(waiting.popleft().result())
-                    waiting.append(pool.submit(one, custom_id, body))
-                rows += [w.result() for w in waiting]
+                    if len(waiting) >= 2 * concurrency:  # whichever ends first makes room
+                        done, waiting = wait(waiting, return_when=FIRST_COMPLETED)
+                        rows += [x.result() for x in done]
+                    waiting.add(pool.submit(one, custom_id, body))
                 yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame([x.result() for x in as_completed(waiting)], columns=names)
 
     return narrow.mapInPandas(run, REPLIES)
 
@@ -138,6 +158,10 @@ def outcomes(replies: DataFrame, completed: DataFrame) -> DataFrame:
     return parsed.withColumn("outcome", F.when(F.col("failure").isNotNull(), "failed").when(F.col("known"), "skipped").otherwise("saved")).drop("known")
 
 
+#: Columns of a run's tallies.
+TALLIES = ("processed", "saved", "skipped", "failed", "processing_seconds")
+
+
 def run_tallies(rows: DataFrame) -> DataFrame:
     """Processed, saved, skipped and failed pairs, and the seconds spent on requests."""
     count = lambda name: F.count_if(F.col("outcome") == name).alias(name)

@@ -82,14 +82,19 @@ def request(content: Column, prompt: Column, system_prompt: str, model: str) ->
     )
 
 
-def requests(pairs: DataFrame, result: DataFrame, category: DataFrame, prompts: DataFrame, system_prompt: str, model: str) -> DataFrame:
+def requests(pairs: DataFrame, result: DataFrame, category: DataFrame, prompts: DataFrame, system_prompt: str, model: str, partitions: int | None = None) -> DataFrame:
     """``custom_id, result_id, category_id, body`` for each pair; a category without a prompt has an empty one.
 
+    ``partitions`` deals the pairs out by document before their texts come to them: a text moves once, whatever the number
+    of its categories, and bodies don't move at all.
+
     ``prompts`` (category_filename, prompt) holds the present texts: versions of
     a category share them.
     """
     from ..functions.text import custom_id
 
+    if partitions:
+        pairs = pairs.repartition(partitions, "result_id").hint("merge")
     categories = category.select("category_id", "category_filename").join(prompts, "category_filename", "left").select("category_id", "prompt")
-    full = pairs.join(categories, "category_id").join(result.select("result_id", "content"), "result_id")
+    full = pairs.join(result.select("result_id", "content"), "result_id").join(categories, "category_id")
     return full.select(custom_id(F.col("result_id"), F.col("category_id")).alias("custom_id"), "result_id", "category_id", F.to_json(request(F.col("content"), F.col("prompt"), system_prompt, model)).alias("body"))

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import split
 from ..operators import importer, infer, ledger, pairs, preflight, prep
 from ..sources import archive, files
-from ..store import CorpusStore, materialise
+from ..scratch import materialise
+from ..store import CorpusStore, dense_ids
 
 
 @dataclass(frozen=True)
@@ -21,14 +24,21 @@ class InferenceConfig:
     concurrency: int = 8
     partitions: int | None = None
     attempts: int = infer.ATTEMPTS
+    #: Pairs whose replies are saved together, at most: what a dead run can lose.
+    wave: int = 20_000
 
 
 def fetch(spark: SparkSession, folder: str, urls: list[str] | None = None, fetcher: archive.Fetcher | None = None) -> dict:
     """Fetch archive URLs into a folder of markdown files; counts, and the failures' reasons."""
-    found = materialise(archive.write_markdown(archive.fetch(archive.demo_urls(spark, urls), fetcher or archive.Web()), folder))
+    asked = archive.demo_urls(spark, urls)
+    known = None
+    if files.exists(spark, folder, "*.md"):  # pages that are there aren't downloaded again
+        known = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(folder).select(F.regexp_extract("path", "[^/]*$", 0).alias("filename"))
+    there = archive.planned(asked).where("error IS NULL").join(known, "filename", "left_semi").count() if known is not None else 0
+    found = materialise(archive.write_markdown(archive.fetch(asked, fetcher or archive.Web(), known), folder))
     counts = {r.status: r["count"] for r in found.groupBy("status").count().collect()}
-    failed = [(r.url, r.error) for r in found.where("status = 'failed'").limit(1000).collect()]
-    return {"written": counts.get("written", 0), "skipped": counts.get("exists", 0), "failed": counts.get("failed", 0), "errors": failed}
+    failed = [(r.url, r.error) for r in found.where("status = 'failed'").collect()]  # no more than the caller's own list
+    return {"written": counts.get("written", 0), "skipped": there + counts.get("exists", 0), "failed": counts.get("failed", 0), "errors": failed}
 
 
 def prep_db(store: CorpusStore, input_dir: str, prompts_dir: str, **how) -> dict:
@@ -43,23 +53,31 @@ def prep_db(store: CorpusStore, input_dir: str, prompts_dir: str, **how) -> dict
 
 
 def process(store: CorpusStore, prompts_dir: str, system_prompt: str, output_dir: str, backend: infer.Backend, config: InferenceConfig = InferenceConfig(), limit: int | None = None, limit_chars: int = split.LIMIT) -> dict:
-    """Ask the backend for all pending pairs; save usable replies, and keep the ledger."""
+    """Ask the backend for all pending pairs; save usable replies, and keep the ledger.
+
+    Pairs go in waves, in order, and each wave's replies are appended and committed before the next one is asked; a run
+    that dies loses its wave, and the next run asks only for what is missing.
+    """
     spark, began = store.spark, time.monotonic()
     run_id = ledger.start(store, config.model)
     done = files.completed_pairs(files.reply_records(spark, output_dir))
     done = materialise(done)
     todo = pairs.pending_pairs(store.read("result"), store.read("category"), store.read("result_category"), limit_chars=limit_chars, completed=done, limit=limit)
     prompts = files.categories(spark, prompts_dir).select("category_filename", "prompt")
-    asked = pairs.requests(todo, store.read("result"), store.read("category"), prompts, system_prompt, config.model)
-    replies = infer.infer(asked, backend, concurrency=config.concurrency, partitions=config.partitions, attempts=config.attempts)
-    rows = materialise(infer.outcomes(replies, done))
-    tally = infer.run_tallies(rows).first().asDict()
-    if tally["saved"]:
-        saved = rows.where("outcome = 'saved'").select("custom_id", "record")
-        saved.write.mode("append").parquet(f"{output_dir}/replies")
-    notes = None if tally["processed"] else "No pairs to process"
-    ledger.finish(store, run_id, tally["processed"], tally["saved"], tally["failed"], tally["skipped"], tally["processing_seconds"], notes)
-    times = infer.request_times(rows).first().asDict() if tally["processed"] else {}
+    todo = materialise(dense_ids(todo, ["result_id", "category_id"], "place", 0))
+    total = todo.count()
+    tallies, seconds = [], []
+    for first in range(0, total, config.wave):
+        wave = todo.where(F.col("place").between(first, first + config.wave - 1)).drop("place")
+        asked = pairs.requests(wave, store.read("result"), store.read("category"), prompts, system_prompt, config.model, config.partitions)
+        replies = infer.infer(asked, backend, concurrency=config.concurrency, attempts=config.attempts)
+        rows = materialise(infer.outcomes(replies, done))
+        rows.where("outcome = 'saved'").select("custom_id", "record").write.mode("append").parquet(f"{output_dir}/replies")
+        tallies.append(infer.run_tallies(rows).first().asDict())
+        seconds.append(rows.select("elapsed_sec"))
+    tally = {name: sum(t[name] for t in tallies) for name in infer.TALLIES}
+    ledger.finish(store, run_id, tally["processed"], tally["saved"], tally["failed"], tally["skipped"], tally["processing_seconds"], None if total else "No pairs to process")
+    times = infer.request_times(reduce(DataFrame.union, seconds)).first().asDict() if total else {}
     return {"run_id": run_id, "total_time_sec": time.monotonic() - began, **tally, **times}
 
 

@@ -7,8 +7,7 @@ Failures are rows, not exceptions: a bad URL costs its own row alone.
 from __future__ import annotations
 
 import json
-import os
-import tempfile
+import re
 import urllib.error
 import urllib.parse
 import urllib.request
@@ -21,7 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..arrow import bound_batches
 from ..functions.markdown import html_to_markdown
+from . import files
 
 #: The archive's endpoints, and the demonstration's pages.
 INDEX = "http://web.archive.org/cdx/search/cdx"
@@ -57,12 +58,16 @@ class Web:
         if not self.exists(time, url):
             raise LookupError(f"no snapshot of {url} at {time}")
         with urllib.request.urlopen(PAGE.format(time=time, url=url), timeout=self.timeout) as reply:
-            kind = reply.headers.get("content-type", "")
-            if "html" not in kind.lower() and "text" not in kind.lower():
-                raise ValueError(f"content-type {kind!r} is no HTML")
+            if not is_page(reply.headers.get_content_type()):
+                raise ValueError(f"no page but {reply.headers.get_content_type()}")
             return reply.read().decode(reply.headers.get_content_charset() or "utf-8", "replace")
 
 
+def is_page(media_type: str) -> bool:
+    """Whether a media type is text or any form of HTML."""
+    return re.search(r"^text/|html", media_type) is not None
+
+
 def snapshot_exists(index_reply: Column) -> Column:
     """Whether an index reply (JSON rows, the first a header) lists a snapshot."""
     return F.coalesce(F.size(F.from_json(index_reply, "array<array<string>>")) > 1, F.lit(False))
@@ -91,6 +96,7 @@ def documents_of(rows: DataFrame) -> DataFrame:
 
 def fetch(urls: DataFrame, fetcher: Fetcher, known_files: DataFrame | None = None) -> DataFrame:
     """Documents of archive URLs, or the reasons why there are none."""
+    bound_batches(urls.sparkSession, 64)  # pages come into one batch
     plan = planned(urls, known_files)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,30 +126,15 @@ def fetch_stored(pages: DataFrame, known_files: DataFrame | None = None) -> Data
 def write_markdown(documents: DataFrame, folder: str) -> DataFrame:
     """Write documents as files of a folder that all executors share; ``filename, status`` (written, exists or failed).
 
-    A file appears whole or not at all, and one that is there is left alone, so a task may run twice.
+    Files are written as ``files.write_once`` does, so a task may run twice.
     """
-    os.makedirs(folder, exist_ok=True)
+    folder = files.whole_path(folder)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            status = []
-            for name, content, error in zip(batch["filename"], batch["content"], batch["error"]):
-                if error is not None:
-                    status.append("failed")
-                    continue
-                final = os.path.join(folder, name)
-                if os.path.exists(final):
-                    status.append("exists")
-                    continue
-                handle, temporary = tempfile.mkstemp(dir=folder, suffix=".tmp")
-                try:
-                    with os.fdopen(handle, "w", encoding="utf-8", newline="") as f:
-                        f.write(content)
-                    os.replace(temporary, final)
-                except BaseException:
-                    os.unlink(temporary)
-                    raise
-                status.append("written")
+            good = batch["error"].isna()
+            new = [files.write_once(folder, n, c.encode()) if ok else None for n, c, ok in zip(batch["filename"], batch["content"], good)]
+            status = [{True: "written", False: "exists", None: "failed"}[x] for x in new]
             yield pd.DataFrame({"url": batch["url"], "filename": batch["filename"], "status": status, "error": batch["error"]})
 
     return documents.select("url", "filename", "content", "error").mapInPandas(run, "url string, filename string, status string, error string")

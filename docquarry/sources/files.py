@@ -6,10 +6,11 @@ import hashlib
 import json
 import os
 import re
-import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,21 +79,25 @@ def system_prompt(spark: SparkSession, path: str) -> str:
 def jsonl_records(spark: SparkSession, path: str, rank: int = 0) -> DataFrame:
     """``source_rank, source, line, value`` of a JSONL file's lines, blank ones left out.
 
-    Lines keep their numbers, as the first record of a pair wins; so a file is one
-    row before it is split.
+    Lines keep their order, as the first record of a pair wins: ``source`` is the
+    file's name and the byte at which the line's split of the file begins, ``line``
+    grows within a split.  So a large file is many tasks.
     """
-    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("source"))
-    lines = whole.select("source", F.posexplode(F.split("value", "\r\n|\n|\r")).alias("line", "value"))
-    return lines.select(F.lit(rank).alias("source_rank"), "source", "line", text.strip(F.col("value")).alias("value")).where("value <> ''")
+    lines = spark.read.text(path).select("value", "_metadata.file_name", "_metadata.file_block_start")
+    source = F.format_string("%s@%020d", "file_name", "file_block_start")
+    # The lower bits count rows of a task, which reads its splits one after another.
+    line = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    lines = lines.select(F.lit(rank).alias("source_rank"), source.alias("source"), line.alias("line"), "value")
+    return lines.withColumn("value", text.strip(F.col("value"))).where("value <> ''")
 
 
 def json_files(spark: SparkSession, folder: str, rank: int = 1) -> DataFrame:
     """The same of a folder's reply files, one record each."""
     files = spark.read.option("pathGlobFilter", "r*_c*.json").text(folder, wholetext=True)
-    return files.select(F.lit(rank).alias("source_rank"), F.col("_metadata.file_name").alias("source"), F.lit(0).alias("line"), "value")
+    return files.select(F.lit(rank).alias("source_rank"), F.col("_metadata.file_name").alias("source"), F.lit(0).cast("long").alias("line"), "value")
 
 
-def _exists(spark: SparkSession, path: str, glob: str | None = None) -> bool:
+def exists(spark: SparkSession, path: str, glob: str | None = None) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path if glob is None else f"{path}/{glob}")
     found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
     return bool(found) and len(found) > 0
@@ -100,35 +105,48 @@ def _exists(spark: SparkSession, path: str, glob: str | None = None) -> bool:
 
 def reply_records(spark: SparkSession, folder: str) -> DataFrame:
     """All records of a folder: ``results.jsonl`` first, then reply files, then replies written by ``process``."""
-    out = spark.createDataFrame([], "source_rank int, source string, line int, value string")
-    if _exists(spark, folder, "results.jsonl"):
+    out = spark.createDataFrame([], "source_rank int, source string, line long, value string")
+    if exists(spark, folder, "results.jsonl"):
         out = out.union(jsonl_records(spark, f"{folder}/results.jsonl"))
-    if _exists(spark, folder, "r*_c*.json"):
+    if exists(spark, folder, "r*_c*.json"):
         out = out.union(json_files(spark, folder))
-    if _exists(spark, folder, "replies/*.parquet"):
+    if exists(spark, folder, "replies/*.parquet"):
         saved = spark.read.parquet(f"{folder}/replies")
-        out = out.union(saved.select(F.lit(2).alias("source_rank"), "custom_id", F.lit(0), "record"))
+        out = out.union(saved.select(F.lit(2).alias("source_rank"), "custom_id", F.lit(0).cast("long"), "record"))
     return out
 
 
+def whole_path(folder: str) -> str:
+    """A folder's path as executors need it: a URI stays, a local path becomes absolute."""
+    return folder if re.match(r"\w+:/", folder) else os.path.abspath(folder)
+
+
+def write_once(folder: str, name: str, data: bytes) -> bool:
+    """Put a file into a folder (a path or URI of any file system that Arrow knows); False if it is there already.
+
+    The bytes go into a hidden file, which a move makes the file: it appears whole or not at all.
+    """
+    system, root = pafs.FileSystem.from_uri(folder)
+    final, hidden = f"{root}/{name}", f"{root}/.{uuid.uuid4().hex}"
+    if system.get_file_info(final).type != pafs.FileType.NotFound:
+        return False
+    system.create_dir(root)
+    with system.open_output_stream(hidden) as out:
+        out.write(data)
+    system.move(hidden, final)
+    return True
+
+
 def write_replies(replies: DataFrame, folder: str) -> DataFrame:
     """Write replies (``custom_id, record``) as files of a folder that all executors share; ``custom_id, saved``.
 
-    ``saved`` is false where a file is there already.  A file appears whole or not at all.
+    ``saved`` is false where a file is there already.
     """
-    os.makedirs(folder, exist_ok=True)
+    folder = whole_path(folder)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            saved = []
-            for name, record in zip(batch["custom_id"], batch["record"]):
-                final = os.path.join(folder, f"{name}.json")
-                saved.append(not os.path.exists(final))
-                if saved[-1]:
-                    handle, temporary = tempfile.mkstemp(dir=folder, prefix=f".{name}.", suffix=".tmp")
-                    with os.fdopen(handle, "w", encoding="utf-8") as f:
-                        f.write(json.dumps(json.loads(record), indent=2))
-                    os.replace(temporary, final)
+            saved = [write_once(folder, f"{name}.json", json.dumps(json.loads(record), indent=2).encode()) for name, record in zip(batch["custom_id"], batch["record"])]
             yield pd.DataFrame({"custom_id": batch["custom_id"], "saved": saved})
 
     return replies.select("custom_id", "record").mapInPandas(run, "custom_id string, saved boolean")
