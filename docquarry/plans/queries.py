@@ -1,12 +1,11 @@
 """Registered queries over the synthetic corpus, and their SQL for DuckDB.
 
-A query without SQL is one that SQL can't express; tests hold those against
-plain Python.
+A query without SQL is one that SQL can't express (the text that the splitter
+and the markdown converter make); tests hold those against plain Python.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,8 @@ from ..functions import split, strict_json, text
 from ..functions.markdown import html_to_markdown
 from ..operators import importer, infer, ledger, pairs, preflight, prep, views
 from ..sources import archive, files
-from ..store import CorpusStore, materialise
+from ..scratch import new_folder
+from ..store import CorpusStore
 from . import corpus
 from .corpus import LARGE, SQL, read
 
@@ -212,6 +212,18 @@ def validate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.with_reason(_made(spark, sf_dir)).select("result_id", F.col("reason").isNull().alias("valid"), "reason")
 
 
+_STRICT = _SYNC.replace("< 100", "< 700").replace("< 0.85", "< 0.9")
+
+
+@made(f"SELECT result_id, {_STRICT} AS reason FROM judged")
+def validate_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation by thresholds that a session's settings give."""
+    own = spark.newSession()
+    own.conf.set(text.SETTINGS["min_length"][0], "700")
+    own.conf.set(text.SETTINGS["min_printable"][0], "0.9")
+    return text.with_reason(_made(spark, sf_dir), **text.thresholds(own)).select("result_id", "reason")
+
+
 @made(f"SELECT {_FLIGHT} AS reason, count(*) AS documents FROM judged GROUP BY 1 HAVING reason IS NOT NULL")
 def preflight_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preflight.reasons(preflight.scan(_made(spark, sf_dir)))
@@ -275,11 +287,24 @@ def custom_id_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Replies.  Documents' texts are the reasoning of made-up replies.
 
-_REPLY = """CASE WHEN doc_id % 6 = 5 THEN text ELSE '  ' || text || chr(10) || '{"match": "yes", "n": {"x": 1}, "blockquotes": ["a}"]} rest' END"""
+_OBJECTS = [
+    '{"match": "yes", "n": {"x": 1}, "blockquotes": ["a}"]} rest', '{"match": 1, "blockquotes": ["q\\"{"]}{"match": 2}', '{"blockquotes": []}', "{'match': 1}{\"match\": 2}", '{"match": "no", "x": {"y": 1}', "",
+]
+#: What each of them holds: the object as a message shows it, the verdict and the quotes as JSON.
+_SHOWN = ["{'match': 'yes', 'n': {'x': 1}, 'blockquotes': ['a}']}", "{'match': 1, 'blockquotes': ['q\"{']}", "{'blockquotes': []}"]
+_HELD = [('"yes"', '["a}"]'), ("1", '["q\\"{"]')]
+
+
+def _case(key: str, values: list[str]) -> str:
+    quoted = (v.replace("'", "''") for v in values)
+    return f"CASE {key} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(quoted)) + " END"
+
+
+_REPLY = f"CASE WHEN doc_id % 6 = 5 THEN text ELSE '  ' || text || chr(10) || {_case('doc_id % 6', _OBJECTS)} END"
 
 
 def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made_up = F.concat(F.lit("  "), "text", F.lit('\n{"match": "yes", "n": {"x": 1}, "blockquotes": ["a}"]} rest'))
+    made_up = F.concat(F.lit("  "), "text", F.lit("\n"), F.element_at(F.array(*map(F.lit, _OBJECTS)), (F.col("doc_id") % 6 + 1).cast("int")))
     return read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 6 == 5, F.col("text")).otherwise(made_up).alias("reply"))
 
 
@@ -289,12 +314,19 @@ def extract_reasoning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replies(spark, sf_dir).select("doc_id", text.reasoning_before_json(F.col("reply")).alias("reasoning"))
 
 
-@query()
+_MATCH, _QUOTES = (_case("doc_id % 6", [x[k] for x in _HELD]) for k in (0, 1))
+
+
+@query(f"SELECT doc_id, doc_id % 6 < 3 AS found, doc_id % 6 < 2 AS has_match, {_MATCH} AS match, {_QUOTES} AS blockquotes, {_case('doc_id % 6', _SHOWN)} AS shown FROM documents", with_corpus=False)
 def extract_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replies(spark, sf_dir).select("doc_id", strict_json.reply_object(F.col("reply")).alias("x")).select("doc_id", "x.*")
 
 
-@query()
+@query(f"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 5 = 1 THEN '' ELSE {_REPLY} END AS content, {_MATCH} AS match, {_QUOTES} AS quotes, {_case('doc_id % 6', _SHOWN)} AS shown FROM documents),
+    f AS (SELECT *, CASE WHEN doc_id % 5 = 3 THEN 'HTTP error: HTTPError 500: no' WHEN doc_id % 5 = 4 THEN 'No choices in response' WHEN content = '' THEN 'Empty content in response'
+        WHEN doc_id % 6 > 2 THEN 'No JSON found. Preview: ' || replace(substr(content, 1, 200), chr(10), ' ') || '...' WHEN doc_id % 6 = 2 THEN 'Missing ''match'' field: ' || shown END AS failure,
+      CASE WHEN doc_id % 5 = 2 THEN 'thought' ELSE regexp_replace(substr(content, 1, length(content) - strpos(reverse(content), '{{')), '^\\s+|\\s+$', '', 'g') END AS trace FROM r)
+    SELECT 'r' || doc_id || '_c1' AS custom_id, failure, CASE WHEN failure IS NULL THEN '{{"result_id": ' || doc_id || ', "category_id": 1, "match": ' || match || ', "reasoning_trace": ' || to_json(trace)::VARCHAR || ', "blockquotes": ' || quotes || '}}' END AS record FROM f""", with_corpus=False)
 def parse_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies of all kinds through the ladder of failures."""
     k = F.col("doc_id") % 5
@@ -328,12 +360,13 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importer.classify(_import_records(spark, sf_dir), known)
 
 
+_KNOWN = "WHEN doc_id % 50 = 0 THEN 'skipped'"
 _IMPORT = """WITH r AS (
       SELECT doc_id, 0 AS rank, CASE doc_id % 10 WHEN 0 THEN 'yes' WHEN 1 THEN '1' WHEN 7 THEN 'no' WHEN 8 THEN 'maybe' END AS match,
         CASE WHEN doc_id % 10 = 0 THEN 'first' WHEN doc_id % 10 = 1 THEN NULL ELSE '' END AS trace, doc_id % 10 IN (2, 3) AS ignored, doc_id % 10 = 8 AS bad,
         CASE doc_id % 10 WHEN 0 THEN ['a}', 'b'] WHEN 7 THEN ['x', 'y', 'z'] WHEN 8 THEN ['p'] ELSE [] END AS quotes FROM documents
       UNION ALL SELECT doc_id, 1, 'no', 'second', false, false, ['7'] FROM documents WHERE doc_id % 4 = 0),
-    o AS (SELECT *, CASE WHEN ignored THEN 'skipped' WHEN match IS NULL THEN 'error' WHEN doc_id % 50 = 0 THEN 'skipped'
+    o AS (SELECT *, CASE WHEN ignored THEN 'skipped' WHEN match IS NULL THEN 'error' """ + _KNOWN + """
       WHEN row_number() OVER (PARTITION BY doc_id, match IS NULL ORDER BY rank) = 1 THEN 'imported' ELSE 'skipped' END AS outcome FROM r)"""
 
 
@@ -389,6 +422,34 @@ def document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.with_ids(prep.document_rows(rows, limit=1 << 30), 11).select("filepath", "result_id")
 
 
+# Paragraphs of 60 characters, each of which fills a part: a document has as many parts as paragraphs.
+_SIZES = "doc_id % 5 + 1"
+_PARTED = f"""p AS (SELECT doc_id, source || '/' || doc_id || '.md' AS path, k, substr(sha256(doc_id || '-' || k), 1, 60) AS body FROM documents, unnest(range(1, {_SIZES} + 1)) u(k)),
+    w AS (SELECT path, 0 AS k, NULL::INT AS part_number, 'head' || chr(10) || chr(10) || string_agg(body, chr(10) || chr(10) ORDER BY k) AS content FROM p GROUP BY path),
+    every AS (SELECT path, k, part_number, content, path AS filepath FROM w UNION ALL SELECT path, k, k::INT, 'head' || chr(10) || chr(10) || body, path || '_' || k FROM p WHERE doc_id % 5 > 0),
+    numbered AS (SELECT *, (row_number() OVER (ORDER BY path, k) + 10)::BIGINT AS result_id FROM every)"""
+
+
+@query(f"""WITH {_PARTED} SELECT result_id, filepath, part_number, sha256(content) AS content_sha256,
+    CASE WHEN part_number IS NOT NULL THEN first_value(result_id) OVER (PARTITION BY path ORDER BY k) END AS parent_result_id FROM numbered""", with_corpus=False)
+def part_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of split documents: consecutive ids from 11 in path order, a document before its parts."""
+    k = F.sequence(F.lit(1), (F.col("doc_id") % 5 + 1).cast("int"))
+    body = F.array_join(F.transform(k, lambda n: F.substring(F.sha2(F.concat_ws("-", F.col("doc_id").cast("string"), n.cast("string")), 256), 1, 60)), "\n\n")
+    rows = read(spark, sf_dir, "documents").select(F.format_string("%s/%d.md", "source", "doc_id").alias("filepath"), F.concat(F.lit("head\n\n"), body).alias("content"))
+    rows = prep.document_rows(rows.withColumn("content_sha256", F.sha2("content", 256)), limit=66, size=70, overlap=0)
+    return prep.with_ids(rows, 11).select("result_id", "filepath", "part_number", "content_sha256", "parent_result_id")
+
+
+@query(f"SELECT result_id, true AS fits, sha256(regexp_replace({_BODY}, '\\s+', '', 'g')) AS text_sha256 FROM result WHERE part_number IS NULL AND length(content) > {LARGE}")
+def split_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without overlaps the parts of a document hold its text, in order and once, but for white space at their ends."""
+    rows = corpus.result(spark, sf_dir).where("part_number IS NULL").select("result_id", "content")
+    parts = split.split_documents(rows, limit=LARGE, size=3000, overlap=0).select("result_id", "part_number", text.content_body(F.col("part_content")).alias("body"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part_number", "body"))), lambda p: p["body"]), "")
+    return parts.groupBy("result_id").agg((F.max(F.length("body")) <= 3000).alias("fits"), F.sha2(F.regexp_replace(whole, r"\s+", ""), 256).alias("text_sha256"))
+
+
 @query()
 def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of documents above 4000 characters, so that small scales split too."""
@@ -410,7 +471,11 @@ def html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Inference and runs.
 
 
-@query()
+@query(f"""SELECT custom_id, result_id, category_id, 'saved' AS outcome, 1 AS attempts, '{{"result_id": ' || result_id || ', "category_id": ' || category_id || ', "match": "' || CASE WHEN len(hits) > 1 THEN 'yes' WHEN len(hits) = 1 THEN 'maybe' ELSE 'no' END
+      || '", "reasoning_trace": "' || len(hits) || ' lines hold a term.", "blockquotes": [' || array_to_string(list_transform(hits, lambda x: to_json(x)::VARCHAR), ', ') || ']}}' AS record
+    FROM (SELECT 'r' || p.result_id || '_c' || p.category_id AS custom_id, p.result_id, p.category_id,
+        list_filter(list_transform(string_split(r.content, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: p.category_id % 2 = 1 AND contains(lower(x), lower(c.category_name))) AS hits
+      FROM pending p JOIN result r ON p.result_id = r.result_id JOIN category c ON p.category_id = c.category_id)""")
 def infer_rule_backend(spark: SparkSession, sf_dir: str) -> DataFrame:
     replies = infer.infer(_requests(spark, sf_dir), infer.Rules(), concurrency=2)
     none = spark.createDataFrame([], "result_id bigint, category_id bigint")
@@ -438,16 +503,22 @@ def run_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer.run_tallies(rows).withColumn("processing_seconds", F.col("processing_seconds").cast("double"))
 
 
-@query()
+@query(f"{_IMPORT.replace(_KNOWN, '')} SELECT doc_id AS result_id, 1::BIGINT AS category_id, match, trace AS reasoning_trace FROM o WHERE outcome = 'imported'", with_corpus=False)
 def stream_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies that arrive as files, imported by a stream into a store of the shared checkpoint folder."""
+    """Replies that arrive as files, imported by a stream into a store of the shared checkpoint folder.
+
+    Files of a second source come after the first run; the stream goes on where it was, and the first record of a pair stays.
+    """
     from ..streaming.imports import stream_import as start
 
-    materialise(spark.range(1))  # makes sure that there is a folder
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stream-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "stream")
     store = CorpusStore(spark, f"{folder}/store")
     store.create()
-    records = _import_records(spark, sf_dir).select("value")
-    records.write.text(f"{folder}/replies")
-    start(store, f"{folder}/replies", f"{folder}/checkpoint", glob="part-*", by_line=True).awaitTermination()
+    records = _import_records(spark, sf_dir)
+    for rank in (0, 1):
+        records.where(F.col("source_rank") == rank).select("value").write.mode("append").text(f"{folder}/replies")
+        start(store, f"{folder}/replies", f"{folder}/checkpoint", glob="part-*", by_line=True).awaitTermination()
     return store.read("result_category").select("result_id", "category_id", "match", "reasoning_trace")
+
+
+from . import file_queries  # noqa: E402, F401  they register themselves here
