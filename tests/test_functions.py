@@ -182,3 +182,44 @@ def test_markdown():
     assert out.startswith("# Hello\n\nWorld **bold** [link](/x)\n\n* one\n* two")
     assert "no()" not in out and "t\n" not in out[:3] and "1. in" in out and "a  b" in out and "x  \ny" in out
     assert markdown.to_markdown(None) == "" and not re.search("\n{3}", out)
+
+
+def _markup(rng, depth=0):
+    """A random body as two texts: with all end tags, and without those that may be left out."""
+    full, short = "", ""
+    for _ in range(rng.randint(1, 4)):
+        word = "".join(rng.choice("abc") for _ in range(4))
+        kind = rng.choice(["p", "ul", "table", "h2", "div"] if depth < 2 else ["p", "h2"])
+        if kind == "p":
+            full, short = full + f"<p>{word} {word}</p>", short + f"<p>{word} {word}"
+        elif kind == "h2":
+            full, short = full + f"<h2>{word}</h2>", short + f"<h2>{word}</h2>"
+        elif kind == "div":
+            a, b = _markup(rng, depth + 1)
+            full, short = full + f"<div>{a}</div>", short + f"<div>{b}</div>"
+        elif kind == "ul":
+            full, short = full + f"<ul><li>{word}</li><li>x</li></ul>", short + f"<ul><li>{word}<li>x</ul>"
+        else:
+            full += f"<table><tr><th>{word}</th><th>n</th></tr><tr><td>1</td><td>2</td></tr></table>"
+            short += f"<table><tr><th>{word}<th>n<tr><td>1<td>2</table>"
+    return full, short
+
+
+def test_markdown_without_the_end_tags_that_may_be_missing():
+    rng = random.Random(21)
+    for _ in range(300):
+        full, short = _markup(rng)
+        want = markdown.to_markdown(f"<html><head><title>t</title><meta charset=x></head><body>{full}</body></html>")
+        assert want and markdown.to_markdown(f"<head><title>t</title><meta charset=x>{short}") == want, short
+        assert markdown.to_markdown(f"<title>t</title><noscript></noscript><body>{short}") == want
+    assert markdown.to_markdown("<head><title>t</title><body><p>Hello world</p>") == "Hello world"
+    assert markdown.to_markdown("<noscript>Enable it</noscript><template>no</template>yes") == "Enable ityes"
+    assert markdown.to_markdown("<table><tr><th>a<th>b<tr><td>1\n2<td><a href='/u'>x</a></table>") == "| a | b |\n| --- | --- |\n| 1 2 | [x](/u) |"
+
+
+def test_kinds_of_reasons_are_few(spark):
+    from docquarry.operators import preflight
+
+    rows = [(f"body too short ({n} chars, need 100)", n) for n in range(50)] + [(f"low printable ratio ({n / 10}%, need 85%)", 1) for n in range(2000)] + [("binary content (MP3 with ID3 tag)", 7), ("binary content (7-Zip archive)", 1)]
+    got = [(r.kind, r.documents) for r in preflight.kinds(spark.createDataFrame(rows, "reason string, documents long")).collect()]
+    assert got == [("low printable ratio (N%, need N%)", 2000), ("body too short (N chars, need N)", 1225), ("binary content (MP3 with ID3 tag)", 7), ("binary content (7-Zip archive)", 1)]

@@ -171,7 +171,7 @@ def test_http_backend_retries(spark):
     try:
         rows = [(f"r{i}_c1", json.dumps({"messages": [{}, {"content": f"{t} {i}"}]})) for i, t in enumerate(["good", "flaky", "dead", "mute"] + ["good"] * 20)]
         df = spark.createDataFrame(rows, "custom_id string, body string")
-        replies = infer.infer(df, infer.Http(f"http://127.0.0.1:{server.server_port}/"), concurrency=2, partitions=2)
+        replies = infer.infer(df, infer.Http(f"http://127.0.0.1:{server.server_port}/"), concurrency=2)
         none = spark.createDataFrame([(5, 1)], "result_id long, category_id long")
         got = {r.custom_id: r for r in infer.outcomes(replies, none).cache().collect()}
         assert [(got[f"r{i}_c1"].outcome, got[f"r{i}_c1"].attempts) for i in range(6)] == [("saved", 1), ("saved", 3), ("failed", 4), ("failed", 4), ("saved", 1), ("skipped", 1)]
@@ -245,3 +245,174 @@ def test_rules_quote_all_lines_that_hold_a_term():
     reply = infer.Rules().ask(json.dumps({"messages": [{}, {"content": user}]}))
     text = reply["choices"][0]["message"]["content"]
     assert json.loads(text[text.index("{") :])["blockquotes"] == [f"a fox {k}" for k in range(30)]
+
+
+class _Dies(Exception):
+    pass
+
+
+def _dying(store, monkeypatch, at):
+    """Let the store's ``at``-th write or publication fail."""
+    calls = {"n": 0}
+    for name in ("_write", "_publish"):
+        real = getattr(CorpusStore, name)
+
+        def step(self, *a, real=real):
+            calls["n"] += 1
+            if calls["n"] == at:
+                raise _Dies
+            return real(self, *a)
+
+        monkeypatch.setattr(CorpusStore, name, step)
+    return calls
+
+
+def test_an_import_that_dies_anywhere_leaves_nothing_half_done(spark, tmp_path, monkeypatch):
+    value = '{"result_id": %d, "category_id": 1, "match": "yes", "blockquotes": ["a", "b"]}'
+    records = spark.createDataFrame([(0, "f", k, value % k) for k in range(5)], "source_rank int, source string, line long, value string")
+    for at in (1, 2, 3):
+        store = CorpusStore(spark, str(tmp_path / f"s{at}"))
+        store.create()
+        with monkeypatch.context() as m:
+            _dying(store, m, at)
+            with pytest.raises(_Dies):
+                importer.run(store, records)
+        assert store.read("result_category").count() == store.read("result_category_blockquote").count() == 0
+        assert importer.run(store, records)["imported"] == 5 and importer.run(store, records)["skipped"] == 5
+        assert store.read("result_category").count() == 5 and sorted(r.blockquote_id for r in store.read("result_category_blockquote").collect()) == list(range(1, 11))
+
+
+def test_a_replacement_that_dies_keeps_the_old_documents(spark, tmp_path, monkeypatch):
+    row = lambda text: spark.createDataFrame([("a.md", f"h\n\n{text}" + GOOD, text)], "filepath string, content string, content_sha256 string")
+    for at in (1, 2, 3, 4, 5):
+        store = CorpusStore(spark, str(tmp_path / f"r{at}"))
+        store.create()
+        prep.sync_documents(store, row("old"))
+        store.append("result_category", spark.createDataFrame([(1, 1, "yes")], "result_id long, category_id long, match string").selectExpr("*", "'' reasoning_trace", "cast(null as timestamp) created_at"))
+        with monkeypatch.context() as m:
+            _dying(store, m, at)
+            with pytest.raises(_Dies):
+                prep.sync_documents(store, row("new"), on_change="replace")
+        assert [r.content_sha256 for r in store.read("result").collect()] == ["old"] and store.read("result_category").count() == 1
+        prep.sync_documents(store, row("new"), on_change="replace")
+        assert [r.content_sha256 for r in store.read("result").collect()] == ["new"] and store.read("result_category").count() == 0
+
+
+def test_folders_are_compacted_and_vacuumed(spark, store):
+    row = spark.createDataFrame([("a", "r", "s", None)], "filepath string, reason string, content_sha256 string, excluded_at timestamp")
+    for _ in range(4):
+        store.append("excluded_file", row)
+    assert store.compact(3) == ["excluded_file"] and store.compact(3) == []
+    assert len(store.versions("excluded_file")) == 1 and store.read("excluded_file").count() == 4
+    assert store.vacuum() == 4 and store.read("excluded_file").count() == 4
+
+
+class _DiesAfter:
+    """A backend that a run loses after some replies."""
+
+    def __init__(self, folder, most):
+        self.folder, self.most = folder, most
+
+    def ask(self, body):
+        import os
+        import uuid
+
+        if self.most is not None and len(os.listdir(self.folder)) >= self.most:
+            raise SystemExit("gone")
+        open(os.path.join(self.folder, uuid.uuid4().hex), "w").close()
+        return infer.Rules().ask(body)
+
+
+def test_a_run_that_dies_keeps_the_waves_before(spark, store, folders):
+    verbs.prep_db(store, str(folders / "in"), str(folders / "prompts"))
+    (folders / "calls").mkdir()
+    total = pairs.count_pending(store.read("result"), store.read("category"), store.read("result_category")).first().pending
+    config = verbs.InferenceConfig(concurrency=1, attempts=1, wave=2, partitions=2)
+    ask = lambda most: verbs.process(store, str(folders / "prompts"), "system", str(folders / "out"), _DiesAfter(str(folders / "calls"), most), config)
+    with pytest.raises(Exception):
+        ask(4)
+    kept = files.completed_pairs(files.reply_records(spark, str(folders / "out"))).count()
+    assert kept == 4
+    out = ask(None)
+    assert out["saved"] == total - kept and len(list((folders / "calls").iterdir())) == total
+    assert verbs.import_results(store, str(folders / "out"))["imported"] == total
+
+
+@pytest.mark.parametrize("reply", [["x"], "x", 5, {"choices": ["x"]}, {"choices": {"a": 1}}, {"choices": [{"message": ["x"]}]}, {"choices": [{"message": {"content": ["x"]}}]}, {"choices": [{"message": {"content": "{}", "reasoning_content": 5}}]}])
+def test_replies_of_odd_forms_are_failures(reply):
+    class Odd:
+        def ask(self, body):
+            return reply
+
+    row = infer.attempt(Odd(), "r1_c1", "{}")
+    assert row[3].startswith("Exception: TypeError") and not row[4]
+
+
+def test_replies_without_content_are_told_apart():
+    assert infer.read_reply(None)[3:] == (False, False) and infer.read_reply({})[3:] == (True, False) and infer.read_reply({"choices": [{}]}) == (None, None, None, True, True)
+
+
+def test_a_large_reply_file_is_many_splits_in_order(spark, tmp_path):
+    lines = [json.dumps({"result_id": k % 50, "category_id": 1, "match": "yes", "reasoning_trace": str(k)}) for k in range(5000)]
+    (tmp_path / "results.jsonl").write_text("\r\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        records = files.jsonl_records(spark, str(tmp_path / "results.jsonl"))
+        assert records.rdd.getNumPartitions() > 5
+        assert [r.value for r in records.orderBy("source_rank", "source", "line").collect()] == lines
+        none = spark.createDataFrame([], "result_id long, category_id long")
+        assert sorted(int(r.reasoning_trace) for r in importer.new_verdicts(importer.classify(records, none)).collect()) == list(range(50))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_pages_that_are_there_are_not_downloaded_again(spark, tmp_path):
+    class Counting(_Pages):
+        def fetch(self, time, url):
+            open(tmp_path / f"asked-{url[-1]}", "x").close()
+            return super().fetch(time, url)
+
+    base = "https://web.archive.org/web/20040701020553/http://e.org/"
+    verbs.fetch(spark, str(tmp_path / "md"), [base + "a"], Counting())
+    out = verbs.fetch(spark, str(tmp_path / "md"), [base + "a", base + "b"], Counting())  # a second request for the first page would raise
+    assert (out["written"], out["skipped"], out["failed"]) == (1, 1, 0)
+
+
+def test_reports_come_in_order(spark):
+    from docquarry.plans import corpus
+
+    t = corpus.corpus(spark, "/root/testdata/sf0.001")
+    for view, keys in ((views.document_blockquotes, ("document_id", "category_id")), (views.blockquotes_by_category, ("result_id", "category_id"))):
+        rows = [tuple(r[k] for k in keys) for r in view(t).collect()]
+        assert len(rows) > 5 and rows == sorted(rows)
+    done = spark.createDataFrame([], "result_id long, category_id long")
+    rows = list(map(tuple, pairs.pending_pairs(t["result"], t["category"], done).collect()))
+    assert rows == sorted(rows)
+    reasons = [(r.documents, r.reason) for r in preflight.reasons(preflight.scan(t["result"], min_length=3000)).collect()]
+    assert len(reasons) > 5 and reasons == sorted(reasons, key=lambda x: (-x[0], x[1]))
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from docquarry import scratch
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isEmpty=lambda: True)))
+
+    session = SimpleNamespace(sparkContext=Context(), conf=SimpleNamespace(get=lambda key, default: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.checkpoint_folder(session)
+
+
+def test_thresholds_from_the_command_line(spark, folders, capsys):
+    try:
+        cli.main(["prep-db", "--store", str(folders / "t"), "--input-dir", str(folders / "in"), "--prompts-dir", str(folders / "prompts"), "--min-length", "1000"], spark)
+        assert json.loads(capsys.readouterr().out)["skipped"] == 4
+    finally:
+        from docquarry.functions import text
+
+        for setting, _ in text.SETTINGS.values():
+            spark.conf.unset(setting)
