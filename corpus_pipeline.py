@@ -18,13 +18,12 @@ tests hold it against a brute-force version.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm import language, mixing, pieces, pii, simhash
-from docquarry.llm.common import ensure_checkpoint_dir, table
+from docquarry.llm.common import table
+from docquarry.scratch import new_folder, remove
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,11 +55,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between them is in the shared checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``.
+
+    What lies between them is beside the checkpoints; a stage's table goes when the next one is written, and the last
+    one's when the session ends.
+    """
+    folder = new_folder(spark, "pipeline")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
     return docs
