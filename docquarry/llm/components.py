@@ -38,19 +38,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """``node, root`` for every node of ``edges`` (columns u, v) but the roots themselves."""
+def components(edges: DataFrame) -> DataFrame:
+    """``node, root`` for every node of ``edges`` (columns u, v) but the roots themselves.
+
+    Rounds end when nothing changes: their number grows with the logarithm of the longest path.
+    """
     pairs = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = cut(pairs)
     before = _state(pairs)
-    for _ in range(most_rounds):
-        if not before[0]:
-            break
+    while before[0]:
         pairs = cut(_star(_star(pairs, True), False))
         after = _state(pairs)
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError("components did not settle")
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -1,45 +1,63 @@
 """WARC from legacy archives: ARC records converted, deduplicated, written and read back.
 
-``pack_arc`` writes rows as ARC files (version 1 or 2), ``convert_arc`` parses
-the version block, the version's header fields and the declared lengths and
-synthesises what WARC needs: record identifiers, dates, types and digests.
-``deduplicate`` marks all but the first of equal payloads as revisits,
-``pack_warc`` writes archives, and ``read_warc`` reads them.  An archive is one
-row ``(archive, content)``; archives lie in a table of a shared folder, written
-by Spark's own committer, so a lost executor's files are written again.
-
-Payload copies never meet in one task: the first of each digest comes from a
-grouped minimum, and the join that hands it out splits skewed digests.
+``convert_arc`` reads any ARC files (versions 1 and 2, plain or as gzip members,
+one after another too): the version block, the version's header fields and the
+declared lengths.  It synthesises what WARC needs: record types (an HTTP reply
+is a response, anything else, such as a ``dns:`` record, a resource, a version block
+a warcinfo record), identifiers, dates, payload digests.  ``deduplicate`` marks all but
+the first of equal payloads as revisits, ``pack_warc`` writes archives and
+``read_warc`` reads them.  ``pack_arc`` writes rows as ARC files; a row's key
+travels in the HTTP header that it writes.  An archive is one row
+``(archive, content)`` of a table, written by Spark's own committer, so a lost
+executor's files are written again.
+
+Bad input is rows, not exceptions: a record that can't be read is a row with
+``error`` set, and reading goes on at the next header line.
+
+Payloads never move between tasks to meet their copies: digests that occur twice
+or more are counted on narrow rows, and handed to the records by a join that is
+a broadcast while they are few.
 
 Defined results: a null payload is empty; a null URL is ``urn:none``; rows with
-the payload and the identifier of the response are responses too (repeated
-rows); null identifiers come last; an empty table gives no archives; other
-columns are ignored.
+the payload and the key of the response are responses too (repeated rows); null
+keys come last; a date that is none is ``NO_DATE``; an empty table gives no
+archives; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import datetime
 import hashlib
+import re
 import uuid
-from collections.abc import Iterator
-from urllib.parse import quote
+import zlib
+from collections.abc import Iterable, Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_bytes, ensure_checkpoint_dir, utf8
+from .common import bound_batches, by_bytes, new_folder, small, utf8
 
 #: The header fields of the two ARC versions.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
-#: Bytes of payload in one archive, about; and the date of records without one.
-ARCHIVE_BYTES, NO_DATE = 4 << 20, "19960101000000"
+#: Bytes of payload in one archive, about; the most that a compressed archive may hold; the date of records without one.
+ARCHIVE_BYTES, MOST_BYTES, NO_DATE = 4 << 20, 1 << 30, "19960101000000"
+#: Where a reader takes up again after a bad record: a line that looks like a header.
+_HEADER = re.compile(rb"^[A-Za-z][A-Za-z0-9+.-]{0,20}:[^\r\n]{0,4096} [0-9A-Fa-f.:]{2,45} [0-9]{4,14} [^\r\n]{1,2048} [0-9]{1,18}\r?$", re.M)
+_KEY = "X-Source-Key"
 
-RECORD = "key {key}, uri string, date string, mime string, block binary, payload_bytes long, payload_digest string"
+RECORD = "archive string, at long, type string, key string, uri string, date string, ip string, mime string, block binary, payload_bytes long, payload_digest string, error string"
+_RECORD = pa.schema(
+    [("archive", pa.string()), ("at", pa.int64()), *((x, pa.string()) for x in ("type", "key", "uri", "date", "ip", "mime")), ("block", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("error", pa.string())]
+)
+FOUND = "archive string, key string, payload_bytes long, payload_digest string, record_type string, refers_to string, record_id string, uri string, date string, error string"
+_FOUND = pa.schema([(x.split(" ")[0], pa.int64() if x.endswith("long") else pa.string()) for x in FOUND.split(", ")])
 
 
 def sha1_base32(data: bytes) -> str:
@@ -51,51 +69,93 @@ def _clean(uri: str | None) -> str:
     return quote(uri, safe="".join(map(chr, range(0x21, 0x7F)))) if uri else "urn:none"
 
 
-def arc_file(name: str, version: int, records: list[tuple[str | None, bytes]], date: str = NO_DATE) -> bytes:
-    """An ARC file of (URL, payload) records; version 2 when asked for."""
+def arc_file(name: str, version: int, records: Iterable[tuple], date: str = NO_DATE, gzip: bool = False) -> bytes:
+    """An ARC file of (URL, payload) or (URL, payload, key) records; version 2 when asked for, and records as gzip members."""
     fields = ARC_FIELDS[version].encode()
     about = f"{version} 0 docquarry\n".encode() + fields + b"\n"
     rest = f"200 - - 0 {name} " if version == 2 else ""
-    out = [f"filedesc://{name} 0.0.0.0 {date} text/plain {rest}{len(about)}\n".encode(), about]
-    at = sum(map(len, out))
-    for uri, payload in records:
-        block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload
+    out = [f"filedesc://{name} 0.0.0.0 {date} text/plain {rest}{len(about)}\n".encode() + about]
+    at = len(out[0])
+    for uri, payload, *key in records:
+        named = f"{_KEY}: {quote(str(key[0]))}\r\n".encode() if key and key[0] is not None else b""
+        block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + named + b"Content-Length: %d\r\n\r\n" % len(payload) + payload
         extra = f"200 {sha1_base32(block)} - {at} {name} " if version == 2 else ""
-        head = f"\n{_clean(uri)} 0.0.0.0 {date} text/html {extra}{len(block)}\n".encode()
-        out += [head, block]
-        at += len(head) + len(block)
+        out.append(f"\n{_clean(uri)} 0.0.0.0 {date} text/html {extra}{len(block)}\n".encode() + block)
+        at += len(out[-1])
+    if gzip:
+        out = [zlib.compress(x, wbits=31) for x in out]
     return b"".join(out)
 
 
+def unpacked(data: bytes) -> tuple[bytes, list[str]]:
+    """An archive's bytes, its gzip members put together; what is wrong with members that can't be read."""
+    if not data.startswith(b"\x1f\x8b"):
+        return data, []
+    out, held, at, errors = [], 0, 0, []
+    view = memoryview(data)
+    while 0 <= at < len(data) and held < MOST_BYTES:
+        member, start, parts = zlib.decompressobj(31), at, []
+        try:
+            while not member.eof and at < len(data) and held < MOST_BYTES:  # small steps: what is left over is copied
+                parts.append(member.decompress(member.unconsumed_tail or view[at : at + 65536], MOST_BYTES - held))
+                at += 0 if member.unconsumed_tail else 65536
+                held += len(parts[-1])
+            if not member.eof:
+                raise zlib.error("cut short, or too large")
+            at = min(at, len(data)) - len(member.unused_data)
+            out += parts
+        except zlib.error as e:
+            errors.append(f"gzip member at {start}: {e}")
+            at = data.find(b"\x1f\x8b\x08", start + 1)
+    return b"".join(out), errors
+
+
 def parse_arc(data: bytes) -> Iterator[dict]:
-    """Records of an ARC file as dictionaries of the version's fields, and ``block``."""
+    """Records of an ARC file: dictionaries of the version's fields with ``at`` and ``block``, or of ``at`` and ``error``.
+
+    Version blocks have ``version``.
+    """
     fields: list[str] = []
     at = 0
     while at < len(data):
-        if data[at : at + 1] == b"\n":  # between records
+        if data[at] in b"\r\n":  # between records
             at += 1
             continue
         end = data.find(b"\n", at)
-        if end < 0:
-            raise ValueError("ARC header line without an end")
+        end = len(data) if end < 0 else end
         line = data[at:end].rstrip(b"\r").decode("utf-8", "replace")
-        first = not fields
-        length = int(line.rpartition(" ")[2])
-        block = data[end + 1 : end + 1 + length]
-        if len(block) < length:
-            raise ValueError("ARC record shorter than its declared length")
-        at = end + 1 + length
-        if first:
-            if not line.startswith("filedesc:"):
-                raise ValueError("ARC file without a version block")
-            fields = block.split(b"\n")[1].decode().split()
-            if block[:2] not in (b"1 ", b"2 ") or fields != ARC_FIELDS[int(block[:1])].split():
-                raise ValueError("unknown ARC version")
-            continue
-        values = line.rsplit(" ", len(fields) - 1)  # old URLs may hold spaces
-        if len(values) < len(fields):
-            raise ValueError(f"ARC header line with {len(values)} fields")
-        yield dict(zip(fields, values)) | {"block": block}
+        try:
+            size = line.rpartition(" ")[2]
+            if not re.fullmatch("[0-9]{1,18}", size):
+                raise ValueError("header line without a length")
+            block = data[end + 1 : end + 1 + int(size)]
+            if len(block) < int(size):
+                raise ValueError("record shorter than its declared length")
+            about = line.startswith("filedesc:")
+            if about:
+                fields = _fields(block)
+            elif not fields:
+                fields = ARC_FIELDS[1].split()  # the commoner version; the record counts as well
+                yield {"at": at, "error": "no version block"}
+            values = line.rsplit(" ", len(fields) - 1)  # old URLs may hold spaces
+            if len(values) < len(fields):
+                raise ValueError(f"header line with {len(values)} fields")
+            yield dict(zip(fields, values)) | {"at": at, "block": block} | ({"version": block[:1].decode()} if about else {})
+            at = end + 1 + int(size)
+        except ValueError as e:
+            yield {"at": at, "error": str(e)}
+            found = _HEADER.search(data, end)
+            at = found.start() if found else len(data)
+
+
+def _fields(block: bytes) -> list[str]:
+    """The header fields that a version block declares."""
+    lines = block.split(b"\n")
+    version = lines[0].split(b" ")[0]
+    fields = lines[1].decode("utf-8", "replace").split() if len(lines) > 1 else []
+    if version not in (b"1", b"2") or fields != ARC_FIELDS[int(version)].split():
+        raise ValueError("unknown ARC version")
+    return fields
 
 
 def payload_of(block: bytes) -> bytes:
@@ -106,148 +166,210 @@ def payload_of(block: bytes) -> bytes:
     return payload if found else block.partition(b"\n\n")[2]
 
 
+def source_key(block: bytes) -> str | None:
+    """The key that ``pack_arc`` put into a block's HTTP header."""
+    head = block.partition(b"\r\n\r\n")[0] if block.startswith(b"HTTP/") else b""
+    found = re.search(rb"\r\n" + _KEY.encode() + rb": ([^\r\n]*)", head)
+    return unquote(found[1].decode("utf-8", "replace")) if found else None
+
+
 def warc_date(date: str) -> str:
-    digits = (date if date.isdigit() else NO_DATE)[:14].ljust(14, "0")
-    return f"{digits[:4]}-{digits[4:6]}-{digits[6:8]}T{digits[8:10]}:{digits[10:12]}:{digits[12:14]}Z"
+    """An ARC date as a WARC date; months and days that are missing are the first ones."""
+    digits = date[:14] if re.fullmatch("[0-9]{4,}", date) else NO_DATE
+    digits += "00000101000000"[len(digits) :]
+    try:
+        return datetime.datetime.strptime(digits, "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ").rjust(20, "0")
+    except ValueError:
+        return warc_date(NO_DATE)
 
 
 def record_id(uri: str, date: str, key: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{uri} {date} {key}')}>"
 
 
-def pack_arc(df: DataFrame, *, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html", version: int | None = None) -> DataFrame:
-    """``keys array, content binary``: ARC files of the rows; versions alternate unless one is given."""
+def pack_arc(df: DataFrame, *, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html", version: int | None = None, gzip: bool = False) -> DataFrame:
+    """``archive string, content binary``: ARC files of the rows, which keep their ids as keys; versions alternate unless one is given."""
     bound_batches(df.sparkSession)
-    narrow = df.select(df[id_column].alias("key"), df[url_column].alias("url"), df[payload_column].alias("payload"))
-    kind = dict(narrow.dtypes)["key"]
+    narrow = df.select(df[id_column].cast("string").alias("key"), df[url_column].alias("url"), df[payload_column].alias("payload"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n, batch in enumerate(by_bytes(batches, "payload", ARCHIVE_BYTES)):
-            rows = list(zip(batch.column(1).to_pylist(), (x or b"" for x in utf8(batch.column(2)))))
-            content = arc_file("part.arc", version or 1 + n % 2, rows)
-            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_pylist()], pa.list_(batch.column(0).type)), pa.array([content], pa.binary())], ["keys", "content"])
-
-    return narrow.mapInArrow(run, f"keys array<{kind}>, content binary")
+            rows = zip(batch.column(1).to_pylist(), (x or b"" for x in utf8(batch.column(2))), batch.column(0).to_pylist())
+            content = arc_file("part.arc", version or 1 + n % 2, rows, gzip=gzip)
+            yield pa.RecordBatch.from_arrays([pa.array([f"{hashlib.sha1(content).hexdigest()[:16]}.arc"]), pa.array([content], pa.binary())], ["archive", "content"])
+
+    return narrow.mapInArrow(run, "archive string, content binary")
+
+
+def _rows_of(rows: Iterable[tuple], schema: pa.Schema, block: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of rows, each of about ``ARCHIVE_BYTES`` of blocks at most."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += len(row[block] or b"") if block is not None else 0
+        if size > ARCHIVE_BYTES or len(held) >= 4096:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
+
+
+def converted(name: str | None, content: bytes | None) -> Iterator[tuple]:
+    """Rows of ``RECORD`` for one ARC file."""
+    data, errors = unpacked(content or b"")
+    for e in errors:
+        yield (name, None, *[None] * 9, e)
+    for r in parse_arc(data):
+        if "error" in r:
+            yield (name, r["at"], *[None] * 9, r["error"])
+            continue
+        block = r["block"]
+        payload = payload_of(block)
+        kind = "warcinfo" if "version" in r else "response" if block.startswith(b"HTTP/") else "resource"
+        yield name, r["at"], kind, source_key(block), r["URL"], warc_date(r["Archive-date"]), r["IP-address"], r["Content-type"], block, len(payload), sha1_base32(payload), None
 
 
-def convert_arc(archives: DataFrame, *, with_block: bool = True) -> DataFrame:
-    """One row for each ARC record, with what its WARC record needs; ``block`` is null unless asked for."""
-    key = dict(archives.dtypes)["keys"][len("array<") : -1]
+def convert_arc(archives: DataFrame) -> DataFrame:
+    """One row of ``RECORD`` for each record of ARC files (``archive, content``), and for each thing that is wrong with them."""
+    bound_batches(archives.sparkSession, 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                keys = batch.column(0)[i].values
-                out: list[list] = [[], [], [], [], [], []]
-                for record in parse_arc(batch.column(1)[i].as_py()):
-                    payload = payload_of(record["block"])
-                    row = record["URL"], warc_date(record["Archive-date"]), record["Content-type"], record["block"] if with_block else None, len(payload), sha1_base32(payload)
-                    for to, value in zip(out, row):
-                        to.append(value)
-                types = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string()]
-                yield pa.RecordBatch.from_arrays([keys, *map(pa.array, out, types)], ["key", "uri", "date", "mime", "block", "payload_bytes", "payload_digest"])
-
-    return archives.mapInArrow(run, RECORD.format(key=key))
-
-
-def deduplicate(records: DataFrame, digests: DataFrame, *, min_bytes: int = 0) -> DataFrame:
-    """``records`` with ``refers_to``: the smallest key with the same payload, null for responses."""
-    firsts = digests.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(F.min("key").alias("first"))
-    refers = F.when(~F.col("key").eqNullSafe(F.col("first")), F.col("first"))
-    return records.join(firsts, "payload_digest", "left").withColumn("refers_to", refers).drop("first")
-
-
-def warc_record(kind: str, key: object, uri: str, date: str, mime: str, block: bytes, payload_bytes: int, digest: str, first: object) -> bytes:
-    """One WARC record; a revisit keeps the HTTP header of its block alone."""
-    if kind == "revisit":
-        block = block[: len(block) - payload_bytes]
+            for name, content in zip(batch.column(0), batch.column(1)):
+                yield from _rows_of(converted(name.as_py(), content.as_py()), _RECORD, block=8)
+
+    return archives.select("archive", "content").mapInArrow(run, RECORD)
+
+
+def deduplicate(records: DataFrame, *, key: str = "bigint", min_bytes: int = 0) -> DataFrame:
+    """``records`` (readable ones) with ``first``, the record of equal payload that a revisit refers to; null for all others.
+
+    The first has the smallest key, compared as ``key``'s type.  Only digests that occur twice meet the records again.
+    """
+    records = records.where("error IS NULL")
+    able = (F.col("type") != "warcinfo") & (F.col("payload_bytes") >= min_bytes)
+    order = F.struct(F.col("key").isNull(), F.col("key").try_cast(key), "key", "uri", "date", "archive", "at")
+    firsts = records.where(able).groupBy("payload_digest").agg(F.min_by(F.struct("key", "uri", "date", "archive", "at"), order).alias("first"), F.count("*").alias("n"))
+    firsts = small(firsts.where("n > 1").select(F.col("payload_digest").alias("digest"), "first"))
+    same = F.when(F.col("key").isNotNull(), F.col("key").eqNullSafe(F.col("first.key"))).otherwise(F.col("first.key").isNull() & (F.col("archive") == F.col("first.archive")) & (F.col("at") == F.col("first.at")))
+    return records.join(firsts, able & (F.col("payload_digest") == F.col("digest")), "left").withColumn("first", F.when(~same, F.col("first"))).drop("digest")
+
+
+def _identity(r: dict) -> str:
+    return record_id(r["uri"], r["date"], r["key"] if r["key"] is not None else f"{r['archive']}:{r['at']}")
+
+
+def warc_record(r: dict) -> bytes:
+    """One WARC record of a row of ``RECORD`` with ``first``; a revisit keeps the HTTP header of its block alone."""
+    first, block, kind = r.get("first"), r["block"], r["type"]
     head = {
-        "WARC-Type": kind,
-        "WARC-Record-ID": record_id(uri, date, key),
-        "WARC-Target-URI": uri,
-        "WARC-Date": date,
-        "WARC-Payload-Digest": f"sha1:{digest}",
-        "WARC-Block-Digest": f"sha1:{sha1_base32(block)}",
-        "Content-Type": "application/http; msgtype=response" if block.startswith(b"HTTP/") else mime,
-        "Content-Length": len(block),
-        "X-Source-Key": key,
-        "X-Payload-Length": payload_bytes,
+        "WARC-Type": "revisit" if first else kind,
+        "WARC-Record-ID": _identity(r),
+        "WARC-Target-URI": None if kind == "warcinfo" else r["uri"],
+        "WARC-Date": r["date"],
+        "WARC-IP-Address": r["ip"] if re.fullmatch(r"[0-9A-Fa-f.:]+", r["ip"] or "") and r["ip"] != "0.0.0.0" else None,
+        "WARC-Filename": r["uri"].removeprefix("filedesc://") if kind == "warcinfo" else None,
+        "WARC-Payload-Digest": None if kind == "warcinfo" else f"sha1:{r['payload_digest']}",
+        "Content-Type": "application/http; msgtype=response" if kind == "response" else r["mime"],
+        _KEY: None if r["key"] is None else quote(r["key"]),
+        "X-Payload-Length": r["payload_bytes"],
     }
-    if kind == "revisit":
-        head |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "X-Refers-To-Key": first}
+    if first:
+        block = block[: len(block) - r["payload_bytes"]]
+        head |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": _identity(first), "WARC-Refers-To-Target-URI": first["uri"], "WARC-Refers-To-Date": first["date"]}
+        head["X-Refers-To-Key"] = None if first["key"] is None else quote(first["key"])
+    head |= {"WARC-Block-Digest": f"sha1:{sha1_base32(block)}", "Content-Length": len(block)}
     lines = "".join(f"{k}: {v}\r\n" for k, v in head.items() if v is not None)
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of a WARC file."""
+def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """Headers and block of each record of a WARC file; a record that can't be read is ``{"error": ...}`` without a block."""
     at = 0
     while at < len(data):
         end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError("WARC record without a header")
-        head = dict(x.split(": ", 1) for x in data[at:end].decode().split("\r\n")[1:])
-        length = int(head["Content-Length"])
-        block = data[end + 4 : end + 4 + length]
-        if len(block) < length or data[end + 4 + length : end + 8 + length] != b"\r\n\r\n":
-            raise ValueError("WARC record shorter than its declared length")
-        yield head, block
-        at = end + 8 + length
+        try:
+            if end < 0 or not data.startswith(b"WARC/", at):
+                raise ValueError("record without a header")
+            lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+            head = dict(x.split(": ", 1) for x in lines if ": " in x)
+            size = head.get("Content-Length", "")
+            if not re.fullmatch("[0-9]{1,18}", size):
+                raise ValueError("record without a length")
+            after = end + 4 + int(size)
+            if data[after : after + 4] != b"\r\n\r\n":
+                raise ValueError("record shorter or longer than its declared length")
+            yield head, data[end + 4 : after]
+            at = after + 4
+        except ValueError as e:
+            yield {"error": str(e)}, None
+            at = data.find(b"WARC/1.", at + 1)
+            if at < 0:
+                return
 
 
 def pack_warc(records: DataFrame) -> DataFrame:
-    """``records`` as WARC archives, rows of ``archive, content``."""
+    """Rows of ``RECORD`` with ``first`` as WARC archives, rows of ``archive, content``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "block", ARCHIVE_BYTES):
-            rows = batch.to_pylist()
-            content = b"".join(
-                warc_record("response" if r["refers_to"] is None else "revisit", r["key"], r["uri"], r["date"], r["mime"], r["block"], r["payload_bytes"], r["payload_digest"], r["refers_to"])
-                for r in rows
-            )
-            name = f"{hashlib.sha1(content).hexdigest()[:16]}.warc"
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([content], pa.binary())], ["archive", "content"])
+            content = b"".join(map(warc_record, batch.to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array([f"{hashlib.sha1(content).hexdigest()[:16]}.warc"]), pa.array([content], pa.binary())], ["archive", "content"])
 
     return records.mapInArrow(run, "archive string, content binary")
 
 
-def read_warc(archives: DataFrame, key: str = "bigint") -> DataFrame:
-    """One row for each WARC record: the digest of a response is computed again from its block."""
+def found_in(name: str, content: bytes) -> Iterator[tuple]:
+    """Rows of ``FOUND`` for one WARC file; digests are computed again from the blocks."""
+    for head, block in parse_warc(content):
+        error = head.get("error")
+        kind, digest = head.get("WARC-Type"), head.get("WARC-Payload-Digest", "").removeprefix("sha1:")
+        if error is None and sha1_base32(block) != head.get("WARC-Block-Digest", "").removeprefix("sha1:"):
+            error = "block with another digest than declared"
+        if error is None and kind in ("response", "resource") and sha1_base32(payload_of(block)) != digest:
+            error = "payload with another digest than declared"
+        if error is not None:
+            yield (name, *[None] * 8, error)
+            continue
+        key, refers = ((None if x is None else unquote(x)) for x in (head.get(_KEY), head.get("X-Refers-To-Key")))
+        size = len(payload_of(block)) if kind != "revisit" else int(head.get("X-Payload-Length", "0"))
+        yield name, key, size, digest or None, kind, refers, head.get("WARC-Record-ID"), head.get("WARC-Target-URI"), head.get("WARC-Date"), None
+
+
+def read_warc(archives: DataFrame) -> DataFrame:
+    """One row of ``FOUND`` for each WARC record of archives (``archive, content``), and for each that can't be read."""
+    bound_batches(archives.sparkSession, 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(batch.schema.get_field_index("content")):
-                rows = []
-                for head, block in parse_warc(content.as_py()):
-                    digest, size = head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"])
-                    if sha1_base32(block) != head["WARC-Block-Digest"].removeprefix("sha1:"):
-                        raise ValueError("WARC block with another digest than declared")
-                    if head["WARC-Type"] == "response":
-                        payload = payload_of(block)
-                        if sha1_base32(payload) != digest or len(payload) != size:
-                            raise ValueError("WARC payload with another digest than declared")
-                    rows.append((head.get("X-Source-Key"), size, digest, head["WARC-Type"], head.get("X-Refers-To-Key"), head["WARC-Record-ID"], head["WARC-Target-URI"], head["WARC-Date"]))
-                names = ["key", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "uri", "date"]
-                types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names) if rows else pa.RecordBatch.from_pylist([], pa.schema(list(zip(names, types))))
-
-    text = "key string, payload_bytes long, payload_digest string, record_type string, refers_to string, record_id string, uri string, date string"
-    found = archives.mapInArrow(run, text)
-    return found.withColumns({c: F.col(c).cast(key) for c in ("key", "refers_to")})
+            for name, content in zip(batch.column(0), batch.column(1)):
+                yield from _rows_of(found_in(name.as_py(), content.as_py() or b""), _FOUND)
+
+    return archives.select("archive", "content").mapInArrow(run, FOUND)
+
+
+def to_warc(arcs: DataFrame, folder: str, *, key: str = "bigint", min_bytes: int = 0) -> DataFrame:
+    """Convert ARC files into WARC archives under ``folder/warc``; rows of what could not be read.
+
+    Records are written once on the way, compressed: each archive is parsed once, and the count of digests reads
+    no payloads.
+    """
+    spark = arcs.sparkSession
+    convert_arc(arcs).write.option("compression", "zstd").parquet(f"{folder}/records")
+    records = spark.read.schema(RECORD).parquet(f"{folder}/records")
+    pack_warc(deduplicate(records, key=key, min_bytes=min_bytes)).write.option("compression", "zstd").parquet(f"{folder}/warc")
+    return records.where("error IS NOT NULL").select("archive", "at", "error")
 
 
 def archive_pages(df: DataFrame, folder: str | None = None, *, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html", min_bytes: int = 0) -> DataFrame:
     """Write a WARC record for each row, by way of ARC files, and read the archives back.
 
-    ``folder`` must be shared by all executors; the default is a new one in the
-    checkpoint folder.
+    ``folder`` must be shared by all executors; the default is a new one beside the
+    checkpoints, which goes when the session ends.
     """
-    spark = df.sparkSession
-    arcs = pack_arc(df, id_column=id_column, url_column=url_column, payload_column=payload_column)
-    records = deduplicate(convert_arc(arcs), convert_arc(arcs, with_block=False), min_bytes=min_bytes)
-    if folder is None:
-        ensure_checkpoint_dir(spark)
-        folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/warc-{uuid.uuid4().hex}"
-    pack_warc(records).write.parquet(folder)
-    found = read_warc(spark.read.schema("archive string, content binary").parquet(folder), dict(df.dtypes)[id_column])
-    return found.select(F.col("key").alias(id_column), "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "uri", "date")
+    spark, kind = df.sparkSession, dict(df.dtypes)[id_column]
+    folder = folder or new_folder(spark, "warc")
+    to_warc(pack_arc(df, id_column=id_column, url_column=url_column, payload_column=payload_column), folder, key=kind, min_bytes=min_bytes)
+    found = read_warc(spark.read.schema("archive string, content binary").parquet(f"{folder}/warc")).where("record_type <> 'warcinfo' OR error IS NOT NULL")
+    return found.select(F.col("key").cast(kind).alias(id_column), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"), "record_id", "uri", "date", "error")

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 
 import pytest
 
@@ -10,30 +11,108 @@ def digest(data):
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+RECORDS = [("http://a.example/x y", b"<p>1</p>"), (None, b""), ("http://b.example/", b"\n\nfiledesc://no\n" * 3), ("http://é.example/", "é".encode())]
+
+
 @pytest.mark.parametrize("version", [1, 2])
-def test_arc_versions_are_parsed(version):
-    records = [("http://a.example/x y", b"<p>1</p>"), (None, b""), ("http://b.example/", b"\n\nfiledesc://no\n" * 3), ("http://é.example/", "é".encode())]
-    data = warc.arc_file("a.arc", version, records, "19990102030405")
-    got = list(warc.parse_arc(data))
-    assert [warc.payload_of(r["block"]) for r in got] == [p for _, p in records]
+@pytest.mark.parametrize("gzip", [False, True])
+def test_arc_versions_are_parsed(version, gzip):
+    data, errors = warc.unpacked(warc.arc_file("a.arc", version, RECORDS, "19990102030405", gzip))
+    about, *got = warc.parse_arc(data)
+    assert about["version"] == str(version) and not errors
+    assert [warc.payload_of(r["block"]) for r in got] == [p for _, p in RECORDS]
     assert [r["URL"] for r in got] == ["http://a.example/x%20y", "urn:none", "http://b.example/", "http://%C3%A9.example/"]
     assert {r["Archive-date"] for r in got} == {"19990102030405"} and got[0].keys() >= set(warc.ARC_FIELDS[version].split())
-    assert warc.warc_date("19990102030405") == "1999-01-02T03:04:05Z" and warc.warc_date("1999") == "1999-00-00T00:00:00Z"
 
 
-def test_old_urls_with_spaces_and_bad_archives():
-    data = warc.arc_file("a.arc", 1, [("http://a.example/", b"x")]).replace(b"http://a.example/ ", b"http://a.example/b c ")
-    assert next(warc.parse_arc(data))["URL"] == "http://a.example/b c"
-    with pytest.raises(ValueError):
-        list(warc.parse_arc(data[:-1]))
-    with pytest.raises(ValueError):
-        list(warc.parse_arc(data.replace(b"1 0 docquarry", b"3 0 docquarry")))
+@pytest.mark.parametrize("date, want", [("19990102030405", "1999-01-02T03:04:05Z"), ("1999", "1999-01-01T00:00:00Z"), ("199912", "1999-12-01T00:00:00Z"), ("19991301000000", "1996-01-01T00:00:00Z"), ("no", "1996-01-01T00:00:00Z"), ("20000230", "1996-01-01T00:00:00Z")])
+def test_dates_are_dates(date, want):
+    assert warc.warc_date(date) == want
+
+
+def test_archives_that_others_wrote(spark):
+    """No keys, records that are no HTTP, URLs with spaces, several files in one, addresses."""
+    about = b"1 0 someone\nURL IP-address Archive-date Content-type Archive-length\n"
+    dns = b"20000101000000\na.example. 60 IN A 10.0.0.1\n"
+    page = b"HTTP/1.0 200 OK\nContent-Type: text/html\n\nhello"
+    one = b"filedesc://x.arc 0.0.0.0 20000101000000 text/plain %d\n" % len(about) + about
+    data = one + b"\ndns:a.example 10.0.0.53 20000101000000 text/dns %d\n" % len(dns) + dns + b"\nhttp://a.example/b c 10.0.0.1 20000101000001 text/html %d\n" % len(page) + page
+    again = b"\n" + one + b"\nhttp://c.example/ 10.0.0.2 20000101000002 text/html %d\n" % len(page) + page
+    rows = spark.createDataFrame([("x.arc", data + again)], "archive string, content binary")
+    records = warc.convert_arc(rows)
+    got = {r.uri: r for r in records.collect() if r.type != "warcinfo"}
+    assert {u: (r.type, r.ip, r.mime, r.key, r.error) for u, r in got.items()} == {
+        "dns:a.example": ("resource", "10.0.0.53", "text/dns", None, None), "http://a.example/b c": ("response", "10.0.0.1", "text/html", None, None), "http://c.example/": ("response", "10.0.0.2", "text/html", None, None),
+    }
+    assert records.where("type = 'warcinfo'").count() == 2 and got["http://a.example/b c"].payload_digest == digest(b"hello")
+    archives = warc.pack_warc(warc.deduplicate(records)).collect()
+    heads = [h for a in archives for h, _ in warc.parse_warc(bytes(a.content))]
+    assert sorted(h["WARC-Type"] for h in heads) == ["resource", "response", "revisit", "warcinfo", "warcinfo"]
+    revisit = next(h for h in heads if h["WARC-Type"] == "revisit")
+    response = next(h for h in heads if h["WARC-Type"] == "response")
+    assert revisit["WARC-Refers-To"] == response["WARC-Record-ID"] and revisit["WARC-Refers-To-Target-URI"] == response["WARC-Target-URI"]
+    assert response["WARC-IP-Address"] in ("10.0.0.1", "10.0.0.2") and next(h for h in heads if h["WARC-Type"] == "resource")["Content-Type"] == "text/dns"
+
+
+def test_bad_records_are_rows_and_reading_goes_on(spark):
+    good = warc.arc_file("a.arc", 1, [(f"http://a.example/{k}", b"<p>%d</p>" % k, k) for k in range(5)])
+    cases = {
+        "cut": good[:-3],
+        "length": good.replace(b"text/html 123", b"text/html 9", 1) if b"text/html 123" in good else good,
+        "version": good.replace(b"1 0 docquarry", b"3 0 docquarry"),
+        "no version": good[good.index(b"\nhttp") + 1 :],
+        "header": good.replace(b"http://a.example/2 0.0.0.0", b"http://a.example/2", 1),
+        "gzip": warc.arc_file("a.arc", 1, [("http://a.example/0", b"x" * 9, 0), ("http://a.example/1", b"y" * 9, 1)], gzip=True)[:-9],
+        "none": None,
+        "noise": bytes(range(256)) * 9,
+    }
+    got = warc.convert_arc(spark.createDataFrame(list(cases.items()), "archive string, content binary")).collect()
+    keys = {n: sorted(r.key for r in got if r.archive == n and r.type == "response") for n in cases}
+    errors = {n: [r.error for r in got if r.archive == n and r.error] for n in cases}
+    assert keys["cut"] == ["0", "1", "2", "3"] and errors["cut"] == ["record shorter than its declared length"]
+    assert keys["version"] == list("01234") and errors["version"] == ["unknown ARC version", "no version block"]
+    assert keys["no version"] == list("01234") and errors["no version"] == ["no version block"]
+    assert keys["header"] == list("0134") and len(errors["header"]) == 1
+    assert keys["gzip"] == ["0"] and len(errors["gzip"]) == 1
+    assert not keys["none"] and not errors["none"] and errors["noise"] and not keys["noise"]
+
+
+def test_altered_files_end_nothing():
+    rng = random.Random(31)
+    arcs = [warc.arc_file("a.arc", v, [(f"http://a.example/{k}", bytes(rng.randrange(256) for _ in range(rng.randrange(60))), k) for k in range(6)], gzip=g) for v in (1, 2) for g in (False, True)]
+    fields = dict(zip(("archive", "at", "type", "key", "uri", "date", "ip", "mime", "block", "payload_bytes", "payload_digest", "error"), next(r for r in warc.converted("a", arcs[0]) if r[2] == "response")))
+    warcs = [b"".join(warc.warc_record(fields | {"key": str(k)}) for k in range(6))]
+    assert len(list(warc.found_in("w", warcs[0]))) == 6
+    for n in range(20_000):
+        data = bytearray(rng.choice(arcs if n % 4 else warcs))
+        for _ in range(rng.randint(1, 6)):
+            at, kind = rng.randrange(len(data)), rng.randrange(4)
+            if kind == 0:
+                data[at] = rng.randrange(256)
+            elif kind == 1:
+                del data[at : at + rng.randrange(40)]
+            elif kind == 2:
+                data[at:at] = bytes(rng.choice(b"0123456789 \r\n") for _ in range(rng.randrange(9)))
+            else:
+                data = data[: max(at, 1)]
+            if not data:
+                data = bytearray(b"x")
+        rows = list(warc.converted("a", bytes(data)) if n % 4 else warc.found_in("a", bytes(data)))
+        assert all(r[-1] is None or isinstance(r[-1], str) for r in rows)
+
+
+def test_compressed_archives_have_a_bound(monkeypatch):
+    monkeypatch.setattr(warc, "MOST_BYTES", 10_000)
+    import zlib
+
+    data, errors = warc.unpacked(zlib.compress(b"a" * 10**7, wbits=31))
+    assert not data and "too large" in errors[0]
 
 
 @pytest.mark.parametrize("min_bytes", [0, 5])
 def test_pages_round_trip(spark, tmp_path, min_bytes):
-    pages = [(7, "http://a/", "same"), (3, "http://b/", "same"), (9, None, "same text"), (4, "http://c/", "same text"), (5, "http://d/", None), (2, "http://e/", ""), (8, "u v", "é\r\n\r\n" * 20000), (3, "http://b/", "same"), (None, "http://n/", "same"), (None, "x", "alone")]
-    df = spark.createDataFrame([(*p, "k") for p in pages], "page_id long, url string, html string, key string").repartition(3)
+    pages = [(7, "http://a/", "same"), (3, "http://b/", "same"), (9, None, "same text"), (10, "http://c/", "same text"), (5, "http://d/", None), (2, "http://e/", ""), (8, "u v", "é\r\n\r\n" * 20000), (3, "http://b/", "same"), (None, "http://n/", "same"), (None, "x", "alone")]
+    df = spark.createDataFrame([(*p, "k", "a") for p in pages], "page_id long, url string, html string, key string, archive string").repartition(3)
     got = warc.archive_pages(df, str(tmp_path / "warc"), min_bytes=min_bytes).collect()
     payload = [(i, (h or "").encode()) for i, _, h in pages]
     first = {}
@@ -43,5 +122,12 @@ def test_pages_round_trip(spark, tmp_path, min_bytes):
     want = [(i, len(p), digest(p), "response" if first.get(p, i) == i else "revisit", None if first.get(p, i) == i else first[p]) for i, p in payload]
     key = lambda r: tuple(map(str, r))
     assert sorted((tuple(r)[:5] for r in got), key=key) == sorted(want, key=key)
-    assert all(r.record_id.startswith("<urn:uuid:") for r in got) and {r.date for r in got} == {"1996-01-01T00:00:00Z"}
+    assert all(r.record_id.startswith("<urn:uuid:") and r.error is None for r in got) and {r.date for r in got} == {"1996-01-01T00:00:00Z"}
     assert warc.archive_pages(df.limit(0), str(tmp_path / "none")).count() == 0
+
+
+def test_payloads_are_not_shuffled(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"http://a/{i}", f"page {i % 7}") for i in range(50)], "page_id long, url string, html string")
+    warc.convert_arc(warc.pack_arc(df)).write.parquet(str(tmp_path / "records"))
+    plan = warc.deduplicate(spark.read.parquet(str(tmp_path / "records")))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
