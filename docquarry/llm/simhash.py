@@ -17,7 +17,7 @@ the pairs, and components are found by star contraction on Spark tables.
 
 Defined results: null and empty texts have fingerprint zero and are linked like
 any other; repeated rows share a component; an empty table gives an empty
-table; other columns are ignored.
+table; other columns are ignored, or kept by ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_bytes, cut, small, utf8
+from .common import bound_batches, by_bytes, cut, own, small, utf8
 from .components import components
 
 BITS, SHINGLE, SEED, RADIUS = 64, 3, 42, 3
@@ -150,17 +150,20 @@ def near_duplicates(df: DataFrame, *, id_column: str = "doc_id", text_column: st
 def keep_one(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", radius: int = RADIUS) -> DataFrame:
     """``df`` with one row of each component, that with the smallest id; of equal rows one stays."""
     prints, _, firsts = _grouped(df, id_column, text_column, radius)
-    keep = firsts.select(F.col("first.id").alias("__id"), F.col("first.th").alias("__th"))
-    rows = df.withColumn("__row_th", F.xxhash64(df[text_column]))
-
-    def among(own: DataFrame, kept: DataFrame, how: str) -> DataFrame:
-        return own.join(kept, own[id_column].eqNullSafe(kept["__id"]) & (own["__row_th"] == kept["__th"]), how)
-
-    # Texts are dealt out once, for the semi-join.  Only rows that occur again, found
-    # among ids and hashes, have to meet a second time.
-    again = prints.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1")
-    again = small(keep.join(again, keep["__id"].eqNullSafe(again["id"]) & (keep["__th"] == again["th"]), "left_semi"))
-    out = among(rows, keep, "left_semi")
+    key, hashed, row_hash = own("id", "th", "row_th")
+    rows = df.withColumn(row_hash, F.xxhash64(df[text_column]))
+
+    def among(wide: DataFrame, narrow: DataFrame, how: str) -> DataFrame:
+        return wide.join(narrow, wide[id_column].eqNullSafe(narrow[key]) & (wide[row_hash] == narrow[hashed]), how)
+
+    # The rows that go, and those that occur again, are found among ids and hashes.  They are few beside the others, so
+    # an anti-join hands them to the texts, which stay where they are.
+    keep = firsts.select(F.col("first.id").alias(key), F.col("first.th").alias(hashed), F.lit(True).alias("keep"))
+    counted = prints.groupBy("id", "th").agg(F.count("*").alias("n"))
+    told = counted.join(keep, counted["id"].eqNullSafe(keep[key]) & (counted["th"] == keep[hashed]), "left")
+    odd = cut(told.where("keep IS NULL OR n > 1").select(F.col("id").alias(key), F.col("th").alias(hashed), F.col("keep").isNotNull().alias("again")))
+    out = among(rows, small(odd.select(key, hashed)), "left_anti")
+    again = small(odd.where("again").select(key, hashed))
     if not again.isEmpty():
-        out = among(out, again, "left_anti").unionByName(among(rows, again, "left_semi").dropDuplicates([id_column, "__row_th"]))
-    return out.drop("__row_th")
+        out = out.unionByName(among(rows, again, "left_semi").dropDuplicates([id_column, row_hash]))
+    return out.drop(row_hash)
