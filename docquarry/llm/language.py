@@ -9,14 +9,17 @@ the text alone suggests.  Host priors are smoothed hierarchically: host, then
 the domain above it, then all documents.  The counts are grouped aggregations;
 hosts meet documents in joins whose skewed keys Spark can split.
 
-The model is fitted on about ``FIT_ROWS`` labelled rows, drawn by hash; that is
-its only bound.  Its size is bounded by the buckets and ``LANGUAGES``.  Counts,
-priors and verdicts cover all rows and whole texts.
+The model is fitted on about ``FIT_ROWS`` rows of each label, drawn by hash: that
+is its only bound.  A label is a primary language tag in lower case (``en-US``
+is ``en``), and each label is a language of the model, which holds 128 kB for
+each.  Neither depends on the order or the partitions of rows.  Counts, priors
+and verdicts cover all rows and whole texts.
 
 Defined results: a null or letterless text has no text evidence, and is rejected
 as ``und``; a null declaration, address or host is no evidence (a null host has
 the prior of all documents); repeated rows get equal verdicts; an empty table gives an
-empty table; without labels every text is ``und``.
+empty table; without labels every text is ``und``; other columns, whatever their names, are
+ignored, or kept by ``keep_identified``.
 """
 
 from __future__ import annotations
@@ -28,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_bytes, cut, small
+from .common import bound_batches, by_bytes, cut, own, small
 
-#: Labelled rows for the fit, about; the most languages; buckets of trigrams.
-FIT_ROWS, LANGUAGES, BUCKETS = 4000, 64, 1 << 15
+#: Rows of each label for the fit, about; buckets of trigrams.
+FIT_ROWS, BUCKETS = 1000, 1 << 15
 #: Trigrams that count as independent evidence, at most; pseudo-counts of the smoothing.
 EFFECTIVE, SMOOTH = 200, 20.0
 
@@ -65,33 +68,43 @@ class Model:
         return len(found), (total * min(1.0, EFFECTIVE / max(len(found), 1))).tolist()
 
 
-def fit(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", rows: int = FIT_ROWS) -> Model:
-    """A model from about ``rows`` labelled rows; only counts by language and bucket reach the driver."""
+def tag(declared: Column) -> Column:
+    """The primary language of a declaration, in lower case; null if there is none."""
+    found = F.regexp_extract(F.lower(declared.cast("string")), r"^\s*([^\s_-]+)", 1)
+    return F.when(found != "", found)
+
+
+def sample(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", rows: int = FIT_ROWS) -> DataFrame:
+    """``label, text`` of about ``rows`` rows of each label, drawn by hash."""
+    labelled = df.select(tag(df[label_column]).alias("label"), df[text_column].alias("text"), df[id_column].alias("id")).where("label IS NOT NULL AND text IS NOT NULL")
+    shares = small(labelled.groupBy("label").agg(F.least(F.lit(1.0), rows / F.count("*")).alias("share")))
+    drawn = F.shiftrightunsigned(F.xxhash64("id", "text"), 33) < (F.col("share") * (1 << 31)).cast("long")
+    return labelled.join(shares, "label").where(drawn).select("label", "text")
+
+
+def fit(df: DataFrame, **how) -> Model:
+    """A model from a sample of labelled rows; one array of counts for each label reaches the driver."""
     bound_batches(df.sparkSession)
-    labelled = df.where(df[label_column].isNotNull() & df[text_column].isNotNull()).select(df[label_column].alias("label"), df[text_column].alias("text"), df[id_column].alias("id"))
-    share = min(1.0, rows / max(labelled.count(), 1))
-    drawn = labelled.where(F.shiftrightunsigned(F.xxhash64("id", "text"), 33) < int(share * (1 << 31)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in by_bytes(batches, "text"):
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if label not in sums and len(sums) > 4 * LANGUAGES:
-                    continue  # labels beyond any model
-                own = sums.setdefault(label, np.zeros(BUCKETS + 1, np.int64))
-                own[:BUCKETS] += np.bincount(trigrams(text), minlength=BUCKETS)
-                own[BUCKETS] += 1
-        for label, own in sums.items():
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array([label] * len(at)), pa.array(at.astype(np.int32)), pa.array(own[at])], ["label", "bucket", "n"])
-
-    counts = cut(drawn.select("label", "text").mapInArrow(count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")))
-    top = counts.where(F.col("bucket") == BUCKETS).orderBy(F.desc("n"), "label").limit(LANGUAGES)
-    languages = sorted(r.label for r in top.collect())
-    table = np.zeros((BUCKETS, len(languages)))
-    for r in counts.where(F.col("label").isin(languages) & (F.col("bucket") < BUCKETS)).collect():
-        table[r.bucket, languages.index(r.label)] = r.n
-    return Model(languages, table)
+                part = np.bincount(trigrams(text), minlength=BUCKETS)
+                sums[label] = sums[label] + part if label in sums else part
+        for label, found in sums.items():
+            at = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array([label] * len(at)), pa.array(at.astype(np.int32)), pa.array(found[at])], ["label", "bucket", "n"])
+
+    counts = sample(df, **how).mapInArrow(count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    found = counts.groupBy("label").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
+    languages, columns = [], []
+    for batch in found.orderBy("label").toArrow().to_batches():
+        for label, at, n in zip(*batch.columns):
+            languages.append(label.as_py())
+            columns.append(np.zeros(BUCKETS))
+            columns[-1][at.values.to_numpy()] = n.values.to_numpy()
+    return Model(languages, np.stack(columns, axis=1) if columns else np.zeros((BUCKETS, 0)))
 
 
 def score(df: DataFrame, model: Model, *, id_column: str = "doc_id", text_column: str = "text", declared: Column | None = None, host: Column | None = None, suffix: Column | None = None) -> DataFrame:
@@ -101,7 +114,7 @@ def score(df: DataFrame, model: Model, *, id_column: str = "doc_id", text_column
     host = none if host is None else host.cast("string")
     domain = F.regexp_extract(host, r"[^.]*\.[^.]*$", 0)  # the last two labels
     narrow = df.select(
-        df[id_column].alias("id"), F.xxhash64(df[text_column]).alias("th"), (none if declared is None else F.lower(declared.cast("string"))).alias("declared"),
+        df[id_column].alias("id"), F.xxhash64(df[text_column]).alias("th"), (none if declared is None else tag(declared)).alias("declared"),
         (none if suffix is None else F.lower(suffix.cast("string"))).alias("suffix"), host.alias("host"), F.when(domain != "", domain).alias("domain"), df[text_column].alias("text"),
     )
 
@@ -119,8 +132,9 @@ def score(df: DataFrame, model: Model, *, id_column: str = "doc_id", text_column
 
 def _counts(scored: DataFrame, key: str, classes: int) -> DataFrame:
     """``key, counts``: how many texts of each language a key goes with."""
-    sums = [F.sum((F.col("best") == k).cast("long")).alias(f"c{k}") for k in range(classes)]
-    return scored.where(F.col(key).isNotNull() & (F.col("best") >= 0)).groupBy(key).agg(*sums).select(key, F.array(*[f"c{k}" for k in range(classes)]).alias("counts"))
+    found = scored.where(F.col(key).isNotNull() & (F.col("best") >= 0)).groupBy(key, "best").agg(F.count("*").alias("n"))
+    found = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("found"))
+    return found.select(key, F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda k: F.coalesce(F.col("found")[k], F.lit(0).cast("long"))).alias("counts"))
 
 
 def _shares(counts: Column, above: Column, weight: float = SMOOTH) -> Column:
@@ -134,8 +148,8 @@ def fuse(scored: DataFrame, model: Model, *, id_column: str = "doc_id", min_conf
     names = [*model.languages, "und"]
     classes = len(names)
     flat = F.array(*[F.lit(1.0 / classes)] * classes)
-    every = scored.agg(*[F.sum((F.col("best") == k).cast("long")).alias(f"c{k}") for k in range(classes)]).first()
-    seen = [float(x or 0) for x in every]
+    every = {r.best: r["count"] for r in scored.where("best >= 0").groupBy("best").count().collect()}  # a row for each language
+    seen = [float(every.get(k, 0)) for k in range(classes)]
     overall = [(x + 1.0) / (sum(seen) + classes) for x in seen]
     prior = F.array(*map(F.lit, overall))
     domains = small(_counts(scored, "domain", classes).select("domain", _shares(F.col("counts"), prior).alias("domain_prior")))
@@ -166,7 +180,7 @@ def fuse(scored: DataFrame, model: Model, *, id_column: str = "doc_id", min_conf
 
 def identify(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", declared_column: str | None = "lang", host_column: str | None = "source", suffix: Column | None = None, model: Model | None = None, **how) -> DataFrame:
     """Languages of ``df``'s rows, fitted on its own declarations unless a model is given."""
-    model = model or fit(df, id_column=id_column, text_column=text_column, label_column=declared_column)
+    model = model or fit(df, id_column=id_column, text_column=text_column, label_column=declared_column or "lang")
     scored = score(df, model, id_column=id_column, text_column=text_column, declared=df[declared_column] if declared_column else None, host=df[host_column] if host_column else None, suffix=suffix)
     return fuse(cut(scored), model, id_column=id_column, **how)
 
@@ -184,7 +198,8 @@ def identify_pages(df: DataFrame, model: Model, *, id_column: str = "page_id", u
 
 def keep_identified(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
     """``df`` without the rows whose language is rejected."""
+    key, hashed = own("id", "th")
     rejected = identify(df, id_column=id_column, text_column=text_column, **how).where("NOT kept")
-    rejected = small(rejected.select(F.col(id_column).alias("__id"), F.col("th").alias("__th")).distinct())
-    same = df[id_column].eqNullSafe(rejected["__id"]) & (F.xxhash64(df[text_column]) == rejected["__th"])
+    rejected = small(rejected.select(F.col(id_column).alias(key), F.col("th").alias(hashed)).distinct())
+    same = df[id_column].eqNullSafe(rejected[key]) & (F.xxhash64(df[text_column]) == rejected[hashed])
     return df.join(rejected, same, "left_anti")

@@ -1,5 +1,9 @@
+import math
 import random
+import re
+from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from docquarry.llm import language, queries
@@ -36,6 +40,79 @@ def test_held_out_accuracy_and_rejection(spark, docs):
     assert kept.columns == df.columns and kept.count() == len(rows) - 4
 
 
+def brute_fusion(model, rows):
+    """Verdicts of (id, text, declared, suffix, host) rows, in plain Python."""
+    names = [*model.languages, "und"]
+    size, lift = len(names), language.SMOOTH
+    scored = [model.score(t) for _, t, *_ in rows]
+    best = [int(np.argmax(ll)) if n else -1 for n, ll in scored]
+    seen = [float(best.count(k)) for k in range(size)]
+    overall = [(s + 1) / (sum(seen) + size) for s in seen]
+    domain_of = lambda h: m[0] if h and (m := re.search(r"[^.]*\.[^.]*$", h)) else None
+
+    def counts(keys):
+        out = defaultdict(lambda: [0] * size)
+        for key, b in zip(keys, best):
+            if key is not None and b >= 0:
+                out[key][b] += 1
+        return out
+
+    smooth = lambda c, above: [(x + a * lift) / (sum(c) + lift) for x, a in zip(c, above)]
+    domains = {d: smooth(c, overall) for d, c in counts([domain_of(r[4]) for r in rows]).items()}
+    hosts = {h: smooth(c, domains.get(domain_of(h), overall)) for h, c in counts([r[4] for r in rows]).items()}
+    rates = []
+    for k in (2, 3):
+        rates.append({v: [math.log((x + lift * sum(c) / sum(seen)) / (s + lift)) for x, s in zip(c, seen)] for v, c in counts([r[k] for r in rows]).items()})
+    out = {}
+    for row, (n, ll), b in zip(rows, scored, best):
+        fused = [x + math.log(p) for x, p in zip(ll, hosts.get(row[4], overall))]
+        for table, value in zip(rates, row[2:4]):
+            fused = [x + y for x, y in zip(fused, table.get(value, [0.0] * size))]
+        top = max(fused)
+        lang = names[fused.index(top)] if n else "und"
+        confidence = 1 / sum(math.exp(x - top) for x in fused)
+        out[row[0]] = lang, confidence, names[b] if b >= 0 else None, lang != "und" and round(confidence, 6) >= 0.5
+    return out
+
+
+def test_fusion_matches_brute_force(spark):
+    random.seed(25)
+    rows = []
+    for i in range(500):
+        lang = random.choice(list(WORDS))
+        text = random.choice([sentence(lang, 20), sentence(lang, 1), random.choice("kx") + " ", "", None, "12"])
+        rows.append((i, text, random.choice([lang, lang, "zz", None]), random.choice([lang, "com", None]), random.choice([f"www.{lang}.org", f"h{i}.{lang}.org", "one.site.com", "local", None])))
+    df = spark.createDataFrame(rows, "id long, words string, said string, last string, site string")
+    model = language.fit(df, id_column="id", text_column="words", label_column="said")
+    got = language.identify(df, id_column="id", text_column="words", declared_column="said", host_column="site", suffix=df["last"], model=model).collect()
+    want = brute_fusion(model, rows)
+    for r in got:
+        lang, confidence, text_lang, kept = want[r.id]
+        assert (r.lang, r.text_lang) == (lang, text_lang) and abs(r.confidence - confidence) < 1e-5 and (r.kept == kept or abs(confidence - 0.5) < 1e-5)
+    assert len(got) == len(rows) and sum(r.text_lang is not None and r.lang != r.text_lang for r in got) > 20
+
+
+def test_held_out_labels_are_found_without_them(spark):
+    """Accuracy on rows that the model wasn't fitted on, with no declaration as evidence; short texts gain by their hosts."""
+    random.seed(26)
+    rows = [(i, sentence(lang, random.choice([1, 1, 30])), lang, f"www.{lang}.org") for i, lang in enumerate(random.choice(list(WORDS)) for _ in range(1500))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language.fit(df.where("doc_id < 500"))
+    held = df.where("doc_id >= 500")
+    right = lambda how: sum(r.lang == rows[r.doc_id][2] for r in language.identify(held, declared_column=None, model=model, **how).collect())
+    alone, with_hosts = right({"host_column": None}), right({})
+    assert alone >= 900 and with_hosts >= alone and with_hosts >= 990
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_no_label_is_dropped_in_any_partitioning(spark, parts):
+    rows = [(i, f"w{i % 300:03d}" * 5, random.choice(["l%d", "L%d-XX", " l%d_y"]) % (i % 300)) for i in range(900)] + [(9000 + i, "common words here", "l0") for i in range(3000)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts), rows=100)
+    assert model.languages == sorted(f"l{k}" for k in range(300))
+    again = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), rows=100)
+    assert (model.table == again.table).all()
+
+
 def test_other_evidence_decides_short_texts(spark):
     random.seed(16)
     rows = [(i, sentence("aa" if i % 2 else "bb"), "aa" if i % 2 else "bb", f"h{i % 2}.example.{'aa' if i % 2 else 'bb'}") for i in range(400)]
