@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, quality
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,17 +56,16 @@ repeated AS (SELECT k, count(DISTINCT j) AS n FROM windows JOIN again USING (k,
 lines AS (SELECT k, line, {WORDS.format('line')} AS words FROM (SELECT k, unnest(string_split(t, chr(10))) AS line FROM d)),
 full_lines AS (SELECT k, line, len(words) AS n, translate(array_to_string(words, ' '), '{_UPPER}', '{_LOWER}') AS normal FROM lines WHERE len(words) > 0),
 dups AS (SELECT k, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY k),
-hosts AS (SELECT source, count(DISTINCT t) AS documents FROM d GROUP BY source),
-common AS (
-  SELECT d.source, normal FROM full_lines JOIN d USING (k) JOIN hosts ON d.source IS NOT DISTINCT FROM hosts.source
-  GROUP BY d.source, normal, documents HAVING count(DISTINCT t) > 30 AND count(DISTINCT t) > documents * 0.05::DOUBLE),
+held AS (SELECT d.source, normal, count(DISTINCT t) AS n FROM full_lines JOIN d USING (k) GROUP BY d.source, normal),
+hosts AS (SELECT source, count(*) AS lines_, sum(n) AS documents FROM held GROUP BY source),
+common AS (SELECT held.source, normal FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source WHERE n > {quality.MIN_DOCUMENTS} AND n * lines_ > documents * {quality.SPREAD}),
 removed AS (SELECT k, sum(n) AS n FROM full_lines JOIN d USING (k) JOIN common ON d.source IS NOT DISTINCT FROM common.source AND full_lines.normal = common.normal GROUP BY k),
 m AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
     coalesce(dups.n, 0)::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words, coalesce(removed.n, 0)::BIGINT AS removed_words
   FROM d LEFT JOIN dups USING (k) LEFT JOIN repeated USING (k) LEFT JOIN removed USING (k)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
-SELECT *, NOT base_failed AND removed_words <= 0.8::DOUBLE * n_words AS kept FROM b"""
+SELECT *, NOT base_failed AND removed_words <= {quality.MAX_REMOVED}::DOUBLE * n_words AS kept FROM b"""
 
 OP7 = f"""
 WITH u AS (

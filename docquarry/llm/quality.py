@@ -10,11 +10,13 @@ texts), and a document that loses most of its words is rejected.
 
 Documents with the same text on the same host are one document to the count,
 so a group of exact copies does not turn its own lines into boilerplate.  A
-host's limit is ``max(min_documents, share * distinct documents of the host)``.
+host's limit comes from the distribution of its lines: ``spread`` times the mean
+number of documents that hold one of its distinct lines, and ``min_documents``
+at least.  It does not loosen as a host grows.
 
 Defined results: null text has no words (base fails); a null host is a host of
 its own; repeated rows get equal verdicts; an empty table gives an empty table;
-other columns, whatever their names, are ignored.
+other columns, whatever their names, are ignored, or kept by ``cleaned``.
 """
 
 from __future__ import annotations
@@ -28,12 +30,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_bytes, cut, small, utf8
+from .common import bound_batches, by_bytes, cut, own, small, utf8
 
 #: The window whose repeats count, in words.
 WINDOW = 8
 #: Characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
+#: A host's limit: so many times the mean of its lines, so many documents at least; and the share of words that a document may lose.
+SPREAD, MIN_DOCUMENTS, MAX_REMOVED = 10, 10, 0.5
 
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(WINDOW)], dtype=np.uint64)
 
@@ -114,13 +118,17 @@ def measure(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     return narrow.mapInArrow(run, schema)
 
 
-def common_lines(measured: DataFrame, *, share: float = 0.05, min_documents: int = 30) -> DataFrame:
+def common_lines(measured: DataFrame, *, spread: int = SPREAD, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """``host, line`` of lines in more distinct documents of the host than its limit."""
     texts = measured.select("host", "text_key", "lines").dropDuplicates(["host", "text_key"])
-    totals = texts.groupBy("host").agg(F.count("*").alias("documents"))
     counts = texts.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    repeated = cut(counts.where("n > 1"))  # few of all lines
+    # Of a host's lines, counted once for each document, those that aren't repeated are distinct lines by themselves.
+    held = texts.groupBy("host").agg(F.sum(F.size("lines")).alias("held"))
+    again = repeated.groupBy("host").agg(F.sum(F.col("n") - 1).alias("again"))
+    means = held.join(again, "host").select("host", "held", (F.col("held") - F.col("again")).alias("distinct"))
     # The smallest limit comes first: after it few lines are left to join with their hosts.
-    return counts.where(F.col("n") > min_documents).join(totals, "host").where(F.col("n") > F.col("documents") * share).select("host", "line")
+    return repeated.where(F.col("n") > min_documents).join(means, "host").where(F.col("n") * F.col("distinct") > F.col("held") * spread).select("host", "line")
 
 
 def _removals(measured: DataFrame, common: DataFrame) -> DataFrame:
@@ -134,9 +142,9 @@ def _removals(measured: DataFrame, common: DataFrame) -> DataFrame:
     return held.join(common, ["host", "line"]).groupBy("host", "text_key").agg(F.collect_list("line").alias("common"), F.sum("words").alias("removed_words"))
 
 
-def _judged(measured: DataFrame, *, min_words: int = 20, max_repeat_percent: int = 30, share: float = 0.05, min_documents: int = 30, max_removed: float = 0.8) -> DataFrame:
+def _judged(measured: DataFrame, *, min_words: int = 20, max_repeat_percent: int = 30, spread: int = SPREAD, min_documents: int = MIN_DOCUMENTS, max_removed: float = MAX_REMOVED) -> DataFrame:
     """``measured`` with the common lines of each text, ``removed_words``, ``base_failed`` and ``kept``."""
-    removed = _removals(measured, common_lines(measured, share=share, min_documents=min_documents))
+    removed = _removals(measured, common_lines(measured, spread=spread, min_documents=min_documents))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     return (
         measured.join(removed, ["host", "text_key"], "left")
@@ -171,12 +179,13 @@ def cleaned(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     Only rows that lose lines or are rejected are joined by their ids; other columns stay as they are.
     """
     measured = cut(measure(df, id_column=id_column, text_column=text_column, host_column=host_column))
+    key, host, digest, stays, lines, row_digest, row_host = own("id", "host", "key", "kept", "common", "row_key", "row_host")
     changed = _judged(measured, **how).where("NOT kept OR removed_words > 0").withColumn("common", F.when(F.col("kept"), F.col("common")))
-    changed = small(changed.groupBy("id", "host", "text_key").agg(F.first("kept").alias("__kept"), F.first("common").alias("__common")))
-    changed = changed.select(F.col("id").alias("__id"), F.col("host").alias("__host"), F.col("text_key").alias("__key"), "__kept", "__common")
+    changed = changed.groupBy("id", "host", "text_key").agg(F.first("kept").alias(stays), F.first("common").alias(lines))
+    changed = small(changed.select(F.col("id").alias(key), F.col("host").alias(host), F.col("text_key").alias(digest), stays, lines))
 
     @F.pandas_udf("binary")
-    def key(texts: pd.Series) -> pd.Series:
+    def text_key(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: xxhash.xxh3_128_digest((x or "").encode()))
 
     @F.pandas_udf("string")
@@ -184,7 +193,7 @@ def cleaned(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
         return pd.Series([t if t is None or c is None else strip_lines(t.encode(), set(map(int, c))).decode() for t, c in zip(texts, common)], dtype=object)
 
     bound_batches(df.sparkSession)
-    rows = df.withColumn("__own", key(df[text_column])).withColumn("__where", _host(df[host_column]))
-    same = rows[id_column].eqNullSafe(changed["__id"]) & (F.col("__where") == F.col("__host")) & (F.col("__own") == F.col("__key"))
-    kept = rows.join(changed, same, "left").where("__kept IS NULL OR __kept")
-    return kept.withColumn(text_column, without(F.col(text_column), F.col("__common"))).select(*df.columns)
+    rows = df.withColumn(row_digest, text_key(df[text_column])).withColumn(row_host, _host(df[host_column]))
+    same = rows[id_column].eqNullSafe(changed[key]) & (F.col(row_host) == F.col(host)) & (F.col(row_digest) == F.col(digest))
+    kept = rows.join(changed, same, "left").where(F.coalesce(F.col(stays), F.lit(True)))
+    return kept.withColumn(text_column, without(F.col(text_column), F.col(lines))).select(*df.columns)

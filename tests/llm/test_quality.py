@@ -1,8 +1,10 @@
 import random
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
-from docquarry.llm import quality
+import pytest
+
+from docquarry.llm import quality, queries
 
 
 def brute(text):
@@ -37,7 +39,7 @@ def test_lines_above_the_limit_deplete_documents(spark):
     rows += [(200, menu, "b"), (201, fresh(40), "a"), (202, None, None), (203, "", "a"), (204, "x " * 50, "a"), (205, fresh(40), None)]
     rows += [(300 + i, "same text " + " ".join(map(str, range(40))), "a") for i in range(40)]  # copies are one document
     df = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, source string, host string")
-    got = {r.doc_id: r for r in quality.judge(df, share=0.05, min_documents=10).collect()}
+    got = {r.doc_id: r for r in quality.judge(df, spread=1, min_documents=10, max_removed=0.8).collect()}
     assert len(got) == len(rows)
     texts = {i: t for i, t, _ in rows}
     for i, r in got.items():
@@ -49,14 +51,28 @@ def test_lines_above_the_limit_deplete_documents(spark):
     assert quality.judge(df.limit(0)).count() == 0
 
 
-def test_limit_is_by_host_and_share(spark):
-    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30)) + ("\nshared line of this host" if i % 4 == 0 else ""), "h") for i in range(200)]
+@pytest.mark.parametrize("size", [200, 2000])
+def test_limit_comes_from_the_lines_of_the_host_and_not_from_its_size(spark, size):
+    # Fifty documents share a menu: it is common in a host of any size.
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30)) + f"\npair {i // 2 % 100}" + ("\nshared line of this host" if i < 50 else ""), "h") for i in range(size)]
+    rows += [(10_000 + i, " ".join(f"v{i}x{k}" for k in range(30)) + f"\nquote of many {i % 30}", "even") for i in range(200)] + [(20_000 + i, f"quote of many {i % 30}\nquote {i}", "even") for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    count = defaultdict(int)
-    for r in quality.judge(df, share=0.3, min_documents=10).collect():
-        count[r.removed_words] += 1
-    assert count == {0: 200}
-    assert quality.judge(df, share=0.2, min_documents=10).where("removed_words = 5").count() == 50
+    found = quality.judge(df, spread=10, min_documents=10)
+    assert found.where("removed_words >= 5 AND doc_id < 50").count() == 50
+    # Where each line is in a dozen documents, that many are no outliers.
+    assert found.where("removed_words > 0 AND doc_id >= 10000").count() == 0
+    assert quality.judge(df, spread=10, min_documents=size).where("removed_words > 0").count() == 0
+
+
+def test_documents_made_of_shared_lines_are_rejected_in_the_query(spark, tmp_path):
+    random.seed(13)
+    fresh = lambda n: " ".join("u%d" % random.randrange(10**6) for _ in range(n))
+    menu = "All of this stands below every page " + fresh(20)
+    rows = [(i, f"{fresh(40)}\nline {i // 2} twice", "en", "s", 1) for i in range(100)] + [(200 + i, f"{fresh(15)}\n{menu}", "en", "s", 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.op4_quality_rules(spark, str(tmp_path)).collect()}
+    assert all(not r.base_failed and r.kept == (i < 200) for i, r in got.items()) and len(got) == 130
 
 
 def test_cleaned_texts_lose_the_common_lines(spark):
@@ -67,7 +83,7 @@ def test_cleaned_texts_lose_the_common_lines(spark):
     rows = [(i, f"{menu}\n{body}\n  {menu.upper()}", "a", "k") for i, body in bodies.items()]
     rows += [(100, f"{menu}\n{fresh(4)}", "a", "k"), (200, f"{menu}\n{bodies[0]}", "b", "k"), (201, None, "a", "k"), (202, fresh(40), None, "k"), (0, *rows[0][1:]), (None, rows[1][1], "a", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, common string")
-    how = {"share": 0.05, "min_documents": 10}
+    how = {"spread": 1, "min_documents": 10, "max_removed": 0.8}
     got = quality.cleaned(df, **how)
     assert got.columns == df.columns
     want = [(i, bodies[i], "a", "k") for i in range(12)] + [(200, f"{menu}\n{bodies[0]}", "b", "k"), rows[-3], (0, bodies[0], "a", "k"), (None, bodies[1], "a", "x")]
