@@ -1,20 +1,30 @@
 """Personal data by bootstrapped contextual extraction, in SQL functions alone.
 
 Seeds.  Four kinds of entities come from fixed patterns with checks (parts of an
-address at most 255, Luhn's sum, numbers of digits).  Positions, which Spark's
-regular expressions don't give, are sums over the pieces between the matches.
+address at most 255, Luhn's sum, numbers of digits); these are the base spans.
+A fifth kind, secrets, has seeds by their form alone: tokens of hexadecimal
+digits, as long as a digest or a key.  Many of those are harmless, so a secret is
+a span only where a pattern that was accepted for secrets holds it.  Positions,
+which Spark's regular expressions don't give, are sums over the pieces between
+the matches.
 
 Bootstrapping.  An occurrence has two lexical patterns: its two words to the
-left, and its neighbours on both sides.  The occurrence itself is no part of
-them, so they reach identifiers of any shape; a pattern without a letter is none.
+left (three, if two have no letter), and its neighbours on both sides, each of 24
+characters of a word at most.  The occurrence itself is no part of them, so they
+reach identifiers of any shape; a pattern without a letter is none.
 Patterns and instances (surfaces) form a graph whose edges are distinct pairs.
 In each round a pattern's confidence in a kind is the sum of its instances'
-scores over the number of its instances; patterns above the threshold that
+scores over the number of its instances, of which those that nothing is known
+of yet count ``DOUBT`` each; patterns above the threshold that
 enough seeds, or instances found before, support give scores to their instances
-that are no seeds (noisy or), which support patterns in the next round.  Candidates
-are tokens with digits, and groups of digits with spaces or brackets between.  At last, occurrences of
-instances with high scores in accepted patterns are spans too.  All of it is
-grouped aggregation and equi-joins over narrow rows.
+that are no seeds (noisy or), which support patterns in the next round.  At last,
+occurrences of instances with high scores in accepted patterns are spans too.
+All of it is grouped aggregation and equi-joins over narrow rows.
+
+What can be discovered, beside the base spans: tokens of 6 to 128 letters, digits
+and ``._%+-@`` that hold a digit or an ``@``, and groups of digits with spaces,
+brackets or strokes between, of 6 to 64 characters, letters before them included.
+A name without a digit is no candidate.
 
 Running time is linear: the patterns are possessive and start where a run
 starts, so a text without white space is read once, and a text's positions are
@@ -22,7 +32,7 @@ summed in blocks.
 
 Defined results: null text is empty; equal rows get equal spans; null ids are
 ids; an empty table gives an empty table; other columns are ignored by
-``find_spans`` and kept by ``masked``.
+``find_spans`` and kept by ``masked``, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,9 +40,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from .common import cut, own, small
 
 KINDS = ("email", "ip", "card", "phone")
+#: All kinds of spans, and the number that stands for a candidate, which has no kind yet.
+NAMES = (*KINDS, "secret")
+SECRET, CANDIDATE = len(KINDS), len(NAMES)
+#: Seeds of secrets: hexadecimal digits as long as a digest or a key, of either case, with letters and digits.
+SECRETS = r"^(?=.*[0-9])(?=.*[A-Fa-f])(?:[0-9a-f]+|[0-9A-F]+)$"
+SECRET_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 
 #: Equivalents of the contract's patterns that never go back over what they read.
 #: ``\G`` lets an address start right after the last one ended within a run.
@@ -41,19 +57,21 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "other": r"(?<![A-Za-z0-9._%+@-])(?=[A-Za-z._%+@-]*+[0-9])[A-Za-z0-9._%+@-]{6,64}+(?![A-Za-z0-9._%+@-])",
+    "other": r"(?<![A-Za-z0-9._%+@-])(?=[A-Za-z._%+-]*+[0-9@])[A-Za-z0-9._%+@-]{6,128}+(?![A-Za-z0-9._%+@-])",
     "spaced": r"(?<![A-Za-z0-9._%+@()/-])[+(]*+[A-Za-z]{0,4}+[0-9][0-9.-]*+(?:[ ()/]{1,3}+[0-9][0-9.-]*+)++",
 }
 #: Cheap tests that a text must pass before a pattern is tried on it.
-NEEDS = {"email": "contains(t, '@')", "ip": r"d AND t RLIKE '[0-9]\\.[0-9]'", "card": r"d AND t RLIKE '[0-9](?:[ -]?[0-9]){12}'", "phone": "d AND contains(t, '+')", "other": "d", "spaced": r"d AND t RLIKE '[0-9][.-]*+[ ()/]{1,3}[0-9]'"}
+NEEDS = {"email": "contains(t, '@')", "ip": r"d AND t RLIKE '[0-9]\\.[0-9]'", "card": r"d AND t RLIKE '[0-9](?:[ -]?[0-9]){12}'", "phone": "d AND contains(t, '+')", "other": "d OR contains(t, '@')", "spaced": r"d AND t RLIKE '[0-9][.-]*+[ ()/]{1,3}[0-9]'"}
 CHECKS = {
     "email": "true",
     "ip": r"forall(split(m, '\\.'), x -> length(ltrim('0', x)) <= 3 AND cast(right(x, 3) AS int) <= 255)",
     "card": "length(translate(m, ' -', '')) BETWEEN 13 AND 19 AND aggregate(sequence(1, length(translate(m, ' -', ''))), 0, (a, i) -> a + cast(substring('01234567890246813579', cast(substring(translate(m, ' -', ''), -i, 1) AS int) + 1 + 10 * ((i + 1) % 2), 1) AS int)) % 10 = 0",
     "phone": r"length(regexp_replace(m, '[^0-9]', '')) BETWEEN 9 AND 15",
-    "other": "length(regexp_replace(m, '[^0-9]', '')) >= 4",
-    "spaced": "length(m) BETWEEN 6 AND 64 AND length(regexp_replace(m, '[^0-9]', '')) >= 4",
+    "other": "true",
+    "spaced": "length(m) BETWEEN 6 AND 64",
 }
+#: What an instance of no known kind counts against a pattern.
+DOUBT = 0.2
 #: Matches in a block of a text's sums.
 BLOCK = 128
 
@@ -96,13 +114,19 @@ def _context(occurrences: Column) -> Column:
         occurrences,
         lambda h: F.struct(
             h["k"].alias("k"), h["s"].alias("s"), h["e"].alias("e"), h["m"].alias("m"),
-            F.lower(F.regexp_extract(h["l"], r"(\S{1,24}[ \t]+)?\S{0,24}[ \t]*$", 0)).alias("left"),
+            F.lower(_before(h["l"])).alias("left"),
             F.lower(F.regexp_extract(h["l"], r"\S{0,24}[ \t]*$", 0)).alias("near"),
             F.lower(F.regexp_extract(h["r"], r"^[ \t]*\S{0,23}", 0)).alias("right"),
         ),
     )
 
 
+def _before(left: Column) -> Column:
+    """The two words before an occurrence, the last may touch it; three, if the two have no letter."""
+    two = F.regexp_extract(left, r"(\S{1,24}[ \t]+)?\S{0,24}[ \t]*$", 0)
+    return F.when(two.rlike(r"\p{L}"), two).otherwise(F.regexp_extract(left, r"(\S{1,24}[ \t]+){0,2}\S{0,24}[ \t]*$", 0))
+
+
 def _rows(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return df.select(df[id_column].alias("id"), F.xxhash64(df[text_column]).alias("th"), F.coalesce(df[text_column], F.lit("")).alias("t"))
 
@@ -115,36 +139,40 @@ def extract(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     # A candidate is an identifier-like token, or groups of digits that end where a token ends, that no base span touches;
     # sentence marks at its ends don't belong to it, but a plus before it does.
     whole = "filter(spaced, h -> NOT h.r RLIKE '^[A-Za-z0-9_%+@]')"
-    cut_ends = f"transform(concat(other, {whole}), h -> named_struct('k', {len(KINDS)}, 's', h.s + length(h.m) - length(ltrim('._%@-', h.m)), 'e', h.e - length(h.m) + length(rtrim('._%+@-', h.m)), 'm', rtrim('._%+@-', ltrim('._%@-', h.m)), 'l', h.l, 'r', h.r))"
+    lengths = ", ".join(map(str, SECRET_LENGTHS))
+    secret = f"length(h.m) IN ({lengths}) AND h.m RLIKE '{SECRETS}'"
+    cut_ends = f"transform(concat(other, {whole}), h -> named_struct('k', if({secret}, {SECRET}, {CANDIDATE}), 's', h.s + length(h.m) - length(ltrim('._%@-', h.m)), 'e', h.e - length(h.m) + length(rtrim('._%+@-', h.m)), 'm', rtrim('._%+@-', ltrim('._%@-', h.m)), 'l', h.l, 'r', h.r))"
     free = F.expr(f"filter({cut_ends}, h -> NOT exists(base, b -> b.s < h.e AND h.s < b.e))")
     seen = F.when(F.size("base") + F.size("other") + F.size("spaced") > 0, F.concat("base", free))
     rows = rows.withColumn("seen", seen)
     return rows.select("id", "th", F.expr("transform(base, h -> named_struct('k', h.k, 's', h.s, 'e', h.e))").alias("base"), _context(F.col("seen")).alias("seen"))
 
 
-def discover(extracted: DataFrame, *, rounds: int = 2, confidence: float = 0.9, seeds: int = 3) -> DataFrame:
+def discover(extracted: DataFrame, *, rounds: int = 2, confidence: float = 0.9, seeds: int = 3, doubt: float = DOUBT) -> DataFrame:
     """``id, th, k, s, e``: spans that accepted patterns add.  A pattern needs ``seeds`` distinct seeds of its kind,
     or instances found in the round before, and ``confidence``."""
-    candidate = len(KINDS)
     seen = extracted.where("size(seen) > 0").select("id", "th", F.explode("seen").alias("h")).select("id", "th", "h.*")
     lexical = F.array(F.concat(F.lit("2 "), "left"), F.concat(F.lit("1 "), "near", F.lit("|"), "right"))
     seen = seen.withColumn("pattern", F.explode(F.filter(lexical, lambda p: p.rlike(r"\p{L}"))))
     # Documents count once for a pair, and a pair once: neither copies nor repetition make support.
     edges = cut(seen.groupBy("pattern", "m", "k").agg(F.count("*").alias("n")).drop("n"))
-    seed = edges.where(F.col("k") < candidate).select("m", "k", F.lit(1.0).alias("score"), "pattern")
+    seed = edges.where(F.col("k") < CANDIDATE).select("m", "k", F.lit(1.0).alias("score"), "pattern")
     scored = seed
     for _ in range(rounds):
         totals = edges.groupBy("pattern").agg(F.count("*").alias("n"))
         support = scored.groupBy("pattern", "k").agg(F.sum("score").alias("s"), F.count("*").alias("own"))
-        patterns = support.where(F.col("own") >= seeds).join(totals, "pattern").where(F.col("s") >= confidence * F.col("n"))
-        patterns = cut(patterns.select("pattern", "k", (F.col("s") / (F.col("n") + F.lit(0.1))).alias("c")))
-        reached = edges.where(F.col("k") == candidate).drop("k").join(patterns, "pattern")
+        told = support.groupBy("pattern").agg(F.sum("own").alias("told"))
+        weight = F.col("told") + doubt * (F.col("n") - F.col("told"))
+        patterns = support.where(F.col("own") >= seeds).join(told, "pattern").join(totals, "pattern").where(F.col("s") >= confidence * weight)
+        patterns = cut(patterns.select("pattern", "k", (F.col("s") / (weight + F.lit(0.1))).alias("c")))
+        reached = edges.where(F.col("k") == CANDIDATE).drop("k").join(patterns, "pattern")
         found = reached.groupBy("m", "k").agg((1 - F.exp(F.sum(F.log(1 - F.col("c"))))).alias("score"))
         found = found.groupBy("m").agg(F.max(F.struct("score", "k")).alias("x")).select("m", "x.k", "x.score").where(F.col("score") >= confidence)
         found = cut(found)
-        scored = seed.unionByName(edges.where(F.col("k") == candidate).select("m", "pattern").join(found.withColumn("score", F.least("score", F.lit(0.99))), "m"))
-    hits = seen.where(F.col("k") == candidate).drop("k").join(patterns.select("pattern", "k"), "pattern").join(found.select("m", "k"), ["m", "k"])
-    return hits.select("id", "th", "k", "s", "e").distinct()
+        scored = seed.unionByName(edges.where(F.col("k") == CANDIDATE).select("m", "pattern").join(found.withColumn("score", F.least("score", F.lit(0.99))), "m"))
+    hits = seen.where(F.col("k") == CANDIDATE).drop("k").join(patterns.select("pattern", "k"), "pattern").join(found.select("m", "k"), ["m", "k"])
+    secrets = seen.where(F.col("k") == SECRET).join(patterns.select("pattern", "k"), ["pattern", "k"])
+    return hits.select("id", "th", "k", "s", "e").unionByName(secrets.select("id", "th", "k", "s", "e")).distinct()
 
 
 def find_spans(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
@@ -158,7 +186,7 @@ def find_spans(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "
 
 
 def _listed(spans: str) -> Column:
-    names = "array(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
+    names = "array(" + ", ".join(f"'{k}'" for k in NAMES) + ")"
     return F.expr(f"array_join(transform({spans}, h -> {names}[h.k] || ':' || h.s || ':' || h.e), ',')")
 
 
@@ -175,15 +203,17 @@ def masked(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
 
     Only rows with spans are joined; the others keep their texts as they are.
     """
+    key, hashed, spans, row_hash = own("id", "th", "spans", "row_th")
     found = find_spans(df, id_column=id_column, text_column=text_column, **how)
-    found = small(found.where("size(spans) > 0").groupBy("id", "th").agg(F.first("spans").alias("spans")))
-    by_start = "array_sort(transform(__spans, h -> named_struct('s', h.s, 'o', -h.e, 'e', h.e, 'k', h.k)))"
+    found = found.where("size(spans) > 0").groupBy("id", "th").agg(F.first("spans").alias("spans"))
+    found = small(found.select(F.col("id").alias(key), F.col("th").alias(hashed), F.col("spans").alias(spans)))
+    by_start = f"array_sort(transform({spans}, h -> named_struct('s', h.s, 'o', -h.e, 'e', h.e, 'k', h.k)))"
     first = "named_struct('out', cast(array() AS array<string>), 'at', 0)"
-    names = "array(" + ", ".join(f"'<{k.upper()}>'" for k in KINDS) + ")"
-    step = f"""(a, h) -> CASE WHEN h.s >= a.at THEN named_struct('out', concat(a.out, array(substring(__text, a.at + 1, h.s - a.at), {names}[h.k])), 'at', h.e)
+    names = "array(" + ", ".join(f"'<{k.upper()}>'" for k in NAMES) + ")"
+    text = "`" + text_column.replace("`", "``") + "`"
+    step = f"""(a, h) -> CASE WHEN h.s >= a.at THEN named_struct('out', concat(a.out, array(substring({text}, a.at + 1, h.s - a.at), {names}[h.k])), 'at', h.e)
         ELSE named_struct('out', a.out, 'at', greatest(a.at, h.e)) END"""
-    text = F.expr(f"aggregate({by_start}, {first}, {step}, a -> concat(array_join(a.out, ''), substring(__text, a.at + 1)))")
-    found = found.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
-    rows = df.withColumn("__text", df[text_column])
-    same = rows[id_column].eqNullSafe(found["__id"]) & (F.xxhash64("__text") == found["__th"])
-    return rows.join(found, same, "left").withColumn(text_column, F.when(F.col("__spans").isNull(), F.col("__text")).otherwise(text)).select(*df.columns)
+    masks = F.expr(f"aggregate({by_start}, {first}, {step}, a -> concat(array_join(a.out, ''), substring({text}, a.at + 1)))")
+    rows = df.withColumn(row_hash, F.xxhash64(df[text_column]))
+    same = rows[id_column].eqNullSafe(found[key]) & (rows[row_hash] == found[hashed])
+    return rows.join(found, same, "left").withColumn(text_column, F.when(F.col(spans).isNull(), F.col(text)).otherwise(masks)).select(*df.columns)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import defaultdict
 
 from docquarry.llm import pii
 
@@ -73,6 +74,100 @@ def test_high_confidence_patterns_find_unseen_identifiers(spark):
     assert texts[-2][1] == rows[-3][1]
 
 
+def brute_discovery(extracted, rounds=2, confidence=0.9, seeds=3):
+    """The pattern-instance graph in plain Python: spans that are added, by (id, kind, start, end)."""
+    seen = [(r.id, h, p) for r in extracted for h in r.seen or [] for p in ("2 " + h.left, "1 " + h.near + "|" + h.right) if any(c.isalpha() for c in p)]
+    edges = {(p, h.m, h.k) for _, h, p in seen}
+    instances = defaultdict(set)
+    for p, m, k in edges:
+        instances[p].add((m, k))
+    known = {(m, k): 1.0 for _, m, k in edges if k < pii.CANDIDATE}
+    accepted, found = {}, {}
+    for _ in range(rounds):
+        accepted = {}
+        for p, own in instances.items():
+            for kind in range(len(pii.NAMES)):
+                scores = [known[m, k] if k < pii.CANDIDATE else found[m][1] for m, k in own if (k == kind and k < pii.CANDIDATE) or (k == pii.CANDIDATE and m in found and found[m][0] == kind)]
+                told = sum(k < pii.CANDIDATE or m in found for m, k in own)
+                weight = told + pii.DOUBT * (len(own) - told)
+                if len(scores) >= seeds and sum(scores) >= confidence * weight:
+                    accepted[p, kind] = sum(scores) / (weight + 0.1)
+        miss = defaultdict(lambda: 1.0)
+        for (p, kind), c in accepted.items():
+            for m, k in instances[p]:
+                if k == pii.CANDIDATE:
+                    miss[m, kind] *= 1 - c
+        best = {}
+        for (m, kind), x in miss.items():
+            best[m] = max(best.get(m, (-1.0, -1)), (1 - x, kind))
+        found = {m: (kind, min(score, 0.99)) for m, (score, kind) in best.items() if score >= confidence}
+    out = set()
+    for i, h, p in seen:
+        for kind in range(len(pii.NAMES)):
+            if (p, kind) in accepted and (h.k == kind == pii.SECRET or h.k == pii.CANDIDATE and h.m in found and found[h.m][0] == kind):
+                out.add((i, kind, h.s, h.e))
+    return out
+
+
+def test_graph_scores_match_brute_force(spark):
+    random.seed(33)
+    digits = lambda n: "".join(random.choice("0123456789") for _ in range(n))
+    makers = [lambda: f"+49 30 {digits(7)}", lambda: "".join(random.choice("0123456789abcdef") for _ in range(40)), lambda: f"(0{digits(2)}) {digits(5)}", lambda: f"ID{digits(6)}", lambda: f"{digits(1)}.{digits(2)}.{digits(1)}.9", lambda: f"user{digits(2)}@host"]
+    pool = [[make() for _ in range(25)] for make in makers]
+    frames = ["call %s now", "key = \"%s\" ok", "please dial the %s or", "sum of %s and", "from %s we", "token %s :"]
+    likely = {0: [0, 2], 1: [1, 5], 2: [0, 2], 3: [3, 1], 4: [4], 5: [4, 2]}
+    rows = []
+    for i in range(1500):
+        kind = random.randrange(len(makers))
+        frame = frames[random.choice(likely[kind]) if random.random() < 0.98 else random.randrange(len(frames))]
+        rows.append((i, frame % random.choice(pool[kind])))
+    extracted = pii.extract(spark.createDataFrame(rows, "doc_id long, text string")).cache()
+    for confidence, rounds, least in ((0.9, 2, 0), (0.45, 2, 50), (0.3, 1, 50), (0.3, 3, 200)):
+        got = {tuple(r) for r in pii.discover(extracted, confidence=confidence, rounds=rounds).select("id", "k", "s", "e").collect()}
+        assert got == brute_discovery(extracted.collect(), rounds, confidence) and len(got) >= least
+    assert {k for _, k, _, _ in got} >= {pii.KINDS.index("phone"), pii.SECRET}
+
+
+def test_secrets_are_found_by_their_contexts_alone(spark):
+    random.seed(34)
+    token = lambda n=40: "".join(random.choice("0123456789abcdef") for _ in range(n - 2)) + "a1"
+    rows = [(i, f'the config says token = "{token()}" and more text {i}') for i in range(60)]
+    rows += [(100 + i, f'the config says token = "{x}" and more') for i, x in enumerate(["tk-8F3kQz-99", token(39), "pass.word-2024"])]
+    # The same form in places that say nothing is no secret: checksums among other numbers.
+    rows += [(200 + i, f"part no {token() if i % 4 == 0 else 'n%06d' % i} shipped") for i in range(40)]
+    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    start = rows[0][1].index('"') + 1
+    assert all(got[i] == f"secret:{start}:{t.rindex(chr(34))}" for i, t in rows if i < 200)
+    assert all(got[i] == "" for i in got if i >= 200)
+    texts = {r.doc_id: r.text for r in pii.masked(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert texts[0] == 'the config says token = "<SECRET>" and more text 0' and texts[200] == rows[63][1]
+
+
+def test_precision_and_recall_on_planted_identifiers(spark):
+    """Unseen identifiers among decoys that look like them: of what is found, and of what there is."""
+    random.seed(35)
+    word = lambda: "".join(random.choice("bdgklmnprst") + random.choice("aeiou") for _ in range(random.randint(2, 4)))
+    fill = lambda: " ".join(word() for _ in range(random.randint(5, 30)))
+    number = lambda: f"0{random.randint(20, 99)}/{random.randint(10**5, 10**6)}"
+    intro = ["reach me by phone at", "my mobile number is", "call our office on"]
+    rows = [(i, f"{fill()} {random.choice(intro)} +49 30 {random.randint(10**6, 10**7)} {fill()}") for i in range(400)]
+    want = {}
+    for i in range(1000, 1200):
+        x, before = number(), fill() + " " + random.choice(intro) + " "
+        rows.append((i, f"{before}{x} {fill()}"))
+        want[i] = f"phone:{len(before)}:{len(before) + len(x)}"
+    rows += [(2000 + i, f"{fill()} {word()} {number()} {fill()}") for i in range(400)]  # fractions of other things
+    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id >= 1000 and r.spans}
+    right = sum(got.get(i) == s for i, s in want.items())
+    assert right >= 0.95 * len(got) and right >= 0.95 * len(want)
+
+
+def test_masks_keep_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "mail a@b.c now", "raw", 5, "x", 2)], "doc_id long, text string, __text string, __id int, __spans string, __th int")
+    (row,) = pii.masked(df).collect()
+    assert row["text"] == "mail <EMAIL> now" and tuple(row)[2:] == ("raw", 5, "x", 2)
+
+
 def test_masks_merge_overlaps_and_keep_other_columns(spark):
     text = "🙂 1.2.3.4@ex.com +1 555 010 0123, end"
     df = spark.createDataFrame([(1, text, "a", 3), (None, None, None, None), (None, "x", "b", 1)], "doc_id long, text string, s string, k int")
