@@ -5,21 +5,30 @@ streams.  The decoder reads any GIF87a or GIF89a: sub-blocks, code streams with
 growing and deferred widths, local palettes, interlacing, transparency, and the
 four disposal rules; frames come out as indices and as the composed canvas.
 
-``store`` keeps bytes as the pixels of such an animation (a pixel is an 8-bit
-sample, the palette is grey), ``read_back`` gives the bytes and the features.
+``store`` keeps bytes as the pixels of such an animation: a pixel's red sample is
+the byte, its frame's palette gives the other colours, frames are disposed of by
+each rule in turn, and long runs that the canvas shows already are transparent.
+``read_back`` composes the frames, takes the bytes from the canvas and counts
+its colours.  ``frame_table`` gives the timed frames of any GIFs with their
+pixels and histograms of red, green and blue.
+
+Bad input is rows: bytes that can't be decoded, whatever is wrong with them,
+give one row with ``error`` set.  A file's code sizes must be 2 to 8, its canvas
+and each frame at most ``MOST_PIXELS``, and all its frames together ``MOST_TOTAL``.
 
 Defined results: null text is empty; a payload is never empty, as it is filled
 up with bytes 255 to a positive multiple of the frame's width; repeated rows
 and equal texts get equal values; an empty table gives an empty table; other
-columns are ignored.
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +39,10 @@ from .common import bound_batches, by_bytes, utf8
 
 #: Pixels in a row, rows in a frame at most, and hundredths of a second a frame.
 WIDTH, ROWS, DELAY = 576, 64, 10
-#: Colours of the histogram in a feature.
-BINS = 16
+#: Bins of a colour's histogram, palettes in turn, and pixels in a run that may be transparent.
+BINS, PALETTES, RUN = 16, 3, 16
+#: Pixels that a file may declare: of its canvas or a frame, and of all frames' canvases together.
+MOST_PIXELS, MOST_TOTAL = 1 << 25, 1 << 28
 
 GREY = bytes(x for i in range(256) for x in (i, i, i))
 _BITS = 4096  # a table's size; codes never have over 12 bits
@@ -158,11 +169,16 @@ def _blocks(data: bytes) -> bytes:
 
 def encode_gif(frames: list[tuple[bytes, int]], width: int, height: int, palette: bytes = GREY, *, disposal: int = 1, transparent: int | None = None, delay: int = DELAY) -> bytes:
     """A GIF89a of (indices, rows) frames, each as wide as the canvas and at its top."""
+    return assemble([(indices, rows, disposal, transparent, None) for indices, rows in frames], width, height, palette, delay)
+
+
+def assemble(frames: Iterable[tuple[bytes, int, int, int | None, bytes | None]], width: int, height: int, palette: bytes, delay: int = DELAY) -> bytes:
+    """A GIF89a of frames (indices, rows, disposal, transparent index, own palette), each as wide as the canvas and at its top."""
     out = [b"GIF89a", width.to_bytes(2, "little"), height.to_bytes(2, "little"), bytes([0xF7, 0, 0]), palette]
     out.append(b"\x21\xff\x0bNETSCAPE2.0\x03\x01\x00\x00\x00")
-    for indices, rows in frames:
+    for indices, rows, disposal, transparent, local in frames:
         out += [b"\x21\xf9\x04", bytes([disposal << 2 | (transparent is not None)]), delay.to_bytes(2, "little"), bytes([transparent or 0, 0])]
-        out += [b"\x2c\0\0\0\0", width.to_bytes(2, "little"), rows.to_bytes(2, "little"), b"\0\x08", _blocks(lzw_encode(indices))]
+        out += [b"\x2c\0\0\0\0", width.to_bytes(2, "little"), rows.to_bytes(2, "little"), b"\0" if local is None else b"\x87" + local, b"\x08", _blocks(lzw_encode(indices))]
     return b"".join([*out, b"\x3b"])
 
 
@@ -180,16 +196,28 @@ class Frame:
 
 
 def decode_gif(data: bytes) -> tuple[int, int, list[Frame]]:
-    """Width, height and frames of a GIF."""
+    """Width, height and frames of a GIF; raises ValueError for anything that isn't one."""
+    try:
+        return _decode(data)
+    except (IndexError, OverflowError) as e:
+        raise ValueError(f"GIF cut short or damaged: {e}") from e
+
+
+def _decode(data: bytes) -> tuple[int, int, list[Frame]]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     number = lambda i: int.from_bytes(data[i : i + 2], "little")
     width, height, flags, at = number(6), number(8), data[10], 13
+    total = 0
+    if width * height > MOST_PIXELS:
+        raise ValueError("canvas too large")
 
     def colours(flags: int) -> np.ndarray:
         nonlocal at
         n = 3 << (flags & 7) + 1
         at += n
+        if at > len(data):
+            raise ValueError("palette cut short")
         return np.frombuffer(data[at - n : at], np.uint8).reshape(-1, 3)
 
     def blocks() -> bytes:
@@ -211,7 +239,7 @@ def decode_gif(data: bytes) -> tuple[int, int, list[Frame]]:
             label = data[at + 1]
             at += 2
             body = blocks()
-            if label == 0xF9:
+            if label == 0xF9 and len(body) >= 4:
                 disposal, delay = body[0] >> 2 & 7, int.from_bytes(body[1:3], "little")
                 transparent = body[3] if body[0] & 1 else None
         elif mark == 0x2C:
@@ -220,6 +248,11 @@ def decode_gif(data: bytes) -> tuple[int, int, list[Frame]]:
             palette = colours(flags) if flags & 0x80 else shared
             bits = data[at]
             at += 1
+            total += width * height + w * h
+            if not 2 <= bits <= 8:
+                raise ValueError(f"code size {bits}")
+            if w * h > MOST_PIXELS or total > MOST_TOTAL:
+                raise ValueError("frames too large")
             values = np.frombuffer(lzw_decode(blocks(), bits, w * h), np.uint8)
             if len(values) < w * h:
                 raise ValueError("frame with too few pixels")
@@ -245,6 +278,8 @@ def compose(width: int, height: int, frames: list[Frame], copy: bool = True) ->
         area = canvas[f.top : f.top + f.height, f.left : f.left + f.width]
         shown = f.indices[: area.shape[0], : area.shape[1]]
         drawn = np.ones(shown.shape, bool) if f.transparent is None else shown != f.transparent
+        if drawn.any() and int(shown[drawn].max()) >= len(f.palette):
+            raise ValueError("colour beyond the palette")
         area[drawn, :3] = f.palette[shown[drawn]]
         area[drawn, 3] = 255
         yield canvas.copy() if copy else canvas
@@ -259,22 +294,59 @@ def payload_for(data: bytes) -> bytes:
     return data + b"\xff" * (-len(data) % WIDTH or (0 if data else WIDTH))
 
 
+@cache
+def palette_of(n: int) -> bytes:
+    """The palette of a frame: red is the index, green and blue go with it by the frame's number."""
+    i = np.arange(256)
+    return np.stack([i, (i * (2 * n + 3) + 85 * n) % 256, (255 - i + 51 * n) % 256], axis=1).astype(np.uint8).tobytes()
+
+
+def _frames(payload: bytes) -> Iterator[tuple[bytes, int, int, int | None, bytes]]:
+    """The payload's frames, with what the canvas shows before each of them in mind."""
+    size = WIDTH * ROWS
+    shown, before = np.full(size, -1, np.int16), None  # reds of the canvas, -1 where nothing is drawn
+    for n, start in enumerate(range(0, len(payload), size)):
+        reds = np.frombuffer(payload[start : start + size], np.uint8)
+        area, indices, clear = shown[: len(reds)], reds, None
+        same = np.concatenate([[0], (area == reds).view(np.int8), [0]])
+        edges = np.flatnonzero(np.diff(same)).reshape(-1, 2)
+        runs = edges[edges[:, 1] - edges[:, 0] >= RUN]
+        if len(runs):
+            unused = np.flatnonzero(np.bincount(reds, minlength=256) == 0)
+            if len(unused):
+                clear, indices = int(unused[0]), reds.copy()
+                for a, b in runs.tolist():
+                    indices[a:b] = clear
+        disposal = n % 3 + 1
+        yield indices.tobytes(), len(reds) // WIDTH, disposal, clear, palette_of(n % PALETTES)
+        if disposal == 1:
+            shown[: len(reds)] = reds
+        elif disposal == 2:
+            shown[: len(reds)] = -1
+
+
 def to_gif(payload: bytes) -> bytes:
     """The payload as pixels: frames of ``ROWS`` rows, the last one may have fewer."""
-    size = WIDTH * ROWS
-    frames = [(part, len(part) // WIDTH) for part in (payload[i : i + size] for i in range(0, len(payload), size))]
-    return encode_gif(frames, WIDTH, min(ROWS, len(payload) // WIDTH))
+    return assemble(_frames(payload), WIDTH, min(ROWS, len(payload) // WIDTH), palette_of(0))
+
+
+def histogram(canvas: np.ndarray) -> list[list[int]]:
+    """Pixels of a composed canvas by red, green and blue, in ``BINS`` bins each; pixels that show nothing don't count."""
+    drawn = canvas.reshape(-1, 4)
+    if not drawn[:, 3].all():
+        drawn = drawn[drawn[:, 3] > 0]
+    return [np.bincount(drawn[:, c] >> 4, minlength=BINS).tolist() for c in range(3)]
 
 
 def from_gif(media: bytes) -> tuple[bytes, np.ndarray, int]:
-    """The payload, read from the composed canvas; its colour histogram; the number of frames."""
+    """The payload, read from the composed canvas; the frames' colour histograms, summed; the number of frames."""
     width, height, frames = decode_gif(media)
-    parts, histogram = [], np.zeros(256, np.int64)
+    parts, total = [], np.zeros((3, BINS), np.int64)
     for f, canvas in zip(frames, compose(width, height, frames, copy=False)):
-        seen = canvas[f.top : f.top + f.height, f.left : f.left + f.width, 0]
-        histogram += np.bincount(seen.ravel(), minlength=256)
-        parts.append(seen.tobytes())
-    return b"".join(parts), histogram, len(frames)
+        seen = canvas[f.top : f.top + f.height, f.left : f.left + f.width]
+        total += histogram(seen)
+        parts.append(seen[..., 0].tobytes())
+    return b"".join(parts), total, len(frames)
 
 
 def store(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -292,7 +364,7 @@ def store(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
 
 
 def read_back(stored: DataFrame, *, id_column: str = "doc_id") -> DataFrame:
-    """Digests of what the media hold, and their features: a histogram of ``BINS`` greys."""
+    """Digests of what the media hold, and their features: histograms of red, green and blue."""
     kind = dict(stored.dtypes)["id"]
     schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int"
 
@@ -300,8 +372,8 @@ def read_back(stored: DataFrame, *, id_column: str = "doc_id") -> DataFrame:
         for batch in by_bytes(batches, "media", 4 << 20):
             rows = []
             for media in batch.column(2).to_pylist():
-                payload, histogram, n = from_gif(media)
-                feature = " ".join(map(str, histogram.reshape(BINS, -1).sum(axis=1).tolist()))
+                payload, colours, n = from_gif(media)
+                feature = " ".join(map(str, colours.ravel().tolist()))
                 rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, n))
             types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32()]
             names = ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames"]
@@ -310,35 +382,40 @@ def read_back(stored: DataFrame, *, id_column: str = "doc_id") -> DataFrame:
     return stored.mapInArrow(run, schema).withColumnRenamed("id", id_column)
 
 
-def frame_table(media: DataFrame, *, id_column: str = "id", media_column: str = "media") -> DataFrame:
-    """One row for each frame of any GIFs: ``id, frame, start_cs, delay_cs, width, height, histogram``.
+def frame_table(media: DataFrame, *, id_column: str = "id", media_column: str = "media", with_pixels: bool = True) -> DataFrame:
+    """One row for each frame of any GIFs: number, time, size, the composed canvas's pixels (RGBA, row by row) and its histograms.
 
-    The histogram has ``BINS`` bins of the composed canvas's brightness.  Bytes
-    that are no GIF, or null, give one row with ``error`` set.
+    Histograms have ``BINS`` bins of each colour.  Bytes that can't be decoded, or
+    null, give one row with ``error`` set; no frame of a damaged file is a row.
     """
     bound_batches(media.sparkSession, 64)
     narrow = media.select(media[id_column].alias("id"), media[media_column].alias("media"))
-    names = ["id", "frame", "start_cs", "delay_cs", "width", "height", "histogram", "error"]
-    types = [None, pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.string()]
+    names = ["id", "frame", "start_cs", "delay_cs", "width", "height", "pixels", "red", "green", "blue", "error"]
+    types = [None, pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), *[pa.list_(pa.int64())] * 3, pa.string()]
+
+    def frames_of(key: object, data: bytes | None) -> Iterator[tuple]:
+        width, height, frames = decode_gif(data or b"")
+        for f in frames:  # what the canvas can't show is found before the first row goes out
+            if f.indices.size and int(f.indices.max()) >= len(f.palette) and (f.indices[f.indices >= len(f.palette)] != f.transparent).any():
+                raise ValueError("colour beyond the palette")
+        start = 0
+        for k, (f, canvas) in enumerate(zip(frames, compose(width, height, frames, copy=False))):
+            yield key, k, start, f.delay, width, height, canvas.tobytes() if with_pixels else None, *histogram(canvas), None
+            start += f.delay
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            kinds = [batch.column(0).type, *types[1:]]
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 try:
-                    width, height, frames = decode_gif(data or b"")
-                    start, own = 0, []
-                    for k, (f, canvas) in enumerate(zip(frames, compose(width, height, frames))):
-                        bright = canvas[..., :3].astype(np.int64) @ [299, 587, 114] // 1000
-                        own.append((key, k, start, f.delay, width, height, np.bincount((bright * BINS // 256).ravel(), minlength=BINS).tolist(), None))
-                        start += f.delay
-                    rows += own
-                except (ValueError, IndexError) as e:
-                    rows.append((key, None, None, None, None, None, None, str(e)))
-            columns = zip(*rows) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t or batch.column(0).type) for c, t in zip(columns, types)], names)
-
-    return narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, frame int, start_cs long, delay_cs int, width int, height int, histogram array<long>, error string").withColumnRenamed("id", id_column)
+                    for row in frames_of(key, data.as_py()):  # a batch for each frame: canvases may be large
+                        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names)
+                except ValueError as e:
+                    row = (key, *[None] * 9, str(e))
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names)
+
+    schema = f"id {dict(narrow.dtypes)['id']}, frame int, start_cs long, delay_cs int, width int, height int, pixels binary, red array<long>, green array<long>, blue array<long>, error string"
+    return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_column)
 
 
 def text_media(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
