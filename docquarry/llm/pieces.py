@@ -1,8 +1,10 @@
 """SentencePiece encoding and decoding with N-best segmentations.
 
-A text is normalised as its model says (identity here): a dummy prefix, and
-spaces as ``▁``.  Its segmentations are the paths of a lattice of pieces; a
-character in no piece is spelled by byte pieces.  Forward Viterbi gives every
+A text is normalised as its model says (by the library's normaliser, unless the
+model leaves texts as they are): a dummy prefix, and spaces as ``▁``.  Its segmentations
+are the paths of a lattice of pieces; a character in no piece is spelled by byte
+pieces or, if the model has none, unknown (unknown neighbours are one piece, which
+decodes as the model's mark for it).  Forward Viterbi gives every
 position's best score from the start.  Those scores are exact heuristics for an
 A* search backward from the end, so whole paths leave the queue in the order of
 their scores, and the first N are the N best.
@@ -16,12 +18,19 @@ only those are searched, and the text's N best are merged from theirs.
 
 Scores are whole numbers (millionths of a logarithm), so ties are ties; they
 come in the order in which the search, which is deterministic, completes them.  A unigram
-model's own scores are used.  A BPE model has ranks for scores, which are no
-logarithms of probabilities; Zipf's law makes them ones.
+model's own scores are used, and its best path is what the library encodes to.
+A BPE model has ranks for scores, which are no logarithms of probabilities;
+Zipf's law makes them ones for the lattice.  The library's own segmentation goes
+by merges, so it is often another path: ``piece_ids`` are always the library's,
+and ``lattice_ids`` the lattice's best.
+
+Models whose pieces go over a word's start, that have no dummy prefix or no piece
+for a space are refused.
 
 Defined results: null text is empty and has the one empty segmentation; a text's
 own ``▁`` decodes as a space, as in the library; repeated rows get equal results; an
-empty table gives an empty table; other columns are ignored or kept.
+empty table gives an empty table; other columns are ignored, or kept by
+``with_pieces``, which puts underscores after its own names where they clash.
 """
 
 from __future__ import annotations
@@ -29,14 +38,16 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, product, repeat
+from itertools import chain, repeat
 from math import log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from sentencepiece import SentencePieceProcessor
 
 from .common import bound_batches, by_bytes
 from .token_counts import tokenizer_path
@@ -47,8 +58,9 @@ MARK, SPACE = "▁", " "
 BEST, KNOWN, LONGEST = 3, 400_000, 64
 #: Words in one array of ``viterbi_many``.
 CHUNK = 4096
-#: The kinds of pieces in a model, normal and user-defined ones, and bytes.
-NORMAL, USER, BYTE = 1, 4, 6
+#: The kinds of pieces in a model, normal, unknown and user-defined ones, and bytes; what an unknown character costs beyond the worst piece.
+NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
+UNKNOWN_COST = 10
 ZIPF_SHIFT = 2.7
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: Stands for "no second segmentation" among differences.
@@ -65,21 +77,31 @@ class Pieces:
         with open(tokenizer_path(name), "rb") as f:
             model.ParseFromString(f.read())
         spec = model.normalizer_spec
-        if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.add_dummy_prefix or not spec.escape_whitespaces:
-            raise ValueError("only identity normalisation with a dummy prefix is known here")
-        ranks = model.trainer_spec.model_type == 2
+        if not spec.add_dummy_prefix or not spec.escape_whitespaces or model.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError("only models with a dummy prefix are known here")
+        self.library = SentencePieceProcessor(model_proto=model.SerializeToString())
+        self.identity = not spec.precompiled_charsmap and not spec.remove_extra_whitespaces
+        ranks = self.merges = model.trainer_spec.model_type == 2
         size = len(model.pieces)
         weight = sum(1 / (k + ZIPF_SHIFT) for k in range(size))
         self.ids: dict[str, tuple[int, int]] = {}
-        self.bytes = [(0, 0)] * 256
+        self.bytes: list[tuple[int, int]] = [(0, 0)] * 256
         self.spelled = [b""] * size
+        self.unknown = next((i for i, p in enumerate(model.pieces) if p.type == UNKNOWN), 0)
+        self.falls_back = any(p.type == BYTE for p in model.pieces)
         for i, p in enumerate(model.pieces):
-            if p.type in (NORMAL, USER):
+            if p.type == UNKNOWN:
+                self.spelled[i] = model.trainer_spec.unk_surface.encode()
+            elif p.type in (NORMAL, USER):
                 rank = min(max(-p.score, 0), size) if ranks else 0
                 score = -log((rank + ZIPF_SHIFT) * weight) if ranks else p.score
                 self.ids[p.piece.replace(MARK, SPACE)] = i, round(score * 1_000_000)
                 self.spelled[i] = p.piece.replace(MARK, SPACE).encode()
         lowest = min((s for _, s in self.ids.values()), default=0) - 2_000_000
+        worst = min((p.score for p in model.pieces if p.type == NORMAL), default=0.0)
+        self.unknown_score = None if ranks and self.falls_back else round((worst - UNKNOWN_COST) * 1_000_000)
+        if SPACE not in self.ids:
+            raise ValueError("no piece for a space")
         for i, p in enumerate(model.pieces):
             if p.type == BYTE:
                 value = int(p.piece[3:5], 16)
@@ -93,7 +115,7 @@ class Pieces:
         pairs = {x for p in self.ids for x in zip(p, p[1:])}
         joined = {b for a, b in pairs if a.isalnum()}
         marks = "".join(sorted(re.escape(p) for p in self.ids if len(p) == 1 and not p.isalnum() and p not in joined and p not in (SPACE, "\n")))
-        lines = "" if any("\n" in x for x in pairs) else "\n"
+        lines = "" if any("\n" in x for x in pairs) or not (self.falls_back or "\n" in self.ids) else "\n"
         rest = rf"(?:[^{lines}{marks}]++" + (rf"|(?<![^\W_])[{marks}])*+" if marks else ")*+")
         self.part_pattern = re.compile("|".join([*([r"\n"] if lines else []), *([rf"[{marks}]{rest}"] if marks else []), rf"[\s\S]{rest}"]))
         self.breaks = frozenset(p for p in self.ids if re.fullmatch(f"[{marks}]", p)) | set(lines) if marks else frozenset(lines)
@@ -103,9 +125,16 @@ class Pieces:
         self._trie()
 
     def _spelled(self, char: str) -> tuple[tuple[int, ...], int]:
-        """Byte pieces of a character that is no piece, and their score."""
-        found = [self.bytes[b] for b in char.encode("utf-8", "replace")]
-        return tuple(i for i, _ in found), sum(s for _, s in found)
+        """Byte pieces of a character that is no piece, or the unknown one, and their score."""
+        found = [self.bytes[b] for b in char.encode("utf-8", "replace")] if self.falls_back else [(self.unknown, 0)]
+        return tuple(i for i, _ in found), sum(s for _, s in found) if self.unknown_score is None else self.unknown_score
+
+    def joined(self, ids: Iterable[int]) -> tuple[int, ...]:
+        """The ids with unknown neighbours as one."""
+        ids = tuple(ids)
+        if self.falls_back or self.unknown not in ids:
+            return ids
+        return tuple(i for k, i in enumerate(ids) if i != self.unknown or not k or ids[k - 1] != i)
 
     def edges(self, word: str) -> list[tuple[int, int, int]]:
         """The lattice's edges (start, end, score), by start."""
@@ -154,7 +183,7 @@ class Pieces:
             score += best[start]
             if score > second and on_path[end] != start:
                 second = score
-        ids = tuple(i for part in reversed(parts) for i in self.ids_of(part))
+        ids = self.joined(i for part in reversed(parts) for i in self.ids_of(part))
         return best[size], ids, best[size] - second if second > -(NONE >> 1) else NONE
 
     def viterbi_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -276,7 +305,7 @@ class Pieces:
                     end, path = path
                     ids += self.ids_of(word[start:end])
                     start = end
-                out.append((done, tuple(ids)))
+                out.append((done, self.joined(ids)))
                 continue
             for start, score in into[at]:
                 serial += 1
@@ -285,14 +314,21 @@ class Pieces:
 
     def words(self, text: str) -> list[str]:
         """The words of a text's lattice, in order, each without its first space."""
+        text = self.normal(text)
         if not text:
             return []
-        text = text.replace(MARK, SPACE)
         words = text.split(SPACE)
         if "" in words:  # runs of spaces belong to the word that follows
             return [w[1:] for w in _WORDS.findall(SPACE + text)]
         return words
 
+    def normal(self, text: str) -> str:
+        """A text as the model sees it, with spaces for marks and without the dummy prefix."""
+        if not self.identity:
+            text = self.library.normalize(text)
+            return text[1:].replace(MARK, SPACE)
+        return text.replace(MARK, SPACE)
+
     def parts(self, word: str) -> list[str]:
         """Parts of a word that no piece goes over."""
         return [word] if self.breaks.isdisjoint(word) else self.part_pattern.findall(word)
@@ -327,6 +363,7 @@ class Encoder:
         self.size = self.used = 0
         self.score, self.gap, self.first, self.count = (np.zeros(1 << 16, np.int64) for _ in range(4))
         self.row = np.zeros(1 << 18, np.int32)
+        self.own = Row()
 
     def _add(self, score: np.ndarray, gap: np.ndarray, count: np.ndarray, ids: np.ndarray) -> range:
         """Put entries at the arrays' ends; their numbers."""
@@ -385,24 +422,27 @@ class Encoder:
             sums = [np.add.reduceat(x[numbers], starts) for x in (self.score, self.count)]
             added = self._add(sums[0], np.minimum.reduceat(self.gap[numbers], starts), sums[1], self._ids(numbers))
             self.known.update(zip([w for w, _ in composed], added))
+        if self.pieces.merges:  # no merge goes over a word's start, so words may be encoded one by one
+            new = [*base, *(w for w, _ in composed)]
+            found = self.pieces.library.encode(new, num_threads=1) if new else []
+            alone = [self.pieces.ids[SPACE][0]]  # a space at the text's end, which by itself is an empty text
+            self.own.put([self.known[w] for w in new], [ids if w else alone for w, ids in zip(new, found)])
+        if composed:
             self.long += [(self.known, w) for w, _ in composed if len(w) > LONGEST]
 
-    def ways(self, word: str, number: int) -> list[tuple[int, int]]:
-        """(score lost, pieces added) of the word's N best, the best first."""
+    def ways(self, word: str, number: int) -> list[tuple[int, int, tuple[int, ...]]]:
+        """(score lost, pieces added, ids) of the word's N best, the best first."""
         out = self.known_ways.get(word)
         if out is None:
-            own, score = tuple(self._ids(np.array([number])).tolist()), int(self.score[number])
-            found = [w for w in self.pieces.nbest(SPACE + word, self.n) if w[1] != own]
-            for _, ids in found:
-                if b"".join(map(self.pieces.spelled.__getitem__, ids)).decode("utf-8", "replace") != SPACE + word:
-                    raise AssertionError("a segmentation that doesn't spell its word")
-            out = [(0, 0), *((score - s, len(ids) - len(own)) for s, ids in found[: self.n - 1])]
+            best, score = tuple(self._ids(np.array([number])).tolist()), int(self.score[number])
+            found = [w for w in self.pieces.nbest(SPACE + word, self.n) if w[1] != best]
+            out = [(0, 0, best), *((score - s, len(ids) - len(best), ids) for s, ids in found[: self.n - 1])]
             if len(word) <= LONGEST:
                 self.known_ways[word] = out
         return out
 
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[int]], list[list[int]]]:
-        """The best segmentations' ids in a row and where each text's begin and end; scores and piece counts of each text's N best."""
+    def __call__(self, texts: list[str | None], whole: bool = False) -> Encoded:
+        """Segmentations of texts; the ids of all N best only if ``whole``."""
         if max(len(self.known), len(self.known_parts), self.used >> 4) > KNOWN:
             self.forget()
         split = [self.pieces.words(t or "") for t in texts]
@@ -415,26 +455,88 @@ class Encoder:
         numbers[new] = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         sums = [np.concatenate([[0], np.cumsum(x[numbers])])[ends] for x in (self.score, self.count)]
         gaps = self.gap[numbers]
-        scores, counts = [], []
+        out = Encoded(self._ids(numbers), sums[1].astype(np.int32), [], [], [])
         for k, (score, count) in enumerate(zip(np.diff(sums[0]).tolist(), np.diff(sums[1]).tolist())):
-            own, options = gaps[ends[k] : ends[k + 1]], []
-            for _ in range(min(self.n - 1, len(own))):  # the nearest second bests
-                at = int(own.argmin())
-                if own[at] == NONE:
+            left, picked = gaps[ends[k] : ends[k + 1]], []
+            for _ in range(min(self.n - 1, len(left))):  # the nearest second bests
+                at = int(left.argmin())
+                if left[at] == NONE:
                     break
-                own[at] = NONE
-                options.append(self.ways(split[k][at], int(numbers[ends[k] + at])))
-            every = heapq.nsmallest(self.n, [(sum(g for g, _ in x), sum(c for _, c in x)) for x in product(*options)], key=lambda w: w[0])
-            scores.append([score - g for g, _ in every])
-            counts.append([count + c for _, c in every])
+                left[at] = NONE
+                picked.append((at, self.ways(split[k][at], int(numbers[ends[k] + at]))))
+            every: list[tuple[int, int, tuple[int, ...]]] = [(0, 0, ())]
+            for _, ways in picked:  # the N best of words so far, with each way of the next word
+                every = heapq.nsmallest(self.n, [(g + lost, c + more, (*turn, j)) for g, c, turn in every for j, (lost, more, _) in enumerate(ways)], key=lambda w: w[0])
+            out.scores.append([score - g for g, _, _ in every])
+            out.counts.append([count + c for _, c, _ in every])
+            if whole:
+                out.ways.append([self._replaced(numbers[ends[k] : ends[k + 1]], {at: ways[j][2] for (at, ways), j in zip(picked, turn) if j}) for _, _, turn in every])
+        if self.pieces.merges:
+            out.own, count = self.own.take(numbers)
+            out.own_offsets = np.concatenate([[0], np.cumsum(count)])[ends].astype(np.int32)
         for memory, key in self.long:  # long ones were for this batch alone
             memory.pop(key, None)
         self.long.clear()
-        return self._ids(numbers), sums[1].astype(np.int32), scores, counts
+        return out
+
+    def _replaced(self, numbers: np.ndarray, others: dict[int, tuple[int, ...]]) -> list[int]:
+        """The ids of words, some of them in another way."""
+        out, at = [], 0
+        for k in sorted(others):
+            out += [*self._ids(numbers[at:k]).tolist(), *others[k]]
+            at = k + 1
+        return [*out, *self._ids(numbers[at:]).tolist()]
+
+
+class Row:
+    """Lists of ids in one long row, by entry numbers."""
+
+    def __init__(self) -> None:
+        self.first, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.ids, self.used = np.zeros(1 << 18, np.int32), 0
+
+    def put(self, numbers: list[int], lists: list[list[int]]) -> None:
+        if not numbers:
+            return
+        count = np.fromiter(map(len, lists), np.int64, len(lists))
+        while max(numbers) >= len(self.first):
+            self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
+        while self.used + int(count.sum()) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.first[numbers], self.count[numbers] = self.used + np.cumsum(count) - count, count
+        self.ids[self.used : self.used + int(count.sum())] = np.fromiter(chain.from_iterable(lists), np.int32, int(count.sum()))
+        self.used += int(count.sum())
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries in a row, and how many each has."""
+        count = self.count[numbers]
+        shift = self.first[numbers] - (np.cumsum(count) - count)
+        return self.ids[np.repeat(shift, count) + np.arange(int(count.sum()))], count
 
 
-def encode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str = "doc_id", text_column: str = "text", n: int = BEST) -> DataFrame:
-    """``id, piece_ids, scores, counts, normal_sha256``: the best segmentation of each text, and the N best's scores and sizes."""
+@dataclass
+class Encoded:
+    """Segmentations of a batch: the best ones' ids in a row and where each text's begin and end, and of each text's N best scores and piece counts, and all ids if asked for; the library's ids."""
+
+    row: np.ndarray
+    offsets: np.ndarray
+    scores: list[list[int]]
+    counts: list[list[int]]
+    ways: list[list[list[int]]]
+    own: np.ndarray | None = None
+    own_offsets: np.ndarray | None = None
+
+    def lattice_ids(self) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(self.offsets), pa.array(self.row))
+
+    def piece_ids(self) -> pa.ListArray:
+        """The library's ids; for a unigram model they are the lattice's best."""
+        return self.lattice_ids() if self.own is None else pa.ListArray.from_arrays(pa.array(self.own_offsets), pa.array(self.own))
+
+
+def encode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str = "doc_id", text_column: str = "text", n: int = BEST, whole: bool = True) -> DataFrame:
+    """``id, piece_ids, lattice_ids, scores, counts, nbest_ids, normal_sha256``: the library's segmentation of each text, the
+    lattice's best, and the scores, sizes and (null unless ``whole``) ids of the N best."""
     bound_batches(df.sparkSession)
     narrow = df.select(df[id_column].alias("id"), df[text_column].alias("text"))
 
@@ -442,12 +544,14 @@ def encode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str
         encoder = Encoder(model, n)
         for batch in by_bytes(batches, "text", 4 << 20):
             texts = batch.column(1).to_pylist()
-            row, offsets, scores, counts = encoder(texts)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(row))
-            normal = [hashlib.sha256((x or "").replace(MARK, SPACE).encode("utf-8", "replace")).hexdigest() for x in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(scores, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32())), pa.array(normal)], ["id", "piece_ids", "scores", "counts", "normal_sha256"])
+            got = encoder(texts, whole)
+            normal = [hashlib.sha256(encoder.pieces.normal(x or "").encode("utf-8", "replace")).hexdigest() for x in texts]
+            ways = pa.array(got.ways if whole else [None] * len(texts), pa.list_(pa.list_(pa.int32())))
+            columns = [got.piece_ids(), got.lattice_ids(), pa.array(got.scores, pa.list_(pa.int64())), pa.array(got.counts, pa.list_(pa.int32())), ways, pa.array(normal)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "piece_ids", "lattice_ids", "scores", "counts", "nbest_ids", "normal_sha256"])
 
-    return narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, piece_ids array<int>, scores array<long>, counts array<int>, normal_sha256 string").withColumnRenamed("id", id_column)
+    kind = dict(narrow.dtypes)["id"]
+    return narrow.mapInArrow(run, f"id {kind}, piece_ids array<int>, lattice_ids array<int>, scores array<long>, counts array<int>, nbest_ids array<array<int>>, normal_sha256 string").withColumnRenamed("id", id_column)
 
 
 def decode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str = "doc_id", ids_column: str = "piece_ids") -> DataFrame:
@@ -465,46 +569,52 @@ def decode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str
 
 
 def round_trip(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str = "doc_id", text_column: str = "text", n: int = BEST) -> DataFrame:
-    """Encode each text, decode the ids, and compare: digests of ids and decoded text, and the N best's scores."""
-    encoded = encode(df, model, id_column=id_column, text_column=text_column, n=n)
+    """Encode each text, decode the ids, and compare: digests of the library's and the lattice's ids and of the decoded text, and the N best's scores.
+
+    ``round_trip``: both decode to the text as the model sees it.
+    """
+    encoded = encode(df, model, id_column=id_column, text_column=text_column, n=n, whole=False).drop("nbest_ids")
     kind = dict(encoded.dtypes)[id_column]
-    schema = f"`{id_column}` {kind}, n_pieces long, score long, nbest_scores array<long>, nbest_pieces array<int>, ids_sha256 string, decoded_sha256 string, round_trip boolean"
+    names = ["id", "n_pieces", "score", "nbest_scores", "nbest_pieces", "ids_sha256", "lattice_sha256", "decoded_sha256", "round_trip"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
-        names = [x.split(" ")[0].strip("`") for x in schema.split(", ")]
         for batch in batches:
-            counts, digests, decoded = [], [], []
-            for ids in batch.column(1):
-                values = ids.values.to_numpy()
-                counts.append(len(values))
-                digests.append(hashlib.sha256(values.astype("<i4").tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(pieces.decode(values.tolist()).encode("utf-8", "replace")).hexdigest())
-            same = [a == b for a, b in zip(decoded, batch.column(4).to_pylist())]
-            scores = batch.column(2)
+            lists = [[ids.values.to_numpy() for ids in batch.column(k)] for k in (1, 2)]
+            digests = [[hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in own] for own in lists]
+            decoded = [[hashlib.sha256(pieces.decode(x.tolist()).encode("utf-8", "replace")).hexdigest() for x in own] for own in lists]
+            same = [a == b == c for a, b, c in zip(*decoded, batch.column(5).to_pylist())]
+            scores = batch.column(3)
             first = [x[0].as_py() for x in scores]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.int64()), scores, batch.column(3), pa.array(digests, pa.string()), pa.array(decoded, pa.string()), pa.array(same, pa.bool_())], names)
+            columns = [pa.array(list(map(len, lists[0])), pa.int64()), pa.array(first, pa.int64()), scores, batch.column(4), *(pa.array(x, pa.string()) for x in (*digests, decoded[0])), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
-    return encoded.mapInArrow(run, schema)
+    out = encoded.withColumnRenamed(id_column, "id").mapInArrow(run, f"id {kind}, n_pieces long, score long, nbest_scores array<long>, nbest_pieces array<int>, ids_sha256 string, lattice_sha256 string, decoded_sha256 string, round_trip boolean")
+    return out.withColumnRenamed("id", id_column)
 
 
 def with_pieces(df: DataFrame, model: str = "piece_bpe_32k.model", *, text_column: str = "text", n: int = BEST) -> DataFrame:
-    """``df`` with ``piece_ids``, ``n_pieces`` and ``round_trip`` added; texts stay beside their pieces."""
+    """``df`` with ``piece_ids`` (the library's), ``lattice_ids``, ``n_pieces`` and ``round_trip`` (of both) added; texts stay beside their pieces."""
     bound_batches(df.sparkSession)
     position = df.columns.index(text_column)
-    added = ["piece_ids", "n_pieces", "round_trip"]
-    kept = [c for c in df.columns if c not in added]
-    narrow = df.select(*kept)
-    position = kept.index(text_column)
+    there = {c.lower() for c in df.columns}
+    added = []
+    for name in ("piece_ids", "lattice_ids", "n_pieces", "round_trip"):
+        while name in there:
+            name += "_"
+        added.append(name)
+    names = [*df.columns, *added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model, n)
+        decoded = encoder.pieces.decode
         for batch in by_bytes(batches, text_column, 4 << 20):
             texts = batch.column(position).to_pylist()
-            row, offsets, _, _ = encoder(texts)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(row))
-            same = [encoder.pieces.decode(row[a:b].tolist()) == (x or "").replace(MARK, SPACE) for a, b, x in zip(offsets, offsets[1:], texts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(np.diff(offsets), pa.int64()), pa.array(same, pa.bool_())], [*kept, *added])
-
-    fields = ", ".join(f"`{c}` {t}" for c, t in narrow.dtypes)
-    return narrow.mapInArrow(run, f"{fields}, piece_ids array<int>, n_pieces long, round_trip boolean")
+            got = encoder(texts)
+            ids, lattice = got.piece_ids(), got.lattice_ids()
+            normal = [encoder.pieces.normal(x or "") for x in texts]
+            same = [all(decoded(x.values.to_numpy().tolist()) == t for x in both) for *both, t in zip(ids, lattice, normal)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids, lattice, ids.value_lengths().cast(pa.int64()), pa.array(same, pa.bool_())], names)
+
+    fields = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+    return df.mapInArrow(run, f"{fields}, `{added[0]}` array<int>, `{added[1]}` array<int>, `{added[2]}` long, `{added[3]}` boolean")
