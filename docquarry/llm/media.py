@@ -272,17 +272,18 @@ def _decode(data: bytes) -> tuple[int, int, list[Frame]]:
 
 def compose(width: int, height: int, frames: list[Frame], copy: bool = True) -> Iterator[np.ndarray]:
     """The canvas (RGBA) as each frame shows it; without ``copy`` it must be read before the next one."""
-    canvas = np.zeros((height, width, 4), np.uint8)
+    canvas = np.zeros((height, width), np.uint32)  # a pixel's four bytes at once
     for f in frames:
         before = canvas.copy() if f.disposal == 3 else None
         area = canvas[f.top : f.top + f.height, f.left : f.left + f.width]
         shown = f.indices[: area.shape[0], : area.shape[1]]
-        drawn = np.ones(shown.shape, bool) if f.transparent is None else shown != f.transparent
-        if drawn.any() and int(shown[drawn].max()) >= len(f.palette):
+        drawn = True if f.transparent is None else shown != f.transparent
+        if (shown.size and int(shown.max()) >= len(f.palette)) and (drawn & (shown >= len(f.palette))).any():
             raise ValueError("colour beyond the palette")
-        area[drawn, :3] = f.palette[shown[drawn]]
-        area[drawn, 3] = 255
-        yield canvas.copy() if copy else canvas
+        colours = np.zeros((256, 4), np.uint8)
+        colours[: len(f.palette), :3], colours[:, 3] = f.palette, 255
+        np.copyto(area, colours.view(np.uint32)[:, 0][shown], where=drawn)
+        yield (canvas.copy() if copy else canvas).view(np.uint8).reshape(height, width, 4)
         if f.disposal == 2:
             area[:] = 0
         elif before is not None:
@@ -344,7 +345,11 @@ def from_gif(media: bytes) -> tuple[bytes, np.ndarray, int]:
     parts, total = [], np.zeros((3, BINS), np.int64)
     for f, canvas in zip(frames, compose(width, height, frames, copy=False)):
         seen = canvas[f.top : f.top + f.height, f.left : f.left + f.width]
-        total += histogram(seen)
+        if f.transparent is None and seen.size == 4 * f.indices.size:  # the canvas shows the frame's own colours
+            held = np.bincount(f.indices.ravel(), minlength=256)[: len(f.palette)]
+            total += np.stack([np.bincount(f.palette[:, c] >> 4, held, BINS) for c in range(3)]).astype(np.int64)
+        else:
+            total += histogram(seen)
         parts.append(seen[..., 0].tobytes())
     return b"".join(parts), total, len(frames)
 
