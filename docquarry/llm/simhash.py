@@ -1,19 +1,26 @@
 """SimHash near-duplicates by covering locality-sensitive hashing.
 
-Fingerprints have 64 bits over 3-word shingles.  For radius r the bits are dealt
-evenly to the nonzero vectors of {0,1}^(r+1), and table v (each nonzero vector)
-keeps the bits whose vector has an odd product with v.  Of any r bits some
-nonzero v is orthogonal to all of their vectors, so two fingerprints within the
-radius agree on all bits that table v keeps: they collide in some table for
-certain.  With radius 3 that is 15 tables of about 34 bits.
+Fingerprints have 64 bits over 3-word shingles (``STRICT``).  A looser likeness
+(``NEAR``) takes a text's words instead, each as often as the root of its count,
+so their fingerprint moves little when words are changed, and a wider radius; as that alone would link texts that share
+a vocabulary, a link's texts must also agree in 0.8 of the bits of fingerprints
+over 5-word shingles, which is checked on each pair within a bucket.
+
+For radius r the bits are dealt evenly to the nonzero vectors of {0,1}^(r+1),
+and table v (each nonzero vector) keeps the bits whose vector has an odd product
+with v.  Of any r bits some nonzero v is orthogonal to all of their vectors, so
+two fingerprints within the radius agree on all bits that table v keeps: they
+collide in some table for certain.  With radius 3 that is 15 tables of about 34
+bits, with radius 5 it is 63 of about 33.
 
 Only distinct fingerprints are hashed, so exact copies are one row.  A bucket
 holds its fingerprints once; up to ``LIGHT`` of them are linked in one call.  A
 larger bucket is split again, exactly: the bits the table leaves free are cut
-into 10 blocks, two fingerprints within 3 bits agree on 7 of them, and each
-choice of 7 makes a sub-bucket with few free bits, so it has few members at
-most.  Within a bucket only a spanning forest of the true links is emitted, not
-the pairs, and components are found by star contraction on Spark tables.
+into 10 blocks, two fingerprints within r bits agree on 10 - r of them, and each
+choice of so many makes a sub-bucket with fewer free bits.  A sub-bucket of over
+``MEMBERS`` is dealt into parts, and each two parts are a call, so no call holds
+more.  Within a call only a spanning forest of the true links is emitted, not the
+pairs, and components are found by star contraction on Spark tables.
 
 Defined results: null and empty texts have fingerprint zero and are linked like
 any other; repeated rows share a component; an empty table gives an empty
@@ -22,8 +29,11 @@ table; other columns are ignored, or kept by ``keep_one``, whatever their names.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
+from dataclasses import dataclass
+from itertools import chain, combinations, repeat
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -36,20 +46,40 @@ from .common import bound_batches, by_bytes, cut, own, small, utf8
 from .components import components
 
 BITS, SHINGLE, SEED, RADIUS = 64, 3, 42, 3
+
+
+@dataclass(frozen=True)
+class Likeness:
+    """When two texts are linked: fingerprints over shingles of so many words (0: single words by the root of their counts) within ``radius`` bits,
+    and, if ``check`` is given, fingerprints over 5-word shingles within ``check`` bits."""
+
+    shingle: int = SHINGLE
+    radius: int = RADIUS
+    check: int | None = None
+
+
+STRICT, NEAR, CHECKED = Likeness(), Likeness(0, 5, 12), 5
 #: Fingerprints of a bucket linked in one call; blocks of free bits in larger ones.
 LIGHT, BLOCKS = 256, 10
+#: Fingerprints in one call, about.
+MEMBERS = 8192
 
 
-def fingerprint(text: bytes | None) -> int:
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     """SimHash of a text: 64 bits, as an unsigned number."""
-    words = (text or b"").lower().split()  # bytes: A-Z and ASCII white space alone
+    return _simhash((text or b"").lower().split(), shingle)  # bytes: A-Z and ASCII white space alone
+
+
+def _simhash(words: list[bytes], shingle: int) -> int:
     if not words:
         return 0
     digest = xxhash.xxh64_intdigest
-    if len(words) < SHINGLE:
+    if not shingle:
+        hashes = list(chain.from_iterable(repeat(digest(x, SEED), isqrt(n)) for x, n in Counter(words).items()))
+    elif len(words) < shingle:
         hashes = [digest(b" ".join(words), SEED)]
     else:
-        hashes = [digest(b" ".join(x), SEED) for x in zip(words, words[1:], words[2:])]
+        hashes = [digest(b" ".join(x), SEED) for x in zip(*(words[k:] for k in range(shingle)))]
     n = len(hashes)
     ones = np.zeros(BITS, np.int64)
     array = np.array(hashes, np.uint64)
@@ -59,17 +89,21 @@ def fingerprint(text: bytes | None) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id, th, fp`` for each row: a hash of the text, and the fingerprint as a signed long."""
+def fingerprints(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", likeness: Likeness = STRICT) -> DataFrame:
+    """``id, th, fp, check`` for each row: a hash of the text, and its fingerprints as signed longs (``check`` is 0 if there is none)."""
     bound_batches(df.sparkSession)
     narrow = df.select(df[id_column].alias("id"), F.xxhash64(df[text_column]).alias("th"), df[text_column].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text"):
-            fps = np.array([fingerprint(x) for x in utf8(batch.column(2))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], ["id", "th", "fp"])
+            both = []
+            for text in utf8(batch.column(2)):
+                words = (text or b"").lower().split()
+                both.append((_simhash(words, likeness.shingle), 0 if likeness.check is None else _simhash(words, CHECKED)))
+            fps = np.array(both, np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps[:, 0]), pa.array(fps[:, 1])], ["id", "th", "fp", "check"])
 
-    return narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, th long, fp long")
+    return narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, th long, fp long, check long")
 
 
 def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
@@ -89,67 +123,72 @@ def _signed(x: int) -> int:
     return x - (x >> 63 << 64)
 
 
-def forest(members: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
-    """A spanning forest of the links (at most ``radius`` differing bits) among distinct members."""
-    values = members.view(np.uint64)
+def forest(members: np.ndarray, checks: np.ndarray, likeness: Likeness = STRICT) -> list[tuple[int, int]]:
+    """A spanning forest of the links among members, by their places."""
+    values, told = members.view(np.uint64), checks.view(np.uint64)
     todo = np.arange(len(values))
     edges: list[tuple[int, int]] = []
     while len(todo):
         front, todo = todo[:1], todo[1:]
         while len(front) and len(todo):  # a search from each member: each is reached once
-            near = np.bitwise_count(values[front[0]] ^ values[todo]) <= radius
+            near = np.bitwise_count(values[front[0]] ^ values[todo]) <= likeness.radius
+            if likeness.check is not None:
+                near &= np.bitwise_count(told[front[0]] ^ told[todo]) <= likeness.check
             reached, todo = todo[near], todo[~near]
-            edges += [(int(members[front[0]]), int(x)) for x in members[reached]]
+            edges += [(int(front[0]), int(x)) for x in reached]
             front = np.concatenate([front[1:], reached])
     return edges
 
 
-def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges ``u, v`` between distinct fingerprints (column ``fp``) that span the link graph."""
+def links(fps: DataFrame, likeness: Likeness = STRICT) -> DataFrame:
+    """Edges ``u, v`` (structs of both fingerprints) between distinct rows (``fp, check``) that span the link graph."""
     bound_batches(fps.sparkSession)
-    masks = covering_masks(radius)
+    masks = covering_masks(likeness.radius)
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(masks)])
-    keyed = fps.select("fp", F.explode(tables).alias("x")).select("fp", "x.t", "x.key")
+    keyed = fps.select("fp", "check", F.explode(tables).alias("x")).select("fp", "check", "x.t", "x.key")
     sizes = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
     sized = keyed.join(sizes, ["t", "key"])
-    subs = F.array(*[F.array(*[F.lit(_signed(x)) for x in block_masks(m, radius=radius)]) for m in masks])
-    within = F.when(F.col("n") <= LIGHT, F.array(F.struct(F.lit(-1).alias("s"), F.lit(0).cast("long").alias("sub")))).otherwise(
-        F.transform(F.element_at(subs, F.col("t") + 1), lambda m, i: F.struct(i.cast("int").alias("s"), F.col("fp").bitwiseAND(m).alias("sub")))
-    )
-    buckets = (
-        sized.select("t", "key", "fp", F.explode(within).alias("y"))
-        .groupBy("t", "key", "y.s", "y.sub")
-        .agg(F.collect_list("fp").alias("members"))
-        .where(F.size("members") > 1)
-    )
-
-    @F.pandas_udf("array<struct<u:long,v:long>>")
-    def span(lists: pd.Series) -> pd.Series:
-        return pd.Series([forest(np.sort(np.asarray(x, np.int64)), radius) for x in lists])
-
-    return buckets.select(F.explode(span("members")).alias("e")).select("e.u", "e.v").distinct()
-
-
-def _grouped(df: DataFrame, id_column: str, text_column: str, radius: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    subs = F.array(*[F.array(*[F.lit(_signed(x)) for x in block_masks(m, radius=likeness.radius)]) for m in masks])
+    split = F.transform(F.element_at(subs, F.col("t") + 1), lambda m, i: F.struct(i.cast("int").alias("s"), F.col("fp").bitwiseAND(m).alias("sub")))
+    heavy = sized.where(F.col("n") > LIGHT).select("fp", "check", "t", "key", F.explode(split).alias("y")).select("fp", "check", "t", "key", "y.s", "y.sub")
+    counts = heavy.groupBy("t", "key", "s", "sub").agg(F.count("*").alias("m")).where("m > 1")
+    parts = F.ceil(F.col("m") * 2 / MEMBERS).cast("int")
+    one, other = F.pmod(F.xxhash64("fp", "check"), parts).cast("int"), F.explode(F.when(F.col("m") > MEMBERS, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0))))
+    heavy = heavy.join(counts, ["t", "key", "s", "sub"]).withColumn("p", F.when(F.col("m") > MEMBERS, one).otherwise(0)).withColumn("q", other)
+    heavy = heavy.select("fp", "check", "t", "key", "s", "sub", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"))
+    light = sized.where(F.col("n") <= LIGHT).select("fp", "check", "t", "key", F.lit(-1).alias("s"), F.lit(0).cast("long").alias("sub"), F.lit(0).alias("p"), F.lit(0).alias("q"))
+    members = F.array_sort(F.collect_list(F.struct("fp", "check")))
+    buckets = light.unionByName(heavy).groupBy("t", "key", "s", "sub", "p", "q").agg(members.alias("members")).where(F.size("members") > 1)
+
+    @F.pandas_udf("array<struct<u:int,v:int>>")
+    def span(fps: pd.Series, checks: pd.Series) -> pd.Series:
+        return pd.Series([forest(np.asarray(x, np.int64), np.asarray(y, np.int64), likeness) for x, y in zip(fps, checks)])
+
+    ends = buckets.select("members", F.explode(span("members.fp", "members.check")).alias("e"))
+    return ends.select(F.col("members")[F.col("e.u")].alias("u"), F.col("members")[F.col("e.v")].alias("v")).distinct()
+
+
+def _grouped(df: DataFrame, id_column: str, text_column: str, likeness: Likeness) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Fingerprints of all rows; roots of all fingerprints; the first row of each root (null ids come last)."""
-    prints = cut(fingerprints(df, id_column=id_column, text_column=text_column))
+    prints = cut(fingerprints(df, id_column=id_column, text_column=text_column, likeness=likeness))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("first")
-    distinct = cut(prints.groupBy("fp").agg(first))
-    roots = components(links(distinct, radius))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    distinct = cut(prints.groupBy("fp", "check").agg(first))
+    roots = components(links(distinct, likeness))
+    node = F.struct("fp", "check")
+    rooted = distinct.withColumn("own", node).join(roots, F.col("own") == F.col("node"), "left").select("fp", "check", "first", F.coalesce("root", "own").alias("root"))
     return prints, rooted, rooted.groupBy("root").agg(F.min("first").alias("first"))
 
 
-def near_duplicates(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", radius: int = RADIUS) -> DataFrame:
+def near_duplicates(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", likeness: Likeness = STRICT) -> DataFrame:
     """``id, fingerprint, component_id`` for each row: the smallest id reachable over links."""
-    prints, rooted, firsts = _grouped(df, id_column, text_column, radius)
-    named = rooted.select("fp", "root").join(firsts, "root").select("fp", F.col("first.id").alias("component_id"))
-    return prints.join(named, "fp").select(F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    prints, rooted, firsts = _grouped(df, id_column, text_column, likeness)
+    named = rooted.select("fp", "check", "root").join(firsts, "root").select("fp", "check", F.col("first.id").alias("component_id"))
+    return prints.join(named, ["fp", "check"]).select(F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", radius: int = RADIUS) -> DataFrame:
+def keep_one(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", likeness: Likeness = NEAR) -> DataFrame:
     """``df`` with one row of each component, that with the smallest id; of equal rows one stays."""
-    prints, _, firsts = _grouped(df, id_column, text_column, radius)
+    prints, _, firsts = _grouped(df, id_column, text_column, likeness)
     key, hashed, row_hash = own("id", "th", "row_th")
     rows = df.withColumn(row_hash, F.xxhash64(df[text_column]))
 

@@ -11,7 +11,7 @@ from docquarry.llm.token_counts import tokenizer_path
 from tests.llm.test_language import brute_fusion
 from tests.llm.test_mixing import brute_targets
 from tests.llm.test_pii import BASE, brute, brute_discovery
-from tests.llm.test_simhash import brute_components, brute_fingerprint
+from tests.llm.test_simhash import near_components
 
 
 def words(text):
@@ -50,7 +50,7 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
     kept = {i for i, v in verdicts.items() if v[3]}
     assert not {5000, 5001, 5002} & kept and len(kept) >= 200
     rows = [r for r in rows.collect() if r.doc_id in kept]
-    least = brute_components([r.doc_id for r in rows], [brute_fingerprint(r.text) for r in rows])
+    least = near_components([r.doc_id for r in rows], [r.text for r in rows])
     rows = list({r.doc_id: r for r, c in zip(rows, least) if r.doc_id == c}.values())
     extracted = pii.extract(spark.createDataFrame(rows, docs.schema)).collect()
     found = {r.doc_id: brute(r.text) for r in rows}

@@ -8,11 +8,14 @@ from docquarry.llm import simhash
 from docquarry.llm.components import components
 
 
-def brute_fingerprint(text):
+def brute_fingerprint(text, shingle=3):
+    """Over shingles of so many words; 0: over words, as often as the root of their counts."""
     words = [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if w]
     if not words:
         return 0
-    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+    shingles = [" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)] or [" ".join(words)]
+    if not shingle:
+        shingles = [w for w in set(words) for k in range(1, len(words) + 1) if k * k <= words.count(w)]
     hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
@@ -60,7 +63,7 @@ def test_forest_spans_the_links():
     rng = np.random.default_rng(3)
     base = int(rng.integers(0, 1 << 60))
     members = np.array(sorted({base ^ sum(1 << int(b) for b in rng.integers(0, 30, 3)) for _ in range(150)}), np.int64)
-    edges = simhash.forest(members)
+    edges = [(int(members[u]), int(members[v])) for u, v in simhash.forest(members, np.zeros_like(members))]
     assert all(bin((u ^ v) & (1 << 64) - 1).count("1") <= 3 for u, v in edges)
     want = brute_components(list(range(len(members))), [int(x) for x in members])
     got = {int(m): int(m) for m in members}
@@ -84,19 +87,71 @@ def texts():
     return [*rows, (5, None), (6, ""), (7, " \n"), (8, "A b"), (8, "A b"), (9, "long " * 20000)]
 
 
-@pytest.mark.parametrize("light", [256, 2])
-def test_components_match_brute_force(spark, texts, light, monkeypatch):
+@pytest.mark.parametrize("light, members", [(256, 8192), (2, 8192), (2, 6)])
+def test_components_match_brute_force(spark, texts, light, members, monkeypatch):
     monkeypatch.setattr(simhash, "LIGHT", light)
+    monkeypatch.setattr(simhash, "MEMBERS", members)
     df = spark.createDataFrame([(i, t, "x") for i, t in texts], "doc_id long, text string, fp string")
     rows = simhash.near_duplicates(df).collect()
     fps = [brute_fingerprint(t) for _, t in texts]
     want = brute_components([i for i, _ in texts], fps)
     assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in rows) == sorted((i, f"{f:016x}", c) for (i, _), f, c in zip(texts, fps, want))
-    kept = simhash.keep_one(df).collect()
+    kept = simhash.keep_one(df, likeness=simhash.STRICT).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(want))
     assert kept[0].asDict().keys() == {"doc_id", "text", "fp"}
 
 
+def near_components(ids, texts):
+    """Components of the looser likeness, pair by pair: 5 bits of the words, 12 of the 5-word shingles."""
+    both = [(brute_fingerprint(t, 0), brute_fingerprint(t, 5)) for t in texts]
+    root = list(range(len(ids)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, (a, b) in enumerate(both):
+        for j in range(i):
+            if (a ^ both[j][0]).bit_count() <= 5 and (b ^ both[j][1]).bit_count() <= 12:
+                root[find(i)] = find(j)
+    least = {}
+    for i, x in enumerate(ids):
+        least[find(i)] = min(least.get(find(i), x), x)
+    return [least[find(i)] for i in range(len(ids))]
+
+
+@pytest.mark.parametrize("light, members", [(256, 8192), (4, 20)])
+def test_near_copies_match_brute_force(spark, texts, light, members, monkeypatch):
+    monkeypatch.setattr(simhash, "LIGHT", light)
+    monkeypatch.setattr(simhash, "MEMBERS", members)
+    rows = texts[-120:] + [(2000 + i, " ".join(random.sample(texts[0][1].split(), 150))) for i in range(20)]  # the same words in another order are another text
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = near_components([i for i, _ in rows], [t for _, t in rows])
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == sorted(set(want))
+    assert len(set(want)) > 20 and len(set(want)) < 60
+
+
+def test_changed_words_are_found_and_other_texts_stay(spark):
+    random.seed(44)
+    vocabulary = ["%s%d" % (random.choice("abcdefgh"), i) for i in range(3000)]
+    fresh = lambda: [vocabulary[min(int(random.paretovariate(0.7)), 2999)] for _ in range(250)]
+    rows, copies = [], []
+    for i in range(150):
+        text = fresh()
+        rows.append((i, " ".join(text)))
+        for at in random.sample(range(250), 4):
+            text[at] = random.choice(vocabulary)
+        copies.append((1000 + i, " ".join(text)))
+    df = spark.createDataFrame(rows + copies + [(5000 + i, " ".join(fresh())) for i in range(150)], "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(df).collect()}
+    strict = {r.doc_id for r in simhash.keep_one(df, likeness=simhash.STRICT).collect()}
+    assert kept >= {i for i, _ in rows} | {5000 + i for i in range(150)}
+    near, exact = (sum(i in x for i, _ in copies) for x in (kept, strict))
+    assert near <= 50 and 2 * near <= exact, (near, exact)
+
+
 def test_null_ids_and_empty_table(spark):
     df = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (3, "a b c d"), (None, "q r s t u")], "doc_id long, text string")
     assert sorted(simhash.near_duplicates(df).select("doc_id", "component_id").collect(), key=str) == sorted([(None, 3), (None, 3), (3, 3), (None, None)], key=str)
