@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -15,7 +16,7 @@ def brute_fingerprint(text, shingle=3):
         return 0
     shingles = [" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)] or [" ".join(words)]
     if not shingle:
-        shingles = [w for w in set(words) for k in range(1, len(words) + 1) if k * k <= words.count(w)]
+        shingles = [w for w, n in Counter(words).items() for _ in range(int(n**0.5))]
     hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
