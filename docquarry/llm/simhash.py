@@ -59,8 +59,8 @@ class Likeness:
 
 
 STRICT, NEAR, CHECKED = Likeness(), Likeness(0, 5, 12), 5
-#: Fingerprints of a bucket linked in one call; blocks of free bits in larger ones.
-LIGHT, BLOCKS = 256, 10
+#: Fingerprints of a bucket linked in one call, whole; blocks of free bits in larger ones.
+LIGHT, BLOCKS = 4096, 10
 #: Fingerprints in one call, about.
 MEMBERS = 8192
 
@@ -148,9 +148,10 @@ def links(fps: DataFrame, likeness: Likeness = STRICT) -> DataFrame:
     keyed = fps.select("fp", "check", F.explode(tables).alias("x")).select("fp", "check", "x.t", "x.key")
     sizes = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
     sized = keyed.join(sizes, ["t", "key"])
-    subs = F.array(*[F.array(*[F.lit(_signed(x)) for x in block_masks(m, radius=likeness.radius)]) for m in masks])
-    split = F.transform(F.element_at(subs, F.col("t") + 1), lambda m, i: F.struct(i.cast("int").alias("s"), F.col("fp").bitwiseAND(m).alias("sub")))
-    heavy = sized.where(F.col("n") > LIGHT).select("fp", "check", "t", "key", F.explode(split).alias("y")).select("fp", "check", "t", "key", "y.s", "y.sub")
+    # What the sub-tables keep: a fixed table of some thousands of masks.
+    kept = [(t, s, _signed(x)) for t, m in enumerate(masks) for s, x in enumerate(block_masks(m, radius=likeness.radius))]
+    kept = fps.sparkSession.createDataFrame(pa.table({"t": pa.array([x[0] for x in kept], pa.int32()), "s": pa.array([x[1] for x in kept], pa.int32()), "mask": pa.array([x[2] for x in kept], pa.int64())}))
+    heavy = sized.where(F.col("n") > LIGHT).join(F.broadcast(kept), "t").select("fp", "check", "t", "key", "s", F.col("fp").bitwiseAND(F.col("mask")).alias("sub"))
     counts = heavy.groupBy("t", "key", "s", "sub").agg(F.count("*").alias("m")).where("m > 1")
     parts = F.ceil(F.col("m") * 2 / MEMBERS).cast("int")
     one, other = F.pmod(F.xxhash64("fp", "check"), parts).cast("int"), F.explode(F.when(F.col("m") > MEMBERS, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0))))
