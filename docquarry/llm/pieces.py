@@ -56,6 +56,8 @@ from .token_counts import tokenizer_path
 MARK, SPACE = "▁", " "
 #: Segmentations of each text; words that a worker remembers, and the longest that it does.
 BEST, KNOWN, LONGEST = 3, 400_000, 64
+#: Bytes of text that are encoded together, about: ids take ten times as much on their way.
+BATCH_BYTES = 2 << 20
 #: Words in one array of ``viterbi_many``.
 CHUNK = 4096
 #: The kinds of pieces in a model, normal, unknown and user-defined ones, and bytes; what an unknown character costs beyond the worst piece.
@@ -542,7 +544,7 @@ def encode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model, n)
-        for batch in by_bytes(batches, "text", 4 << 20):
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
             texts = batch.column(1).to_pylist()
             got = encoder(texts, whole)
             normal = [hashlib.sha256(encoder.pieces.normal(x or "").encode("utf-8", "replace")).hexdigest() for x in texts]
@@ -608,7 +610,7 @@ def with_pieces(df: DataFrame, model: str = "piece_bpe_32k.model", *, text_colum
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model, n)
         decoded = encoder.pieces.decode
-        for batch in by_bytes(batches, text_column, 4 << 20):
+        for batch in by_bytes(batches, text_column, BATCH_BYTES):
             texts = batch.column(position).to_pylist()
             got = encoder(texts)
             ids, lattice = got.piece_ids(), got.lattice_ids()
