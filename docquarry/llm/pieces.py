@@ -57,7 +57,7 @@ MARK, SPACE = "▁", " "
 #: Segmentations of each text; words that a worker remembers, and the longest that it does.
 BEST, KNOWN, LONGEST = 3, 400_000, 64
 #: Bytes of text that are encoded together, about: ids take ten times as much on their way.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 #: Words in one array of ``viterbi_many``.
 CHUNK = 4096
 #: The kinds of pieces in a model, normal, unknown and user-defined ones, and bytes; what an unknown character costs beyond the worst piece.
@@ -535,6 +535,12 @@ class Encoded:
         """The library's ids; for a unigram model they are the lattice's best."""
         return self.lattice_ids() if self.own is None else pa.ListArray.from_arrays(pa.array(self.own_offsets), pa.array(self.own))
 
+    @staticmethod
+    def each(lists: pa.ListArray) -> list[np.ndarray]:
+        """The lists' values, one array each."""
+        values, ends = lists.values.to_numpy(), lists.offsets.to_pylist()
+        return [values[a:b] for a, b in zip(ends, ends[1:])]
+
 
 def encode(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column: str = "doc_id", text_column: str = "text", n: int = BEST, whole: bool = True) -> DataFrame:
     """``id, piece_ids, lattice_ids, scores, counts, nbest_ids, normal_sha256``: the library's segmentation of each text, the
@@ -575,23 +581,25 @@ def round_trip(df: DataFrame, model: str = "piece_bpe_32k.model", *, id_column:
 
     ``round_trip``: both decode to the text as the model sees it.
     """
-    encoded = encode(df, model, id_column=id_column, text_column=text_column, n=n, whole=False).drop("nbest_ids")
-    kind = dict(encoded.dtypes)[id_column]
+    bound_batches(df.sparkSession)
+    narrow = df.select(df[id_column].alias("id"), df[text_column].alias("text"))
     names = ["id", "n_pieces", "score", "nbest_scores", "nbest_pieces", "ids_sha256", "lattice_sha256", "decoded_sha256", "round_trip"]
+    sha = lambda data: hashlib.sha256(data).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(model)
-        for batch in batches:
-            lists = [[ids.values.to_numpy() for ids in batch.column(k)] for k in (1, 2)]
-            digests = [[hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in own] for own in lists]
-            decoded = [[hashlib.sha256(pieces.decode(x.tolist()).encode("utf-8", "replace")).hexdigest() for x in own] for own in lists]
-            same = [a == b == c for a, b, c in zip(*decoded, batch.column(5).to_pylist())]
-            scores = batch.column(3)
-            first = [x[0].as_py() for x in scores]
-            columns = [pa.array(list(map(len, lists[0])), pa.int64()), pa.array(first, pa.int64()), scores, batch.column(4), *(pa.array(x, pa.string()) for x in (*digests, decoded[0])), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
-
-    out = encoded.withColumnRenamed(id_column, "id").mapInArrow(run, f"id {kind}, n_pieces long, score long, nbest_scores array<long>, nbest_pieces array<int>, ids_sha256 string, lattice_sha256 string, decoded_sha256 string, round_trip boolean")
+        encoder = Encoder(model, n)
+        pieces = encoder.pieces
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            got = encoder(texts)
+            both = [got.each(got.lattice_ids() if lattice else got.piece_ids()) for lattice in (False, True)]
+            decoded = [[pieces.decode(x.tolist()) for x in own] for own in both]
+            same = [a == b == pieces.normal(t) for a, b, t in zip(*decoded, texts)]
+            digests = [[sha(x.astype("<i4", copy=False).tobytes()) for x in own] for own in both] + [[sha(x.encode("utf-8", "replace")) for x in decoded[0]]]
+            columns = [pa.array(list(map(len, both[0])), pa.int64()), pa.array([x[0] for x in got.scores], pa.int64()), pa.array(got.scores, pa.list_(pa.int64())), pa.array(got.counts, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *(pa.array(x, pa.string()) for x in digests), pa.array(same, pa.bool_())], names)
+
+    out = narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, n_pieces long, score long, nbest_scores array<long>, nbest_pieces array<int>, ids_sha256 string, lattice_sha256 string, decoded_sha256 string, round_trip boolean")
     return out.withColumnRenamed("id", id_column)
 
 
@@ -614,8 +622,7 @@ def with_pieces(df: DataFrame, model: str = "piece_bpe_32k.model", *, text_colum
             texts = batch.column(position).to_pylist()
             got = encoder(texts)
             ids, lattice = got.piece_ids(), got.lattice_ids()
-            normal = [encoder.pieces.normal(x or "") for x in texts]
-            same = [all(decoded(x.values.to_numpy().tolist()) == t for x in both) for *both, t in zip(ids, lattice, normal)]
+            same = [all(decoded(x.tolist()) == encoder.pieces.normal(t or "") for x in both) for *both, t in zip(got.each(ids), got.each(lattice), texts)]
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, lattice, ids.value_lengths().cast(pa.int64()), pa.array(same, pa.bool_())], names)
 
     fields = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
