@@ -14,8 +14,10 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Iterator
-from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, as_completed, wait
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
+from queue import SimpleQueue
+from threading import Semaphore
 from typing import Protocol
 
 import pandas as pd
@@ -136,16 +138,21 @@ def infer(requests: DataFrame, backend: Backend, *, concurrency: int = 8, attemp
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         one = ask_all(backend, attempts)
         with ThreadPoolExecutor(concurrency) as pool:
-            waiting: set[Future] = set()
+            room, ended, asked = Semaphore(2 * concurrency), SimpleQueue(), 0
+
+            def end(reply: Future) -> None:
+                ended.put(reply)
+                room.release()
+
             for batch in batches:
-                rows: list[tuple] = []
                 for custom_id, body in zip(batch["custom_id"], batch["body"]):
-                    if len(waiting) >= 2 * concurrency:  # whichever ends first makes room
-                        done, waiting = wait(waiting, return_when=FIRST_COMPLETED)
-                        rows += [x.result() for x in done]
-                    waiting.add(pool.submit(one, custom_id, body))
+                    room.acquire()  # whichever ends first makes room
+                    pool.submit(one, custom_id, body).add_done_callback(end)
+                asked += len(batch)
+                rows = [ended.get().result() for _ in range(ended.qsize())]
+                asked -= len(rows)
                 yield pd.DataFrame(rows, columns=names)
-            yield pd.DataFrame([x.result() for x in as_completed(waiting)], columns=names)
+            yield pd.DataFrame([ended.get().result() for _ in range(asked)], columns=names)
 
     return narrow.mapInPandas(run, REPLIES)
 
