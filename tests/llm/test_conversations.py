@@ -1,0 +1,135 @@
+"""Conversation repair against a search over all edits, and over whole edges."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from itertools import product
+
+import pytest
+from pyspark.sql import functions as F
+
+from docquarry.llm import conversations
+from docquarry.llm.queries import op13_conversation_repair
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def planted(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        part = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if part == 0:
+            continue
+        text = "" if part == 1 else re.sub("[.!?]", "", text) if part == 2 else text
+        out += [(conv, turn, "user" if part == 4 else role, text)] * (2 if part == 3 else 1)
+    return sorted(out, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+
+
+def faults(rows):
+    seen, out = set(), []
+    for _, _, role, text in rows:
+        last = re.findall(r"[^\x20\x09-\x0D]", text)[-1:]
+        out.append("blank" if not last else "duplicate" if (role, text) in seen else "truncated" if last[0] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def cheapest(rows):
+    """The best edits by exhaustion: each row's edit, and up to two insertions at each place."""
+    found, best = faults(rows), None
+    for edits in product("DKR", repeat=len(rows)):
+        if any(f in ("blank", "duplicate") and e != "D" for f, e in zip(found, edits)):
+            continue
+        cost = sum({"D": 3, "K": 0, "R": 2}[e] + (f == "truncated" and e != "D") for f, e in zip(found, edits))
+        if best is not None and cost > best[0]:
+            continue
+        for fill in product(range(3), repeat=len(rows) + 1):
+            total = cost + 2 * sum(fill)
+            if best is not None and total > best[0]:
+                continue
+            audit = "I" * fill[0] + "".join(e + "I" * n for e, n in zip(edits, fill[1:]))
+            for roles in _roles(audit, rows):
+                if re.fullmatch("(s?(ua)+)?", "".join(r[:1] or "?" for r, _ in roles)) and (best is None or (total, audit) < best[:2]):
+                    best = total, audit, hashlib.sha256("\n".join(f"{r}:{t}" for r, t in roles).encode()).hexdigest()
+    return best
+
+
+def _roles(audit, rows):
+    """All turns that an audit can stand for: a new role is user or assistant."""
+    ways, k = [[]], 0
+    for edit in audit:
+        if edit == "I":
+            ways = [w + [(r, "")] for w in ways for r in ("user", "assistant")]
+            continue
+        _, _, role, text = rows[k]
+        k += 1
+        if edit == "K":
+            ways = [w + [(role, text)] for w in ways]
+        elif edit == "R":
+            ways = [w + [(r, text)] for w in ways for r in ("user", "assistant")]
+    return ways
+
+
+def expected(rows):
+    out = {}
+    for conv in {r[0] for r in rows}:
+        mine = planted([r for r in rows if r[0] == conv])
+        found = faults(mine)
+        turns = {r[1] for r in mine} - {None}
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(mine, mine[1:]))
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        out[conv] = (gaps, *(found.count(x) for x in ("blank", "duplicate", "truncated")), illegal, *cheapest(mine))
+    return out
+
+
+def test_all_edits(spark):
+    """Small conversations of every kind of turn, nulls and ties among them."""
+    roles, texts = ["system", "user", "assistant", "user", "tool", None, "", "student"], ["a.", "b", " ", None, "c!", "a.", "d?\n", ""]
+    rows = [(None, 0, "user", "q?"), (None, None, "assistant", "a."), (None, None, "assistant", "a."), (7, None, "user", None), (8, 3, "user", "x."), (8, 3, "user", "x."), (8, 9, "user", "x.")]
+    for conv in range(10, 150):
+        at = [(conv * 7919 + 104729 * k) >> 3 for k in range(conv % 5)]
+        rows += [(conv, k + a % 2, roles[a % 8], texts[(a >> 4) % 8]) for k, a in enumerate(at)]
+    got = {r.conv_id: tuple(r[k] for k in conversations.REPORT) for r in conversations.damaged_and_repaired(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    want = expected(rows)
+    assert got == want
+
+
+def test_dropped_conversation_and_empty_table(spark):
+    conv = next(c for c in range(10_000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    got = conversations.damaged_and_repaired(spark.createDataFrame([(conv, 0, "user", "q?")], SCHEMA)).collect()
+    assert [tuple(r) for r in got] == [(conv, 0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())]
+    assert conversations.damaged_and_repaired(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_long_conversation(spark):
+    """A conversation of many batches: the audit is whole, and the repaired turns give the digest."""
+    rows = [(1, k, "user" if k % 3 else "assistant", "word" * (k % 4) + ("." if k % 5 else "")) for k in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    damaged = conversations.damage(df)
+    report = conversations.repair(damaged, df.select(F.col("conv_id").alias("conv")))
+    r = report.first()
+    assert len(r.audit.replace("I", "")) == damaged.count()
+    turns = conversations.repaired(damaged, report).orderBy("place").collect()
+    assert [t.place for t in turns] == list(range(len(turns)))
+    assert re.fullmatch("(s?(ua)+)?", "".join(t.role[0] for t in turns))
+    assert hashlib.sha256("\n".join(f"{t.role}:{t.text}" for t in turns).encode()).hexdigest() == r.repaired_sha256
+
+
+def test_given_conversations(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    rows = [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
+    short = {c for c in {r[0] for r in rows} if len(planted([r for r in rows if r[0] == c])) <= 5}
+    got = {r.conv_id: tuple(r[k] for k in conversations.REPORT) for r in op13_conversation_repair(spark, "/root/testdata/sf0.001").collect()}
+    assert set(got) == {r[0] for r in rows}
+    want = expected([r for r in rows if r[0] in short])
+    assert {c: got[c] for c in short} == want
+
+
+@pytest.mark.parametrize("extra", ["conv", "again", "said"])
+def test_clashing_columns(spark, extra):
+    df = spark.createDataFrame([(1, 0, "user", "q?"), (1, 1, "assistant", "a.")], SCHEMA).withColumn(extra, F.lit(None).cast("int"))
+    plain = conversations.damaged_and_repaired(df.drop(extra)).collect()
+    assert conversations.damaged_and_repaired(df).collect() == plain
