@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, language, media, mixing, oracles, pieces, pii, quality, simhash, token_counts, url_filter, warc, whitening
+from . import conversations, language, media, mixing, oracles, pieces, pii, quality, simhash, suffix_dedup, token_counts, url_filter, warc, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op10_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -64,6 +68,6 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing_sources, op2_token_counts, op3_simhash_near_dedup, op4_quality_rules, op5_pii, op6_language_id, op7_url_filters, op8_warc, op9_sentencepiece, op10_media_gif, op12_embedding_whitening, op13_conversation_repair)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing_sources, op2_token_counts, op3_simhash_near_dedup, op4_quality_rules, op5_pii, op6_language_id, op7_url_filters, op8_warc, op9_sentencepiece, op10_media_gif, op11_suffix_dedup, op12_embedding_whitening, op13_conversation_repair)}
 
 ORACLE_SQL: dict[str, str] = {"op1_mixing_sources": oracles.OP1, "op4_quality_rules": oracles.OP4, "op7_url_filters": oracles.OP7, "op8_warc": oracles.OP8}
