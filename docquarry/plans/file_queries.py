@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import text
 from ..scratch import materialise, new_folder
-from ..sources import archive, files
+from ..sources import archive, files, records
 from ..store import CorpusStore
 from . import corpus
 from .corpus import read
@@ -104,3 +104,37 @@ def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a fetch of stored pages makes of each URL: a document with its header, or a failure."""
     found = archive.fetch_stored(_archived(spark, sf_dir))
     return found.select("url", "filename", F.when(F.col("error").isNull(), text.url_header(F.col("content"))).alias("header"), F.col("error").isNotNull().alias("failed"))
+
+
+# Archive records.
+
+_TIME = "'20' || lpad(page_id::VARCHAR, 12, '0')"
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    time = F.concat(F.lit("20"), F.lpad(F.col("page_id").cast("string"), 12, "0"))
+    return read(spark, sf_dir, "pages").select("url", time.alias("time"), "html")
+
+
+@query(f"""SELECT url, time, 'response' AS type, 'text/html; charset=utf-8' AS media_type, 200::INT AS status, sha256(html) AS payload_sha256, NULL::VARCHAR AS error
+    FROM (SELECT url, coalesce(html, '') AS html, {_TIME} AS time, row_number() OVER (PARTITION BY url ORDER BY page_id) AS k FROM pages) WHERE k = 1""", with_corpus=False)
+def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as packed WARC records; of each URL the first is chosen in the index, and read by its byte range."""
+    folder = new_folder(spark, "archives")
+    index = materialise(records.write_archives(_snapshots(spark, sf_dir), folder))
+    first = index.groupBy("url").agg(F.min(F.struct("time", "archive", "offset", "length")).alias("x")).select("url", "x.*")
+    first.write.parquet(f"{folder}/index")
+    return records.read_archives(spark, folder, f"{folder}/index").select("url", "time", "type", "media_type", "status", "payload_sha256", "error")
+
+
+@query(f"""WITH asked AS (SELECT min({_URL}) AS url, min(url) AS target, {_NAME.format('url')} AS filename FROM pages WHERE page_id % 5 <> 0 GROUP BY 3)
+    SELECT url, filename, CASE WHEN there THEN '20040701000000/' || target END AS header, CASE WHEN NOT there THEN 'no snapshot of ' || target || ' at 20040701000000' END AS error
+    FROM (SELECT *, EXISTS (SELECT 1 FROM pages p WHERE p.url = target AND p.page_id % 3 <> 0) AS there FROM asked)
+    UNION ALL SELECT {_URL}, {_NAME.format(f"nullif(regexp_extract({_URL}, '^https?://web\\.archive\\.org/web/(\\d{{14}})/(.+)$', 2), '')")}, NULL, 'not an archive URL: ' || {_URL} FROM pages WHERE page_id % 5 = 0""", with_corpus=False)
+def record_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of archive URLs from the archives' records; a third of the pages was never archived."""
+    folder = new_folder(spark, "snapshots")
+    pages = read(spark, sf_dir, "pages").where("page_id % 3 <> 0").select("url", F.lit("20040701000000").alias("time"), "html")
+    index = materialise(records.write_archives(pages, folder))
+    found = records.fetch_records(_archived(spark, sf_dir), index, folder)
+    return found.select("url", "filename", F.when(F.col("error").isNull(), text.url_header(F.col("content"))).alias("header"), "error")
