@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import split
-from ..operators import importer, infer, ledger, pairs, preflight, prep
+from ..operators import importer, infer, ledger, pairs, preflight, prep, units
 from ..sources import archive, files
 from ..scratch import materialise
-from ..store import CorpusStore, dense_ids
+from ..store import CorpusStore
 
 
 @dataclass(frozen=True)
@@ -24,7 +23,7 @@ class InferenceConfig:
     concurrency: int = 8
     partitions: int | None = None
     attempts: int = infer.ATTEMPTS
-    #: Pairs whose replies are saved together, at most: what a dead run can lose.
+    #: Pairs of a unit, about, whose replies are saved together: what a dead run can lose.
     wave: int = 20_000
 
 
@@ -55,29 +54,31 @@ def prep_db(store: CorpusStore, input_dir: str, prompts_dir: str, **how) -> dict
 def process(store: CorpusStore, prompts_dir: str, system_prompt: str, output_dir: str, backend: infer.Backend, config: InferenceConfig = InferenceConfig(), limit: int | None = None, limit_chars: int = split.LIMIT) -> dict:
     """Ask the backend for all pending pairs; save usable replies, and keep the ledger.
 
-    Pairs go in waves, in order, and each wave's replies are appended and committed before the next one is asked; a run
-    that dies loses its wave, and the next run asks only for what is missing.
+    The corpus is read once, to lay the pairs out beside their texts (``operators.units``); then units are asked one by
+    one, each saved before the next.  A run that dies loses its unit, and the next run goes on with the layout.
     """
     spark, began = store.spark, time.monotonic()
     run_id = ledger.start(store, config.model)
-    done = files.completed_pairs(files.reply_records(spark, output_dir))
-    done = materialise(done)
-    todo = pairs.pending_pairs(store.read("result"), store.read("category"), store.read("result_category"), limit_chars=limit_chars, completed=done, limit=limit)
-    prompts = files.categories(spark, prompts_dir).select("category_filename", "prompt")
-    todo = materialise(dense_ids(todo, ["result_id", "category_id"], "place", 0))
-    total = todo.count()
-    tallies, seconds = [], []
-    for first in range(0, total, config.wave):
-        wave = todo.where(F.col("place").between(first, first + config.wave - 1)).drop("place")
-        asked = pairs.requests(wave, store.read("result"), store.read("category"), prompts, system_prompt, config.model, config.partitions)
-        replies = infer.infer(asked, backend, concurrency=config.concurrency, attempts=config.attempts)
-        rows = materialise(infer.outcomes(replies, done))
-        rows.where("outcome = 'saved'").select("custom_id", "record").write.mode("append").parquet(f"{output_dir}/replies")
-        tallies.append(infer.run_tallies(rows).first().asDict())
-        seconds.append(rows.select("elapsed_sec"))
-    tally = {name: sum(t[name] for t in tallies) for name in infer.TALLIES}
-    ledger.finish(store, run_id, tally["processed"], tally["saved"], tally["failed"], tally["skipped"], tally["processing_seconds"], None if total else "No pairs to process")
-    times = infer.request_times(reduce(DataFrame.union, seconds)).first().asDict() if total else {}
+    prompts = materialise(files.categories(spark, prompts_dir).select("category_filename", "prompt"))
+    versions = [store.versions(t) for t in ("result", "category", "result_category")]
+    made_from = units.fingerprint(versions, sorted(map(tuple, prompts.collect())), system_prompt, config.model, config.wave, limit, limit_chars)
+    layout = units.found(spark, output_dir)
+    if layout is None or layout.fingerprint != made_from:
+        done = files.completed_pairs(files.reply_records(spark, output_dir))
+        todo = pairs.pending_pairs(store.read("result"), store.read("category"), store.read("result_category"), limit_chars=limit_chars, completed=done, limit=limit)
+        layout = units.lay_out(todo, store.read("result"), output_dir, config.wave, made_from)
+    categories = units.asked_categories(store.read("category"), prompts)
+    none = spark.createDataFrame([], "result_id bigint, category_id bigint")
+    asked = list(units.open_units(spark, output_dir, layout))
+    for unit in asked:
+        requests = units.requests_of(spark, output_dir, layout, unit, categories, system_prompt, config.model, config.partitions or spark.sparkContext.defaultParallelism)
+        replies = infer.infer(requests, backend, concurrency=config.concurrency, attempts=config.attempts)
+        units.save(infer.outcomes(replies, none), output_dir, layout, unit)
+    rows = spark.read.schema("outcome string, elapsed_sec double").parquet(*[units.saved_in(output_dir, layout, k) for k in asked]) if asked else None
+    tally = infer.run_tallies(rows).first().asDict() if asked else dict.fromkeys(infer.TALLIES, 0)
+    times = infer.request_times(rows).first().asDict() if asked else {}
+    units.close(spark, output_dir)
+    ledger.finish(store, run_id, tally["processed"], tally["saved"], tally["failed"], tally["skipped"], tally["processing_seconds"], None if asked else "No pairs to process")
     return {"run_id": run_id, "total_time_sec": time.monotonic() - began, **tally, **times}
 
 

@@ -52,3 +52,33 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
     fs, at = _place(spark, path)
     fs.delete(at, True)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder; none if it isn't there."""
+    fs, at = _place(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; null if it isn't there."""
+    fs, at = _place(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file: it appears whole, by a rename."""
+    fs, at = _place(spark, path)
+    aside = at.suffix(f".{uuid.uuid4().hex}.tmp")
+    stream = fs.create(aside)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(at, False)
+    if not fs.rename(aside, at):
+        raise OSError(f"{path} could not be written")

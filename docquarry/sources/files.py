@@ -110,8 +110,8 @@ def reply_records(spark: SparkSession, folder: str) -> DataFrame:
         out = out.union(jsonl_records(spark, f"{folder}/results.jsonl"))
     if exists(spark, folder, "r*_c*.json"):
         out = out.union(json_files(spark, folder))
-    if exists(spark, folder, "replies/*.parquet"):
-        saved = spark.read.parquet(f"{folder}/replies")
+    if exists(spark, folder, "replies"):  # some folders deep; a pair that failed has no record
+        saved = spark.read.schema("custom_id string, record string").option("recursiveFileLookup", True).parquet(f"{folder}/replies").where("record IS NOT NULL")
         out = out.union(saved.select(F.lit(2).alias("source_rank"), "custom_id", F.lit(0).cast("long"), "record"))
     return out
 

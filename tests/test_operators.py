@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docquarry import cli
-from docquarry.operators import importer, infer, ledger, pairs, preflight, prep, views
+from docquarry.operators import importer, infer, ledger, pairs, preflight, prep, units, views
 from docquarry.plans import run as verbs
 from docquarry.sources import archive, files
 from docquarry.store import CorpusStore, dense_ids
@@ -416,3 +416,71 @@ def test_thresholds_from_the_command_line(spark, folders, capsys):
 
         for setting, _ in text.SETTINGS.values():
             spark.conf.unset(setting)
+
+
+class _TakesTheCorpusAway:
+    """A backend that moves the corpus's texts elsewhere as soon as it is asked."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def ask(self, body):
+        import contextlib
+        import os
+
+        with contextlib.suppress(OSError):
+            os.rename(self.folder, self.folder + "-gone")
+        return infer.Rules().ask(body)
+
+
+def test_the_corpus_is_read_once_whatever_the_number_of_units(spark, store, folders, monkeypatch):
+    """Ten units and more are asked after the corpus has gone: nothing of it is read again."""
+    verbs.prep_db(store, str(folders / "in"), str(folders / "prompts"), limit=2000, size=300, overlap=20)
+    total = pairs.count_pending(store.read("result"), store.read("category"), store.read("result_category")).first().pending
+    reads = []
+    real = CorpusStore.read
+    monkeypatch.setattr(CorpusStore, "read", lambda self, table: reads.append(table) or real(self, table))
+    config = verbs.InferenceConfig(concurrency=1, wave=2, partitions=1)
+    out = verbs.process(store, str(folders / "prompts"), "system", str(folders / "out"), _TakesTheCorpusAway(str(folders / "store/result")), config)
+    assert out["saved"] == out["processed"] == total and total >= 20
+    assert reads.count("result") == 2  # for the pairs, and for the texts
+    assert len(list((folders / "out/replies").glob("layout=*/unit=*"))) == total / 2
+    assert not (folders / "out/work").exists()
+
+
+def test_a_run_goes_on_with_the_units_that_are_left(spark, store, folders, monkeypatch):
+    """A run dies; the next one asks the units that are left, from the same layout; other prompts make a new one."""
+    verbs.prep_db(store, str(folders / "in"), str(folders / "prompts"), limit=2000, size=300, overlap=20)
+    (folders / "calls").mkdir()
+    total = pairs.count_pending(store.read("result"), store.read("category"), store.read("result_category")).first().pending
+    config = verbs.InferenceConfig(concurrency=1, attempts=1, wave=4, partitions=1)
+    ask = lambda most, system="system": verbs.process(store, str(folders / "prompts"), system, str(folders / "out"), _DiesAfter(str(folders / "calls"), most), config)
+    with pytest.raises(Exception):
+        ask(9)
+    layout = units.found(spark, str(folders / "out"))
+    assert layout.pairs == total and len(list((folders / "out/work/done").glob("[0-9]*"))) == 2
+    layouts = []
+    real = units.lay_out
+    monkeypatch.setattr(units, "lay_out", lambda *a: layouts.append(a) or real(*a))
+    with pytest.raises(Exception):
+        ask(14)
+    assert not layouts and len(list((folders / "out/work/done").glob("[0-9]*"))) == 3  # 9 calls before, the unit that died among them
+    with pytest.raises(Exception):
+        ask(15, "another system prompt")
+    assert len(layouts) == 1 and units.found(spark, str(folders / "out")).pairs == total - 12
+    assert ask(None, "another system prompt")["saved"] == total - 12
+    assert files.completed_pairs(files.reply_records(spark, str(folders / "out"))).count() == total
+    assert ask(None)["processed"] == 0
+    assert verbs.import_results(store, str(folders / "out"))["imported"] == total
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_units_are_ranges_of_documents(spark, size):
+    rows = [(d, c) for d in range(30) for c in range(d % 4)]
+    got = sorted(tuple(r) for r in units.ranges(spark.createDataFrame(rows, "result_id bigint, category_id bigint").repartition(5), size).collect())
+    want, before = [], 0
+    for d in range(30):
+        if d % 4:
+            want.append((before // size, d, list(range(d % 4))))
+            before += d % 4
+    assert got == want
