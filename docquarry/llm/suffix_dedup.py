@@ -58,7 +58,7 @@ WINDOW = 200
 #: Difference covers by their modulus (perfect difference sets).
 COVERS = {1: (0,), 7: (0, 1, 3), 13: (0, 1, 3, 9), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52), 133: (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)}
 #: Samples named together in a task, windows looked at together, strings held together.
-NAMED, LOOKED, HELD = 1 << 20, 1 << 18, 1 << 16
+NAMED, LOOKED, HELD = 1 << 19, 1 << 18, 1 << 15
 #: Windows of a string at most; strings of a group at most, beyond which it is dealt out by windows.
 RUN, HOT = 256, 2000
 
@@ -166,10 +166,6 @@ def merged(ranges: DataFrame) -> DataFrame:
 SAMPLES = "bucket int, names binary, numbers binary, keys binary, starts binary, firsts binary"
 
 
-def _shares(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _name_samples(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
     """Names of the sampled tuples, packed by bucket.
 
@@ -259,14 +255,15 @@ def _repeated_samples(samples: DataFrame, cover: Cover, buckets: int) -> DataFra
         if not rows:
             return
         names = np.concatenate([np.frombuffer(r[1], np.uint64) for r in rows])
-        numbers = np.concatenate([np.frombuffer(r[2], np.int32) for r in rows]).astype(np.int64)
-        source = np.repeat(np.arange(len(rows)), [len(r[1]) // 8 for r in rows])
+        numbers = np.concatenate([np.frombuffer(r[2], np.int32) for r in rows])
+        source = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[1]) // 8 for r in rows])
+        rows = [(None, None, None, *r[3:]) for r in rows]
         order = np.argsort(names, kind="stable")
         names = names[order]
         same = np.append(False, names[1:] == names[:-1])
         same |= np.append(same[1:], False)  # a name that a task has in many places already is only news to others
         order, names = order[same], names[same]
-        numbers, source = numbers[order], source[order]
+        numbers, source = numbers[order].astype(np.int64), source[order]
         keys, at = np.zeros((len(names), 2), np.uint64), np.full(len(names), -1)
         for k in np.unique(source):
             mine = np.flatnonzero((source == k) & (numbers >= 0))
@@ -281,12 +278,12 @@ def _repeated_samples(samples: DataFrame, cover: Cover, buckets: int) -> DataFra
         good = several & (at >= 0)
         yield from told(keys[good], at[good])
 
-    return samples.repartition(buckets, "bucket").mapInArrow(run, RANGES)
+    return samples.repartitionById(buckets, F.col("bucket")).mapInArrow(run, RANGES)
 
 
 def candidates(texts: DataFrame, cover: Cover) -> DataFrame:
     """``key, pairs``: ranges of the windows of each text (``key, text``) that hold a repeated tuple."""
-    buckets = _shares(texts.sparkSession)
+    buckets = 2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return merged(_repeated_samples(_name_samples(texts, cover, buckets), cover, buckets))
 
 
