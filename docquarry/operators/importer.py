@@ -16,9 +16,13 @@ from ..store import CorpusStore, dense_ids
 KEY = ["result_id", "category_id"]
 
 
-def classify(records: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """``records`` (``source_rank, source, line, value``) with ``record`` and ``outcome``."""
-    parsed = parse_records(records).withColumns({k: F.col(f"record.{k}") for k in KEY})
+def parse(records: DataFrame) -> DataFrame:
+    """``records`` (``source_rank, source, line, value``) with ``record`` and its ids."""
+    return parse_records(records).withColumns({k: F.col(f"record.{k}") for k in KEY})
+
+
+def judge(parsed: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Parsed records with ``outcome``."""
     good = parsed.where("record.status = 'ok'")
     first = Window.partitionBy(*KEY).orderBy("source_rank", "source", "line")
     known = verdicts.select(*KEY).distinct().withColumn("known", F.lit(True))
@@ -28,6 +32,18 @@ def classify(records: DataFrame, verdicts: DataFrame) -> DataFrame:
     return good.unionByName(rest)
 
 
+def classify(records: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """``records`` with ``record`` and ``outcome``."""
+    return judge(parse(records), verdicts)
+
+
+def known_verdicts(store: CorpusStore, parsed: DataFrame) -> DataFrame:
+    """The store's verdicts that records may meet: the bounds of the records' ids go into the read, so files and row groups of
+    other ids are passed over.  Replies come by ranges of ids, as they were asked for."""
+    first, last = parsed.where("record.status = 'ok'").agg(F.min("result_id"), F.max("result_id")).first()
+    return store.read("result_category").select(*KEY).where(F.lit(False) if first is None else F.col("result_id").between(first, last))
+
+
 def new_verdicts(classified: DataFrame) -> DataFrame:
     return classified.where("outcome = 'imported'").select(*KEY, "record.match", "record.reasoning_trace")
 
@@ -53,7 +69,8 @@ def tallies(classified: DataFrame) -> DataFrame:
 
 def run(store: CorpusStore, records: DataFrame) -> dict:
     """Import records into a store, verdicts and quotes in one commit; importing them again changes nothing."""
-    classified = materialise(classify(records, store.read("result_category")))
+    parsed = materialise(parse(records))
+    classified = materialise(judge(parsed, known_verdicts(store, parsed)))
     out = tallies(classified).first().asDict()
     if out["imported"]:
         now = F.current_timestamp()

@@ -521,4 +521,24 @@ def stream_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("result_category").select("result_id", "category_id", "match", "reasoning_trace")
 
 
+@query("""SELECT doc_id AS result_id, k AS category_id, CASE WHEN k = 1 THEN 'yes' ELSE 'maybe' END AS match, 'first of ' || length(coalesce(text, '')) AS reasoning_trace
+    FROM documents, (VALUES (1::BIGINT), (2::BIGINT)) c(k)""", with_corpus=False)
+def stream_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of large files, read in many splits, that say two things of each pair: the first in its file is imported."""
+    from ..streaming.imports import stream_import as start
+
+    folder = new_folder(spark, "splits")
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    store = CorpusStore(own, f"{folder}/store")
+    store.create()
+    n = F.length(F.coalesce("text", F.lit(""))).cast("string")
+    line = lambda k, match, trace: F.concat(F.lit('{"result_id": '), F.col("doc_id").cast("string"), F.lit(f', "category_id": {k}, "match": "{match}", "reasoning_trace": "'), trace, F.lit('"}'))
+    first, later = F.concat(F.lit("first of "), n), F.lit("later")
+    lines = F.array(line(1, "yes", first), line(2, "maybe", first), line(2, "no", later), line(1, "no", later))
+    read(spark, sf_dir, "documents").select(F.explode(lines).alias("value")).write.text(f"{folder}/replies")
+    start(store, f"{folder}/replies", f"{folder}/checkpoint", glob="part-*", by_line=True).awaitTermination()
+    return store.read("result_category").select("result_id", "category_id", "match", "reasoning_trace")
+
+
 from . import file_queries  # noqa: E402, F401  they register themselves here

@@ -76,14 +76,12 @@ def system_prompt(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
-def jsonl_records(spark: SparkSession, path: str, rank: int = 0) -> DataFrame:
-    """``source_rank, source, line, value`` of a JSONL file's lines, blank ones left out.
+def placed(lines: DataFrame, rank: int) -> DataFrame:
+    """``source_rank, source, line, value`` of lines with their file and the byte where their split of it begins.
 
     Lines keep their order, as the first record of a pair wins: ``source`` is the
-    file's name and the byte at which the line's split of the file begins, ``line``
-    grows within a split.  So a large file is many tasks.
+    file's name and that byte, ``line`` grows within a split.  So a large file is many tasks.
     """
-    lines = spark.read.text(path).select("value", "_metadata.file_name", "_metadata.file_block_start")
     source = F.format_string("%s@%020d", "file_name", "file_block_start")
     # The lower bits count rows of a task, which reads its splits one after another.
     line = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
@@ -91,6 +89,11 @@ def jsonl_records(spark: SparkSession, path: str, rank: int = 0) -> DataFrame:
     return lines.withColumn("value", text.strip(F.col("value"))).where("value <> ''")
 
 
+def jsonl_records(spark: SparkSession, path: str, rank: int = 0) -> DataFrame:
+    """The records of a JSONL file's lines in their order, blank lines left out."""
+    return placed(spark.read.text(path).select("value", "_metadata.file_name", "_metadata.file_block_start"), rank)
+
+
 def json_files(spark: SparkSession, folder: str, rank: int = 1) -> DataFrame:
     """The same of a folder's reply files, one record each."""
     files = spark.read.option("pathGlobFilter", "r*_c*.json").text(folder, wholetext=True)

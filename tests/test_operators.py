@@ -484,3 +484,38 @@ def test_units_are_ranges_of_documents(spark, size):
             want.append((before // size, d, list(range(d % 4))))
             before += d % 4
     assert got == want
+
+
+def test_the_first_line_of_a_pair_wins_in_a_stream(spark, tmp_path):
+    """A file in many splits that names each pair twice, far apart and in neighbouring lines."""
+    from docquarry.streaming.imports import replies, stream_import
+
+    record = lambda k, trace: json.dumps({"result_id": k, "category_id": 1, "match": "yes", "reasoning_trace": trace, "blockquotes": [trace, "é" * (k % 60)]}, ensure_ascii=False)
+    lines = [record(k, "first") for k in range(1500)] + ["", "  "] + [record(k, "later") for k in reversed(range(1500))]
+    lines += [x for k in range(1500, 2500) for x in (record(k, "first"), record(k, "later"))]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/part-0.jsonl").write_text("\n".join(lines))
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    store = CorpusStore(own, str(tmp_path / "store"))
+    store.create()
+    stream_import(store, str(tmp_path / "in"), str(tmp_path / "checkpoint"), glob="part-*", by_line=True).awaitTermination()
+    got = store.read("result_category")
+    assert got.count() == 2500 and got.where("reasoning_trace <> 'first'").count() == 0
+    quotes = [(r.result_id, r.blockquote) for r in store.read("result_category_blockquote").orderBy("blockquote_id").collect()]
+    assert quotes == [(k, q) for k in range(2500) for q in ("first", "é" * (k % 60))]
+    # Only the files of a batch's ids are opened: their bounds are in the read.
+    later = own.createDataFrame([(1, "x", 0, record(7000 + k, "first")) for k in range(5)], "source_rank int, source string, line long, value string")
+    known = importer.known_verdicts(store, importer.parse(later))
+    assert known.count() == 0 and "GreaterThanOrEqual(result_id,7000)" in known._jdf.queryExecution().toString()
+    assert replies(store, str(tmp_path / "in"), glob="part-*", by_line=True).isStreaming
+
+
+def test_compacted_verdicts_lie_by_document(spark, store):
+    rows = lambda first: spark.createDataFrame([(k, 1, "yes", "t", None) for k in range(first, 4000, 4)], "result_id long, category_id long, match string, reasoning_trace string, created_at timestamp").repartition(2)
+    for first in range(4):
+        store.append("result_category", rows(first))
+    assert store.compact(3) == ["result_category"]
+    files_of = store.read("result_category").groupBy(F.input_file_name()).agg(F.min("result_id"), F.max("result_id")).collect()
+    spans = sorted((r[1], r[2]) for r in files_of)
+    assert store.read("result_category").count() == 4000 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
