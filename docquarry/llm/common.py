@@ -11,15 +11,31 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..arrow import bound_batches as bound_batches
 from ..scratch import materialise
 from ..scratch import new_folder as new_folder
+from ..ship import ship
 from ..sources.tables import read_table
 
 #: Words everywhere: maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows in an Arrow batch of these operators: their bytes are bounded anew by ``by_bytes``, in steps below Spark's own bound.
+ROWS = 512
+SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession, rows: int = ROWS) -> None:
+    """Lower the session's Arrow batch size to ``rows`` (never raise it), and see that workers have the code.
+
+    A plan takes the setting of its session when it runs, so it has to stay lowered.
+    """
+    ship(spark)
+    now = int(spark.conf.get(SETTING, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(SETTING, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; the path may be one that only Spark can open."""
     return read_table(spark, sf_dir, name)
