@@ -1,22 +1,30 @@
-"""Bounds for batches between the JVM and Python."""
+"""What every Arrow function needs: its code on the workers, and batches of bounded size.
+
+Spark bounds a batch in bytes (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB
+unless a session says otherwise), so long texts fill a batch with fewer rows and no
+setting of the session is changed.  A function whose rows bring more than they
+carry in takes them in slices.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import SparkSession
 
 from .ship import ship
 
-#: Rows in a batch.  Texts may be long, so Spark's default of 10,000 rows is no bound on memory.
-ROWS = 512
-SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
+def ready(spark: SparkSession | None = None) -> None:
+    """See that the workers of a session (the active one, unless one is given) have the package's code."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)
 
-def bound_batches(spark: SparkSession, rows: int = ROWS) -> None:
-    """Lower the session's Arrow batch size to ``rows`` (never raise it), and see that workers have the code.
 
-    A plan takes the setting of its session when it runs, so it has to stay lowered.
-    """
-    ship(spark)
-    now = int(spark.conf.get(SETTING, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(SETTING, str(rows))
+def in_slices(batches: Iterable[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Batches of at most so many rows."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows].reset_index(drop=True)

@@ -1,9 +1,9 @@
 """HTML to Markdown with the standard library's parser, in an Arrow function.
 
 Rules.  Scripts, styles, templates and the page's title are left out; all other
-text stays, wherever it is.  End tags may be missing: the head ends where
+text stays, wherever it is.  A template that is never closed is none: its text stays too.  End tags may be missing: the head ends where
 something begins that a head can't hold, and blocks, items, cells and rows end where
-the next one begins.  A table's first row is its header row.
+the next one begins.  A table's first row is its header row.  Every line of a quotation has its mark.
 """
 
 from __future__ import annotations
@@ -15,20 +15,24 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SKIPPED = {"script", "style", "template"}
+from ..arrow import ready
+
+_SKIPPED = frozenset({"script", "style", "template"})
 _BLOCKS = {"p", "div", "article", "section", "footer", "header", "main", "nav", "form", "ul", "ol", "dl", "pre", "blockquote", "dt", "dd", "aside", "figure", "address", "center", "caption"}
 _MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`", "kbd": "`", "samp": "`", "del": "~~", "s": "~~"}
 
 
 class _Writer(HTMLParser):
-    def __init__(self) -> None:
+    def __init__(self, skipped: frozenset[str] = _SKIPPED) -> None:
         super().__init__(convert_charrefs=True)
+        self.skipped = skipped
         self.out: list[str] = []
         self.skip = self.pre = 0
         self.title = False
         self.lists: list[int] = []  # the next number, or -1 for bullets
         self.links: list[tuple[str | None, int]] = []
         self.tables: list[_Table] = []
+        self.quotes: list[int] = []  # where open quotations begin
 
     def block(self, lines: int = 2) -> None:
         self.out.append("\n" * lines)
@@ -44,8 +48,15 @@ class _Writer(HTMLParser):
             table.rows += 1
             table.cells = 0
 
+    def end_quote(self) -> None:
+        """Mark the lines of the innermost quotation."""
+        begin = self.quotes.pop()
+        lines = _tidy("".join(self.out[begin:])).split("\n")
+        self.out[begin:] = ["\n".join(f"> {x}".rstrip() if not x.endswith("  ") else f"> {x}" for x in lines)] if any(lines) else []
+        self.links = [x for x in self.links if x[1] < begin]
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in _SKIPPED:
+        if tag in self.skipped:
             self.skip += 1
         if self.skip:
             return
@@ -91,10 +102,10 @@ class _Writer(HTMLParser):
                 self.pre += 1
                 self.out.append("```\n")
             elif tag == "blockquote":
-                self.out.append("> ")
+                self.quotes.append(len(self.out))
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in _SKIPPED:
+        if tag in self.skipped:
             self.skip = max(self.skip - 1, 0)
         if self.skip:
             return
@@ -120,6 +131,8 @@ class _Writer(HTMLParser):
             if tag == "pre":
                 self.pre = max(self.pre - 1, 0)
                 self.out.append("\n```")
+            elif tag == "blockquote" and self.quotes:
+                self.end_quote()
             self.block()
 
     def handle_data(self, data: str) -> None:
@@ -131,6 +144,8 @@ class _Writer(HTMLParser):
         while self.tables:
             self.end_row()
             self.tables.pop()
+        while self.quotes:
+            self.end_quote()
         return "".join(self.out)
 
 
@@ -144,13 +159,24 @@ def to_markdown(html: str | None) -> str:
     """Markdown of a page."""
     writer = _Writer()
     writer.feed(html or "")
-    lines = writer.finish().split("\n")
-    # Two blanks at a line's end are a line break; other blanks there, and one at its start, are not meant.
+    text = writer.finish()
+    if writer.skip and re.search("<template", html, re.I):  # one that is never closed is none
+        writer = _Writer(_SKIPPED - {"template"})
+        writer.feed(html)
+        text = writer.finish()
+    return _tidy(text)
+
+
+def _tidy(text: str) -> str:
+    """Lines without blanks that mean nothing: two at a line's end are a line break, others there, and one at its start, are not meant."""
+    lines = text.split("\n")
     text = "\n".join((x.rstrip() if x.startswith("  ") else x.strip()) + "  " * (x.endswith("  ") and bool(x.strip())) for x in lines)
     return re.sub(r"\n{3,}", "\n\n", text).strip("\n ")
 
 
 def html_to_markdown(html: Column) -> Column:
+    ready()
+
     @F.pandas_udf("string")
     def convert(pages: pd.Series) -> pd.Series:
         return pages.map(to_markdown)

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..arrow import ready
 from . import text
 
 #: Sizes in characters: documents above LIMIT are split into parts of TARGET with OVERLAP.
@@ -62,6 +63,7 @@ def split_text(body: str, size: int = TARGET, overlap: int = OVERLAP, separators
 
 def split_column(content: Column, limit: int = LIMIT, size: int = TARGET, overlap: int = OVERLAP) -> Column:
     """The parts of a document, each with the document's header; for large documents alone."""
+    ready()
 
     @F.pandas_udf("array<string>")
     def parts(headers: pd.Series, bodies: pd.Series) -> pd.Series:

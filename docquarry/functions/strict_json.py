@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..arrow import ready
+
 #: One imported record: what it is, and its fields as the tables store them.
 RECORD = "struct<status:string, result_id:bigint, category_id:bigint, match:string, reasoning_trace:string, blockquotes:array<string>, quote_error:boolean>"
 
@@ -119,6 +121,8 @@ def flatten_record(text: str | None) -> dict:
 def parse_records(df: DataFrame, column: str = "value", to: str = "record") -> DataFrame:
     """``df`` with the struct ``to`` of each record's text."""
 
+    ready(df.sparkSession)
+
     @F.pandas_udf(RECORD)
     def flatten(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([flatten_record(x) for x in texts], columns=["status", "result_id", "category_id", "match", "reasoning_trace", "blockquotes", "quote_error"]).astype({"result_id": "Int64", "category_id": "Int64"})
@@ -133,6 +137,8 @@ REPLY = "struct<found:boolean, has_match:boolean, match:string, blockquotes:stri
 def reply_object(content: Column) -> Column:
     """The first object of each reply; ``shown`` is how a message shows it."""
 
+    ready()
+
     @F.pandas_udf(REPLY)
     def extract(texts: pd.Series) -> pd.DataFrame:
         rows = []

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..arrow import bound_batches
+from ..arrow import ready
 from ..functions.strict_json import first_object, parse_replies
 
 #: Attempts for a pair, seconds for one of them.
@@ -131,7 +131,7 @@ def infer(requests: DataFrame, backend: Backend, *, concurrency: int = 8, attemp
 
     Bodies stay in the partitions that made them (``pairs.requests`` deals out the pairs' ids).
     """
-    bound_batches(requests.sparkSession)
+    ready(requests.sparkSession)
     narrow = requests.select("custom_id", "body")
     names = [x.split(" ")[0] for x in REPLIES.split(", ")]
 

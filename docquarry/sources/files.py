@@ -145,6 +145,9 @@ def write_replies(replies: DataFrame, folder: str) -> DataFrame:
 
     ``saved`` is false where a file is there already.
     """
+    from ..arrow import ready
+
+    ready(replies.sparkSession)
     folder = whole_path(folder)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

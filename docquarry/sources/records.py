@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
-from ..arrow import bound_batches
+from ..arrow import ready
 from . import archive, files
 
 #: Bytes of an archive, about; bytes read at once at most; a gap between ranges that is read over.
@@ -76,7 +76,7 @@ def record(url: str, time: str, page: str) -> bytes:
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write pages (``url, time, html``) as archives of a folder that all executors share; their index."""
-    bound_batches(pages.sparkSession)
+    ready(pages.sparkSession)
     folder = files.whole_path(folder)
     names = [x.split(" ")[0] for x in INDEX.split(", ")]
 
@@ -222,7 +222,7 @@ def _batches(rows: Iterable[tuple], schema: pa.Schema = _SCHEMA) -> Iterator[pa.
 
 def records(index: DataFrame, folder: str) -> DataFrame:
     """The records that rows of ``INDEX`` name, read where those rows are."""
-    bound_batches(index.sparkSession)
+    ready(index.sparkSession)
     folder = files.whole_path(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,9 +330,7 @@ def _registered(spark: SparkSession) -> str:
 
 def read_archives(spark: SparkSession, folder: str, index: str) -> DataFrame:
     """All records that the index under ``index`` names."""
-    from ..ship import ship
-
-    ship(spark)
+    ready(spark)
     return spark.read.format(_registered(spark)).options(index=index, choose=spark.conf.get(PUSHDOWN, "false")).load(folder)
 
 

@@ -223,3 +223,14 @@ def test_kinds_of_reasons_are_few(spark):
     rows = [(f"body too short ({n} chars, need 100)", n) for n in range(50)] + [(f"low printable ratio ({n / 10}%, need 85%)", 1) for n in range(2000)] + [("binary content (MP3 with ID3 tag)", 7), ("binary content (7-Zip archive)", 1)]
     got = [(r.kind, r.documents) for r in preflight.kinds(spark.createDataFrame(rows, "reason string, documents long")).collect()]
     assert got == [("low printable ratio (N%, need N%)", 2000), ("body too short (N chars, need N)", 1225), ("binary content (MP3 with ID3 tag)", 7), ("binary content (7-Zip archive)", 1)]
+
+
+def test_markdown_of_quotations_and_open_templates():
+    from docquarry.functions.markdown import to_markdown
+
+    assert to_markdown("<blockquote><p>a</p><p>b<br>c</p></blockquote>d") == "> a\n>\n> b  \n> c\n\nd"
+    assert to_markdown("x<blockquote>a<blockquote>b</blockquote></blockquote>") == "x\n\n> a\n>\n> > b"
+    assert to_markdown("<blockquote>left open <b>c</b>") == "> left open **c**"
+    assert to_markdown("<blockquote> </blockquote><p>a") == "a"
+    assert to_markdown("a<template>b") == "ab"
+    assert to_markdown("a<template>b</template>c") == "ac"

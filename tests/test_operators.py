@@ -519,3 +519,46 @@ def test_compacted_verdicts_lie_by_document(spark, store):
     files_of = store.read("result_category").groupBy(F.input_file_name()).agg(F.min("result_id"), F.max("result_id")).collect()
     spans = sorted((r[1], r[2]) for r in files_of)
     assert store.read("result_category").count() == 4000 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+_FRESH = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession, functions as F
+from docquarry.functions import split
+from docquarry.functions.markdown import html_to_markdown
+from docquarry.operators import {module}
+from docquarry.plans import run as verbs
+from docquarry.sources import archive, files, records
+from docquarry.store import CorpusStore
+from docquarry.streaming.imports import stream_import
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+store = CorpusStore(spark, {folder!r} + "/fresh-store")
+store.create()
+{code}
+assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+print("fine")
+"""
+_VERBS = {
+    "stream": "open({folder!r} + '/r1_c1.json', 'w').write('{{\"result_id\": 1, \"category_id\": 1, \"match\": \"yes\"}}'); stream_import(store, {folder!r}, {folder!r} + '/checkpoint').awaitTermination(); assert store.read('result_category').count() == 1",
+    "prep": "verbs.prep_db(store, {folder!r} + '/in', {folder!r} + '/prompts', limit=2000, size=1500); assert store.read('result').where('part_number = 1').count() == 1",
+    "html": "assert spark.range(1).select(html_to_markdown(F.lit('<h1>a</h1>'))).first()[0] == '# a'",
+    "records": "i = records.write_archives(spark.range(3).select(F.lit('u').alias('url'), F.lit('2004').alias('time'), F.lit('x').alias('html')), {folder!r} + '/w'); i.write.parquet({folder!r} + '/i'); assert records.read_archives(spark, {folder!r} + '/w', {folder!r} + '/i').where('error IS NULL').count() == 3",
+    "process": "verbs.prep_db(store, {folder!r} + '/in', {folder!r} + '/prompts'); assert verbs.process(store, {folder!r} + '/prompts', 's', {folder!r} + '/out', infer.Rules())['saved'] == 8",
+}
+
+
+@pytest.mark.parametrize("verb", sorted(_VERBS))
+def test_a_script_elsewhere_whose_workers_lack_the_package(folders, verb):
+    """Each verb ships its code, and leaves the session's settings as they are."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = _FRESH.format(repo=repo, module="infer", folder=str(folders), code=_VERBS[verb].format(folder=str(folders)))
+    (folders / "script.py").write_text(code)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(folders / "script.py")], cwd=folders, env=env, capture_output=True, text=True, timeout=300)
+    assert "fine" in done.stdout, done.stderr[-3000:]
