@@ -6,7 +6,8 @@ declared lengths.  It synthesises what WARC needs: record types (an HTTP reply
 is a response, anything else, such as a ``dns:`` record, a resource, a version block
 a warcinfo record), identifiers, dates, payload digests.  ``deduplicate`` marks all but
 the first of equal payloads as revisits, ``pack_warc`` writes archives and
-``read_warc`` reads them.  ``pack_arc`` writes rows as ARC files; a row's key
+``read_warc`` reads any: fields of any case, records as gzip members, digests of
+several kinds or none.  ``pack_arc`` writes rows as ARC files; a row's key
 travels in the HTTP header that it writes.  An archive is one row
 ``(archive, content)`` of a table, written by Spark's own committer, so a lost
 executor's files are written again.
@@ -46,11 +47,11 @@ ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
-#: Bytes of payload in one archive, about; the most that a compressed archive may hold; the date of records without one.
+#: Bytes of payload in one archive, about; the most that a gzip member may hold; the date of records without one.
 ARCHIVE_BYTES, MOST_BYTES, NO_DATE = 4 << 20, 1 << 30, "19960101000000"
 #: Where a reader takes up again after a bad record: a line that looks like a header.
 _HEADER = re.compile(rb"^[A-Za-z][A-Za-z0-9+.-]{0,20}:[^\r\n]{0,4096} [0-9A-Fa-f.:]{2,45} [0-9]{4,14} [^\r\n]{1,2048} [0-9]{1,18}\r?$", re.M)
-_KEY = "X-Source-Key"
+_KEY, _LENGTH, _REFERS = "X-Source-Key", "X-Payload-Length", "X-Refers-To-Key"
 
 RECORD = "archive string, at long, type string, key string, uri string, date string, ip string, mime string, block binary, payload_bytes long, payload_digest string, error string"
 _RECORD = pa.schema(
@@ -87,35 +88,41 @@ def arc_file(name: str, version: int, records: Iterable[tuple], date: str = NO_D
     return b"".join(out)
 
 
-def unpacked(data: bytes) -> tuple[bytes, list[str]]:
-    """An archive's bytes, its gzip members put together; what is wrong with members that can't be read."""
+def members(data: bytes) -> Iterator[tuple[bytes, str | None]]:
+    """An archive's gzip members one after another, unpacked (a plain archive is one); an empty one with what is wrong with it if it can't be read.
+
+    Only one member is held at a time, so an archive may be of any size; a member is bounded by ``MOST_BYTES``.
+    """
     if not data.startswith(b"\x1f\x8b"):
-        return data, []
-    out, held, at, errors = [], 0, 0, []
-    view = memoryview(data)
-    while 0 <= at < len(data) and held < MOST_BYTES:
-        member, start, parts = zlib.decompressobj(31), at, []
+        yield data, None
+        return
+    at, view = 0, memoryview(data)
+    while 0 <= at < len(data):
+        member, start, parts, held = zlib.decompressobj(31), at, [], 0
         try:
-            while not member.eof and at < len(data) and held < MOST_BYTES:  # small steps: what is left over is copied
-                parts.append(member.decompress(member.unconsumed_tail or view[at : at + 65536], MOST_BYTES - held))
-                at += 0 if member.unconsumed_tail else 65536
+            while not member.eof and (at < len(data) or member.unconsumed_tail) and held <= MOST_BYTES:  # small steps: what is left over is copied
+                tail = member.unconsumed_tail
+                parts.append(member.decompress(tail or view[at : at + 65536], MOST_BYTES + 1 - held))
+                at += 0 if tail else 65536
                 held += len(parts[-1])
+            if held > MOST_BYTES:
+                raise zlib.error("too large")
             if not member.eof:
-                raise zlib.error("cut short, or too large")
+                raise zlib.error("cut short")
             at = min(at, len(data)) - len(member.unused_data)
-            out += parts
         except zlib.error as e:
-            errors.append(f"gzip member at {start}: {e}")
+            yield b"", f"gzip member at {start}: {e}"
             at = data.find(b"\x1f\x8b\x08", start + 1)
-    return b"".join(out), errors
+            continue
+        yield b"".join(parts), None
 
 
-def parse_arc(data: bytes) -> Iterator[dict]:
+def parse_arc(data: bytes, fields: list[str] | None = None) -> Iterator[dict]:
     """Records of an ARC file: dictionaries of the version's fields with ``at`` and ``block``, or of ``at`` and ``error``.
 
-    Version blocks have ``version``.
+    Version blocks have ``version``.  ``fields`` are those of the members before, and are left as they are now.
     """
-    fields: list[str] = []
+    fields = [] if fields is None else fields
     at = 0
     while at < len(data):
         if data[at] in b"\r\n":  # between records
@@ -133,9 +140,9 @@ def parse_arc(data: bytes) -> Iterator[dict]:
                 raise ValueError("record shorter than its declared length")
             about = line.startswith("filedesc:")
             if about:
-                fields = _fields(block)
+                fields[:] = _fields(block)
             elif not fields:
-                fields = ARC_FIELDS[1].split()  # the commoner version; the record counts as well
+                fields[:] = ARC_FIELDS[1].split()  # the commoner version; the record counts as well
                 yield {"at": at, "error": "no version block"}
             values = line.rsplit(" ", len(fields) - 1)  # old URLs may hold spaces
             if len(values) < len(fields):
@@ -216,18 +223,23 @@ def _rows_of(rows: Iterable[tuple], schema: pa.Schema, block: int | None = None)
 
 
 def converted(name: str | None, content: bytes | None) -> Iterator[tuple]:
-    """Rows of ``RECORD`` for one ARC file."""
-    data, errors = unpacked(content or b"")
-    for e in errors:
-        yield (name, None, *[None] * 9, e)
-    for r in parse_arc(data):
-        if "error" in r:
-            yield (name, r["at"], *[None] * 9, r["error"])
+    """Rows of ``RECORD`` for one ARC file; ``at`` counts unpacked bytes."""
+    fields: list[str] = []
+    before = 0
+    for data, error in members(content or b""):
+        if error is not None:
+            yield (name, None, *[None] * 9, error)
             continue
-        block = r["block"]
-        payload = payload_of(block)
-        kind = "warcinfo" if "version" in r else "response" if block.startswith(b"HTTP/") else "resource"
-        yield name, r["at"], kind, source_key(block), r["URL"], warc_date(r["Archive-date"]), r["IP-address"], r["Content-type"], block, len(payload), sha1_base32(payload), None
+        for r in parse_arc(data, fields):
+            at = before + r["at"]
+            if "error" in r:
+                yield (name, at, *[None] * 9, r["error"])
+                continue
+            block = r["block"]
+            payload = payload_of(block)
+            kind = "warcinfo" if "version" in r else "response" if block.startswith(b"HTTP/") else "resource"
+            yield name, at, kind, source_key(block), r["URL"], warc_date(r["Archive-date"]), r["IP-address"], r["Content-type"], block, len(payload), sha1_base32(payload), None
+        before += len(data)
 
 
 def convert_arc(archives: DataFrame) -> DataFrame:
@@ -273,42 +285,76 @@ def warc_record(r: dict) -> bytes:
         "WARC-Payload-Digest": None if kind == "warcinfo" else f"sha1:{r['payload_digest']}",
         "Content-Type": "application/http; msgtype=response" if kind == "response" else r["mime"],
         _KEY: None if r["key"] is None else quote(r["key"]),
-        "X-Payload-Length": r["payload_bytes"],
+        _LENGTH: r["payload_bytes"],
     }
     if first:
         block = block[: len(block) - r["payload_bytes"]]
         head |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": _identity(first), "WARC-Refers-To-Target-URI": first["uri"], "WARC-Refers-To-Date": first["date"]}
-        head["X-Refers-To-Key"] = None if first["key"] is None else quote(first["key"])
+        head[_REFERS] = None if first["key"] is None else quote(first["key"])
     head |= {"WARC-Block-Digest": f"sha1:{sha1_base32(block)}", "Content-Length": len(block)}
     lines = "".join(f"{k}: {v}\r\n" for k, v in head.items() if v is not None)
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
-    """Headers and block of each record of a WARC file; a record that can't be read is ``{"error": ...}`` without a block."""
+    """Headers (names in lower case) and block of each record of a WARC file, plain or gzip members of any version; a record that
+    can't be read is ``{"error": ...}`` without a block."""
+    for member, error in members(data):
+        if error is not None:
+            yield {"error": error}, None
+        else:
+            yield from _records(member)
+
+
+def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
     at = 0
     while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
+        if data[at] in b"\r\n":  # between records; some writers leave more than two ends of line
+            at += 1
+            continue
         try:
-            if end < 0 or not data.startswith(b"WARC/", at):
+            if not data.startswith(b"WARC/", at):
                 raise ValueError("record without a header")
-            lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-            head = dict(x.split(": ", 1) for x in lines if ": " in x)
-            size = head.get("Content-Length", "")
+            end = re.compile(rb"\r?\n\r?\n").search(data, at)
+            if end is None:
+                raise ValueError("header without an end")
+            head = _head(data[at : end.start()])
+            size = head.get("content-length", "")
             if not re.fullmatch("[0-9]{1,18}", size):
                 raise ValueError("record without a length")
-            after = end + 4 + int(size)
-            if data[after : after + 4] != b"\r\n\r\n":
+            after = end.end() + int(size)
+            if after > len(data) or data[after : after + 1] not in (b"", b"\r", b"\n") and not data.startswith(b"WARC/", after):
                 raise ValueError("record shorter or longer than its declared length")
-            yield head, data[end + 4 : after]
-            at = after + 4
+            yield head, data[end.end() : after]
+            at = after
         except ValueError as e:
             yield {"error": str(e)}, None
-            at = data.find(b"WARC/1.", at + 1)
+            at = data.find(b"WARC/", at + 1)
             if at < 0:
                 return
 
 
+def _head(lines: bytes) -> dict[str, str]:
+    """Named fields of a record's header; a line that begins with white space goes on with the one before."""
+    text = re.sub(r"\r?\n[ \t]+", " ", lines.decode("utf-8", "replace"))
+    named = (x.partition(":") for x in re.split(r"\r?\n", text)[1:])
+    return {name.strip().lower(): value.strip() for name, colon, value in named if colon and name.strip().lower() != "error"}
+
+
+#: Digests that are checked, by the names that records give them; others are taken as they are.
+_HASHES = {"md5": hashlib.md5, "sha1": hashlib.sha1, "sha-1": hashlib.sha1, "sha256": hashlib.sha256, "sha-256": hashlib.sha256}
+
+
+def agrees(declared: str | None, data: bytes) -> bool:
+    """Whether bytes have the digest that a header declares, in base 32 or hexadecimal; one that isn't declared is no reason for doubt."""
+    name, colon, value = (declared or "").partition(":")
+    hashed = _HASHES.get(name.strip().lower())
+    if not colon or hashed is None:
+        return True
+    digest = hashed(data).digest()
+    return value.strip().rstrip("=").upper() in (base64.b32encode(digest).decode().rstrip("="), digest.hex().upper())
+
+
 def pack_warc(records: DataFrame) -> DataFrame:
     """Rows of ``RECORD`` with ``first`` as WARC archives, rows of ``archive, content``."""
 
@@ -320,21 +366,34 @@ def pack_warc(records: DataFrame) -> DataFrame:
     return records.mapInArrow(run, "archive string, content binary")
 
 
-def found_in(name: str, content: bytes) -> Iterator[tuple]:
-    """Rows of ``FOUND`` for one WARC file; digests are computed again from the blocks."""
+def found_in(name: str | None, content: bytes) -> Iterator[tuple]:
+    """Rows of ``FOUND`` for one WARC file, anybody's.
+
+    Declared digests are checked against the blocks; responses and resources without one get the SHA-1 of their payload.  What a
+    revisit's payload held is told by our own header alone, and null without it.
+    """
     for head, block in parse_warc(content):
-        error = head.get("error")
-        kind, digest = head.get("WARC-Type"), head.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-        if error is None and sha1_base32(block) != head.get("WARC-Block-Digest", "").removeprefix("sha1:"):
+        error, kind = head.get("error"), head.get("warc-type")
+        whole = error is None and kind in ("response", "resource") and "warc-truncated" not in head
+        if error is None and kind is None:
+            error = "record without a type"
+        if error is None and not agrees(head.get("warc-block-digest"), block):
             error = "block with another digest than declared"
-        if error is None and kind in ("response", "resource") and sha1_base32(payload_of(block)) != digest:
+        if error is None and whole and not agrees(head.get("warc-payload-digest"), payload_of(block)):
             error = "payload with another digest than declared"
+        size, declared = head.get(_LENGTH.lower()), head.get("warc-payload-digest")
+        if error is None and kind == "revisit" and size is not None and not re.fullmatch("[0-9]{1,18}", size):
+            error = "revisit with a length that is none"
         if error is not None:
             yield (name, *[None] * 8, error)
             continue
-        key, refers = ((None if x is None else unquote(x)) for x in (head.get(_KEY), head.get("X-Refers-To-Key")))
-        size = len(payload_of(block)) if kind != "revisit" else int(head.get("X-Payload-Length", "0"))
-        yield name, key, size, digest or None, kind, refers, head.get("WARC-Record-ID"), head.get("WARC-Target-URI"), head.get("WARC-Date"), None
+        key, refers = ((None if x is None else unquote(x)) for x in (head.get(_KEY.lower()), head.get(_REFERS.lower())))
+        length = len(payload_of(block)) if kind != "revisit" else None if size is None else int(size)
+        if whole:
+            digest = sha1_base32(payload_of(block))
+        else:
+            digest = None if declared is None else declared.partition(":")[2].strip() if declared.lower().startswith("sha1:") else declared
+        yield name, key, length, digest, kind, refers, head.get("warc-record-id"), head.get("warc-target-uri"), head.get("warc-date"), None
 
 
 def read_warc(archives: DataFrame) -> DataFrame:

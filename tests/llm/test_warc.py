@@ -17,9 +17,10 @@ RECORDS = [("http://a.example/x y", b"<p>1</p>"), (None, b""), ("http://b.exampl
 @pytest.mark.parametrize("version", [1, 2])
 @pytest.mark.parametrize("gzip", [False, True])
 def test_arc_versions_are_parsed(version, gzip):
-    data, errors = warc.unpacked(warc.arc_file("a.arc", version, RECORDS, "19990102030405", gzip))
-    about, *got = warc.parse_arc(data)
-    assert about["version"] == str(version) and not errors
+    parts = list(warc.members(warc.arc_file("a.arc", version, RECORDS, "19990102030405", gzip)))
+    assert len(parts) == (1 + len(RECORDS) if gzip else 1) and not any(e for _, e in parts)
+    about, *got = warc.parse_arc(b"".join(d for d, _ in parts))
+    assert about["version"] == str(version)
     assert [warc.payload_of(r["block"]) for r in got] == [p for _, p in RECORDS]
     assert [r["URL"] for r in got] == ["http://a.example/x%20y", "urn:none", "http://b.example/", "http://%C3%A9.example/"]
     assert {r["Archive-date"] for r in got} == {"19990102030405"} and got[0].keys() >= set(warc.ARC_FIELDS[version].split())
@@ -47,11 +48,11 @@ def test_archives_that_others_wrote(spark):
     assert records.where("type = 'warcinfo'").count() == 2 and got["http://a.example/b c"].payload_digest == digest(b"hello")
     archives = warc.pack_warc(warc.deduplicate(records)).collect()
     heads = [h for a in archives for h, _ in warc.parse_warc(bytes(a.content))]
-    assert sorted(h["WARC-Type"] for h in heads) == ["resource", "response", "revisit", "warcinfo", "warcinfo"]
-    revisit = next(h for h in heads if h["WARC-Type"] == "revisit")
-    response = next(h for h in heads if h["WARC-Type"] == "response")
-    assert revisit["WARC-Refers-To"] == response["WARC-Record-ID"] and revisit["WARC-Refers-To-Target-URI"] == response["WARC-Target-URI"]
-    assert response["WARC-IP-Address"] in ("10.0.0.1", "10.0.0.2") and next(h for h in heads if h["WARC-Type"] == "resource")["Content-Type"] == "text/dns"
+    assert sorted(h["warc-type"] for h in heads) == ["resource", "response", "revisit", "warcinfo", "warcinfo"]
+    revisit = next(h for h in heads if h["warc-type"] == "revisit")
+    response = next(h for h in heads if h["warc-type"] == "response")
+    assert revisit["warc-refers-to"] == response["warc-record-id"] and revisit["warc-refers-to-target-uri"] == response["warc-target-uri"]
+    assert response["warc-ip-address"] in ("10.0.0.1", "10.0.0.2") and next(h for h in heads if h["warc-type"] == "resource")["content-type"] == "text/dns"
 
 
 def test_bad_records_are_rows_and_reading_goes_on(spark):
@@ -101,12 +102,63 @@ def test_altered_files_end_nothing():
         assert all(r[-1] is None or isinstance(r[-1], str) for r in rows)
 
 
-def test_compressed_archives_have_a_bound(monkeypatch):
+def test_members_have_a_bound_and_archives_have_none(monkeypatch):
+    """A member beyond the bound is an error; those before and after it are read, however much they hold together."""
     monkeypatch.setattr(warc, "MOST_BYTES", 10_000)
     import zlib
 
-    data, errors = warc.unpacked(zlib.compress(b"a" * 10**7, wbits=31))
-    assert not data and "too large" in errors[0]
+    pack = lambda data: zlib.compress(data, wbits=31)
+    data, error = next(warc.members(pack(b"a" * 10**7)))
+    assert not data and "too large" in error
+    sizes = [10_000, 9_999, 10_001, 5, 10_000]
+    got = list(warc.members(b"".join(pack(b"a" * n) for n in sizes)))
+    assert [len(d) for d, e in got if e is None] == [10_000, 9_999, 5, 10_000] and sum(e is not None for _, e in got) == 1
+    records = [(f"http://a.example/{k}", b"x" * 3000, k) for k in range(20)]
+    rows = list(warc.converted("a", warc.arc_file("a.arc", 2, records, gzip=True)))
+    assert [r[3] for r in rows if r[2] == "response"] == [str(k) for k in range(20)] and not any(r[-1] for r in rows)
+    assert len({r[1] for r in rows}) == len(rows)
+
+
+def _foreign(block, end=b"\r\n", version=b"WARC/1.0", tail=b"\r\n\r\n", **head):
+    head = {"WARC-Type": "response", "WARC-Target-URI": "http://f.example/", "Content-Length": str(len(block))} | {k.replace("_", "-"): v for k, v in head.items()}
+    return version + end + b"".join(f"{k}: {v}".encode() + end for k, v in head.items() if v is not None) + end + block + tail
+
+
+def test_foreign_archives():
+    """Names of any case, no digests, other digests, folded lines, gzip members, any version, bare line ends, missing tails."""
+    import zlib
+
+    http = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\npage"
+    cases = [
+        _foreign(http), _foreign(http, version=b"WARC/0.18"), _foreign(http, end=b"\n"), _foreign(http, tail=b""), _foreign(http, tail=b"\n" * 5),
+        _foreign(http).replace(b"WARC-Type", b"warc-type").replace(b"Content-Length: ", b"CONTENT-LENGTH:"), _foreign(http, X_Folded="a\r\n b: c"), zlib.compress(_foreign(http), wbits=31),
+        _foreign(http, WARC_Block_Digest="sha1:" + hashlib.sha1(http).hexdigest()), _foreign(http, WARC_Block_Digest="sha256:" + hashlib.sha256(http).hexdigest(), WARC_Payload_Digest="md5:" + hashlib.md5(b"page").hexdigest()),
+        _foreign(http, WARC_Block_Digest="blake3:whatever"), _foreign(http, WARC_Truncated="length", WARC_Payload_Digest="sha1:" + digest(b"the whole page")).replace(b"x", b"x"),
+    ]
+    for data in cases:
+        (row,) = warc.found_in("f", data)
+        assert row[-1] is None and (row[2], row[4]) == (4, "response"), data
+    assert [r[3] for data in cases[:11] for r in warc.found_in("f", data)] == [digest(b"page")] * 11
+    assert [r[4] for r in warc.found_in("f", b"".join(cases[:4][::-1]) + _foreign(b"", WARC_Type="metadata"))] == ["response"] * 4 + ["metadata"]
+    many = b"".join(zlib.compress(_foreign(http, X_Source_Key=str(k)), wbits=31) for k in range(5))
+    assert [r[1] for r in warc.found_in("f", many)] == list("01234")
+    (revisit,) = warc.found_in("f", _foreign(b"HTTP/1.1 200 OK\r\n\r\n", WARC_Type="revisit", WARC_Payload_Digest="sha1:ABC"))
+    assert revisit[2:5] == (None, "ABC", "revisit") and revisit[-1] is None
+
+
+def test_any_header_is_a_row():
+    """Every field of our own and others' records with every kind of value, or missing: rows, and never more than an error."""
+    block = b"HTTP/1.1 200 OK\r\n\r\nx"
+    values = [None, "", " ", "-1", "+1", "1.5", "1e3", "NaN", "none", "\u0661", "9" * 30, "0x1", "sha1:", "sha1", ":", "sha1:\xff", "%", "%zz", "\x00", "a" * 10_000, "response", "<urn:uuid:x>", "0", str(len(block))]
+    names = ["WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "WARC-Block-Digest", "WARC-Payload-Digest", "WARC-Target-URI", "WARC-Truncated", "WARC-IP-Address", "X-Payload-Length", "X-Source-Key", "X-Refers-To-Key", "Error", "error", ""]
+    good = _foreign(block, X_Source_Key="good")
+    for kind in ("response", "revisit", "resource", "warcinfo", "odd"):
+        for name in names:
+            for value in values:
+                data = _foreign(block, **{"WARC_Type": kind, name.replace("-", "_"): value})
+                rows = list(warc.found_in("f", data + good))
+                assert any(r[1] == "good" and r[-1] is None for r in rows) or name == "Content-Length", (kind, name, value)
+                assert all(r[-1] is None or r[1:9] == (None,) * 8 for r in rows)
 
 
 @pytest.mark.parametrize("min_bytes", [0, 5])
