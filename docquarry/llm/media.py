@@ -13,8 +13,10 @@ its colours.  ``frame_table`` gives the timed frames of any GIFs with their
 pixels and histograms of red, green and blue.
 
 Bad input is rows: bytes that can't be decoded, whatever is wrong with them,
-give one row with ``error`` set.  A file's code sizes must be 2 to 8, its canvas
-and each frame at most ``MOST_PIXELS``, and all its frames together ``MOST_TOTAL``.
+give one row with ``error`` set.  A foreign file's code sizes must be 2 to 8, its canvas
+and each frame at most ``MOST_PIXELS``, and all its frames together ``MOST_TOTAL``;
+a file that ``store`` wrote is read with the bound that its text's length gives, so
+texts may be of any length.
 
 Defined results: null text is empty; a payload is never empty, as it is filled
 up with bytes 255 to a positive multiple of the frame's width; repeated rows
@@ -195,15 +197,15 @@ class Frame:
     indices: np.ndarray
 
 
-def decode_gif(data: bytes) -> tuple[int, int, list[Frame]]:
-    """Width, height and frames of a GIF; raises ValueError for anything that isn't one."""
+def decode_gif(data: bytes, most: int | None = None) -> tuple[int, int, list[Frame]]:
+    """Width, height and frames of a GIF, of at most ``most`` pixels in all (``MOST_TOTAL``); raises ValueError for anything that isn't one."""
     try:
-        return _decode(data)
+        return _decode(data, MOST_TOTAL if most is None else most)
     except (IndexError, OverflowError) as e:
         raise ValueError(f"GIF cut short or damaged: {e}") from e
 
 
-def _decode(data: bytes) -> tuple[int, int, list[Frame]]:
+def _decode(data: bytes, most: int) -> tuple[int, int, list[Frame]]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     number = lambda i: int.from_bytes(data[i : i + 2], "little")
@@ -251,7 +253,7 @@ def _decode(data: bytes) -> tuple[int, int, list[Frame]]:
             total += width * height + w * h
             if not 2 <= bits <= 8:
                 raise ValueError(f"code size {bits}")
-            if w * h > MOST_PIXELS or total > MOST_TOTAL:
+            if w * h > MOST_PIXELS or total > most:
                 raise ValueError("frames too large")
             values = np.frombuffer(lzw_decode(blocks(), bits, w * h), np.uint8)
             if len(values) < w * h:
@@ -339,9 +341,14 @@ def histogram(canvas: np.ndarray) -> list[list[int]]:
     return [np.bincount(drawn[:, c] >> 4, minlength=BINS).tolist() for c in range(3)]
 
 
-def from_gif(media: bytes) -> tuple[bytes, np.ndarray, int]:
+def pixels_for(n_bytes: int) -> int:
+    """The pixels that ``to_gif`` declares for a text of so many bytes, at most: a canvas and a frame for each frame."""
+    return 2 * (n_bytes + WIDTH * ROWS)
+
+
+def from_gif(media: bytes, most: int | None = None) -> tuple[bytes, np.ndarray, int]:
     """The payload, read from the composed canvas; the frames' colour histograms, summed; the number of frames."""
-    width, height, frames = decode_gif(media)
+    width, height, frames = decode_gif(media, most)
     parts, total = [], np.zeros((3, BINS), np.int64)
     for f, canvas in zip(frames, compose(width, height, frames, copy=False)):
         seen = canvas[f.top : f.top + f.height, f.left : f.left + f.width]
@@ -369,19 +376,26 @@ def store(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
 
 
 def read_back(stored: DataFrame, *, id_column: str = "doc_id") -> DataFrame:
-    """Digests of what the media hold, and their features: histograms of red, green and blue."""
+    """Digests of what the media hold, and their features: histograms of red, green and blue.
+
+    Media that can't be read are rows with ``error`` set and nothing else.
+    """
     kind = dict(stored.dtypes)["id"]
-    schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int"
+    schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int, error string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "media", 4 << 20):
             rows = []
-            for media in batch.column(2).to_pylist():
-                payload, colours, n = from_gif(media)
+            for size, media in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                try:
+                    payload, colours, n = from_gif(media or b"", pixels_for(size or 0))
+                except ValueError as e:
+                    rows.append((*[None] * 7, str(e)))
+                    continue
                 feature = " ".join(map(str, colours.ravel().tolist()))
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, n))
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32()]
-            names = ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames"]
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, n, None))
+            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string()]
+            names = ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames", "error"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows), types))], names)
 
     return stored.mapInArrow(run, schema).withColumnRenamed("id", id_column)

@@ -135,3 +135,17 @@ def test_frames_of_any_gif(spark):
     assert (one.red[15], one.green[15], one.blue[15], one.red[0]) == (2, 1, 0, 1) and (two.red[0], two.green[15], sum(two.blue)) == (1, 1, 1)
     beyond = data[:10] + b"\xf0" + data[11:19] + data[781:]
     assert [r.error for r in media.frame_table(spark.createDataFrame([(1, beyond)], "id long, media binary"), with_pixels=False).collect()] == ["colour beyond the palette"]
+
+
+def test_texts_beyond_a_foreign_files_bound(spark, monkeypatch):
+    """What the writer wrote is read with the bound of its text's length; foreign files keep theirs, and are rows."""
+    monkeypatch.setattr(media, "MOST_TOTAL", 1000)
+    for n in (0, 1, 575, 576, 36_864, 36_865, 400_000):
+        payload = media.payload_for(bytes(i * 7 % 256 for i in range(n)))
+        gif = media.to_gif(payload)
+        assert media.from_gif(gif, media.pixels_for(n))[0] == payload
+        with pytest.raises(ValueError, match="too large"):
+            media.decode_gif(gif)
+    stored = spark.createDataFrame([(1, 5, b"GIF89a"), (2, 5, None), (3, 3, media.to_gif(media.payload_for(b"abc")))], "id long, n_bytes long, media binary")
+    got = {r.doc_id: r for r in media.read_back(stored).collect()}
+    assert got[1].error and got[2].error and got[1].payload_sha256 is None and got[3].error is None and got[3].payload_bytes == 576
