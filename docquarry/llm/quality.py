@@ -12,7 +12,10 @@ Documents with the same text on the same host are one document to the count,
 so a group of exact copies does not turn its own lines into boilerplate.  A
 host's limit comes from the distribution of its lines: ``spread`` times the mean
 number of documents that hold one of its distinct lines, and ``min_documents``
-at least.  It does not loosen as a host grows.
+at least.  The mean grows slowly with what a host repeats, so a limit is not
+wholly free of a host's size.  Eleven different texts of a host that hold one line
+make it boilerplate, however large the host is: a line that is written anew
+seldom comes up twice.
 
 Defined results: null text has no words (base fails); a null host is a host of
 its own; repeated rows get equal verdicts; an empty table gives an empty table;
