@@ -58,6 +58,20 @@ def category(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "category_id bigint, category_filename string, category_name string, category_description string, prompt_sha256 string")
 
 
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A category for each source of ``documents``, whose prompt tells how many documents and languages it has."""
+    found = read(spark, sf_dir, "documents").where("source IS NOT NULL").groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("lang").alias("m"))
+    about = F.concat(F.col("n").cast("string"), F.lit(" documents in "), F.col("m").cast("string"), F.lit(" languages"))
+    prompt = F.concat(F.lit('Find "'), "source", F.lit('".\n\nThere are '), about, F.lit(".\n"))
+    return found.select(F.concat("source", F.lit(".yaml")).alias("category_filename"), F.col("source").alias("category_name"), about.alias("category_description"), prompt.alias("prompt"), F.sha2(prompt, 256).alias("prompt_sha256"))
+
+
+#: The same for DuckDB.
+SOURCES = """sources AS (SELECT *, sha256(prompt) AS prompt_sha256 FROM (
+  SELECT source || '.yaml' AS category_filename, source AS category_name, count(*) || ' documents in ' || count(DISTINCT lang) || ' languages' AS category_description,
+    'Find "' || source || '".' || chr(10) || chr(10) || 'There are ' || count(*) || ' documents in ' || count(DISTINCT lang) || ' languages.' || chr(10) AS prompt FROM documents WHERE source IS NOT NULL GROUP BY source))"""
+
+
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``result_id, text`` of what is processed: whole documents and parts."""
     d = read(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("result_id"), "text")

@@ -25,13 +25,12 @@ def document_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.regexp_extract("filepath", "[^/]*$", 0).alias("filename"), "content_sha256", F.length("content").alias("n_code_points"))
 
 
-@query("SELECT category_filename, category_name, category_description, 'Find \"' || category_name || '\".' AS prompt, sha256('Find \"' || category_name || '\".') AS prompt_sha256 FROM category")
+@query(f"WITH {corpus.SOURCES} SELECT * FROM sources", with_corpus=False)
 def category_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Categories written as prompt files and read again."""
+    """A category for each source of the documents, written as prompt files (twice: the second time changes nothing) and read again."""
     folder = new_folder(spark, "prompts")
-    for r in corpus.category(spark).collect():  # a hand-written dimension
-        lines = [f"id: {r.category_id}", f"name: '{r.category_name}'", f"description: '{r.category_description}'", f"prompt: 'Find \"{r.category_name}\".'"]
-        files.write_once(files.whole_path(folder), r.category_filename, "\n".join(lines).encode())
+    for _ in range(2):
+        materialise(files.write_prompts(corpus.sources(spark, sf_dir), folder))
     return files.categories(spark, folder)
 
 

@@ -399,11 +399,17 @@ def completed_pairs_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sync.
 
 
-@query("""SELECT category_filename, CASE WHEN category_id = 3 THEN 'edited' ELSE prompt_sha256 END AS prompt_sha256, category_name FROM category WHERE category_id % 2 = 0 OR category_id = 3""")
+_DIGIT = "ascii(right(category_name, 1))"
+
+
+@query(f"""WITH {corpus.SOURCES} SELECT category_filename, CASE WHEN {_DIGIT} % 3 = 0 THEN 'edited' ELSE prompt_sha256 END AS prompt_sha256, category_name FROM sources
+    WHERE {_DIGIT} % 2 = 0 OR {_DIGIT} % 3 = 0""", with_corpus=False)
 def category_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = corpus.category(spark)
-    seen = rows.withColumn("prompt_sha256", F.when(F.col("category_id") == 3, "edited").otherwise(F.col("prompt_sha256")))
-    return prep.new_categories(seen, rows.where("category_id % 2 = 1")).select("category_filename", "prompt_sha256", "category_name")
+    """Categories of the documents' sources that aren't in the table as they are: half are known, a third has been edited."""
+    rows = corpus.sources(spark, sf_dir)
+    digit = F.ascii(F.right("category_name", F.lit(1)))
+    seen = rows.withColumn("prompt_sha256", F.when(digit % 3 == 0, "edited").otherwise(F.col("prompt_sha256")))
+    return prep.new_categories(seen, rows.where(digit % 2 == 1)).select("category_filename", "prompt_sha256", "category_name")
 
 
 @query(_with(_MADE, f"SELECT filepath, content_sha256, {_SYNC} AS reason FROM judged WHERE result_id % 3 <> 0"), with_corpus=False)

@@ -72,6 +72,25 @@ def categories(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "category_filename string, category_name string, category_description string, prompt string, prompt_sha256 string")
 
 
+def write_prompts(categories: DataFrame, folder: str) -> DataFrame:
+    """Write categories (``category_filename, category_name, category_description, prompt``) as prompt files, each once; ``category_filename, saved``."""
+    from ..arrow import ready
+
+    ready(categories.sparkSession)
+    folder = whole_path(folder)
+    quoted = lambda x: "'" + str(x or "").replace("'", "''") + "'"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            saved = []
+            for name, title, about, prompt in zip(*(batch[c] for c in ("category_filename", "category_name", "category_description", "prompt"))):
+                block = "".join(f"  {x}\n" if x else "\n" for x in (prompt or "").rstrip("\n").split("\n"))
+                saved.append(write_once(folder, name, f"name: {quoted(title)}\ndescription: {quoted(about)}\nprompt: |\n{block}".encode()))
+            yield pd.DataFrame({"category_filename": batch["category_filename"], "saved": saved})
+
+    return categories.select("category_filename", "category_name", "category_description", "prompt").mapInPandas(run, "category_filename string, saved boolean")
+
+
 def system_prompt(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
