@@ -38,7 +38,7 @@ from .components import components
 
 SHINGLE, SEED = 5, 42
 #: Shingles that a task deals out together; bits of a hash in its bucket.
-HELD, BITS = 1 << 19, 48
+HELD, BITS = 1 << 18, 48
 #: Texts dealt out together, at most: their numbers have 16 bits.
 TEXTS = 1 << 16
 
@@ -131,21 +131,30 @@ def _shared(dealt: DataFrame, buckets: int) -> DataFrame:
     names = [c.split(" ")[0] for c in SHARED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, bucket = [], 0
+        numbers, texts, named, bucket = [], [], [], 0
         for batch in batches:
-            for bucket, numbers, texts, keys, sizes in zip(*(c.to_pylist() for c in batch.columns)):
-                at = np.frombuffer(texts, np.uint16)
-                parts.append((_wide(numbers), np.frombuffer(keys, np.int64)[at], np.frombuffer(sizes, np.int32)[at]))
-        if not parts:
+            for bucket, some, which, keys, sizes in zip(*(c.to_pylist() for c in batch.columns)):
+                numbers.append(_wide(some))
+                texts.append(which)
+                named.append((np.frombuffer(keys, np.int64), np.frombuffer(sizes, np.int32)))
+        if not named:
             return
-        numbers, keys, sizes = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        parts.clear()
+        begins = np.cumsum([0, *map(len, numbers)])
+        numbers = np.concatenate(numbers)
         order = np.argsort(numbers, kind="stable")
-        ordered = numbers[order]
-        same = np.append(False, ordered[1:] == ordered[:-1])
-        same |= np.append(same[1:], False)
-        order = order[same]
-        numbers, keys, sizes = numbers[order], keys[order], sizes[order]
+        numbers = numbers[order]
+        same = numbers[1:] == numbers[:-1]
+        same = np.append(False, same) | np.append(same, False)
+        order, numbers = order[same], numbers[same]  # few: only these get the names of their texts
+        keys, sizes = np.zeros(len(order), np.int64), np.zeros(len(order), np.int32)
+        places = np.argsort(order, kind="stable")
+        bounds = np.searchsorted(order[places], begins)
+        for k, (names_k, sizes_k) in enumerate(named):
+            mine = places[bounds[k] : bounds[k + 1]]
+            at = np.frombuffer(texts[k], np.uint16)[order[mine] - begins[k]]
+            keys[mine], sizes[mine] = names_k[at], sizes_k[at]
+        texts.clear()
+        named.clear()
         order = np.lexsort((keys, numbers))
         new = np.append(True, (numbers[order][1:] != numbers[order][:-1]) | (keys[order][1:] != keys[order][:-1]))[: len(order)]
         order = order[new]  # copies of a text come from several tasks
@@ -202,7 +211,7 @@ def _sets(shared: DataFrame) -> DataFrame:
 def similar_sets(texts: DataFrame) -> DataFrame:
     """``SETS`` of texts (``key, text``) that may have a partner."""
     bound_batches(texts.sparkSession)
-    buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cut(_sets(_shared(_dealt(texts, buckets), buckets)))
 
 
