@@ -26,9 +26,13 @@ and ``._%+-@`` that hold a digit or an ``@``, and groups of digits with spaces,
 brackets or strokes between, of 6 to 64 characters, letters before them included.
 A name without a digit is no candidate.
 
-Running time is linear: the patterns are possessive and start where a run
-starts, so a text without white space is read once, and a text's positions are
-summed in blocks.
+Running time grows with a text's length: the patterns are possessive and start
+where a run starts, so a text without white space is read once.  Positions are
+sums in blocks of blocks, each level a column of its own (what stands inside a
+function of an array is made anew for each of its elements).  Candidates are
+compared with the base spans of their neighbourhood, and masks are put into a
+block of spans at a time.  What is left of higher growth are steps of a block:
+to find its text, and the blocks near it.
 
 Defined results: null text is empty; equal rows get equal spans; null ids are
 ids; an empty table gives an empty table; other columns are ignored by
@@ -72,15 +76,38 @@ CHECKS = {
 }
 #: What an instance of no known kind counts against a pattern.
 DOUBT = 0.2
-#: Matches in a block of a text's sums.
+#: Matches, or sums of blocks of them, in a block.
 BLOCK = 128
 
 
-def _running(steps: str) -> str:
-    """SQL for the running sums of an int array, in blocks: no array grows to the number of matches step by step."""
-    scan = "aggregate({}, named_struct('s', {}, 'o', cast(array() AS array<int>)), (a, x) -> named_struct('s', a.s + x, 'o', array_append(a.o, a.s + x)), a -> a.o)"
-    sums = f"transform(sequence(0, greatest(size({steps}) - 1, 0), {BLOCK}), b -> aggregate(slice({steps}, b + 1, {BLOCK}), 0, (a, x) -> a + x))"
-    return f"flatten(transform({scan.format(sums, '0')}, (e, k) -> {scan.format(f'slice({steps}, {BLOCK} * k + 1, {BLOCK})', f'e - aggregate(slice({steps}, {BLOCK} * k + 1, {BLOCK}), 0, (a, x) -> a + x)')}))"
+def _blocked(array: str, step: str) -> str:
+    """SQL for ``step`` (of ``b``, where a block begins) over the blocks of an array."""
+    return f"transform(sequence(0, greatest(size({array}) - 1, 0), {BLOCK}), b -> {step})"
+
+
+def _scan(array: str, start: str, fold: str) -> str:
+    """SQL for the values of ``fold`` (of ``s`` and ``x``) after each element of an array."""
+    s, x = fold.replace("$s", "a.s"), "x"
+    step = s.replace("$x", x)
+    return f"aggregate({array}, named_struct('s', {start}, 'o', cast(array() AS array<int>)), (a, x) -> named_struct('s', {step}, 'o', array_append(a.o, {step})), a -> a.o)"
+
+
+def _running(df: DataFrame, names: list[str], fold: str) -> DataFrame:
+    """``df`` with the int arrays ``names`` replaced by their running values of ``fold`` (``$s``, ``$x``: a sum or a maximum, from 0 on).
+
+    Each level of blocks is a projection of its own, and its columns are used twice in the next, so none is put into
+    the function that uses it.
+    """
+    whole = f"aggregate(slice({{0}}, b + 1, {BLOCK}), 0, (s, x) -> {fold.replace('$s', 's').replace('$x', 'x')})"
+    levels = [{n: n for n in names}]
+    for level in (1, 2):
+        levels.append({n: f"{n}_{level}" for n in names})
+        df = df.withColumns({levels[-1][n]: F.expr(_blocked(levels[-2][n], whole.format(levels[-2][n]))) for n in names})
+    df = df.withColumns({f"{n}_up2": F.expr(_scan(levels[2][n], "0", fold)) for n in names})
+    for level in (1, 0):
+        within = lambda n: _scan(f"slice({levels[level][n]}, {BLOCK} * k + 1, {BLOCK})", f"if(k = 0, 0, {n}_up{level + 1}[greatest(k - 1, 0)])", fold)  # noqa: B023, E731
+        df = df.withColumns({f"{n}_up{level}": F.expr(f"flatten(transform(sequence(0, size({n}_up{level + 1}) - 1), k -> {within(n)}))") for n in names})
+    return df.withColumns({n: F.col(f"{n}_up0") for n in names}).drop(*[f"{n}{x}" for n in names for x in ("_1", "_2", "_up0", "_up1", "_up2")])
 
 
 def _occurrences(rows: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
@@ -91,7 +118,9 @@ def _occurrences(rows: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     rows = rows.withColumns(
         {f"p_{k}": F.expr(f"CASE WHEN size(m_{k}) > 0 THEN transform(split(t, '{quoted[k]}', -1), p -> named_struct('n', length(p), 'l', substring(p, -48, 48), 'r', left(p, 24))) END") for k in kinds}
     ).drop("d")
-    rows = rows.withColumns({f"n_{k}": F.expr(f"CASE WHEN size(m_{k}) > 0 THEN {_running(f'transform(slice(p_{k}, 1, size(m_{k})), (p, i) -> p.n + if(i > 0, length(m_{k}[i - 1]), 0))')} END") for k in kinds})
+    steps = "transform(slice(p_{0}, 1, size(m_{0})), (p, i) -> p.n + if(i > 0, length(m_{0}[i - 1]), 0))"
+    rows = rows.withColumns({f"n_{k}": F.expr(f"CASE WHEN size(m_{k}) > 0 THEN {steps.format(k)} ELSE array(0) END") for k in kinds})
+    rows = _running(rows, [f"n_{k}" for k in kinds], "$s + $x")
     spans = f"transform(m_{{0}}, (m, i) -> named_struct('k', {{1}}, 's', n_{{0}}[i], 'e', n_{{0}}[i] + length(m), 'm', m, 'l', p_{{0}}[i].l, 'r', p_{{0}}[i + 1].r))"
     checked = {
         k: F.expr(f"CASE WHEN size(m_{k}) > 0 THEN filter({spans.format(k, n)}, h -> {_on('h.m', CHECKS[k])}) ELSE cast(array() AS array<struct<k:int,s:int,e:int,m:string,l:string,r:string>>) END")
@@ -142,7 +171,13 @@ def extract(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     lengths = ", ".join(map(str, SECRET_LENGTHS))
     secret = f"length(h.m) IN ({lengths}) AND h.m RLIKE '{SECRETS}'"
     cut_ends = f"transform(concat(other, {whole}), h -> named_struct('k', if({secret}, {SECRET}, {CANDIDATE}), 's', h.s + length(h.m) - length(ltrim('._%@-', h.m)), 'e', h.e - length(h.m) + length(rtrim('._%+@-', h.m)), 'm', rtrim('._%+@-', ltrim('._%@-', h.m)), 'l', h.l, 'r', h.r))"
-    free = F.expr(f"filter({cut_ends}, h -> NOT exists(base, b -> b.s < h.e AND h.s < b.e))")
+    rows = rows.withColumn("candidates", F.expr(cut_ends))
+    # Only base spans near a block of candidates are compared with them.
+    rows = rows.withColumn("sorted", F.expr("array_sort(transform(base, b -> named_struct('s', b.s, 'e', b.e)))"))
+    rows = rows.withColumn("near", F.expr(f"transform({_blocked('sorted', f'slice(sorted, b + 1, {BLOCK})')}, x -> named_struct('s', array_min(transform(x, y -> y.s)), 'e', array_max(transform(x, y -> y.e)), 'x', x))"))
+    edges = "transform({}, x -> named_struct('s', array_min(transform(x, h -> h.s)), 'e', array_max(transform(x, h -> h.e)), 'x', x))".format(_blocked("candidates", f"slice(candidates, b + 1, {BLOCK})"))
+    beside = f"transform({edges}, c -> named_struct('x', c.x, 'near', flatten(transform(filter(near, y -> y.s < c.e AND c.s < y.e), y -> y.x))))"
+    free = F.expr(f"if(size(near) = 0, candidates, flatten(transform({beside}, c -> filter(c.x, h -> NOT exists(c.near, y -> y.s < h.e AND h.s < y.e)))))")
     seen = F.when(F.size("base") + F.size("other") + F.size("spaced") > 0, F.concat("base", free))
     rows = rows.withColumn("seen", seen)
     return rows.select("id", "th", F.expr("transform(base, h -> named_struct('k', h.k, 's', h.s, 'e', h.e))").alias("base"), _context(F.col("seen")).alias("seen"))
@@ -203,17 +238,23 @@ def masked(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
 
     Only rows with spans are joined; the others keep their texts as they are.
     """
-    key, hashed, spans, row_hash = own("id", "th", "spans", "row_th")
+    key, hashed, spans, row_hash, ends = own("id", "th", "spans", "row_th", "ends")
     found = find_spans(df, id_column=id_column, text_column=text_column, **how)
     found = found.where("size(spans) > 0").groupBy("id", "th").agg(F.first("spans").alias("spans"))
-    found = small(found.select(F.col("id").alias(key), F.col("th").alias(hashed), F.col("spans").alias(spans)))
-    by_start = f"array_sort(transform({spans}, h -> named_struct('s', h.s, 'o', -h.e, 'e', h.e, 'k', h.k)))"
-    first = "named_struct('out', cast(array() AS array<string>), 'at', 0)"
+    found = found.select(F.col("id").alias(key), F.col("th").alias(hashed), F.col("spans").alias(spans))
+    found = found.withColumn(spans, F.expr(f"array_sort(transform({spans}, h -> named_struct('s', h.s, 'o', -h.e, 'e', h.e, 'k', h.k)))"))
+    # A span is named if it begins where all before it have ended; what is between goes out as it is.
+    found = _running(found.withColumn(ends, F.expr(f"transform({spans}, h -> h.e)")), [ends], "greatest($s, $x)")
+    placed = f"transform({spans}, (h, i) -> named_struct('s', h.s, 'e', greatest(h.e, if(i = 0, 0, {ends}[greatest(i - 1, 0)])), 'k', h.k, 'at', if(i = 0, 0, {ends}[greatest(i - 1, 0)])))"
+    found = found.withColumn(spans, F.expr(placed)).drop(ends)
+    found = small(found.withColumn(spans, F.expr(_blocked(spans, f"slice({spans}, b + 1, {BLOCK})"))))
     names = "array(" + ", ".join(f"'<{k.upper()}>'" for k in NAMES) + ")"
     text = "`" + text_column.replace("`", "``") + "`"
-    step = f"""(a, h) -> CASE WHEN h.s >= a.at THEN named_struct('out', concat(a.out, array(substring({text}, a.at + 1, h.s - a.at), {names}[h.k])), 'at', h.e)
-        ELSE named_struct('out', a.out, 'at', greatest(a.at, h.e)) END"""
-    masks = F.expr(f"aggregate({by_start}, {first}, {step}, a -> concat(array_join(a.out, ''), substring({text}, a.at + 1)))")
+    # Positions are found in the text once for a block of spans, and within the block's text for each of them.
+    blocks = f"transform({spans}, x -> named_struct('x', x, 'at', x[0].at, 't', substring({text}, x[0].at + 1, x[size(x) - 1].e - x[0].at)))"
+    told = f"transform(filter(c.x, h -> h.s >= h.at), h -> concat(substring(c.t, h.at - c.at + 1, h.s - h.at), {names}[h.k]))"
+    last = f"{spans}[size({spans}) - 1]"
+    masks = F.expr(f"concat(array_join(transform({blocks}, c -> array_join({told}, '')), ''), substring({text}, {last}[size({last}) - 1].e + 1))")
     rows = df.withColumn(row_hash, F.xxhash64(df[text_column]))
     same = rows[id_column].eqNullSafe(found[key]) & (rows[row_hash] == found[hashed])
     return rows.join(found, same, "left").withColumn(text_column, F.when(F.col(spans).isNull(), F.col(text)).otherwise(masks)).select(*df.columns)
