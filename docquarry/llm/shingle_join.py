@@ -11,13 +11,16 @@ two texts above the threshold share a shingle of both prefixes, and from the pla
 of the first such one, and the sizes, follows how much they can share at most.
 Texts meet at the shared shingles of their prefixes, so mostly at rare ones.
 
-*Links.*  Of the texts that meet, each is compared with one of them first; that links
-a large group of copies without its pairs.  Where texts of several components still
-meet, all outside the largest one there are compared with all others.  A comparison
+*Links.*  Of the texts that meet, each is compared with one of them first, and, where
+several components still meet, with another one; that links
+a large group of copies without its pairs.  Where texts of several components meet
+after that, all outside the largest one there are compared with all others.  A comparison
 is exact, over both whole sets; only components are asked for, so texts that others
 link are not compared.
 
-Hashes have 64 bits, in a bucket 48 besides the bucket's number.
+Hashes have 40 bits besides their bucket's number; buckets grow in number with the
+data.  A hash that two shingles share makes a rare shingle seem less rare to all
+texts alike, and is next to never in two texts that are compared.
 
 Defined results: equal texts are one; a text of one to four words has one shingle, all
 of it; a text without words is in no pair; an empty table gives no links.
@@ -38,7 +41,7 @@ from .components import components
 
 SHINGLE, SEED = 5, 42
 #: Shingles that a task deals out together; bits of a hash in its bucket.
-HELD, BITS = 1 << 18, 48
+HELD, BITS = 1 << 20, 40
 #: Texts dealt out together, at most: their numbers have 16 bits.
 TEXTS = 1 << 16
 
@@ -69,7 +72,7 @@ def enough(shared: Column, size: Column, other: Column) -> Column:
 
 
 def _narrow(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^48 in six bytes each."""
+    """Numbers of ``BITS`` bits in as many bytes as they need."""
     return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : BITS // 8]).tobytes()
 
 
@@ -238,19 +241,35 @@ def linked(texts: DataFrame, links: DataFrame) -> DataFrame:
     sets = similar_sets(texts)
     places = sets.select("key", "size", "alone", F.posexplode("prefix").alias("at", "shingle")).select("shingle", F.struct("key", "size", (F.col("alone") + F.col("at")).alias("place")).alias("x"))
     places = cut(places)
-    # One text of each shingle with all that meet there: the same one wherever it occurs.
-    first = places.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("x.key").alias("order"), "x")).alias("c"), F.count("*").alias("n")).where("n > 1")
-    stars = places.join(first, "shingle").select("x", F.col("c.x").alias("y"))
-    found = components(links.select("u", "v").unionByName(_verified(_pairs(stars, "x", "y"), sets)))
+    found = components(links.select("u", "v").unionByName(_verified(_stars(places, 0), sets)))
+    found = _joined(found, _verified(_stars(_open(places, found), 1), sets))
     # Where several components still meet, all that aren't of the largest one with all others.
+    open_ones = _open(places, found)
+    outside = open_ones.where("root <> most").select("shingle", "x", "root")
+    others = open_ones.select("shingle", F.col("x").alias("y"), F.col("root").alias("other"))
+    return _joined(found, _verified(_pairs(outside.join(others, "shingle").where("root <> other"), "x", "y"), sets))
+
+
+def _stars(places: DataFrame, turn: int) -> DataFrame:
+    """One text of each shingle with all that meet there, but those of its own ``root`` if that is known: the same one wherever it occurs."""
+    known = [c for c in ("root",) if c in places.columns]
+    first = places.groupBy("shingle").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "x.key").alias("order"), "x", *known)).alias("c"), F.count("*").alias("n")).where("n > 1")
+    met = places.join(first, "shingle")
+    met = met.where("root <> c.root") if known else met
+    return _pairs(met.select("x", F.col("c.x").alias("y")), "x", "y")
+
+
+def _open(places: DataFrame, found: DataFrame) -> DataFrame:
+    """The places of shingles where several components meet, with their ``root`` and the one that ``most`` have there."""
     known = found.select(F.col("node").alias("of"), F.col("root").alias("top"))
     rooted = cut(places.join(known, F.col("x.key") == F.col("of"), "left").select("shingle", "x", F.coalesce("top", "x.key").alias("root")))
     parts = rooted.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("parts"))
-    open_ones = rooted.join(parts.where("parts > 1").select("shingle", F.col("most.root").alias("most")), "shingle")
-    outside = open_ones.where("root <> most").select("shingle", "x", "root")
-    others = open_ones.select("shingle", F.col("x").alias("y"), F.col("root").alias("other"))
-    rest = _pairs(outside.join(others, "shingle").where("root <> other"), "x", "y")
-    more = cut(_verified(rest, sets))
+    return rooted.join(parts.where("parts > 1").select("shingle", F.col("most.root").alias("most")), "shingle")
+
+
+def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
+    """Components with further links between their texts."""
+    more = cut(more)
     if more.isEmpty():
         return found
     return components(found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))

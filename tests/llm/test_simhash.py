@@ -162,7 +162,7 @@ def test_near_copies_match_brute_force(spark, texts):
     assert 100 < len(set(want)) < len(rows) - 100
 
 
-@pytest.mark.parametrize("held, texts_most", [(1 << 18, 1 << 16), (300, 1 << 16), (1 << 18, 3)])
+@pytest.mark.parametrize("held, texts_most", [(1 << 20, 1 << 16), (300, 1 << 16), (1 << 20, 3)])
 def test_every_similar_pair_is_linked(spark, monkeypatch, held, texts_most):
     """The join alone, against all pairs."""
     monkeypatch.setattr(shingle_join, "HELD", held)
