@@ -72,9 +72,22 @@ def printable_ratio(body: Column) -> Column:
     return F.when(F.length(body) > 0, printed / F.length(body))
 
 
-def _percent(ratio: Column, digits: int) -> Column:
-    """A ratio in per cent; a tie goes to the even digit."""
-    return F.format_string(f"%.{digits}f%%", F.bround(ratio * 100, digits))
+def _percent(ratio: Column) -> Column:
+    """A ratio in per cent with one digit; a tie goes to the even digit.
+
+    The exact value of the double is rounded, as printf does, and not its shortest decimal form, which may be a tie
+    where the double is none.  So the fraction is a whole number of 2^-57: 0.05, the smallest tie, and all above it are.
+    """
+
+    def rounded(percent: Column) -> Column:
+        whole = F.floor(percent)
+        tenths = ((percent - whole) * float(1 << 57)).cast("long") * 10
+        digit, rest = F.shiftright(tenths, 57), tenths.bitwiseAND(F.lit((1 << 57) - 1))
+        up = (rest > 1 << 56) | ((rest == 1 << 56) & (digit % 2 == 1))
+        out = whole * 10 + digit + up.cast("long")
+        return F.concat(F.floor(out / 10).cast("string"), F.lit("."), (out % 10).cast("string"), F.lit("%"))
+
+    return F.transform(F.array(ratio * 100), rounded)[0]
 
 
 def reason(content: Column, *, flight: bool = False, min_length: int = MIN_LENGTH, min_printable: float = MIN_PRINTABLE) -> Column:
@@ -98,7 +111,7 @@ def reason(content: Column, *, flight: bool = False, min_length: int = MIN_LENGT
             out.when(F.length(body) < min_length, short)
             .when(kind.isNotNull(), F.concat(F.lit(binary), kind, F.lit(")")))
             .when(F.instr(content, "\0") > 0, "contains null bytes")
-            .when(ratio < min_printable, F.concat(F.lit("low printable ratio ("), _percent(ratio, 1), F.lit(tail)))
+            .when(ratio < min_printable, F.concat(F.lit("low printable ratio ("), _percent(ratio), F.lit(tail)))
         )
 
     return F.transform(F.array(content_body(content)), checks)[0]

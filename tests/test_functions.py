@@ -55,6 +55,14 @@ def test_validation(spark):
     assert [r.reason for r in sorted(text.with_reason(odd, min_length=3).collect(), key=lambda r: r.i)] == ["empty content", None]
 
 
+def test_percentages_round_the_exact_ratio(spark):
+    """88.35 % of 2000 characters is a double below that tie, and 0.05 % one above it; 88.25 % is a true tie."""
+    sizes = [(1767, 2000), (1, 2000), (13, 2000), (1699, 2000), (353, 400), (355, 400), (1, 3000), (1, 30000), (2, 3)] + [(p, 2000) for p in range(3, 1767, 90)]
+    df = spark.createDataFrame([(i, "h\n\n" + "x" * p + "\x01" * (n - p)) for i, (p, n) in enumerate(sizes)], "i int, content string")
+    rows = sorted(text.with_reason(df, min_length=1, min_printable=0.9).collect())
+    assert [r.reason for r in rows] == [f"low printable ratio ({100 * (p / n):.1f}%)" for p, n in sizes]
+
+
 def test_urls_and_names(spark):
     good = "https://web.archive.org/web/20040701020553/http://www.kidlink.org:80/KIDFORUM/"
     urls = [good, "http://web.archive.org/web/20040701020553/x", "https://web.archive.org/web/2004/x", "http://example.org", "https://web.archive.org/web/20040701020553/"]
