@@ -12,11 +12,13 @@ The split's own rules, which its users can rely on:
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..arrow import ready
+from ..arrow import in_bytes, ready
 from . import text
 
 #: Sizes in characters: documents above LIMIT are split into parts of TARGET with OVERLAP.
@@ -65,9 +67,10 @@ def split_column(content: Column, limit: int = LIMIT, size: int = TARGET, overla
     """The parts of a document, each with the document's header; for large documents alone."""
     ready()
 
-    @F.pandas_udf("array<string>")
-    def parts(headers: pd.Series, bodies: pd.Series) -> pd.Series:
-        return pd.Series([[f"{h}\n\n{p}" for p in split_text(b, size, overlap)] for h, b in zip(headers, bodies)])
+    @F.arrow_udf("array<string>")
+    def parts(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for headers, bodies in in_bytes(columns):
+            yield pa.array([None if b is None else [f"{h}\n\n{p}" for p in split_text(b, size, overlap)] for h, b in zip(headers, bodies)], pa.list_(pa.string()))
 
     body = text.content_body(content)
     return F.when((F.length(content) <= limit) | (F.length(body) == 0), F.array(content)).otherwise(parts(text.url_header(content), body))

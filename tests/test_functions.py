@@ -2,9 +2,11 @@ import json
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from docquarry.arrow import SLICE, in_bytes
 from docquarry.functions import markdown, split, strict_json, text
 
 
@@ -242,3 +244,19 @@ def test_markdown_of_quotations_and_open_templates():
     assert to_markdown("<blockquote> </blockquote><p>a") == "a"
     assert to_markdown("a<template>b") == "ab"
     assert to_markdown("a<template>b</template>c") == "ac"
+
+
+def test_long_texts_are_python_objects_a_slice_at_a_time(spark):
+    """A batch of any size is taken in slices of few bytes, in order and whole; a long row is a slice of its own."""
+    texts = ["x" * 400, None, "é" * 300, "y" * 5000, "", "z"] * 50
+    for columns in ([texts], [texts, texts[::-1]]):
+        found = list(in_bytes([tuple(map(pa.array, columns)), tuple(pa.array([], pa.string()) for _ in columns)], 1000))
+        assert [list(sum(x, [])) for x in zip(*found)] == columns
+        assert all(len(rows[0]) == 1 or sum(len((t or "").encode()) for x in rows for t in x) <= 1000 for rows in found)
+    bodies = [f"h{i}\n\n" + f"words of text {i}. " * n for i, n in enumerate([1, 9000, 40_000, 3, 100_000, 200, 30_000, 5])] + [None]
+    assert sum(len(b or "") for b in bodies) > 2 * SLICE
+    df = spark.createDataFrame(list(enumerate(bodies)), "i int, content string").coalesce(1)
+    got = [r[1] for r in sorted(df.select("i", split.split_column(F.col("content"), 5000, 1000, 100)).collect())]
+    assert got[:-1] == [[b] if len(b) <= 5000 else [f"h{i}\n\n{p}" for p in split.split_text(body_of(b), 1000, 100)] for i, b in enumerate(bodies[:-1])] and got[-1] is None
+    pages = [f"<p>{b}</p>" for b in bodies[:-1]] + [None]
+    assert column(spark, pages, markdown.html_to_markdown) == [markdown.to_markdown(x) for x in pages]
