@@ -562,3 +562,20 @@ def test_a_script_elsewhere_whose_workers_lack_the_package(folders, verb):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(folders / "script.py")], cwd=folders, env=env, capture_output=True, text=True, timeout=300)
     assert "fine" in done.stdout, done.stderr[-3000:]
+
+
+def test_import_of_many_splits_has_few_tasks(spark, tmp_path, monkeypatch):
+    """Each step after the read has as many tasks as a shuffle, and the first record of a pair wins as before."""
+    from docquarry.operators import importer
+    from docquarry.sources import files
+    from docquarry.store import CorpusStore
+
+    steps = []
+    monkeypatch.setattr(importer, "materialise", lambda df, f=importer.materialise: steps.append(out := f(df)) or out)
+    store = CorpusStore(spark, str(tmp_path / "store"))
+    store.create()
+    lines = spark.range(0, 400, 1, 40).selectExpr("""format_string('{"result_id": %d, "category_id": 1, "match": "yes", "reasoning_trace": "%d"}', id % 100, id) AS value""", "'x' AS file_name", "id div 10 AS file_block_start")
+    assert importer.run(store, files.placed(lines, 1))["imported"] == 100
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [df.rdd.getNumPartitions() <= n for df, n in zip(steps, (shuffled, 2 * shuffled))] == [True, True]
+    assert sorted((r.result_id, r.reasoning_trace) for r in store.read("result_category").collect()) == [(i, str(i)) for i in range(100)]
