@@ -19,7 +19,9 @@ is exact, over both whole sets; only components are asked for, so texts that oth
 link are not compared.
 
 Hashes have 40 bits besides their bucket's number; buckets grow in number with the
-data.  A hash that two shingles share makes a rare shingle seem less rare to all
+texts' bytes, not with a session's partitions: each names its texts, so many small ones
+would hold more names than shingles.  A bucket's shingles are counted in some turns, so
+a task holds those of one turn.  A hash that two shingles share makes a rare shingle seem less rare to all
 texts alike, and is next to never in two texts that are compared.
 
 Defined results: equal texts are one; a text of one to four words has one shingle, all
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_bytes, cut, utf8
+from .common import bound_batches, by_bytes, cut, small, utf8
 from .components import components
 
 SHINGLE, SEED = 5, 42
@@ -44,6 +46,8 @@ SHINGLE, SEED = 5, 42
 HELD, BITS = 1 << 20, 40
 #: Texts dealt out together, at most: their numbers have 16 bits.
 TEXTS = 1 << 16
+#: Bytes of text a bucket, and buckets at least; turns in which a task counts its bucket's shingles.
+BUCKET, BUCKETS, TURNS = 32 << 20, 12, 4
 
 PACKED = "bucket int, shingles binary, texts binary, keys binary, sizes binary"
 SHARED = "key long, size int, shingles binary, counts binary"
@@ -133,43 +137,50 @@ def _shared(dealt: DataFrame, buckets: int) -> DataFrame:
     """Of each text the shingles that others hold too, with the numbers of texts that hold them; some rows a text."""
     names = [c.split(" ")[0] for c in SHARED.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, texts, named, bucket = [], [], [], 0
-        for batch in batches:
-            for bucket, some, which, keys, sizes in zip(*(c.to_pylist() for c in batch.columns)):
-                numbers.append(_wide(some))
-                texts.append(which)
-                named.append((np.frombuffer(keys, np.int64), np.frombuffer(sizes, np.int32)))
-        if not named:
-            return
+    def repeated(held: list[tuple], turn: int) -> list[np.ndarray]:
+        """Hashes of one turn that several texts hold, with the texts' keys and sizes and the numbers of texts."""
+        numbers, texts = [], []
+        for some, which, _, _ in held:
+            wide = _wide(some)
+            mine = wide % TURNS == turn
+            numbers.append(wide[mine])
+            texts.append(np.frombuffer(which, np.uint16)[mine])
         begins = np.cumsum([0, *map(len, numbers)])
         numbers = np.concatenate(numbers)
         order = np.argsort(numbers, kind="stable")
         numbers = numbers[order]
         same = numbers[1:] == numbers[:-1]
-        same = np.append(False, same) | np.append(same, False)
+        same = (np.append(False, same) | np.append(same, False))[: len(numbers)]
         order, numbers = order[same], numbers[same]  # few: only these get the names of their texts
         keys, sizes = np.zeros(len(order), np.int64), np.zeros(len(order), np.int32)
         places = np.argsort(order, kind="stable")
         bounds = np.searchsorted(order[places], begins)
-        for k, (names_k, sizes_k) in enumerate(named):
+        for k, (_, _, keys_k, sizes_k) in enumerate(held):
             mine = places[bounds[k] : bounds[k + 1]]
-            at = np.frombuffer(texts[k], np.uint16)[order[mine] - begins[k]]
-            keys[mine], sizes[mine] = names_k[at], sizes_k[at]
-        texts.clear()
-        named.clear()
+            at = texts[k][order[mine] - begins[k]]
+            keys[mine], sizes[mine] = np.frombuffer(keys_k, np.int64)[at], np.frombuffer(sizes_k, np.int32)[at]
         order = np.lexsort((keys, numbers))
         new = np.append(True, (numbers[order][1:] != numbers[order][:-1]) | (keys[order][1:] != keys[order][:-1]))[: len(order)]
         order = order[new]  # copies of a text come from several tasks
         numbers, keys, sizes = numbers[order], keys[order], sizes[order]
         starts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])[: len(numbers)])
-        held = np.diff(np.append(starts, len(numbers)))
-        counts = np.repeat(held, held)
+        each = np.diff(np.append(starts, len(numbers)))
+        counts = np.repeat(each, each)
         good = counts > 1
-        full = (numbers[good] * np.uint64(buckets) + np.uint64(bucket)).view(np.int64)
-        keys, sizes, counts = keys[good], sizes[good], counts[good].astype(np.int32)
+        return [numbers[good], keys[good], sizes[good], counts[good].astype(np.int32)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, bucket = [], 0
+        for batch in batches:
+            for bucket, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                held.append(row)
+        if not held:
+            return
+        numbers, keys, sizes, counts = map(np.concatenate, zip(*(repeated(held, turn) for turn in range(TURNS))))
+        held.clear()
         order = np.argsort(keys, kind="stable")
-        keys, sizes, counts, full = keys[order], sizes[order], counts[order], full[order]
+        full = (numbers * np.uint64(buckets) + np.uint64(bucket)).view(np.int64)[order]
+        keys, sizes, counts = keys[order], sizes[order], counts[order]
         starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
         ends = np.append(starts[1:], len(keys))
         for k in range(0, len(starts), 4096):
@@ -214,7 +225,8 @@ def _sets(shared: DataFrame) -> DataFrame:
 def similar_sets(texts: DataFrame) -> DataFrame:
     """``SETS`` of texts (``key, text``) that may have a partner."""
     bound_batches(texts.sparkSession)
-    buckets = 2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(BUCKETS, -(-size // BUCKET))
     return cut(_sets(_shared(_dealt(texts, buckets), buckets)))
 
 
@@ -226,6 +238,9 @@ def _possible(a: str, b: str) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (``u, v``) of which it is true."""
+    pairs = cut(pairs)
+    keys = pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct()
+    sets = sets.join(small(keys), "key", "left_semi")  # most texts are in no pair, and aren't moved
     one = lambda n: sets.select(F.col("key").alias(n), F.col("size").alias(f"size_{n}"), F.col("shingles").alias(f"set_{n}"))
     joined = pairs.join(one("u"), "u").join(one("v"), "v")
     return joined.where(enough(F.size(F.array_intersect("set_u", "set_v")), F.col("size_u"), F.col("size_v"))).select("u", "v")
