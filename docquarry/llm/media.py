@@ -66,13 +66,13 @@ def lzw_encode(data: bytes, bits: int = 8) -> bytes:
     if data:
         held = data[0] << 8
         for value in data[1:]:
-            code = get(held | value)
+            code = get(key := held | value)
             if code is not None:
                 held = code
                 continue
             put(held)
             if size < _BITS << 8:
-                known[held | value] = size
+                known[key] = size
                 size += 256
             else:
                 starts.append(len(codes))
@@ -87,9 +87,9 @@ def lzw_encode(data: bytes, bits: int = 8) -> bytes:
         # The clear code itself has the width that the table before it has come to.
         widths[start] = 12 if start else bits + 1
         widths[start + 1 : end] = _widths(clear + 2, end - start - 1, 1)
-    shifts = np.arange(12)
-    set_bits = (np.array(codes)[:, None] >> shifts + 8 & 1).astype(np.uint8)
-    return np.packbits(set_bits[shifts < widths[:, None]], bitorder="little").tobytes()
+    narrow = (np.array(codes) >> 8).astype("<u2").view(np.uint8).reshape(-1, 2)
+    set_bits = np.unpackbits(narrow, axis=1, count=12, bitorder="little")
+    return np.packbits(set_bits[np.arange(12, dtype=np.uint8) < widths.astype(np.uint8)[:, None]], bitorder="little").tobytes()
 
 
 def _expand(codes: np.ndarray, clear: int) -> np.ndarray:
@@ -132,10 +132,9 @@ def _expand(codes: np.ndarray, clear: int) -> np.ndarray:
 def lzw_decode(stream: bytes, bits: int = 8, limit: int | None = None) -> bytes:
     """The values of a code stream, ``limit`` of them at most."""
     clear = 1 << bits
-    flat = np.concatenate([np.unpackbits(np.frombuffer(stream, np.uint8), bitorder="little"), np.zeros(12, np.uint8)])
-    total, at, out, made = len(flat) - 12, 0, [], 0
-    places = np.arange(12)
-    powers = 1 << places
+    three = np.frombuffer(stream + b"\0\0", np.uint8).astype(np.uint32)
+    three = three[:-2] | three[1:-1] << 8 | three[2:] << 16  # a code lies in three bytes at most
+    total, at, out, made = 8 * len(stream), 0, [], 0
     held, count, ended = [], 0, False  # codes since the last clear code, in pieces; their number
     while not ended and at < total and (limit is None or made < limit):
         # Codes to come have known widths, up to the next clear code.
@@ -145,8 +144,7 @@ def lzw_decode(stream: bytes, bits: int = 8, limit: int | None = None) -> bytes:
         if not len(widths):
             break
         begin = ends[: len(widths)] - widths
-        window = flat[begin[:, None] + places]
-        codes = (window * (places < widths[:, None])) @ powers
+        codes = three[begin >> 3].astype(np.int64) >> (begin & 7) & (1 << widths) - 1
         stops = np.flatnonzero((codes == clear) | (codes == clear + 1))
         n = int(stops[0]) if len(stops) else len(codes)
         held.append(codes[:n])
