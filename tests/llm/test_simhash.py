@@ -206,6 +206,41 @@ def test_many_near_copies_of_one_text(spark):
     assert kept == [1, *range(5000, 5050)]
 
 
+def test_copies_near_the_threshold_are_ruled_out_before_they_are_compared(spark, monkeypatch):
+    """Of many copies too far from each other, few pairs are left to compare; those above the threshold all are."""
+    random.seed(49)
+    vocabulary = ["v%d" % k for k in range(50000)]
+    base = [random.choice(vocabulary) for _ in range(140)]
+    texts = [" ".join(changed(base, random.choice((0.015, 0.022, 0.03, 0.036)), vocabulary)) for _ in range(500)]
+    compared, verified = [], shingle_join._verified
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(shingle_join, "_verified", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "key long, text string").repartition(4)
+    got = {r.node: r.root for r in shingle_join.linked(df, spark.createDataFrame([], "u long, v long")).collect()}
+    sets, want, similar = [brute_shingles(t) for t in texts], list(range(len(texts))), 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 10 * len(x & sets[j]) >= 8 * len(x | sets[j]):
+                similar += 1
+                low, high = sorted((want[i], want[j]))
+                want = [low if w == high else w for w in want]
+    assert {k: got.get(k, k) for k in range(len(texts))} == dict(enumerate(want)) and 100 < len(set(want)) < 450
+    assert len(compared) == 3 and compared[-1] < similar + 500, (compared, similar)
+
+
+def test_parities_never_tell_of_more_differences_than_there_are():
+    rng = np.random.default_rng(50)
+    for size, other, common in ((0, 3, 0), (1, 1, 1), (30, 25, 20), (140, 130, 120), (3000, 2500, 2200)):
+        x = rng.integers(-(1 << 63), 1 << 63, size + other, dtype=np.int64)
+        one, two = x[:size], np.append(x[:common], x[size : size + other - common])
+        told = int(np.bitwise_count(shingle_join.parity(one) ^ shingle_join.parity(two)).sum())
+        assert told <= size + other - 2 * common and (size > 1000 or told >= (size + other - 2 * common) * 0.8)
+
+
 def test_changed_words_are_found_and_other_texts_stay(spark):
     random.seed(44)
     vocabulary = ["%s%d" % (random.choice("abcdefgh"), i) for i in range(3000)]
@@ -235,3 +270,17 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(1, 61)} | {1000 + i: 1000 for i in range(1, 200)}
+
+
+def test_rounds_of_a_small_graph_are_few_tasks(spark):
+    """However many partitions a shuffle has; the components are the same."""
+    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)]
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = components(spark.createDataFrame(edges, "u long, v long").repartition(60))
+        assert {r.node: r.root for r in found.collect()} == {i: 0 for i in range(1, 61)} | {1000 + i: 1000 for i in range(1, 200)}
+        assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
