@@ -20,13 +20,26 @@ from ..functions import text
 REPLY_FILE = r"^r(\d+)_c(\d+)\.json$"
 
 
+#: Pieces of a scan that a task reads, at most: Spark counts 4 MB to open a file, so a piece is some 30 small files.
+PIECES = 32
+
+
+def together(files: DataFrame) -> DataFrame:
+    """A scan of many files in fewer tasks: each reads several of Spark's pieces, one after another, and nothing is shuffled.
+
+    Small files make a task of few of them cost more than their reading does.  All cores get some tasks each.
+    """
+    pieces, cores = files.rdd.getNumPartitions(), files.sparkSession.sparkContext.defaultParallelism
+    return files.coalesce(max(4 * cores, -(-pieces // PIECES)))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """``filepath, content, content_sha256, valid_utf8`` of a folder's ``*.md`` files, in no order.
 
     The hash is that of the bytes; line ends of the content are ``\\n``.  Bytes
     that are no UTF-8 give a null content, and the row is for the caller to reject.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(folder)
+    files = together(spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(folder))
     good = F.is_valid_utf8(F.col("content").cast("string"))
     decoded = F.when(good, text.universal_newlines(F.col("content").cast("string")))
     path = F.regexp_replace("path", "^file:", "")
@@ -116,7 +129,7 @@ def jsonl_records(spark: SparkSession, path: str, rank: int = 0) -> DataFrame:
 def json_files(spark: SparkSession, folder: str, rank: int = 1) -> DataFrame:
     """The same of a folder's reply files, one record each."""
     files = spark.read.option("pathGlobFilter", "r*_c*.json").text(folder, wholetext=True)
-    return files.select(F.lit(rank).alias("source_rank"), F.col("_metadata.file_name").alias("source"), F.lit(0).cast("long").alias("line"), "value")
+    return together(files.select(F.lit(rank).alias("source_rank"), F.col("_metadata.file_name").alias("source"), F.lit(0).cast("long").alias("line"), "value"))
 
 
 def exists(spark: SparkSession, path: str, glob: str | None = None) -> bool:

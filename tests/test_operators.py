@@ -579,3 +579,19 @@ def test_import_of_many_splits_has_few_tasks(spark, tmp_path, monkeypatch):
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert [df.rdd.getNumPartitions() <= n for df, n in zip(steps, (shuffled, 2 * shuffled))] == [True, True]
     assert sorted((r.result_id, r.reasoning_trace) for r in store.read("result_category").collect()) == [(i, str(i)) for i in range(100)]
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    """Every file is read once, in tasks that don't grow with each few files."""
+    for k in range(200):
+        (tmp_path / f"d{k}.md").write_text(f"http://a/{k}\n\ntext é {k}\r\n")
+        (tmp_path / f"r{k}_c1.json").write_text(f'{{"result_id": {k}}}')
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # each file is a piece
+    try:
+        found, replies = files.documents(spark, str(tmp_path)), files.json_files(spark, str(tmp_path))
+        assert max(found.rdd.getNumPartitions(), replies.rdd.getNumPartitions()) <= 4 * spark.sparkContext.defaultParallelism
+        rows = sorted((r.filepath.rsplit("/", 1)[1], r.content, r.valid_utf8) for r in found.collect())
+        assert rows == sorted((f"d{k}.md", f"http://a/{k}\n\ntext é {k}\n", True) for k in range(200))
+        assert sorted((r.source, r.value) for r in replies.collect()) == sorted((f"r{k}_c1.json", f'{{"result_id": {k}}}') for k in range(200))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
