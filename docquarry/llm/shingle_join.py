@@ -14,14 +14,19 @@ Texts meet at the shared shingles of their prefixes, so mostly at rare ones.
 *Links.*  Of the texts that meet, each is compared with one of them first, and, where
 several components still meet, with another one; that links
 a large group of copies without its pairs.  Where texts of several components meet
-after that, all outside the largest one there meet all others: the smaller text of a pair
+after that, all outside the largest one there are held against all others: the smaller text of a pair
 within the first ninth of its shingles, as it must share eight ninths of them with a
 text that isn't smaller.  Of these pairs most are ruled out by a bitmap of each set's
 parities: bits that differ are shingles that one of both sets lacks, so the number of
 them bounds the common part from above, and no pair above the threshold is lost.  Up to
-some 2000 shingles the bound is close; for larger sets it tells less.  A comparison
-is exact, over both whole sets; only components are asked for, so texts that others
-link are not compared.
+some 2000 shingles the bound is close; for larger sets it tells less.  The texts of a
+shingle are one call (more than ``MEMBERS`` of them are dealt into parts, and each two
+parts are a call), and a call gives a spanning forest of its pairs that are left, not
+the pairs.  These are compared exactly, over both whole sets.  Where all of a forest are
+above the threshold, nothing else of that call can change the components.  Where some
+are not, the call gives another forest, without them and with some more pairs of each
+text, 16 times as many each round: a call that refutes all it gives has soon given all
+its pairs, others end after a round or two.
 
 Hashes have 40 bits besides their bucket's number; buckets grow in number with the
 texts' bytes, not with a session's partitions: each names its texts, so many small ones
@@ -59,6 +64,9 @@ SHARED = "key long, size int, shingles binary, counts binary"
 SETS = "key long, size int, alone int, shingles array<long>, prefix array<long>, parity array<long>"
 #: Bits of a set's parities.
 PARITY = 1024
+#: Texts in one call, about; times more pairs of a text from round to round.
+MEMBERS, MORE = 8192, 16
+MET = "shingle long, p int, q int, u long, v long"
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -249,41 +257,116 @@ def _possible(a: str, b: str) -> Column:
     return enough(F.least(rest(a), rest(b)), F.col(f"{a}.size"), F.col(f"{b}.size"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (``u, v``) of which it is true."""
-    pairs = cut(pairs)
-    keys = pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct()
-    sets = sets.join(small(keys), "key", "left_semi")  # most texts are in no pair, and aren't moved
     one = lambda n: sets.select(F.col("key").alias(n), F.col("size").alias(f"size_{n}"), F.col("shingles").alias(f"set_{n}"))
     joined = pairs.join(one("u"), "u").join(one("v"), "v")
     return joined.where(enough(F.size(F.array_intersect("set_u", "set_v")), F.col("size_u"), F.col("size_v"))).select("u", "v")
 
 
-def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
-    u, v = F.col(f"{a}.key"), F.col(f"{b}.key")
-    return rows.where((u != v) & _possible(a, b)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct()
+def _among(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """The sets of some texts: most are in no pair, and aren't moved."""
+    return sets.join(small(keys.distinct()), "key", "left_semi")
 
 
-def _alike(a: str, b: str) -> Column:
-    """Whether two texts can reach the threshold, by what their parities say that they share at most."""
-    differ = sum((F.bit_count(F.get(f"{a}.parity", F.lit(k)).bitwiseXOR(F.get(f"{b}.parity", F.lit(k)))) for k in range(PARITY // 64)), F.lit(0))
-    return 9 * (F.col(f"{a}.held") + F.col(f"{b}.held") - differ) >= 8 * (F.col(f"{a}.size") + F.col(f"{b}.size"))
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (``u, v``) of which it is true, of any of the sets."""
+    pairs = cut(pairs)
+    keys = pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key")))
+    return _compared(pairs, _among(sets, keys))
 
 
-def _across(open_ones: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of texts of several components that meet and can reach the threshold, one of both outside the largest component there."""
-    more = sets.select(F.col("key").alias("of"), F.size("shingles").alias("held"), "parity")
-    rows = open_ones.join(more, F.col("x.key") == F.col("of"))
-    rows = cut(rows.select("shingle", (F.col("root") != F.col("most")).alias("outside"), F.struct("x.*", "root", "held", "parity").alias("x")))
-    # The smaller text of a pair shares eight ninths of its shingles or more, so it meets the other one early.
-    early = rows.where("9 * x.place <= x.size").withColumnRenamed("x", "y")
+def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
+    u, v = F.col(f"{a}.key"), F.col(f"{b}.key")
+    return rows.where((u != v) & _possible(a, b)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct()
 
-    def met(early: DataFrame, rows: DataFrame) -> DataFrame:
-        order = F.struct("y.size", "y.key") < F.struct("x.size", "x.key")
-        both = early.select("shingle", "y").join(rows.select("shingle", "x"), "shingle")
-        return _pairs(both.where((F.col("x.root") != F.col("y.root")) & order & _possible("x", "y") & _alike("x", "y")), "x", "y")
 
-    return met(early.where("outside"), rows).unionByName(met(early.where("NOT outside"), rows.where("outside"))).distinct()
+def forest(texts: dict[str, np.ndarray], refuted: set[tuple[int, int]], more: int) -> list[tuple[int, int]]:
+    """Pairs (larger key first) that span all pairs of texts that can reach the threshold, have different roots and aren't refuted; and of each text ``more`` of these.
+
+    ``texts`` has ``key, size, place, root, held`` and the rows of ``parity`` of all that meet at a shingle.
+    """
+    order = np.argsort(texts["key"])  # calls with the same texts give the same pairs
+    texts = {c: x[order] for c, x in texts.items()}
+    key, size, held, parity = texts["key"], texts["size"], texts["held"], texts["parity"].view(np.uint64)
+    rest, early = size - texts["place"], 9 * texts["place"] <= size
+    rank = np.empty(len(key), np.int64)
+    rank[np.lexsort((key, size))] = np.arange(len(key))
+    _, root, sizes = np.unique(texts["root"], return_inverse=True, return_counts=True)
+    label, open_ones = root.copy(), np.ones(len(key), bool)
+    at = {k: i for i, k in enumerate(key.tolist())} if refuted else {}
+    gone: dict[int, list[int]] = {}
+    for u, v in refuted:
+        if u in at and v in at:
+            gone.setdefault(at[u], []).append(at[v])
+            gone.setdefault(at[v], []).append(at[u])
+    out = []
+    for i in np.flatnonzero(root != sizes.argmax()).tolist():  # one of a pair is outside the largest component
+        left = open_ones & (root != root[i]) if more else label != label[i]
+        open_ones[i] = False
+        left[gone.get(i, [])] = False
+        # The smaller text of a pair shares eight ninths of its shingles or more, so it meets the other one early.
+        left &= early | (rank > rank[i]) if early[i] else early & (rank < rank[i])
+        x = np.flatnonzero(left)
+        x = x[9 * np.minimum(rest[i], rest[x]) >= 4 * (size[i] + size[x])]
+        if len(x):
+            differ = np.bitwise_count(parity[x] ^ parity[i]).sum(axis=1, dtype=np.int64)
+            x = x[9 * (held[i] + held[x] - differ) >= 8 * (size[i] + size[x])]
+        if len(x):
+            labels, first = np.unique(label[x], return_index=True)
+            first = first[labels != label[i]]
+            label[np.isin(label, labels)] = label[i]
+            out += [(max(a, b), min(a, b)) for a, b in ((int(key[i]), int(key[j])) for j in x[np.union1d(first, np.arange(min(more, len(x))))])]
+    return out
+
+
+def _met(open_ones: DataFrame, sets: DataFrame, refuted: DataFrame | None, more: int) -> DataFrame:
+    """``MET``: the forests of all calls, without pairs that were ``refuted`` there."""
+    sketch = sets.select(F.col("key").alias("of"), F.size("shingles").alias("held"), "parity")
+    rows = open_ones.join(sketch, F.col("x.key") == F.col("of")).select("shingle", "n", F.struct("x.*", "root", "held", "parity").alias("x"))
+    parts = F.ceil(F.col("n") * 2 / MEMBERS).cast("int")
+    one, other = F.pmod(F.xxhash64("x.key"), parts).cast("int"), F.explode(F.when(F.col("n") > MEMBERS, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0))))
+    rows = rows.withColumn("p", F.when(F.col("n") > MEMBERS, one).otherwise(0)).withColumn("q", other)
+    rows = rows.select("shingle", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"), "x")
+    calls = rows.groupBy("shingle", "p", "q").agg(F.collect_list("x").alias("texts"))
+    if refuted is None:
+        calls = calls.withColumn("refuted", F.expr("CAST(array() AS array<struct<u:long,v:long>>)"))
+    else:
+        pairs = refuted.groupBy("shingle", "p", "q").agg(F.collect_list(F.struct("u", "v")).alias("refuted"))
+        calls = calls.join(pairs, ["shingle", "p", "q"], "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                call = batch.slice(k, 1)
+                found = call.column("texts").flatten()
+                texts = dict(zip((f.name for f in found.type), found.flatten()))
+                parity = texts.pop("parity").flatten().to_numpy().reshape(-1, PARITY // 64)
+                gone = {(x["u"], x["v"]) for x in call.column("refuted").to_pylist()[0] or ()}
+                pairs = forest({c: x.to_numpy().astype(np.int64) for c, x in texts.items()} | {"parity": parity}, gone, more)
+                if pairs:
+                    same = [call.column(c).to_numpy().repeat(len(pairs)) for c in ("shingle", "p", "q")]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, same), *(pa.array(x, pa.int64()) for x in zip(*pairs))], [c.split(" ")[0] for c in MET.split(", ")])
+
+    return calls.mapInArrow(run, MET)
+
+
+def _settled(places: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """``found`` with the links of all texts that still meet in several components."""
+    refuted, more = None, 0
+    while True:
+        met = cut(_met(_open(places, found), sets, refuted, more))
+        pairs = met.select("u", "v").distinct()
+        true = cut(_compared(pairs, sets) if more else _verified(pairs, sets))
+        found = _joined(found, true)
+        wrong = cut(met.join(small(true), ["u", "v"], "left_anti"))
+        if wrong.isEmpty():
+            return found
+        # Calls whose forests are true are done; the others go on, without the pairs that are not.
+        places = cut(places.join(small(wrong.select("shingle").distinct()), "shingle", "left_semi"))
+        sets = cut(_among(sets, places.select("x.key")))
+        refuted = wrong if refuted is None else cut(refuted.unionByName(wrong))
+        more = max(more, 1) * MORE
 
 
 def linked(texts: DataFrame, links: DataFrame) -> DataFrame:
@@ -293,8 +376,7 @@ def linked(texts: DataFrame, links: DataFrame) -> DataFrame:
     places = cut(places)
     found = components(links.select("u", "v").unionByName(_verified(_stars(places, 0), sets)))
     found = _joined(found, _verified(_stars(_open(places, found), 1), sets))
-    # Where several components still meet, all that aren't of the largest one with all others.
-    return _joined(found, _verified(_across(_open(places, found), sets), sets))
+    return _settled(places, found, sets)
 
 
 def _stars(places: DataFrame, turn: int) -> DataFrame:
@@ -307,11 +389,11 @@ def _stars(places: DataFrame, turn: int) -> DataFrame:
 
 
 def _open(places: DataFrame, found: DataFrame) -> DataFrame:
-    """The places of shingles where several components meet, with their ``root`` and the one that ``most`` have there."""
+    """The places of shingles where several components meet, with their ``root`` and the number ``n`` of texts there."""
     known = found.select(F.col("node").alias("of"), F.col("root").alias("top"))
     rooted = cut(places.join(known, F.col("x.key") == F.col("of"), "left").select("shingle", "x", F.coalesce("top", "x.key").alias("root")))
-    parts = rooted.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("parts"))
-    return rooted.join(parts.where("parts > 1").select("shingle", F.col("most.root").alias("most")), "shingle")
+    parts = rooted.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.sum("n").alias("n"), F.count("*").alias("parts"))
+    return rooted.join(parts.where("parts > 1").select("shingle", "n"), "shingle")
 
 
 def _joined(found: DataFrame, more: DataFrame) -> DataFrame:

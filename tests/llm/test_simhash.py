@@ -232,6 +232,71 @@ def test_copies_near_the_threshold_are_ruled_out_before_they_are_compared(spark,
     assert len(compared) == 3 and compared[-1] < similar + 500, (compared, similar)
 
 
+@pytest.mark.parametrize("members, blind", [(8192, False), (60, True)])
+def test_a_group_near_the_threshold_is_linked_without_its_pairs(spark, monkeypatch, members, blind):
+    """Tables of pairs hold a few for each text, where parities tell much; where they tell nothing, links are the same."""
+    random.seed(51)
+    vocabulary = ["v%d" % k for k in range(50000)]
+    base = [random.choice(vocabulary) for _ in range(280)]
+    # Four changed words and two are similar, and four and four are not: most texts are linked by any of a few.
+    texts = [" ".join(changed(base, 0.0075 if k % 10 == 0 else 0.0145, vocabulary)) for k in range(400)]
+    made, cut = [], shingle_join.cut
+
+    def counted(df):
+        done = cut(df)
+        if {"u", "v"} <= set(done.columns):
+            made.append(done.select("u", "v").distinct().count())
+        return done
+
+    monkeypatch.setattr(shingle_join, "cut", counted)
+    monkeypatch.setattr(shingle_join, "MEMBERS", members, raising=False)
+    if blind:
+        monkeypatch.setattr(shingle_join, "parity", lambda found: np.zeros(16, np.int64))
+    df = spark.createDataFrame(list(enumerate(texts)), "key long, text string").repartition(4)
+    got = {r.node: r.root for r in shingle_join.linked(df, spark.createDataFrame([], "u long, v long")).collect()}
+    sets, want, similar = [brute_shingles(t) for t in texts], list(range(len(texts))), 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 10 * len(x & sets[j]) >= 8 * len(x | sets[j]):
+                similar += 1
+                low, high = sorted((want[i], want[j]))
+                want = [low if w == high else w for w in want]
+    assert {k: got.get(k, k) for k in range(len(texts))} == dict(enumerate(want)) and len(set(want)) < 200
+    assert similar > 20 * len(texts)
+    assert blind or max(made) < 4 * len(texts), (made, similar)
+
+
+def test_a_forest_spans_what_can_be_linked():
+    rng = np.random.default_rng(52)
+    for n, share, more in ((2, 0.3, 0), (60, 0.5, 0), (60, 0.2, 0), (60, 0.5, 3), (60, 0.5, 60)):
+        base = rng.integers(-(1 << 63), 1 << 63, 100, dtype=np.int64)
+        sets = [np.unique(np.append(base[: 100 - k], rng.integers(-(1 << 63), 1 << 63, k, dtype=np.int64))) for k in rng.integers(0, 22, n)]
+        texts = {"key": rng.permutation(n).astype(np.int64) - 5, "size": np.array([len(x) for x in sets]), "place": rng.integers(0, 16, n), "root": rng.integers(0, 1 + int(share * n), n)}
+        texts |= {"held": texts["size"], "parity": np.array([shingle_join.parity(x) for x in sets]).view(np.uint64)}
+        key, size, place, root = (texts[c].tolist() for c in ("key", "size", "place", "root"))
+
+        def can(i, j):
+            small, large = sorted((i, j), key=lambda x: (size[x], key[x]))
+            differ = int(np.bitwise_count(texts["parity"][i] ^ texts["parity"][j]).sum())
+            both = size[i] + size[j]
+            return root[i] != root[j] and 9 * place[small] <= size[small] and 9 * min(size[i] - place[i], size[j] - place[j]) >= 4 * both and 9 * (both - differ) >= 8 * both
+
+        want = {(max(key[i], key[j]), min(key[i], key[j])) for i in range(n) for j in range(i) if can(i, j)}
+        refuted = set(sorted(want)[::5]) if n > 2 else set()
+        got = shingle_join.forest(texts, refuted, more)
+        assert len(got) == len(set(got)) and set(got) <= want - refuted
+
+        def parts(pairs):
+            of = dict(zip(key, root))
+            for u, v in pairs:
+                low, high = sorted((of[u], of[v]))
+                of = {k: low if r == high else r for k, r in of.items()}
+            return of
+
+        assert parts(got) == parts(want - refuted)
+        assert len(got) < len(set(root)) if not more else more < n or set(got) == want - refuted
+
+
 def test_parities_never_tell_of_more_differences_than_there_are():
     rng = np.random.default_rng(50)
     for size, other, common in ((0, 3, 0), (1, 1, 1), (30, 25, 20), (140, 130, 120), (3000, 2500, 2200)):
