@@ -57,7 +57,7 @@ HELD, BITS = 1 << 20, 40
 #: Texts dealt out together, at most: their numbers have 16 bits.
 TEXTS = 1 << 16
 #: Bytes of text a bucket, and buckets at least; turns in which a task counts its bucket's shingles.
-BUCKET, BUCKETS, TURNS = 32 << 20, 12, 4
+BUCKET, BUCKETS, TURNS = 16 << 20, 12, 4
 
 PACKED = "bucket int, shingles binary, texts binary, keys binary, sizes binary"
 SHARED = "key long, size int, shingles binary, counts binary"
@@ -193,8 +193,8 @@ def _shared(dealt: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bucket = [], 0
         for batch in batches:
-            for bucket, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                held.append(row)
+            for bucket, *row in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
+                held.append([x.as_buffer() for x in row])  # no copies: they are the whole bucket
         if not held:
             return
         numbers, keys, sizes, counts = map(np.concatenate, zip(*(repeated(held, turn) for turn in range(TURNS))))
